@@ -63,7 +63,7 @@ def as_float(c: Column | str) -> Column:
 def as_date(c: Column | str) -> Column:
     """First ten characters of the stripped text as an ISO date, else null."""
     head = F.substring(strip(c), 1, 10)
-    return F.when(head.rlike(_ISO_DATE_SHAPE), F.try_to_date(head, F.lit("yyyy-MM-dd")))
+    return F.when(head.rlike(_ISO_DATE_SHAPE), F.try_to_date(head, "yyyy-MM-dd"))
 
 
 def as_timestamp_ntz(c: Column | str) -> Column:

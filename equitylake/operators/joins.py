@@ -23,8 +23,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _keyed(small: DataFrame, on: Sequence[str], max_rows: int) -> DataFrame:
-    keys = small.select(*on)
+def _keyed(small: DataFrame, on: Sequence[str], max_rows: int, keep_all: bool = False) -> DataFrame:
+    keys = small if keep_all else small.select(*on)
     return F.broadcast(keys) if fits_broadcast(keys, max_rows) else keys
 
 
@@ -40,3 +40,13 @@ def anti_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbo
     """Rows of ``big`` whose key is absent from ``small`` (JN3)."""
     on = [on] if isinstance(on, str) else list(on)
     return big.join(_keyed(small, on, max_broadcast_rows), on=on, how="left_anti")
+
+
+def attach(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbol",
+           max_broadcast_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """Inner join that adds ``small``'s columns to matching ``big`` rows.
+
+    ``small`` must be unique on ``on`` (a lookup), so no row is multiplied.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    return big.join(_keyed(small, on, max_broadcast_rows, keep_all=True), on=on, how="inner")

@@ -15,13 +15,23 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitylake.operators.audit import date_span
+from equitylake.functions.calendar import fiscal_years, history_start, periods_for
+from equitylake.functions.classify import classify_security
+from equitylake.functions.text import as_bool, as_str
+from equitylake.operators.audit import date_span, rows_by_year
 from equitylake.operators.latest import latest_wins
 from equitylake.plans import fixtures as fx
+from equitylake.plans import price_load
 from equitylake.plans import queries as q
+from equitylake.plans.statement_build import build_statement_table, normalise_parts
+from equitylake.plans.universe_build import FIELD_ALIASES, build_universe, ingest_audit as shard_audit_of
 from equitylake.session import scratch_dir
+from equitylake.sources import landed
 from equitylake.sources.store import Store
-from equitylake.specs import DAILY_PRICES, TICKER_UNIVERSE
+from equitylake.specs import (
+    DAILY_PRICES, INCOME_STATEMENT, STATEMENTS, TICKER_UNIVERSE, statement_table,
+)
+from equitylake.streaming.landing import ingest_available
 
 # Fixed run parameters, so the oracle can state them as literals.
 RUN_TS = datetime(2026, 8, 10, tzinfo=timezone.utc)
@@ -162,6 +172,205 @@ def price_panel(spark, sf_dir):
                          security_type=["etf"])
 
 
+def history_window(spark, sf_dir):
+    """SCL8: the 15-year look-back window ending at a fixed as-of date."""
+    as_of = date(2039, 1, 14)
+    return price_store(spark, sf_dir).read(DAILY_PRICES, start=history_start(15, as_of=as_of), end=as_of)
+
+
+# ------------------------------------------------------- landed prices
+_landings: dict[tuple, str] = {}
+
+
+def _landed_histories(spark, sf_dir) -> str:
+    """F1 landed as per-symbol history documents (F6) plus one bare ``{}``.
+
+    Landed once per application and scale factor; the queries below only
+    read it (each into its own store).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _lock:
+        root = _landings.get(key)
+        if root is None:
+            root = scratch_dir(spark, "landing-prices")
+            landed.write_price_histories(fx.price_feed(spark, sf_dir), root)
+            landed.write_empty_history(spark, root, "DELISTED")
+            _landings[key] = root
+        return root
+
+
+def price_history_json(spark, sf_dir):
+    """J2: nested histories -> price rows -> upsert into an empty table."""
+    store = Store(spark, scratch_dir(spark, "refresh"))
+    price_load.refresh_prices(store, _landed_histories(spark, sf_dir))
+    return store.read(DAILY_PRICES)
+
+
+def landing_ingest(spark, sf_dir):
+    """STR1: the same landing drained by a stream (availableNow + foreachBatch)."""
+    store = Store(spark, scratch_dir(spark, "stream-store"))
+    landing = _landed_histories(spark, sf_dir)
+    ingest_available(spark, store, landing, scratch_dir(spark, "stream-ckpt"))
+    return store.read(DAILY_PRICES)
+
+
+def backfill_load(spark, sf_dir):
+    """J3: stage ETFs first, then the rest (resume), then load everything."""
+    store = Store(spark, scratch_dir(spark, "backfill-store"))
+    landing = _landed_histories(spark, sf_dir)
+    staging = scratch_dir(spark, "staging")
+    listings = stamped_universe(spark, sf_dir)
+    price_load.stage(spark, listings.filter(F.col("security_type") == "etf"), landing, staging)
+    price_load.stage(spark, listings, landing, staging)
+    price_load.load(store, staging)
+    return store.read(DAILY_PRICES)
+
+
+def staging_todo(spark, sf_dir):
+    """JN3 + AGG5: after staging the ETFs, the symbols still to stage."""
+    landing = _landed_histories(spark, sf_dir)
+    staging = scratch_dir(spark, "staging-todo")
+    listings = stamped_universe(spark, sf_dir)
+    price_load.stage(spark, listings.filter(F.col("security_type") == "etf"), landing, staging)
+    return price_load.staging_todo(listings, price_load.read_ledger(spark, staging))
+
+
+# ----------------------------------------------------------- statements
+STATEMENT_SYMBOLS = ["U1", " u2", "U10", "U100", "U500", "U1499", "NOPE"]
+
+# Which statement field carries F3's amount in each family's variant.
+_AMOUNT = {"income_statement": "revenue", "balance_sheet": "total_assets",
+           "cash_flow": "net_income", "ratios": "current_ratio"}
+
+
+def _statement_variant(frame: DataFrame, family: str) -> DataFrame:
+    amount = F.col("revenue") / 1000 if family == "ratios" else F.col("revenue")
+    return frame.withColumn(_AMOUNT[family], amount)
+
+
+def statement_store(spark, sf_dir, family: str) -> Store:
+    """Both cadences of one statement family, loaded from F3 by upsert."""
+    def build(s: Store) -> None:
+        s.upsert(statement_table(family, "quarterly"),
+                 _statement_variant(fx.statements_quarterly(spark, sf_dir), family), order=["seq"])
+        s.upsert(statement_table(family, "annual"),
+                 _statement_variant(fx.statements_annual(spark, sf_dir), family), order=["seq"])
+    return _memo(spark, sf_dir, f"statements-{family}", build)
+
+
+def statements_quarterly(spark, sf_dir):
+    return q.income_statements(statement_store(spark, sf_dir, "income_statement"), STATEMENT_SYMBOLS,
+                               "quarterly", date(1996, 1, 1), date(1999, 12, 31),
+                               columns=["revenue", "accepted_date", "period"])
+
+
+def statements_annual(spark, sf_dir):
+    return q.income_statements(statement_store(spark, sf_dir, "income_statement"), STATEMENT_SYMBOLS, "annual")
+
+
+def balance_sheets(spark, sf_dir):
+    return q.balance_sheets(statement_store(spark, sf_dir, "balance_sheet"), STATEMENT_SYMBOLS, "quarterly",
+                            start=date(1997, 1, 1), columns=["total_assets", "fiscal_year"])
+
+
+def cash_flows(spark, sf_dir):
+    return q.cash_flows(statement_store(spark, sf_dir, "cash_flow"), STATEMENT_SYMBOLS, "annual",
+                        end=date(1999, 6, 30))
+
+
+def ratios(spark, sf_dir):
+    return q.ratios(statement_store(spark, sf_dir, "ratios"), STATEMENT_SYMBOLS, "quarterly",
+                    columns=["current_ratio"])
+
+
+def fiscal_year_window(spark, sf_dir):
+    """SCL9: the three fiscal years ending mid-1998, quarterly periods."""
+    years = list(fiscal_years(3, as_of=date(1998, 6, 30)))
+    where = F.col("fiscal_year").isin(years) & F.col("period").isin(*periods_for("quarterly"))
+    return statement_store(spark, sf_dir, "income_statement").read(
+        statement_table("income_statement", "quarterly"), where=where, columns=["fiscal_year", "period", "revenue"])
+
+
+def statement_rows_by_year(spark, sf_dir):
+    """AGG3: stored quarterly income rows per calendar year."""
+    stored = statement_store(spark, sf_dir, "income_statement").read(
+        statement_table("income_statement", "quarterly"), columns=["date"], ordered=False)
+    return rows_by_year(stored, "date")
+
+
+def statement_normalise(spark, sf_dir):
+    """J4 over every F4 part: typed rows, one per (part, date, symbol)."""
+    parts = normalise_parts(fx.statement_text(spark, sf_dir), INCOME_STATEMENT, "fiscalYear", "period", ["seq"])
+    return parts.select(*INCOME_STATEMENT.schema.names)
+
+
+def statement_restated(spark, sf_dir):
+    """J5: all parts, later bucket wins, written as the quarterly table."""
+    store = Store(spark, scratch_dir(spark, "restated"))
+    table = build_statement_table(fx.statement_text(spark, sf_dir), INCOME_STATEMENT, "fiscalYear", "period", ["seq"])
+    store.write(statement_table("income_statement", "quarterly"), table)
+    return store.read(statement_table("income_statement", "quarterly"))
+
+
+def statements_for_equities(spark, sf_dir):
+    """JN1 + FLT10: the restated feed narrowed to the equity screen."""
+    wanted = q.equity_symbols(universe_store(spark, sf_dir), ordered=False)
+    return build_statement_table(fx.statement_text(spark, sf_dir), INCOME_STATEMENT, "fiscalYear", "period",
+                                 ["seq"], wanted=wanted)
+
+
+def statement_part_cache(spark, sf_dir):
+    """SNK6 + SRC6: normalised parts cached per (statement, year, period), read back."""
+    cache = scratch_dir(spark, "part-cache")
+    parts = normalise_parts(fx.statement_text(spark, sf_dir), INCOME_STATEMENT, "fiscalYear", "period", ["seq"])
+    (parts.withColumn("statement", F.lit(INCOME_STATEMENT.name))
+          .withColumnRenamed("__part_year", "year").withColumnRenamed("__part_period", "part_period")
+          .drop("seq")
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("statement", "year", "part_period").parquet(cache))
+    cached = spark.read.schema(INCOME_STATEMENT.schema).parquet(f"{cache}/statement={INCOME_STATEMENT.name}")
+    return cached.select(*INCOME_STATEMENT.schema.names)
+
+
+def statement_parts_union(spark, sf_dir):
+    """SRC2 + SET1: F4 landed as CSV parts with differing header orders."""
+    root = scratch_dir(spark, "landing-statements")
+    landed.write_statement_parts(fx.statement_text(spark, sf_dir), root, INCOME_STATEMENT.name,
+                                 "fiscalYear", "period", "seq")
+    raw = landed.read_statement_parts(spark, root, INCOME_STATEMENT.name)
+    return build_statement_table(raw, INCOME_STATEMENT, "year", "period_part", ["_file", "_block", "_row"])
+
+
+# ------------------------------------------------------ universe build
+def classify_listings(spark, sf_dir):
+    """SCL7 over every raw profile row."""
+    raw = fx.profile_text(spark, sf_dir)
+    kind = classify_security(as_str("symbol"), as_str("company_name"),
+                             F.coalesce(as_bool("is_etf"), F.lit(False)), F.coalesce(as_bool("is_fund"), F.lit(False)))
+    return raw.select("seq", "symbol", kind.alias("security_type"))
+
+
+def universe_build(spark, sf_dir):
+    """J1: raw profiles -> tradable listings, last shard wins, written and read back."""
+    store = Store(spark, scratch_dir(spark, "universe-build"))
+    store.write(TICKER_UNIVERSE, build_universe(fx.profile_text(spark, sf_dir), RUN_TS, ["part", "seq"]))
+    return store.read(TICKER_UNIVERSE)
+
+
+def ingest_audit(spark, sf_dir):
+    """AGG4: rows seen and kept per shard, with the running kept total."""
+    return shard_audit_of(fx.profile_text(spark, sf_dir), "part")
+
+
+def universe_shards(spark, sf_dir):
+    """SRC3: F5 landed as CSV and JSON-lines shards, read back, built."""
+    root = scratch_dir(spark, "landing-profiles")
+    landed.write_profile_shards(fx.profile_text(spark, sf_dir), root)
+    fields = sorted({a for names in FIELD_ALIASES.values() for a in names})
+    raw = landed.read_profile_shards(spark, root, fields)
+    return build_universe(raw, RUN_TS, ["part", "_file", "_block", "_row"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_prices_range": daily_prices_range,
     "daily_prices_open_ended": daily_prices_open_ended,
@@ -180,4 +389,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "universe_symbols": universe_symbols,
     "equity_symbols": equity_symbols,
     "price_panel": price_panel,
+    "history_window": history_window,
+    "price_history_json": price_history_json,
+    "landing_ingest": landing_ingest,
+    "backfill_load": backfill_load,
+    "staging_todo": staging_todo,
+    "statements_quarterly": statements_quarterly,
+    "statements_annual": statements_annual,
+    "balance_sheets": balance_sheets,
+    "cash_flows": cash_flows,
+    "ratios": ratios,
+    "fiscal_year_window": fiscal_year_window,
+    "statement_rows_by_year": statement_rows_by_year,
+    "statement_normalise": statement_normalise,
+    "statement_restated": statement_restated,
+    "statements_for_equities": statements_for_equities,
+    "statement_part_cache": statement_part_cache,
+    "statement_parts_union": statement_parts_union,
+    "classify_listings": classify_listings,
+    "universe_build": universe_build,
+    "ingest_audit": ingest_audit,
+    "universe_shards": universe_shards,
 }

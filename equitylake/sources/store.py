@@ -175,13 +175,14 @@ class Store:
         """SNK1: replace the whole table (keys are not de-duplicated)."""
         self._write_version(spec, conform(frame, spec.schema))
 
-    def upsert(self, spec: TableSpec, fresh: DataFrame, order: Sequence[str] | None = None) -> None:
+    def upsert(self, spec: TableSpec, fresh: DataFrame, order: Sequence[str] | None = None) -> int:
         """Merge ``fresh`` into the table on its key; fresh rows win whole.
 
         ``order`` names columns of ``fresh`` that say which of its own
         duplicate rows came last (ascending); by default the scan order of
         ``fresh``. An empty ``fresh`` is a no-op. A fresh row replaces the
-        stored row entirely, so a column it lacks becomes null.
+        stored row entirely, so a column it lacks becomes null. Returns the
+        number of fresh rows (before de-duplication).
         """
         order = list(order or [])
         if order:
@@ -192,25 +193,26 @@ class Store:
                 _ORDER, F.struct(F.monotonically_increasing_id().alias("scan")))
         fresh = fresh.withColumn(_PRIO, F.lit(1))
         if spec.time_index is None:
-            self._upsert_keyed(spec, fresh)
-        else:
-            self._upsert_range(spec, fresh)
+            return self._upsert_keyed(spec, fresh)
+        return self._upsert_range(spec, fresh)
 
     def _stored_side(self, df: DataFrame, order_type) -> DataFrame:
         return df.withColumn(_ORDER, F.lit(None).cast(order_type)).withColumn(_PRIO, F.lit(0))
 
-    def _upsert_keyed(self, spec: TableSpec, fresh: DataFrame) -> None:
+    def _upsert_keyed(self, spec: TableSpec, fresh: DataFrame) -> int:
         """SNK3: merge with the whole table and commit it as a new version."""
-        if fresh.isEmpty():
-            return
+        rows = fresh.count()
+        if rows == 0:
+            return 0
         stored = self.scan(spec)
         both = fresh
         if stored is not None:
             both = self._stored_side(stored.select(*spec.columns), fresh.schema[_ORDER].dataType).unionByName(fresh)
         merged = latest_wins(both, spec.key, [_PRIO, _ORDER]).drop(_PRIO, _ORDER)
         self._write_version(spec, merged)
+        return rows
 
-    def _upsert_range(self, spec: TableSpec, fresh: DataFrame) -> None:
+    def _upsert_range(self, spec: TableSpec, fresh: DataFrame) -> int:
         """SNK2: rewrite only the partitions ``fresh`` touches.
 
         One small aggregate finds the touched grains and the fresh date span
@@ -221,20 +223,22 @@ class Store:
         ti, pcol = spec.time_index, spec.partition_column
         span = (fresh.groupBy(spec.grain_of(F.col(ti)).alias("g"))
                      .agg(F.min(ti).alias("lo"), F.max(ti).alias("hi"),
-                          F.count_if(F.col(ti).isNull()).alias("nulls"))
+                          F.count_if(F.col(ti).isNull()).alias("nulls"),
+                          F.count(F.lit(1)).alias("rows"))
                      .collect())
         if not span:
-            return
+            return 0
         if any(r["nulls"] for r in span):
             raise ValueError(f"{spec.name}: fresh rows with a null {ti!r} cannot be placed")
         grains = sorted(r["g"] for r in span)
         lo, hi = min(r["lo"] for r in span), max(r["hi"] for r in span)
+        rows = sum(r["rows"] for r in span)
 
         current = self.current_path(spec)
         if current is None:
             merged = latest_wins(fresh, spec.key, [_ORDER]).drop(_PRIO, _ORDER)
             self._write_version(spec, merged)
-            return
+            return rows
 
         stored = self.spark.read.schema(spec.stored_schema).parquet(current) \
                      .filter(F.col(pcol).isin(grains)).drop(pcol)
@@ -246,3 +250,4 @@ class Store:
              .option("partitionOverwriteMode", "dynamic")
              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
              .partitionBy(pcol).parquet(current))
+        return rows
