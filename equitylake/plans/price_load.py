@@ -72,7 +72,8 @@ def stage(spark: SparkSession, universe_symbols: DataFrame, landing: str, stagin
     n = todo.count()
     if n == 0:
         return 0
-    first = (ledger.agg(F.max("part")).first()[0] or -1) + 1
+    last = ledger.agg(F.max("part")).first()[0]
+    first = 0 if last is None else last + 1
     shards = max(1, math.ceil(n / shard_size))
     todo = todo.withColumn("part", (F.lit(first) + F.pmod(F.xxhash64("symbol"), F.lit(shards))).cast("int"))
 
