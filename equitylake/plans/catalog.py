@@ -16,10 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equitylake.functions.calendar import fiscal_years, history_start, periods_for
-from equitylake.functions.classify import classify_security
+from equitylake.functions.classify import with_security_type
 from equitylake.functions.text import as_bool, as_str
 from equitylake.operators.audit import date_span, rows_by_year
 from equitylake.operators.latest import latest_wins
+from equitylake.operators.predicates import calendar_year
 from equitylake.plans import fixtures as fx
 from equitylake.plans import price_load
 from equitylake.plans import queries as q
@@ -298,6 +299,19 @@ def statement_rows_by_year(spark, sf_dir):
     return rows_by_year(stored, "date")
 
 
+def statements_in_year(spark, sf_dir):
+    """FLT12: stored quarterly income rows of one calendar year."""
+    return statement_store(spark, sf_dir, "income_statement").read(
+        statement_table("income_statement", "quarterly"), where=calendar_year("date", 1997),
+        columns=["period", "revenue"])
+
+
+def prices_by_year(spark, sf_dir):
+    """AGG3 + FLT12: stored price rows of one calendar year, counted per year."""
+    stored = price_store(spark, sf_dir).read(DAILY_PRICES, columns=["date"], ordered=False)
+    return rows_by_year(stored.filter(calendar_year("date", 2024)), "date")
+
+
 def statement_normalise(spark, sf_dir):
     """J4 over every F4 part: typed rows, one per (part, date, symbol)."""
     parts = normalise_parts(fx.statement_text(spark, sf_dir), INCOME_STATEMENT, "fiscalYear", "period", ["seq"])
@@ -344,10 +358,11 @@ def statement_parts_union(spark, sf_dir):
 # ------------------------------------------------------ universe build
 def classify_listings(spark, sf_dir):
     """SCL7 over every raw profile row."""
-    raw = fx.profile_text(spark, sf_dir)
-    kind = classify_security(as_str("symbol"), as_str("company_name"),
-                             F.coalesce(as_bool("is_etf"), F.lit(False)), F.coalesce(as_bool("is_fund"), F.lit(False)))
-    return raw.select("seq", "symbol", kind.alias("security_type"))
+    raw = fx.profile_text(spark, sf_dir).select(
+        "seq", "symbol", as_str("symbol").alias("s_symbol"), as_str("company_name").alias("s_name"),
+        F.coalesce(as_bool("is_etf"), F.lit(False)).alias("s_etf"),
+        F.coalesce(as_bool("is_fund"), F.lit(False)).alias("s_fund"))
+    return with_security_type(raw, "s_symbol", "s_name", "s_etf", "s_fund").select("seq", "symbol", "security_type")
 
 
 def universe_build(spark, sf_dir):
@@ -401,6 +416,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ratios": ratios,
     "fiscal_year_window": fiscal_year_window,
     "statement_rows_by_year": statement_rows_by_year,
+    "statements_in_year": statements_in_year,
+    "prices_by_year": prices_by_year,
     "statement_normalise": statement_normalise,
     "statement_restated": statement_restated,
     "statements_for_equities": statements_for_equities,

@@ -258,6 +258,10 @@ SQL.update({
         + " WHERE fiscal_year BETWEEN 1996 AND 1998 AND period IN ('Q1', 'Q2', 'Q3', 'Q4')",
     "statement_rows_by_year": with_(F3, F3Q) + """SELECT CAST(year("date") AS INTEGER) AS year,
         count(*) AS rows FROM f3q GROUP BY 1""",
+    "statements_in_year": with_(F3, F3Q) + stored_statement(
+        "income_statement", "f3q", ["date", "symbol", "period", "revenue"]) + ' WHERE year("date") = 1997',
+    "prices_by_year": P + """SELECT CAST(year("date") AS INTEGER) AS year, count(*) AS rows FROM lp
+        WHERE year("date") = 2024 GROUP BY 1""",
     "statement_normalise": NORMALISED,
     "statement_part_cache": NORMALISED,
     "statement_restated": with_(F4, T4) + RESTATED_BODY.format(extra=""),

@@ -19,11 +19,13 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equitylake.operators.audit import ledger_symbols
 from equitylake.operators.joins import anti_join, attach
+from equitylake.operators.predicates import calendar_year
 from equitylake.sources import landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
@@ -68,7 +70,17 @@ def stage(spark: SparkSession, universe_symbols: DataFrame, landing: str, stagin
           shard_size: int = SHARD_SIZE) -> int:
     """Stage every symbol not yet in the ledger; returns the symbols staged."""
     ledger = read_ledger(spark, staging)
-    todo = staging_todo(universe_symbols, ledger)
+    # The symbol list is used three times (count, shard rows, ledger rows);
+    # keep it cached (lost blocks are simply recomputed from the lineage).
+    todo = staging_todo(universe_symbols, ledger).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _stage_todo(spark, todo, ledger, landing, staging, shard_size)
+    finally:
+        todo.unpersist()
+
+
+def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing: str, staging: str,
+                shard_size: int) -> int:
     n = todo.count()
     if n == 0:
         return 0
@@ -103,10 +115,17 @@ def _drop_unrecorded_shards(spark: SparkSession, staging: str, first: int) -> No
 
 
 # ------------------------------------------------------------------- load
-def load(store: Store, staging: str) -> int:
-    """J3 load: upsert every staged shard; returns the rows loaded."""
+def load(store: Store, staging: str, year: int | None = None) -> int:
+    """J3 load (SNK7): upsert every staged shard; returns the rows loaded.
+
+    One upsert covers all years: the month partitions already bound each
+    rewrite. ``year`` loads a single calendar year (FLT12), for callers that
+    want to spread a very large backfill over several commits.
+    """
     spark = store.spark
     if not landed.list_files(spark, _data_path(staging), (".parquet",)):
         raise RuntimeError(f"No staged shards in {staging}")
     staged = spark.read.parquet(_data_path(staging)).withColumn("part", F.col("part").cast("int"))
+    if year is not None:
+        staged = staged.filter(calendar_year("date", year))
     return store.upsert(DAILY_PRICES, staged, order=["part", *landed.PRICE_ORDER])

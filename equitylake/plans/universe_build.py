@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from equitylake.functions.classify import classify_security
+from equitylake.functions.classify import with_security_type
 from equitylake.functions.text import as_bool, as_date, as_float, as_str, first_present
 from equitylake.operators.audit import shard_audit
 from equitylake.operators.latest import latest_wins
@@ -54,37 +54,44 @@ _FLAG = ("is_etf", "is_fund", "is_adr")
 def map_profiles(raw: DataFrame, last_updated: datetime, carry: Sequence[str] = ()) -> DataFrame:
     """Every raw row mapped to universe columns plus a ``kept`` flag (FLT9).
 
-    ``carry`` names raw columns (shard, order) passed through unchanged.
+    Three small projections instead of one nested expression: pick each
+    field's first non-blank alias, coerce it once, then classify and filter
+    on the coerced columns. ``carry`` names raw columns passed through.
     """
     cols = raw.columns
-
-    def pick(name: str) -> Column:
-        return first_present(cols, *FIELD_ALIASES[name])
-
-    mapped = {n: as_str(pick(n)) for n in _TEXT}
-    mapped.update({n: as_float(pick(n)) for n in _FLOAT})
-    mapped.update({n: F.coalesce(as_bool(pick(n)), F.lit(False)) for n in _FLAG})
-    mapped["ipo_date"] = as_date(pick("ipo_date"))
-    active = as_bool(pick("is_actively_trading"))
-
-    kind = classify_security(mapped["symbol"], mapped["company_name"], mapped["is_etf"], mapped["is_fund"])
-    kept = tradable_listing(active, mapped["symbol"], mapped["exchange"], mapped["industry"], kind)
-
-    out = [
-        F.upper(mapped["symbol"]).alias("symbol"),
-        mapped["company_name"].alias("company_name"),
-        kind.alias("security_type"),
-    ] + [mapped[n].alias(n) for n in TICKER_UNIVERSE.columns[3:-1]] + [
+    keep = [F.col(f"`{c}`") for c in carry]
+    picked = raw.select(*[first_present(cols, *aliases).alias(name) for name, aliases in FIELD_ALIASES.items()],
+                        *keep)
+    coerced = picked.select(
+        *[as_str(n).alias(n) for n in _TEXT],
+        *[as_float(n).alias(n) for n in _FLOAT],
+        *[F.coalesce(as_bool(n), F.lit(False)).alias(n) for n in _FLAG],
+        as_date("ipo_date").alias("ipo_date"),
+        as_bool("is_actively_trading").alias("active"),
+        *keep)
+    typed = with_security_type(coerced, "symbol", "company_name", "is_etf", "is_fund")
+    kept = tradable_listing(F.col("active"), F.col("symbol"), F.col("exchange"), F.col("industry"),
+                            F.col("security_type"))
+    return typed.select(
+        F.upper("symbol").alias("symbol"), "company_name", "security_type",
+        *TICKER_UNIVERSE.columns[3:-1],
         F.lit(last_updated).cast("timestamp").alias("last_updated"),
         kept.alias("kept"),
-    ]
-    return raw.select(*out, *[F.col(f"`{c}`") for c in carry])
+        *keep)
 
 
 def build_universe(raw: DataFrame, last_updated: datetime, order: Sequence[str]) -> DataFrame:
-    """Kept listings, one per symbol: the last in ``order`` (e.g. shard, position)."""
-    mapped = map_profiles(raw, last_updated, carry=order).filter(F.col("kept"))
-    return latest_wins(mapped, ["symbol"], list(order)).select(*TICKER_UNIVERSE.columns)
+    """Kept listings, one per symbol: the last in ``order`` (e.g. shard, position).
+
+    The listing filter is applied *after* the latest-wins window, with
+    ``kept`` leading the order: the top row of a symbol is then its latest
+    kept row whenever one exists, which is exactly "filter, then keep the
+    last". A filter placed before the window would be pushed down through the
+    projections and re-inline every coercion into one giant predicate.
+    """
+    mapped = map_profiles(raw, last_updated, carry=order)
+    latest = latest_wins(mapped, ["symbol"], [F.col("kept"), *order])
+    return latest.filter(F.col("kept")).select(*TICKER_UNIVERSE.columns)
 
 
 def ingest_audit(raw: DataFrame, part: str) -> DataFrame:
