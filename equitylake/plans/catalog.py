@@ -25,7 +25,8 @@ from equitylake.plans import fixtures as fx
 from equitylake.plans import price_load
 from equitylake.plans import queries as q
 from equitylake.plans.statement_build import build_statement_table, normalise_parts
-from equitylake.plans.universe_build import FIELD_ALIASES, build_universe, ingest_audit as shard_audit_of
+from equitylake.plans.statement_build import seed_statements
+from equitylake.plans.universe_build import build_universe, ingest_audit as shard_audit_of, seed_universe
 from equitylake.session import scratch_dir
 from equitylake.sources import landed
 from equitylake.sources.store import Store
@@ -378,12 +379,23 @@ def ingest_audit(spark, sf_dir):
 
 
 def universe_shards(spark, sf_dir):
-    """SRC3: F5 landed as CSV and JSON-lines shards, read back, built."""
+    """SRC3 + J1 job: F5 landed as CSV and JSON-lines shards, seeded, read back."""
     root = scratch_dir(spark, "landing-profiles")
     landed.write_profile_shards(fx.profile_text(spark, sf_dir), root)
-    fields = sorted({a for names in FIELD_ALIASES.values() for a in names})
-    raw = landed.read_profile_shards(spark, root, fields)
-    return build_universe(raw, RUN_TS, ["part", "_file", "_block", "_row"])
+    store = Store(spark, scratch_dir(spark, "seeded-universe"))
+    seed_universe(store, root, RUN_TS)
+    return store.read(TICKER_UNIVERSE)
+
+
+def seed_statement_tables(spark, sf_dir):
+    """J5 job: F4 landed as parts, every table seeded for the F2 equities."""
+    root = scratch_dir(spark, "landing-statement-seed")
+    landed.write_statement_parts(fx.statement_text(spark, sf_dir), root, INCOME_STATEMENT.name,
+                                 "fiscalYear", "period", "seq")
+    store = Store(spark, scratch_dir(spark, "seeded-statements"))
+    store.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir))
+    seed_statements(store, root, years=15, as_of=date(2002, 12, 31))
+    return store.read(statement_table("income_statement", "quarterly"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -427,4 +439,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "universe_build": universe_build,
     "ingest_audit": ingest_audit,
     "universe_shards": universe_shards,
+    "seed_statement_tables": seed_statement_tables,
 }

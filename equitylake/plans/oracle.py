@@ -266,6 +266,8 @@ SQL.update({
     "statement_part_cache": NORMALISED,
     "statement_restated": with_(F4, T4) + RESTATED_BODY.format(extra=""),
     "statement_parts_union": with_(F4, T4) + RESTATED_BODY.format(extra=""),
+    "seed_statement_tables": with_(F4, T4, F2) + RESTATED_BODY.format(
+        extra="AND symbol IN (SELECT symbol FROM f2 WHERE security_type = 'common' AND is_adr = FALSE)"),
     "statements_for_equities": with_(F4, T4, F2) + RESTATED_BODY.format(
         extra="AND symbol IN (SELECT symbol FROM f2 WHERE security_type = 'common' AND is_adr = FALSE)"),
     "classify_listings": with_(F5, M5) + f"SELECT seq, symbol, {KIND} AS security_type FROM m5",

@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from equitylake.functions.calendar import period_index
+from datetime import date
+
+from equitylake.functions.calendar import HISTORY_YEARS, fiscal_years, period_index, periods_for
 from equitylake.functions.names import snake_columns
 from equitylake.functions.text import as_float, as_int, as_timestamp_ntz, normalize_symbol
 from equitylake.operators.joins import semi_join
 from equitylake.operators.latest import latest_wins
-from equitylake.specs import StatementSpec
+from equitylake.specs import CADENCES, STATEMENTS, StatementSpec, statement_table
 
 _ISO_DAY = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -102,3 +104,37 @@ def build_statement_table(raw: DataFrame, statement: StatementSpec, part_year: s
         statement, carry=keys + list(position))
     typed = narrow(typed, wanted).dropna(subset=["date", "symbol"])
     return restate(typed, statement, position)
+
+
+PART_ORDER = ("_file", "_block", "_row")
+
+
+def seed_statements(store, landing: str, years: int = HISTORY_YEARS, as_of: date | None = None) -> dict[str, int]:
+    """J5 as a job: every statement family x cadence, narrowed to the equity
+    screen, replaces its table. Only parts of the fiscal-year window and the
+    cadence's periods are read (partition pruning on the landed layout).
+    Returns rows written per table. An empty equity universe is an error.
+    """
+    from equitylake.plans.queries import equity_symbols
+    from equitylake.sources import landed
+
+    spark = store.spark
+    wanted = equity_symbols(store, ordered=False)
+    if wanted.isEmpty():
+        raise RuntimeError("ticker_universe has no equities; build the universe first")
+    span = fiscal_years(years, as_of=as_of or date.today())
+    written = {}
+    for statement in STATEMENTS.values():
+        raw = landed.read_statement_parts(spark, landing, statement.name)
+        for cadence in CADENCES:
+            spec = statement_table(statement.name, cadence)
+            if raw is None:
+                store.write(spec, store.empty(spec))
+                written[spec.name] = 0
+                continue
+            parts = raw.filter(F.col("year").cast("int").between(span.start, span.stop - 1)
+                               & F.col("period_part").isin(*periods_for(cadence)))
+            table = build_statement_table(parts, statement, "year", "period_part", list(PART_ORDER), wanted)
+            store.write(spec, table)
+            written[spec.name] = store.read(spec, columns=[], ordered=False).count()
+    return written

@@ -10,7 +10,7 @@ first, then position inside the shard.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,8 @@ from equitylake.functions.text import as_bool, as_date, as_float, as_str, first_
 from equitylake.operators.audit import shard_audit
 from equitylake.operators.latest import latest_wins
 from equitylake.operators.predicates import tradable_listing
+from equitylake.sources import landed
+from equitylake.sources.store import Store
 from equitylake.specs import TICKER_UNIVERSE
 
 # The names each universe field may arrive under, in preference order.
@@ -98,3 +100,25 @@ def ingest_audit(raw: DataFrame, part: str) -> DataFrame:
     """AGG4: per shard, rows seen and rows kept (before de-duplication)."""
     mapped = map_profiles(raw, datetime(1970, 1, 1), carry=[part])
     return shard_audit(mapped, part, F.col("kept"))
+
+
+SHARD_ORDER = ("part", "_file", "_block", "_row")
+
+
+def alias_fields() -> list[str]:
+    return sorted({a for names in FIELD_ALIASES.values() for a in names})
+
+
+def seed_universe(store: Store, landing: str, last_updated: datetime | None = None) -> DataFrame | None:
+    """J1 as a job: landed shards -> universe table (replaced); returns the shard audit.
+
+    One run timestamp is stamped on every row. No shard at all writes an
+    empty universe, as an empty feed does.
+    """
+    stamp = last_updated or datetime.now(timezone.utc)
+    raw = landed.read_profile_shards(store.spark, landing, alias_fields())
+    if raw is None:
+        store.write(TICKER_UNIVERSE, store.empty(TICKER_UNIVERSE))
+        return None
+    store.write(TICKER_UNIVERSE, build_universe(raw, stamp, list(SHARD_ORDER)))
+    return ingest_audit(raw, "part")

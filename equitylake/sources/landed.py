@@ -232,7 +232,6 @@ HISTORY_SCHEMA = T.StructType([
     # Position of the document in its symbol's history (absent in a vendor
     # response, which is then one document per symbol).
     T.StructField("chunk", T.LongType()),
-    T.StructField("symbol", T.StringType()),
 ])
 
 HISTORY_CHUNK_ROWS = 1000
@@ -268,25 +267,43 @@ def write_empty_history(spark: SparkSession, root: str, symbol: str) -> None:
          .write.mode("overwrite").text(f"{root}/symbol={symbol}")
 
 
+def parse_history_docs(lines: DataFrame) -> DataFrame:
+    """One JSON history document per text line (``value``), symbol from the path.
+
+    Blank lines are skipped; a line that is not a JSON object (an array, an
+    error string) fails the job, as a malformed vendor response must.
+    """
+    text = F.trim(F.col("value"))
+    doc = F.when(text.startswith("{"), F.from_json(text, HISTORY_SCHEMA)).otherwise(
+        F.raise_error(F.concat(F.lit("unexpected price payload for symbol "),
+                               F.coalesce(F.col("symbol"), F.lit("?")), F.lit(": "), F.substring(text, 1, 200))))
+    return (lines.filter(text != "")
+                 .select("symbol", doc.alias("doc"), *[c for c in ("_file", "_block", "_row") if c in lines.columns])
+                 .select("symbol", "doc.historical", "doc.chunk", "*").drop("doc"))
+
+
 def read_price_histories(spark: SparkSession, root: str) -> DataFrame:
-    """SRC4: nested history documents, one row per (document, line)."""
-    return (spark.read.schema(HISTORY_SCHEMA).option("basePath", root).json(root)
-                 .select("*", *_scan_order()))
+    """SRC4: nested history documents (JSON lines), one row per document."""
+    lines = spark.read.option("basePath", root).text(root)
+    if "symbol" not in lines.columns:
+        raise ValueError(f"{root}: histories must sit in symbol=<S> directories")
+    return parse_history_docs(lines.select("value", "symbol", *_scan_order()))
 
 
 def shape_prices(docs: DataFrame) -> DataFrame:
     """PRJ6: one price row per history entry, with its feed order.
 
     The symbol comes from the path, not the payload. The date is parsed
-    strictly (a malformed date fails the job); volume arrives as a JSON
-    number and is narrowed to a long leniently.
+    strictly: a malformed date fails the job whatever the ANSI setting.
+    Volume arrives as a JSON number and is narrowed to a long leniently.
     """
-    rows = docs.select(
-        "symbol", "chunk", "_file", "_row",
-        F.posexplode("historical").alias("pos", "h"))
+    rows = docs.select("symbol", "chunk", "_file", "_row", F.posexplode("historical").alias("pos", "h"))
+    raw_date = F.col("h.date")
+    parsed = F.try_to_date(raw_date, "yyyy-MM-dd")
+    day = F.when(raw_date.isNotNull() & parsed.isNull(),
+                 F.raise_error(F.concat(F.lit("malformed price date: "), raw_date))).otherwise(parsed)
     return rows.select(
-        "symbol",
-        F.to_date(F.col("h.date"), "yyyy-MM-dd").alias("date"),
+        "symbol", day.cast("date").alias("date"),
         F.col("h.open").alias("open"), F.col("h.high").alias("high"), F.col("h.low").alias("low"),
         F.col("h.close").alias("close"), F.col("h.adjClose").alias("adj_close"),
         F.col("h.volume").try_cast("long").alias("volume"),

@@ -25,16 +25,16 @@ from equitylake.specs import DAILY_PRICES
 
 def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkpoint: str,
                          max_files_per_trigger: int | None = None) -> StreamingQuery:
-    reader = spark.readStream.schema(landed.HISTORY_SCHEMA)
+    reader = spark.readStream.schema("value string, symbol string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = reader.json(landing).select("*", F.col("_metadata.file_path").alias("_file"))
+    lines = reader.text(landing).select("value", "symbol", F.col("_metadata.file_path").alias("_file"))
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        ordered = batch.withColumn("_row", F.monotonically_increasing_id())
-        store.upsert(DAILY_PRICES, landed.shape_prices(ordered), order=list(landed.PRICE_ORDER))
+        docs = landed.parse_history_docs(batch.withColumn("_row", F.monotonically_increasing_id()))
+        store.upsert(DAILY_PRICES, landed.shape_prices(docs), order=list(landed.PRICE_ORDER))
 
-    return (docs.writeStream.foreachBatch(upsert_batch)
+    return (lines.writeStream.foreachBatch(upsert_batch)
                 .option("checkpointLocation", checkpoint)
                 .trigger(availableNow=True)
                 .start())

@@ -180,3 +180,44 @@ def test_stream_ingests_only_new_files(spark, scratch):
     write(f"{landing}/symbol=AAPL/b.json", history([("2024-01-02", 7.0), ("2024-02-01", 8.0)]))
     ingest_available(spark, store, landing, ckpt)
     assert [r.close for r in store.read(DAILY_PRICES).collect()] == [7.0, 8.0]
+
+
+def test_price_history_array_payload_fails(spark, scratch):
+    write(f"{scratch}/symbol=AAPL/a.json", '[{"date": "2024-01-02"}]')
+    with pytest.raises(Exception, match="unexpected price payload"):
+        price_load.landed_prices(spark, scratch).collect()
+
+
+def test_seed_universe_job_writes_table_and_audits(spark, scratch):
+    from equitylake.plans.universe_build import seed_universe
+    from equitylake.specs import TICKER_UNIVERSE
+    write(f"{scratch}/landing/part=0/a.json", json.dumps([profile("AAPL"), profile("DEAD", isActivelyTrading="no")]))
+    store = Store(spark, f"{scratch}/store")
+    audit = seed_universe(store, f"{scratch}/landing", RUN)
+    assert [r.symbol for r in store.read(TICKER_UNIVERSE).collect()] == ["AAPL"]
+    assert [(r.part, r.rows_seen, r.rows_kept) for r in audit.collect()] == [(0, 2, 1)]
+    assert seed_universe(store, f"{scratch}/nothing") is None
+    assert store.read(TICKER_UNIVERSE).count() == 0  # an empty feed writes an empty universe
+
+
+def test_seed_statements_job(spark, scratch):
+    from equitylake.plans.statement_build import seed_statements
+    from equitylake.plans.universe_build import seed_universe
+    from equitylake.specs import statement_table
+    landing = f"{scratch}/landing"
+    store = Store(spark, f"{scratch}/store")
+    with pytest.raises(RuntimeError, match="no equities"):
+        seed_statements(store, landing, as_of=date(2012, 6, 30))
+    write(f"{scratch}/profiles/part=0/a.json", json.dumps([profile("AAPL"), profile("SPY", isEtf="true")]))
+    seed_universe(store, f"{scratch}/profiles", RUN)
+    write(f"{landing}/statement=income_statement/year=2011/period_part=FY/a.csv",
+          "date,symbol,period,revenue\n2011-09-24,AAPL,FY,1\n2011-09-24,SPY,FY,2\n")
+    write(f"{landing}/statement=income_statement/year=1990/period_part=FY/a.csv",
+          "date,symbol,period,revenue\n1990-09-24,AAPL,FY,3\n")
+    write(f"{landing}/statement=income_statement/year=2011/period_part=Q4/a.csv",
+          "date,symbol,period,revenue\n2011-09-24,AAPL,Q4,4\n")
+    written = seed_statements(store, landing, years=15, as_of=date(2012, 6, 30))
+    assert written["income_statement_annual"] == 1 and written["income_statement_quarterly"] == 1
+    assert written["ratios_annual"] == 0
+    annual = store.read(statement_table("income_statement", "annual")).collect()
+    assert [(r.symbol, r.revenue) for r in annual] == [("AAPL", 1.0)]  # ETF narrowed away, 1990 outside window
