@@ -91,7 +91,10 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
 
     _drop_unrecorded_shards(spark, staging, first)
     rows = attach(landed_prices(spark, landing), todo, "symbol")
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Range on (part, symbol): about one file per shard, while a shard that
+    # holds a third of the rows still spreads over several tasks.
+    (rows.repartitionByRange("part", "symbol").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy("part").parquet(_data_path(staging)))
 
     staged = spark.read.parquet(_data_path(staging)).filter(F.col("part").cast("int") >= first)

@@ -26,6 +26,12 @@ SESSION_CONF = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
+    # Listing a landing zone with thousands of directories: by default Spark
+    # starts one listing task per directory (up to 10,000), which costs more
+    # than the listing itself. Two tasks per core keeps it parallel on a
+    # cluster without flooding the scheduler.
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(max(8, 2 * cores)))
     return spark
 
 
