@@ -17,11 +17,6 @@ def history_start(years: int, *, as_of: date) -> date:
     return as_of - timedelta(days=365 * years + years // 4)
 
 
-def history_start_col(years: int, as_of: Column) -> Column:
-    """Same rule as a column expression (for per-row as-of dates)."""
-    return F.date_sub(as_of, 365 * years + years // 4)
-
-
 def fiscal_years(years: int, *, as_of: date) -> range:
     """The ``years`` fiscal years ending with ``as_of``'s year."""
     return range(as_of.year - years + 1, as_of.year + 1)

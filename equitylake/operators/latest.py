@@ -31,14 +31,3 @@ def latest_wins(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]
         raise ValueError("latest_wins needs an explicit order; Spark rows have none")
     window = Window.partitionBy(*key).orderBy(*[_desc(c) for c in order])
     return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
-
-
-def scan_order(df: DataFrame, name: str = "_scan_seq") -> DataFrame:
-    """Stamp file-scan order: (file block start, row id) as one sortable column pair.
-
-    Must be applied directly after a file scan. Both parts are deterministic
-    for a given set of files, so a retried task reproduces the same order.
-    """
-    return df.withColumn(f"{name}_block", F.col("_metadata.file_block_start")) \
-             .withColumn(f"{name}_file", F.col("_metadata.file_path")) \
-             .withColumn(name, F.monotonically_increasing_id())

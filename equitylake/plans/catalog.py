@@ -24,14 +24,13 @@ from equitylake.operators.predicates import calendar_year
 from equitylake.plans import fixtures as fx
 from equitylake.plans import price_load
 from equitylake.plans import queries as q
-from equitylake.plans.statement_build import build_statement_table, normalise_parts
-from equitylake.plans.statement_build import seed_statements
+from equitylake.plans.statement_build import build_statement_table, normalise_parts, seed_statements
 from equitylake.plans.universe_build import build_universe, ingest_audit as shard_audit_of, seed_universe
 from equitylake.session import scratch_dir
 from equitylake.sources import landed
 from equitylake.sources.store import Store
 from equitylake.specs import (
-    DAILY_PRICES, INCOME_STATEMENT, STATEMENTS, TICKER_UNIVERSE, statement_table,
+    DAILY_PRICES, INCOME_STATEMENT, TICKER_UNIVERSE, statement_table,
 )
 from equitylake.streaming.landing import ingest_available
 

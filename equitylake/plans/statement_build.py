@@ -68,6 +68,17 @@ def narrow(typed: DataFrame, wanted: DataFrame | None) -> DataFrame:
     return typed if wanted is None else semi_join(typed, wanted.select("symbol"), "symbol")
 
 
+_PART = ["__part_year", "__part_period"]
+
+
+def _typed_parts(raw: DataFrame, statement: StatementSpec, part_year: str, part_period: str,
+                 position: Sequence[str], wanted: DataFrame | None) -> DataFrame:
+    """Typed, narrowed rows with non-null keys, tagged with their part."""
+    tagged = raw.withColumn(_PART[0], F.col(part_year).cast("int")).withColumn(_PART[1], F.col(part_period))
+    typed = typed_statement(tagged, statement, carry=_PART + list(position))
+    return narrow(typed, wanted).dropna(subset=["date", "symbol"])
+
+
 def normalise_parts(raw: DataFrame, statement: StatementSpec, part_year: str, part_period: str,
                     position: Sequence[str], wanted: DataFrame | None = None) -> DataFrame:
     """J4 over every part in ``raw``: one row per (part, date, symbol).
@@ -75,18 +86,13 @@ def normalise_parts(raw: DataFrame, statement: StatementSpec, part_year: str, pa
     ``part_year``/``part_period`` name the columns identifying each row's part;
     ``position`` orders rows inside a part.
     """
-    keys = ["__part_year", "__part_period"]
-    typed = typed_statement(
-        raw.withColumn(keys[0], F.col(part_year).cast("int")).withColumn(keys[1], F.col(part_period)),
-        statement, carry=keys + list(position))
-    typed = narrow(typed, wanted).dropna(subset=["date", "symbol"])
-    latest = latest_wins(typed, keys + ["date", "symbol"], list(position))
-    return latest
+    typed = _typed_parts(raw, statement, part_year, part_period, position, wanted)
+    return latest_wins(typed, _PART + ["date", "symbol"], list(position))
 
 
 def restate(parts: DataFrame, statement: StatementSpec, position: Sequence[str]) -> DataFrame:
     """J5: across parts, the later (year, period) wins; within one, the later row."""
-    order = [F.col("__part_year"), period_index(F.col("__part_period")), *[F.col(p) for p in position]]
+    order = [F.col(_PART[0]), period_index(F.col(_PART[1])), *[F.col(p) for p in position]]
     return latest_wins(parts, ["date", "symbol"], order).select(*statement.schema.names)
 
 
@@ -98,12 +104,7 @@ def build_statement_table(raw: DataFrame, statement: StatementSpec, part_year: s
     (date, symbol) selects exactly the row that sorts last by (year, period,
     position) within (date, symbol), so the per-part pass is folded away.
     """
-    keys = ["__part_year", "__part_period"]
-    typed = typed_statement(
-        raw.withColumn(keys[0], F.col(part_year).cast("int")).withColumn(keys[1], F.col(part_period)),
-        statement, carry=keys + list(position))
-    typed = narrow(typed, wanted).dropna(subset=["date", "symbol"])
-    return restate(typed, statement, position)
+    return restate(_typed_parts(raw, statement, part_year, part_period, position, wanted), statement, position)
 
 
 PART_ORDER = ("_file", "_block", "_row")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from equitylake.functions.text import normalize_symbols
 from equitylake.operators.conform import conform, resolve_columns
 from equitylake.operators.latest import latest_wins
-from equitylake.operators.predicates import all_of, date_between
+from equitylake.operators.predicates import all_of, date_between, symbol_in
 from equitylake.specs import TableSpec
 
 _PRIO = "__prio"
@@ -129,7 +129,7 @@ class Store:
 
         preds = [where]
         if tickers is not None and len(tickers) <= MAX_IN_LIST:
-            preds.append(F.col("symbol").isin(tickers))
+            preds.append(symbol_in(tickers))
         if spec.time_index and (start is not None or end is not None):
             preds.append(date_between(spec.time_index, start, end))
             # Partition pruning is not derived from the date predicate; state
