@@ -27,7 +27,7 @@ HEADLINE = [
     "daily_prices_range", "prices_full_read", "history_window", "price_panel",
     "universe_screen", "equity_symbols", "statements_quarterly", "cash_flows",
     # operators and writes
-    "latest_wins_prices", "upsert_prices", "upsert_universe",
+    "latest_wins_prices", "upsert_prices", "upsert_recent_months", "upsert_universe",
     "universe_build", "classify_listings", "ingest_audit",
     "statement_restated", "statements_for_equities", "statement_parts_union",
     # landed files and the stream
@@ -36,6 +36,7 @@ HEADLINE = [
 
 BUILDS = {
     "build_price_store": catalog.price_store,
+    "build_order_price_history": catalog.order_price_store,
     "build_universe_store": catalog.universe_store,
     "build_market_store": catalog.market_store,
     "build_income_statements": lambda s, d: catalog.statement_store(s, d, "income_statement"),

@@ -179,6 +179,26 @@ def history_window(spark, sf_dir):
     return price_store(spark, sf_dir).read(DAILY_PRICES, start=history_start(15, as_of=as_of), end=as_of)
 
 
+RECENT_CUTOFF = date(2001, 6, 1)
+
+
+def order_price_store(spark: SparkSession, sf_dir: str) -> Store:
+    """F7 history (about 80 months) in daily_prices, loaded once by upsert."""
+    return _memo(spark, sf_dir, "order-prices",
+                 lambda s: s.upsert(DAILY_PRICES, fx.order_prices(spark, sf_dir), order=["seq"]))
+
+
+def upsert_recent_months(spark, sf_dir):
+    """SNK2 at length: a restating refresh of the last three months rewrites
+    only those three month partitions of an ~80-month table. Idempotent, so
+    running it again gives the same table."""
+    store = order_price_store(spark, sf_dir)
+    fresh = (fx.order_prices(spark, sf_dir).filter(F.col("date") >= F.lit(RECENT_CUTOFF))
+             .withColumn("close", F.col("close") + 1))
+    store.upsert(DAILY_PRICES, fresh, order=["seq"])
+    return store.read(DAILY_PRICES)
+
+
 # ------------------------------------------------------- landed prices
 _landings: dict[tuple, str] = {}
 
@@ -416,6 +436,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "equity_symbols": equity_symbols,
     "price_panel": price_panel,
     "history_window": history_window,
+    "upsert_recent_months": upsert_recent_months,
     "price_history_json": price_history_json,
     "landing_ingest": landing_ingest,
     "backfill_load": backfill_load,

@@ -143,3 +143,16 @@ def profile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("dup") == 1, 9).otherwise(k % 4).cast("int").alias("part"),
         (k * 2 + F.col("dup")).alias("seq"),
     )
+
+
+def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """a long price history (one row per order, ~80 monthly partitions)."""
+    price = F.col("o_totalprice")
+    return table(spark, sf_dir, "orders").select(
+        _u("o_custkey").alias("symbol"),
+        F.col("o_orderdate").cast("date").alias("date"),
+        price.alias("open"), price.alias("high"), price.alias("low"), price.alias("close"),
+        (price * 0.97).alias("adj_close"),
+        F.col("o_orderkey").alias("volume"),
+        F.col("o_orderkey").alias("seq"),
+    )

@@ -278,3 +278,14 @@ SQL.update({
         CAST(sum(count(*) FILTER (WHERE kept)) OVER (ORDER BY part) AS BIGINT) AS kept_so_far
         FROM k5 GROUP BY part""",
 })
+
+
+F7 = """f7 AS (
+  SELECT 'U' || CAST(o_custkey AS VARCHAR) AS symbol, CAST(o_orderdate AS DATE) AS "date",
+         o_totalprice AS open, o_totalprice AS high, o_totalprice AS low, o_totalprice AS close,
+         o_totalprice * 0.97e0 AS adj_close, o_orderkey AS volume, o_orderkey AS seq
+  FROM orders)"""
+
+SQL["upsert_recent_months"] = with_(F7) + f"""SELECT symbol, "date", open, high, low,
+    CASE WHEN "date" >= DATE '2001-06-01' THEN close + 1 ELSE close END AS close, adj_close, volume FROM (
+    SELECT *, row_number() OVER (PARTITION BY "date", symbol ORDER BY seq DESC) AS rn FROM f7) t WHERE rn = 1"""

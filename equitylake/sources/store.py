@@ -180,7 +180,8 @@ class Store:
 
         ``order`` names columns of ``fresh`` that say which of its own
         duplicate rows came last (ascending); by default the scan order of
-        ``fresh``. An empty ``fresh`` is a no-op. A fresh row replaces the
+        ``fresh``, which is deterministic for a file scan. A fresh frame that
+        comes out of a shuffle should name its order explicitly. An empty ``fresh`` is a no-op. A fresh row replaces the
         stored row entirely, so a column it lacks becomes null. Returns the
         number of fresh rows (before de-duplication).
         """
