@@ -24,7 +24,9 @@ from equitylake.operators.predicates import calendar_year
 from equitylake.plans import fixtures as fx
 from equitylake.plans import price_load
 from equitylake.plans import queries as q
-from equitylake.plans.statement_build import build_statement_table, normalise_parts, seed_statements
+from equitylake.plans.statement_build import (
+    build_statement_table, cache_statement_parts, normalise_parts, read_cached_parts, seed_statements,
+)
 from equitylake.plans.universe_build import build_universe, ingest_audit as shard_audit_of, seed_universe
 from equitylake.session import scratch_dir
 from equitylake.sources import landed
@@ -354,16 +356,18 @@ def statements_for_equities(spark, sf_dir):
 
 
 def statement_part_cache(spark, sf_dir):
-    """SNK6 + SRC6: normalised parts cached per (statement, year, period), read back."""
+    """SNK6 + SRC6: F4 landed as parts, normalised into the part cache, read back.
+
+    The second caching pass finds every part cached and normalises nothing.
+    """
+    landing = scratch_dir(spark, "landing-cache-src")
+    landed.write_statement_parts(fx.statement_text(spark, sf_dir), landing, INCOME_STATEMENT.name,
+                                 "fiscalYear", "period", "seq")
     cache = scratch_dir(spark, "part-cache")
-    parts = normalise_parts(fx.statement_text(spark, sf_dir), INCOME_STATEMENT, "fiscalYear", "period", ["seq"])
-    (parts.withColumn("statement", F.lit(INCOME_STATEMENT.name))
-          .withColumnRenamed("__part_year", "year").withColumnRenamed("__part_period", "part_period")
-          .drop("seq")
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-          .partitionBy("statement", "year", "part_period").parquet(cache))
-    cached = spark.read.schema(INCOME_STATEMENT.schema).parquet(f"{cache}/statement={INCOME_STATEMENT.name}")
-    return cached.select(*INCOME_STATEMENT.schema.names)
+    cache_statement_parts(spark, landing, cache, INCOME_STATEMENT)
+    if cache_statement_parts(spark, landing, cache, INCOME_STATEMENT) != 0:
+        raise RuntimeError("part cache did not replay")
+    return read_cached_parts(spark, cache, INCOME_STATEMENT).select(*INCOME_STATEMENT.schema.names)
 
 
 def statement_parts_union(spark, sf_dir):
@@ -413,7 +417,7 @@ def seed_statement_tables(spark, sf_dir):
                                  "fiscalYear", "period", "seq")
     store = Store(spark, scratch_dir(spark, "seeded-statements"))
     store.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir))
-    seed_statements(store, root, years=15, as_of=date(2002, 12, 31))
+    seed_statements(store, root, scratch_dir(spark, "seed-cache"), years=15, as_of=date(2002, 12, 31))
     return store.read(statement_table("income_statement", "quarterly"))
 
 

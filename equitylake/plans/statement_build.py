@@ -110,14 +110,84 @@ def build_statement_table(raw: DataFrame, statement: StatementSpec, part_year: s
 PART_ORDER = ("_file", "_block", "_row")
 
 
-def seed_statements(store, landing: str, years: int = HISTORY_YEARS, as_of: date | None = None) -> dict[str, int]:
+# ------------------------------------------------------------- part cache
+def _part_of(path: str) -> tuple[str, str] | None:
+    """(year, period) from a ``.../year=Y/period_part=P/...`` path."""
+    year = period = None
+    for seg in path.split("/"):
+        if seg.startswith("year="):
+            year = seg[5:]
+        elif seg.startswith("period_part="):
+            period = seg[12:]
+    return (year, period) if year is not None and period is not None else None
+
+
+def cached_parts(spark, cache: str, statement: StatementSpec) -> set[tuple[str, str]]:
+    """Parts already in the cache. A part directory appears only when its
+    write commits (dynamic partition overwrite), so presence means complete."""
+    from equitylake.sources import landed
+    jvm, fs, root = landed._jvm_fs(spark, f"{cache}/statement={statement.name}")
+    if not fs.exists(root):
+        return set()
+    done = set()
+    for y in fs.listStatus(root):
+        if y.isDirectory() and y.getPath().getName().startswith("year="):
+            for p in fs.listStatus(y.getPath()):
+                name = p.getPath().getName()
+                if p.isDirectory() and name.startswith("period_part="):
+                    done.add((y.getPath().getName()[5:], name[12:]))
+    return done
+
+
+def cache_statement_parts(spark, landing: str, cache: str, statement: StatementSpec,
+                          wanted: DataFrame | None = None) -> int:
+    """SNK6: normalise (J4) every landed part not yet cached; returns how many.
+
+    A rerun reads the cache instead of re-normalising; after a crash, the
+    parts that committed stay and only the rest are redone.
+    """
+    from equitylake.sources import landed
+    done = cached_parts(spark, cache, statement)
+    files = [f for f in landed.list_files(spark, landing, (".csv",)) if f"/statement={statement.name}/" in f]
+    todo = [f for f in files if _part_of(f) is not None and _part_of(f) not in done]
+    if not todo:
+        return 0
+    raw = landed.read_csv_by_header(spark, landing, todo)
+    if raw is None:
+        return 0
+    parts = normalise_parts(raw, statement, "year", "period_part", list(PART_ORDER), wanted)
+    (parts.select(*statement.schema.names, F.col(_PART[0]).alias("year"), F.col(_PART[1]).alias("period_part"))
+          .repartitionByRange("year", "period_part", "date", "symbol")
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("year", "period_part").parquet(f"{cache}/statement={statement.name}"))
+    return len({_part_of(f) for f in todo})
+
+
+def read_cached_parts(spark, cache: str, statement: StatementSpec) -> DataFrame | None:
+    """SRC6: every cached part of one statement, with its (year, period)."""
+    if not cached_parts(spark, cache, statement):
+        return None
+    schema = T.StructType(statement.schema.fields + [T.StructField("year", T.IntegerType()),
+                                                     T.StructField("period_part", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{cache}/statement={statement.name}")
+
+
+def restate_cached(parts: DataFrame, statement: StatementSpec) -> DataFrame:
+    """J5 over cached parts: each part is already one row per key, so only
+    the part order (year, period) decides."""
+    order = [F.col("year"), period_index(F.col("period_part"))]
+    return latest_wins(parts, ["date", "symbol"], order).select(*statement.schema.names)
+
+
+def seed_statements(store, landing: str, cache: str, years: int = HISTORY_YEARS,
+                    as_of: date | None = None) -> dict[str, int]:
     """J5 as a job: every statement family x cadence, narrowed to the equity
-    screen, replaces its table. Only parts of the fiscal-year window and the
-    cadence's periods are read (partition pruning on the landed layout).
-    Returns rows written per table. An empty equity universe is an error.
+    screen, replaces its table. Landed parts go through the part cache (only
+    new parts are normalised); only parts of the fiscal-year window and the
+    cadence's periods are read back (partition pruning). Returns rows written
+    per table. An empty equity universe is an error.
     """
     from equitylake.plans.queries import equity_symbols
-    from equitylake.sources import landed
 
     spark = store.spark
     wanted = equity_symbols(store, ordered=False)
@@ -126,16 +196,16 @@ def seed_statements(store, landing: str, years: int = HISTORY_YEARS, as_of: date
     span = fiscal_years(years, as_of=as_of or date.today())
     written = {}
     for statement in STATEMENTS.values():
-        raw = landed.read_statement_parts(spark, landing, statement.name)
+        cache_statement_parts(spark, landing, cache, statement, wanted)
+        parts = read_cached_parts(spark, cache, statement)
         for cadence in CADENCES:
             spec = statement_table(statement.name, cadence)
-            if raw is None:
+            if parts is None:
                 store.write(spec, store.empty(spec))
                 written[spec.name] = 0
                 continue
-            parts = raw.filter(F.col("year").cast("int").between(span.start, span.stop - 1)
-                               & F.col("period_part").isin(*periods_for(cadence)))
-            table = build_statement_table(parts, statement, "year", "period_part", list(PART_ORDER), wanted)
-            store.write(spec, table)
+            window = parts.filter(F.col("year").between(span.start, span.stop - 1)
+                                  & F.col("period_part").isin(*periods_for(cadence)))
+            store.write(spec, restate_cached(window, statement))
             written[spec.name] = store.read(spec, columns=[], ordered=False).count()
     return written

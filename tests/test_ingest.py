@@ -207,7 +207,7 @@ def test_seed_statements_job(spark, scratch):
     landing = f"{scratch}/landing"
     store = Store(spark, f"{scratch}/store")
     with pytest.raises(RuntimeError, match="no equities"):
-        seed_statements(store, landing, as_of=date(2012, 6, 30))
+        seed_statements(store, landing, f"{scratch}/cache", as_of=date(2012, 6, 30))
     write(f"{scratch}/profiles/part=0/a.json", json.dumps([profile("AAPL"), profile("SPY", isEtf="true")]))
     seed_universe(store, f"{scratch}/profiles", RUN)
     write(f"{landing}/statement=income_statement/year=2011/period_part=FY/a.csv",
@@ -216,8 +216,23 @@ def test_seed_statements_job(spark, scratch):
           "date,symbol,period,revenue\n1990-09-24,AAPL,FY,3\n")
     write(f"{landing}/statement=income_statement/year=2011/period_part=Q4/a.csv",
           "date,symbol,period,revenue\n2011-09-24,AAPL,Q4,4\n")
-    written = seed_statements(store, landing, years=15, as_of=date(2012, 6, 30))
+    written = seed_statements(store, landing, f"{scratch}/cache", years=15, as_of=date(2012, 6, 30))
     assert written["income_statement_annual"] == 1 and written["income_statement_quarterly"] == 1
     assert written["ratios_annual"] == 0
     annual = store.read(statement_table("income_statement", "annual")).collect()
     assert [(r.symbol, r.revenue) for r in annual] == [("AAPL", 1.0)]  # ETF narrowed away, 1990 outside window
+
+
+def test_part_cache_replays_and_resumes(spark, scratch):
+    from equitylake.plans.statement_build import cache_statement_parts, read_cached_parts
+    landing, cache = f"{scratch}/landing", f"{scratch}/cache"
+    for year in (2011, 2012):
+        write(f"{landing}/statement=income_statement/year={year}/period_part=FY/a.csv",
+              f"date,symbol,period,revenue\n{year}-09-24,AAPL,FY,{year}\n")
+    assert cache_statement_parts(spark, landing, cache, INCOME_STATEMENT) == 2
+    assert cache_statement_parts(spark, landing, cache, INCOME_STATEMENT) == 0  # replay: nothing redone
+    write(f"{landing}/statement=income_statement/year=2013/period_part=FY/a.csv",
+          "date,symbol,period,revenue\n2013-09-24,AAPL,FY,2013\n")
+    assert cache_statement_parts(spark, landing, cache, INCOME_STATEMENT) == 1  # only the new part
+    rows = read_cached_parts(spark, cache, INCOME_STATEMENT).collect()
+    assert sorted((r.year, r.revenue) for r in rows) == [(2011, 2011.0), (2012, 2012.0), (2013, 2013.0)]
