@@ -197,3 +197,24 @@ def test_plan_prunes_partitions_and_pushes_symbols(spark, store):
     assert "PushedFilters: [IsNotNull(symbol), In(symbol, [AAPL])" in plan or "EqualTo(symbol,AAPL)" in plan
     assert "ReadSchema: struct<symbol:string,date:date,close:double>" in plan
     assert df.count() == 1
+
+
+def test_upsert_adds_a_new_month_partition(spark, store):
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0)]))
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 2, 5), 2.0), ("MSFT", date(2024, 1, 5), 3.0)]))
+    got = [(r.date, r.symbol, r.close) for r in store.read(DAILY_PRICES).collect()]
+    assert got == [(date(2024, 1, 5), "AAPL", 1.0), (date(2024, 1, 5), "MSFT", 3.0), (date(2024, 2, 5), "AAPL", 2.0)]
+
+
+def test_table_written_empty_then_upserted(spark, store):
+    store.write(DAILY_PRICES, spark.createDataFrame([], PRICE_DDL))
+    assert store.exists(DAILY_PRICES) and store.read(DAILY_PRICES).count() == 0
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0)]))
+    assert store.read(DAILY_PRICES).count() == 1
+
+
+def test_replace_keeps_two_versions(spark, store):
+    for close in (1.0, 2.0, 3.0):
+        store.write(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), close)]))
+    assert store._versions(DAILY_PRICES) == [2, 3]
+    assert store.read(DAILY_PRICES).first().close == 3.0
