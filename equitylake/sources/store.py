@@ -55,17 +55,22 @@ class Store:
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
-    def _versions(self, spec: TableSpec) -> list[int]:
+    def _version_dirs(self, spec: TableSpec) -> dict[int, bool]:
+        """Every ``v=N`` directory -> whether its write committed."""
         fs, hpath = self._fs(self.table_dir(spec))
         if not fs.exists(hpath):
-            return []
+            return {}
         jvm = self.spark.sparkContext._jvm
-        out = []
+        out = {}
         for status in fs.listStatus(hpath):
             name = status.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+            if name.startswith("v=") and name[2:].isdigit():
+                out[int(name[2:])] = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+        return out
+
+    def _versions(self, spec: TableSpec) -> list[int]:
+        """Committed versions, oldest first."""
+        return sorted(v for v, done in self._version_dirs(spec).items() if done)
 
     def _version_path(self, spec: TableSpec, version: int) -> str:
         return f"{self.table_dir(spec)}/v={version:06d}"
@@ -78,10 +83,17 @@ class Store:
         return self.current_path(spec) is not None
 
     def _prune_old_versions(self, spec: TableSpec) -> None:
-        versions = self._versions(spec)
-        for v in versions[:-KEEP_VERSIONS]:
-            fs, hpath = self._fs(self._version_path(spec, v))
-            fs.delete(hpath, True)
+        """Keep the newest committed versions; drop older ones and the
+        leftovers of crashed writes older than the newest commit."""
+        dirs = self._version_dirs(spec)
+        committed = sorted(v for v, done in dirs.items() if done)
+        if not committed:
+            return
+        keep = set(committed[-KEEP_VERSIONS:])
+        for v, done in dirs.items():
+            if v not in keep and (done or v < committed[-1]):
+                fs, hpath = self._fs(self._version_path(spec, v))
+                fs.delete(hpath, True)
 
     # ------------------------------------------------------------------- read
     def empty(self, spec: TableSpec, columns: Sequence[str] | None = None) -> DataFrame:
@@ -162,9 +174,15 @@ class Store:
         return frame.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
 
     def _write_version(self, spec: TableSpec, frame: DataFrame) -> str:
-        versions = self._versions(spec)
-        path = self._version_path(spec, (versions[-1] + 1) if versions else 1)
-        writer = self._layout(spec, frame).write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        """Write ``frame`` as the next version; readers switch when it commits.
+
+        The number goes past every existing directory, committed or not, so
+        a crashed write's leftovers are never reused, and ``errorifexists``
+        makes a concurrent writer that picked the same number fail instead of
+        overwriting.
+        """
+        path = self._version_path(spec, max(self._version_dirs(spec), default=0) + 1)
+        writer = self._layout(spec, frame).write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         if spec.partition_column:
             writer = writer.partitionBy(spec.partition_column)
         writer.parquet(path)
@@ -180,10 +198,11 @@ class Store:
 
         ``order`` names columns of ``fresh`` that say which of its own
         duplicate rows came last (ascending); by default the scan order of
-        ``fresh``, which is deterministic for a file scan. A fresh frame that
-        comes out of a shuffle should name its order explicitly. An empty ``fresh`` is a no-op. A fresh row replaces the
-        stored row entirely, so a column it lacks becomes null. Returns the
-        number of fresh rows (before de-duplication).
+        ``fresh``, which is deterministic for a file scan (a fresh frame that
+        comes out of a shuffle should name its order explicitly). An empty
+        ``fresh`` is a no-op. A fresh row replaces the stored row entirely,
+        so a column it lacks becomes null. Returns the number of fresh rows
+        (before de-duplication).
         """
         order = list(order or [])
         if order:

@@ -218,3 +218,15 @@ def test_replace_keeps_two_versions(spark, store):
         store.write(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), close)]))
     assert store._versions(DAILY_PRICES) == [2, 3]
     assert store.read(DAILY_PRICES).first().close == 3.0
+
+
+def test_crashed_write_is_invisible_and_never_reused(spark, store, tmp_path):
+    store.write(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0)]))
+    partial = tmp_path / "store" / "daily_prices" / "v=000002"
+    partial.mkdir()
+    (partial / "part-00000.parquet").write_bytes(b"torn")  # no _SUCCESS: a crashed write
+    assert store.read(DAILY_PRICES).first().close == 1.0
+    store.write(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 2.0)]))
+    assert store._versions(DAILY_PRICES) == [1, 3]
+    assert not partial.exists()  # leftover older than the newest commit is pruned
+    assert store.read(DAILY_PRICES).first().close == 2.0
