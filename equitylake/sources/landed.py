@@ -66,7 +66,7 @@ def first_line(spark: SparkSession, path: str) -> str:
             if line is None:
                 return ""
             if line.strip():
-                return line[:MAX_HEADER_CHARS].lstrip("﻿")
+                return line[:MAX_HEADER_CHARS].lstrip("\ufeff")  # byte-order mark
     finally:
         stream.close()
 

@@ -236,3 +236,11 @@ def test_part_cache_replays_and_resumes(spark, scratch):
     assert cache_statement_parts(spark, landing, cache, INCOME_STATEMENT) == 1  # only the new part
     rows = read_cached_parts(spark, cache, INCOME_STATEMENT).collect()
     assert sorted((r.year, r.revenue) for r in rows) == [(2011, 2011.0), (2012, 2012.0), (2013, 2013.0)]
+
+
+def test_csv_part_with_byte_order_mark(spark, scratch):
+    write(f"{scratch}/statement=income_statement/year=2011/period_part=FY/a.csv",
+          "\ufeffdate,symbol,period,revenue\n2011-09-24,AAPL,FY,5\n")
+    raw = landed.read_statement_parts(spark, scratch, "income_statement")
+    row = build_statement_table(raw, INCOME_STATEMENT, "year", "period_part", ["_file", "_block", "_row"]).first()
+    assert (row.date, row.symbol, row.revenue) == (date(2011, 9, 24), "AAPL", 5.0)
