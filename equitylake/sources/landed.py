@@ -257,8 +257,10 @@ def write_price_histories(feed: DataFrame, root: str, order: str = "seq") -> Non
                   .agg(F.array_sort(F.collect_list(entry)).alias("h"))
                   .select("symbol", "chunk",
                           F.transform("h", lambda x: x.dropFields("k")).alias("historical")))
-    (docs.repartitionByRange("symbol", "chunk").write.mode("overwrite")
-         .partitionBy("symbol").json(root))
+    # The aggregate already hash-partitions documents by (symbol, chunk): a
+    # hot symbol's chunks are spread over tasks, and a typical symbol's single
+    # document lands in one file of its directory.
+    docs.write.mode("overwrite").partitionBy("symbol").json(root)
 
 
 def write_empty_history(spark: SparkSession, root: str, symbol: str) -> None:
