@@ -5,7 +5,8 @@ Refresh: landed history documents -> price rows -> one range upsert.
 Backfill keeps the reference's two phases, but each phase is one distributed
 job instead of a per-symbol loop:
 
-* **stage** picks the symbols not yet in the done-ledger (anti join), assigns
+* **stage** picks the symbols not yet in the done-ledger (anti join), sets
+  aside (and reports) symbols whose landed history is malformed, assigns
   them to shards of about ``shard_size`` symbols by hash, writes their rows to
   a staging table partitioned by shard (dynamic overwrite: a retried shard
   replaces only itself), and only then appends the ledger rows. A symbol with
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equitylake.operators.audit import ledger_symbols
-from equitylake.operators.joins import anti_join, attach
+from equitylake.operators.joins import anti_join, attach, semi_join
 from equitylake.operators.predicates import calendar_year
 from equitylake.sources import landed
 from equitylake.sources.store import Store
@@ -34,9 +35,16 @@ SHARD_SIZE = 100
 LEDGER_SCHEMA = "part int, symbols array<string>, rows bigint"
 
 
-def landed_prices(spark: SparkSession, landing: str) -> DataFrame:
-    """SRC4 + PRJ6 + SET1: every landed history as price rows with feed order."""
-    return landed.shape_prices(landed.read_price_histories(spark, landing))
+def landed_prices(spark: SparkSession, landing: str, symbols: DataFrame | None = None) -> DataFrame:
+    """SRC4 + PRJ6 + SET1: landed histories as price rows with feed order.
+
+    ``symbols`` restricts the raw lines *before* parsing, so a malformed
+    document of a symbol that is not asked for cannot fail the job.
+    """
+    lines = landed.read_history_lines(spark, landing)
+    if symbols is not None:
+        lines = semi_join(lines, symbols, "symbol")
+    return landed.shape_prices(landed.parse_history_docs(lines))
 
 
 def refresh_prices(store: Store, landing: str) -> int:
@@ -67,14 +75,23 @@ def staging_todo(universe_symbols: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, universe_symbols: DataFrame, landing: str, staging: str,
-          shard_size: int = SHARD_SIZE) -> int:
-    """Stage every symbol not yet in the ledger; returns the symbols staged."""
+          shard_size: int = SHARD_SIZE) -> tuple[int, list[str]]:
+    """Stage every symbol not yet in the ledger.
+
+    Returns (symbols staged, symbols that failed). A symbol whose landed
+    history is malformed is set aside, not recorded, and so retried on the
+    next run; the others go on.
+    """
     ledger = read_ledger(spark, staging)
+    pending = staging_todo(universe_symbols, ledger)
+    failed_df = semi_join(landed.history_problems(spark, landing), pending, "symbol")
+    failed = sorted(r.symbol for r in failed_df.collect())  # at most the universe, usually none
     # The symbol list is used three times (count, shard rows, ledger rows);
     # keep it cached (lost blocks are simply recomputed from the lineage).
-    todo = staging_todo(universe_symbols, ledger).persist(StorageLevel.MEMORY_AND_DISK)
+    todo = anti_join(pending, failed_df, "symbol") if failed else pending
+    todo = todo.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _stage_todo(spark, todo, ledger, landing, staging, shard_size)
+        return _stage_todo(spark, todo, ledger, landing, staging, shard_size), failed
     finally:
         todo.unpersist()
 
@@ -90,7 +107,7 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
     todo = todo.withColumn("part", (F.lit(first) + F.pmod(F.xxhash64("symbol"), F.lit(shards))).cast("int"))
 
     _drop_unrecorded_shards(spark, staging, first)
-    rows = attach(landed_prices(spark, landing), todo, "symbol")
+    rows = attach(landed_prices(spark, landing, todo), todo, "symbol")
     # Range on (part, symbol): about one file per shard, while a shard that
     # holds a third of the rows still spreads over several tasks.
     (rows.repartitionByRange("part", "symbol").write.mode("overwrite")

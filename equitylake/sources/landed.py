@@ -284,12 +284,31 @@ def parse_history_docs(lines: DataFrame) -> DataFrame:
                  .select("symbol", "doc.historical", "doc.chunk", "*").drop("doc"))
 
 
-def read_price_histories(spark: SparkSession, root: str) -> DataFrame:
-    """SRC4: nested history documents (JSON lines), one row per document."""
+def read_history_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Raw history lines with their symbol (from the path) and scan order."""
     lines = spark.read.option("basePath", root).text(root)
     if "symbol" not in lines.columns:
         raise ValueError(f"{root}: histories must sit in symbol=<S> directories")
-    return parse_history_docs(lines.select("value", "symbol", *_scan_order()))
+    return lines.select("value", "symbol", *_scan_order())
+
+
+def read_price_histories(spark: SparkSession, root: str) -> DataFrame:
+    """SRC4: nested history documents (JSON lines), one row per document."""
+    return parse_history_docs(read_history_lines(spark, root))
+
+
+def history_problems(spark: SparkSession, root: str) -> DataFrame:
+    """Symbols whose landed history cannot be loaded: a line that is not a
+    JSON object, or an entry whose date is not ``yyyy-MM-dd``. One pass,
+    nothing raised, so a caller can set those symbols aside and go on."""
+    lines = spark.read.option("basePath", root).text(root)
+    text = F.trim(F.col("value"))
+    docs = lines.filter(text != "").select(
+        "symbol", text.startswith("{").alias("is_object"),
+        F.when(text.startswith("{"), F.from_json(text, HISTORY_SCHEMA)).alias("doc"))
+    entries = docs.select("symbol", "is_object", F.explode_outer("doc.historical").alias("h"))
+    bad_date = F.col("h.date").isNotNull() & F.try_to_date(F.col("h.date"), "yyyy-MM-dd").isNull()
+    return entries.filter(~F.col("is_object") | bad_date).select("symbol").distinct()
 
 
 def shape_prices(docs: DataFrame) -> DataFrame:
@@ -299,7 +318,12 @@ def shape_prices(docs: DataFrame) -> DataFrame:
     strictly: a malformed date fails the job whatever the ANSI setting.
     Volume arrives as a JSON number and is narrowed to a long leniently.
     """
-    rows = docs.select("symbol", "chunk", "_file", "_row", F.posexplode("historical").alias("pos", "h"))
+    # posexplode_outer + a filter on its output: a plain posexplode makes
+    # Spark infer ``size(historical) > 0`` and push it below any semi join,
+    # inlining the parse (and its raise_error) onto lines that were meant
+    # to be filtered out first.
+    rows = (docs.select("symbol", "chunk", "_file", "_row", F.posexplode_outer("historical").alias("pos", "h"))
+                .filter(F.col("pos").isNotNull()))
     raw_date = F.col("h.date")
     parsed = F.try_to_date(raw_date, "yyyy-MM-dd")
     day = F.when(raw_date.isNotNull() & parsed.isNull(),

@@ -155,9 +155,9 @@ def test_backfill_stages_resumably_and_records_empty_symbols(spark, scratch):
     write(f"{landing}/symbol=GONE/a.json", "{}")
     universe = spark.createDataFrame([("AAPL",), ("MSFT",), ("GONE",)], "symbol string")
     staging = f"{scratch}/staging"
-    assert price_load.stage(spark, universe.filter("symbol = 'AAPL'"), landing, staging, shard_size=1) == 1
-    assert price_load.stage(spark, universe, landing, staging, shard_size=1) == 2
-    assert price_load.stage(spark, universe, landing, staging, shard_size=1) == 0  # nothing left
+    assert price_load.stage(spark, universe.filter("symbol = 'AAPL'"), landing, staging, shard_size=1) == (1, [])
+    assert price_load.stage(spark, universe, landing, staging, shard_size=1) == (2, [])
+    assert price_load.stage(spark, universe, landing, staging, shard_size=1) == (0, [])  # nothing left
     entries = price_load.read_ledger(spark, staging).collect()
     assert sorted(s for r in entries for s in r.symbols) == ["AAPL", "GONE", "MSFT"]  # empty symbol recorded
     assert sum(r.rows for r in entries) == 3 and len({r.part for r in entries}) == len(entries)
@@ -244,3 +244,17 @@ def test_csv_part_with_byte_order_mark(spark, scratch):
     raw = landed.read_statement_parts(spark, scratch, "income_statement")
     row = build_statement_table(raw, INCOME_STATEMENT, "year", "period_part", ["_file", "_block", "_row"]).first()
     assert (row.date, row.symbol, row.revenue) == (date(2011, 9, 24), "AAPL", 5.0)
+
+
+def test_stage_sets_aside_malformed_symbols_and_retries_them(spark, scratch):
+    landing, staging = f"{scratch}/landing", f"{scratch}/staging"
+    write(f"{landing}/symbol=AAPL/a.json", history([("2024-01-02", 1.0)]))
+    write(f"{landing}/symbol=BAD/a.json", history([("02/01/2024", 1.0)]))
+    write(f"{landing}/symbol=ODD/a.json", '["not", "an", "object"]')
+    universe = spark.createDataFrame([("AAPL",), ("BAD",), ("ODD",)], "symbol string")
+    assert price_load.stage(spark, universe, landing, staging) == (1, ["BAD", "ODD"])
+    write(f"{landing}/symbol=BAD/a.json", history([("2024-01-03", 2.0)]))  # fixed upstream
+    assert price_load.stage(spark, universe, landing, staging) == (1, ["ODD"])
+    store = Store(spark, f"{scratch}/store")
+    assert price_load.load(store, staging) == 2
+    assert [r.symbol for r in store.read(DAILY_PRICES).collect()] == ["AAPL", "BAD"]
