@@ -24,7 +24,11 @@ from equitylake.specs import DAILY_PRICES
 
 
 def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkpoint: str,
-                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+                         max_files_per_trigger: int | None = None,
+                         processing_time: str | None = None) -> StreamingQuery:
+    """Start the ingest. By default it drains what has landed and stops
+    (``availableNow``); with ``processing_time`` (e.g. ``"1 hour"``) it keeps
+    running and picks up new landings on that cadence."""
     reader = spark.readStream.schema("value string, symbol string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -34,10 +38,9 @@ def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkp
         docs = landed.parse_history_docs(batch.withColumn("_row", F.monotonically_increasing_id()))
         store.upsert(DAILY_PRICES, landed.shape_prices(docs), order=list(landed.PRICE_ORDER))
 
-    return (lines.writeStream.foreachBatch(upsert_batch)
-                .option("checkpointLocation", checkpoint)
-                .trigger(availableNow=True)
-                .start())
+    writer = lines.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def ingest_available(spark: SparkSession, store: Store, landing: str, checkpoint: str,
