@@ -5,15 +5,18 @@ Refresh: landed history documents -> price rows -> one range upsert.
 Backfill keeps the reference's two phases, but each phase is one distributed
 job instead of a per-symbol loop:
 
-* **stage** picks the symbols not yet in the done-ledger (anti join), sets
-  aside (and reports) symbols whose landed history is malformed, assigns
-  them to shards of about ``shard_size`` symbols by hash, writes their rows to
-  a staging table partitioned by shard (dynamic overwrite: a retried shard
-  replaces only itself), and only then appends the ledger rows. A symbol with
-  no history is recorded too, so it is not asked for again. A crash before
-  the ledger append leaves nothing recorded, and the rerun restages.
-* **load** upserts the whole staging table into ``daily_prices``. The month
-  partitioning already bounds each rewrite; no per-year loop is needed.
+* **stage** picks the symbols not yet in the done-ledger (anti join), assigns
+  them to shards of about ``shard_size`` symbols by hash, and in one pass
+  over their landed lines writes their rows to a staging table partitioned
+  by shard (dynamic overwrite: a retried shard replaces only itself). Rows
+  of a malformed history are flagged, not raised; only then are ledger rows
+  appended, for every symbol that staged cleanly (a symbol with no history
+  included, so it is not asked for again). A failed symbol is reported and
+  tried again next run; the others go on.
+* **load** upserts the staged rows the ledger records into ``daily_prices``:
+  the ledger, written last, is the source of truth, so rows of a failed
+  symbol or of a run that crashed before recording are never loaded. The
+  month partitioning already bounds each rewrite; no per-year loop is needed.
 """
 
 from __future__ import annotations
@@ -78,49 +81,52 @@ def stage(spark: SparkSession, universe_symbols: DataFrame, landing: str, stagin
           shard_size: int = SHARD_SIZE) -> tuple[int, list[str]]:
     """Stage every symbol not yet in the ledger.
 
-    Returns (symbols staged, symbols that failed). A symbol whose landed
-    history is malformed is set aside, not recorded, and so retried on the
-    next run; the others go on.
+    Returns (symbols recorded, symbols that failed). A symbol whose landed
+    history is malformed is staged with a ``_bad`` flag but not recorded, so
+    ``load`` ignores it and the next run tries it again; the others go on.
     """
     ledger = read_ledger(spark, staging)
-    pending = staging_todo(universe_symbols, ledger)
-    failed_df = semi_join(landed.history_problems(spark, landing), pending, "symbol")
-    failed = sorted(r.symbol for r in failed_df.collect())  # at most the universe, usually none
     # The symbol list is used three times (count, shard rows, ledger rows);
     # keep it cached (lost blocks are simply recomputed from the lineage).
-    todo = anti_join(pending, failed_df, "symbol") if failed else pending
-    todo = todo.persist(StorageLevel.MEMORY_AND_DISK)
+    todo = staging_todo(universe_symbols, ledger).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _stage_todo(spark, todo, ledger, landing, staging, shard_size), failed
+        return _stage_todo(spark, todo, ledger, landing, staging, shard_size)
     finally:
         todo.unpersist()
 
 
 def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing: str, staging: str,
-                shard_size: int) -> int:
+                shard_size: int) -> tuple[int, list[str]]:
     n = todo.count()
     if n == 0:
-        return 0
+        return 0, []
     last = ledger.agg(F.max("part")).first()[0]
     first = 0 if last is None else last + 1
     shards = max(1, math.ceil(n / shard_size))
     todo = todo.withColumn("part", (F.lit(first) + F.pmod(F.xxhash64("symbol"), F.lit(shards))).cast("int"))
 
     _drop_unrecorded_shards(spark, staging, first)
-    rows = attach(landed_prices(spark, landing, todo), todo, "symbol")
+    # One pass: the pending symbols' lines (restricted before parsing), each
+    # tagged with its shard, parsed leniently so bad rows are flagged.
+    lines = attach(landed.read_history_lines(spark, landing), todo, "symbol")
+    rows = landed.shape_prices(landed.parse_history_docs(lines, strict=False), strict=False, carry=["part"])
     # Range on (part, symbol): about one file per shard, while a shard that
     # holds a third of the rows still spreads over several tasks.
     (rows.repartitionByRange("part", "symbol").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("part").parquet(_data_path(staging)))
 
-    staged = spark.read.parquet(_data_path(staging)).filter(F.col("part").cast("int") >= first)
-    counts = staged.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
-    entries = (todo.groupBy("part").agg(F.array_sort(F.collect_list("symbol")).alias("symbols"))
+    staged = spark.read.parquet(_data_path(staging)).withColumn("part", F.col("part").cast("int")) \
+                  .filter(F.col("part") >= first)
+    failed_df = staged.filter("_bad").select("symbol").distinct()
+    failed = sorted(r.symbol for r in failed_df.collect())  # at most the universe, usually none
+    done = anti_join(todo, failed_df, "symbol") if failed else todo
+    counts = staged.filter(~F.col("_bad")).groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    entries = (done.groupBy("part").agg(F.array_sort(F.collect_list("symbol")).alias("symbols"))
                    .join(counts, "part", "left")
                    .select("part", "symbols", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")))
     entries.write.mode("append").parquet(_ledger_path(staging))
-    return n
+    return n - len(failed), failed
 
 
 def _drop_unrecorded_shards(spark: SparkSession, staging: str, first: int) -> None:
@@ -136,16 +142,20 @@ def _drop_unrecorded_shards(spark: SparkSession, staging: str, first: int) -> No
 
 # ------------------------------------------------------------------- load
 def load(store: Store, staging: str, year: int | None = None) -> int:
-    """J3 load (SNK7): upsert every staged shard; returns the rows loaded.
+    """J3 load (SNK7): upsert every recorded staged row; returns the rows loaded.
 
-    One upsert covers all years: the month partitions already bound each
-    rewrite. ``year`` loads a single calendar year (FLT12), for callers that
-    want to spread a very large backfill over several commits.
+    Only (shard, symbol) pairs the ledger records are loaded, so rows of a
+    symbol that failed, or of a run that crashed before recording, never
+    reach the table. One upsert covers all years: the month partitions
+    already bound each rewrite. ``year`` loads a single calendar year (FLT12),
+    for callers that want to spread a very large backfill over commits.
     """
     spark = store.spark
     if not landed.list_files(spark, _data_path(staging), (".parquet",)):
         raise RuntimeError(f"No staged shards in {staging}")
+    recorded = read_ledger(spark, staging).select("part", F.explode("symbols").alias("symbol"))
     staged = spark.read.parquet(_data_path(staging)).withColumn("part", F.col("part").cast("int"))
+    staged = semi_join(staged, recorded, ["part", "symbol"])
     if year is not None:
         staged = staged.filter(calendar_year("date", year))
     return store.upsert(DAILY_PRICES, staged, order=["part", *landed.PRICE_ORDER])

@@ -269,19 +269,26 @@ def write_empty_history(spark: SparkSession, root: str, symbol: str) -> None:
          .write.mode("overwrite").text(f"{root}/symbol={symbol}")
 
 
-def parse_history_docs(lines: DataFrame) -> DataFrame:
+def parse_history_docs(lines: DataFrame, strict: bool = True) -> DataFrame:
     """One JSON history document per text line (``value``), symbol from the path.
 
-    Blank lines are skipped; a line that is not a JSON object (an array, an
-    error string) fails the job, as a malformed vendor response must.
+    Blank lines are skipped. Strict: a line that is not a JSON object (an
+    array, an error string) fails the job, as a malformed vendor response
+    must. Not strict: such a line becomes a document with no history and
+    ``_bad_doc`` set, so the caller can set its symbol aside. Every other
+    column of ``lines`` is carried through.
     """
     text = F.trim(F.col("value"))
-    doc = F.when(text.startswith("{"), F.from_json(text, HISTORY_SCHEMA)).otherwise(
-        F.raise_error(F.concat(F.lit("unexpected price payload for symbol "),
-                               F.coalesce(F.col("symbol"), F.lit("?")), F.lit(": "), F.substring(text, 1, 200))))
-    return (lines.filter(text != "")
-                 .select("symbol", doc.alias("doc"), *[c for c in ("_file", "_block", "_row") if c in lines.columns])
-                 .select("symbol", "doc.historical", "doc.chunk", "*").drop("doc"))
+    is_object = text.startswith("{")
+    parsed = F.when(is_object, F.from_json(text, HISTORY_SCHEMA))
+    if strict:
+        parsed = parsed.otherwise(
+            F.raise_error(F.concat(F.lit("unexpected price payload for symbol "),
+                                   F.coalesce(F.col("symbol"), F.lit("?")), F.lit(": "), F.substring(text, 1, 200))))
+    carried = [c for c in lines.columns if c != "value"]
+    docs = lines.filter(text != "").select(*carried, parsed.alias("doc"), (~is_object).alias("_bad_doc"))
+    docs = docs.select(*carried, "_bad_doc", "doc.historical", "doc.chunk")
+    return docs if not strict else docs.drop("_bad_doc")
 
 
 def read_history_lines(spark: SparkSession, root: str) -> DataFrame:
@@ -297,43 +304,38 @@ def read_price_histories(spark: SparkSession, root: str) -> DataFrame:
     return parse_history_docs(read_history_lines(spark, root))
 
 
-def history_problems(spark: SparkSession, root: str) -> DataFrame:
-    """Symbols whose landed history cannot be loaded: a line that is not a
-    JSON object, or an entry whose date is not ``yyyy-MM-dd``. One pass,
-    nothing raised, so a caller can set those symbols aside and go on."""
-    lines = spark.read.option("basePath", root).text(root)
-    text = F.trim(F.col("value"))
-    docs = lines.filter(text != "").select(
-        "symbol", text.startswith("{").alias("is_object"),
-        F.when(text.startswith("{"), F.from_json(text, HISTORY_SCHEMA)).alias("doc"))
-    entries = docs.select("symbol", "is_object", F.explode_outer("doc.historical").alias("h"))
-    bad_date = F.col("h.date").isNotNull() & F.try_to_date(F.col("h.date"), "yyyy-MM-dd").isNull()
-    return entries.filter(~F.col("is_object") | bad_date).select("symbol").distinct()
-
-
-def shape_prices(docs: DataFrame) -> DataFrame:
+def shape_prices(docs: DataFrame, strict: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """PRJ6: one price row per history entry, with its feed order.
 
-    The symbol comes from the path, not the payload. The date is parsed
-    strictly: a malformed date fails the job whatever the ANSI setting.
-    Volume arrives as a JSON number and is narrowed to a long leniently.
+    The symbol comes from the path, not the payload. Volume arrives as a
+    JSON number and is narrowed to a long leniently. Strict: a malformed date
+    fails the job whatever the ANSI setting. Not strict: rows get a ``_bad``
+    flag instead (a malformed date, or a marker row for a bad document).
+    ``carry`` names extra document columns passed through (e.g. a shard).
     """
     # posexplode_outer + a filter on its output: a plain posexplode makes
     # Spark infer ``size(historical) > 0`` and push it below any semi join,
     # inlining the parse (and its raise_error) onto lines that were meant
     # to be filtered out first.
-    rows = (docs.select("symbol", "chunk", "_file", "_row", F.posexplode_outer("historical").alias("pos", "h"))
-                .filter(F.col("pos").isNotNull()))
+    keep = ["symbol", "chunk", "_file", "_row", *carry] + ([] if strict else ["_bad_doc"])
+    rows = docs.select(*keep, F.posexplode_outer("historical").alias("pos", "h"))
     raw_date = F.col("h.date")
     parsed = F.try_to_date(raw_date, "yyyy-MM-dd")
-    day = F.when(raw_date.isNotNull() & parsed.isNull(),
-                 F.raise_error(F.concat(F.lit("malformed price date: "), raw_date))).otherwise(parsed)
+    bad_date = raw_date.isNotNull() & parsed.isNull()
+    if strict:
+        rows = rows.filter(F.col("pos").isNotNull())
+        day = F.when(bad_date, F.raise_error(F.concat(F.lit("malformed price date: "), raw_date))).otherwise(parsed)
+        flags = []
+    else:
+        bad = F.col("_bad_doc") | F.coalesce(bad_date, F.lit(False))
+        rows = rows.filter(F.col("pos").isNotNull() | F.col("_bad_doc"))
+        day, flags = parsed, [bad.alias("_bad")]
     return rows.select(
         "symbol", day.cast("date").alias("date"),
         F.col("h.open").alias("open"), F.col("h.high").alias("high"), F.col("h.low").alias("low"),
         F.col("h.close").alias("close"), F.col("h.adjClose").alias("adj_close"),
         F.col("h.volume").try_cast("long").alias("volume"),
-        "chunk", "_file", "_row", "pos",
+        "chunk", "_file", "_row", "pos", *carry, *flags,
     )
 
 
