@@ -36,6 +36,10 @@ from equitylake.specs import DAILY_PRICES
 
 SHARD_SIZE = 100
 LEDGER_SCHEMA = "part int, symbols array<string>, rows bigint"
+# Staged rows: shaped prices, their feed order, the bad-row flag, the shard.
+STAGED_SCHEMA = ("symbol string, date date, open double, high double, low double, close double, "
+                 "adj_close double, volume bigint, chunk bigint, _file string, _row bigint, pos int, "
+                 "_bad boolean, part int")
 
 
 def landed_prices(spark: SparkSession, landing: str, symbols: DataFrame | None = None) -> DataFrame:
@@ -65,6 +69,11 @@ def _data_path(staging: str) -> str:
     return f"{staging}/data"
 
 
+def read_staged(spark: SparkSession, staging: str) -> DataFrame:
+    """SRC5: the staging table, read against its declared schema."""
+    return spark.read.schema(STAGED_SCHEMA).parquet(_data_path(staging))
+
+
 def read_ledger(spark: SparkSession, staging: str) -> DataFrame:
     path = _ledger_path(staging)
     if not landed.list_files(spark, path, (".parquet",)):
@@ -116,8 +125,7 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("part").parquet(_data_path(staging)))
 
-    staged = spark.read.parquet(_data_path(staging)).withColumn("part", F.col("part").cast("int")) \
-                  .filter(F.col("part") >= first)
+    staged = read_staged(spark, staging).filter(F.col("part") >= first)
     failed_df = staged.filter("_bad").select("symbol").distinct()
     failed = sorted(r.symbol for r in failed_df.collect())  # at most the universe, usually none
     done = anti_join(todo, failed_df, "symbol") if failed else todo
@@ -154,8 +162,7 @@ def load(store: Store, staging: str, year: int | None = None) -> int:
     if not landed.list_files(spark, _data_path(staging), (".parquet",)):
         raise RuntimeError(f"No staged shards in {staging}")
     recorded = read_ledger(spark, staging).select("part", F.explode("symbols").alias("symbol"))
-    staged = spark.read.parquet(_data_path(staging)).withColumn("part", F.col("part").cast("int"))
-    staged = semi_join(staged, recorded, ["part", "symbol"])
+    staged = semi_join(read_staged(spark, staging), recorded, ["part", "symbol"])
     if year is not None:
         staged = staged.filter(calendar_year("date", year))
     return store.upsert(DAILY_PRICES, staged, order=["part", *landed.PRICE_ORDER])

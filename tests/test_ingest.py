@@ -258,3 +258,16 @@ def test_stage_sets_aside_malformed_symbols_and_retries_them(spark, scratch):
     store = Store(spark, f"{scratch}/store")
     assert price_load.load(store, staging) == 2
     assert [r.symbol for r in store.read(DAILY_PRICES).collect()] == ["AAPL", "BAD"]
+
+
+def test_load_ignores_rows_of_an_unrecorded_shard(spark, scratch):
+    landing, staging = f"{scratch}/landing", f"{scratch}/staging"
+    write(f"{landing}/symbol=AAPL/a.json", history([("2024-01-02", 1.0)]))
+    universe = spark.createDataFrame([("AAPL",)], "symbol string")
+    assert price_load.stage(spark, universe, landing, staging) == (1, [])
+    # A crashed run wrote shard 7 but never recorded it in the ledger.
+    spark.createDataFrame([("MSFT", date(2024, 1, 2), 9.0)], "symbol string, date date, close double") \
+        .write.parquet(f"{staging}/data/part=7")
+    store = Store(spark, f"{scratch}/store")
+    assert price_load.load(store, staging) == 1
+    assert [r.symbol for r in store.read(DAILY_PRICES).collect()] == ["AAPL"]
