@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from equitylake.operators.audit import ledger_symbols
 from equitylake.operators.joins import anti_join, attach, semi_join
 from equitylake.operators.predicates import calendar_year
-from equitylake.sources import landed
+from equitylake.sources import files, landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
 
@@ -76,7 +76,7 @@ def read_staged(spark: SparkSession, staging: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, staging: str) -> DataFrame:
     path = _ledger_path(staging)
-    if not landed.list_files(spark, path, (".parquet",)):
+    if not files.list_files(spark, path, (".parquet",)):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
@@ -139,13 +139,9 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
 
 def _drop_unrecorded_shards(spark: SparkSession, staging: str, first: int) -> None:
     """Remove shard directories a crashed run wrote but never recorded."""
-    jvm, fs, root = landed._jvm_fs(spark, _data_path(staging))
-    if not fs.exists(root):
-        return
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if name.startswith("part=") and int(name[5:]) >= first:
-            fs.delete(status.getPath(), True)
+    for name in files.list_dirs(spark, _data_path(staging), "part="):
+        if int(name[5:]) >= first:
+            files.delete(spark, f"{_data_path(staging)}/{name}")
 
 
 # ------------------------------------------------------------------- load
@@ -159,7 +155,7 @@ def load(store: Store, staging: str, year: int | None = None) -> int:
     for callers that want to spread a very large backfill over commits.
     """
     spark = store.spark
-    if not landed.list_files(spark, _data_path(staging), (".parquet",)):
+    if not files.list_files(spark, _data_path(staging), (".parquet",)):
         raise RuntimeError(f"No staged shards in {staging}")
     recorded = read_ledger(spark, staging).select("part", F.explode("symbols").alias("symbol"))
     staged = semi_join(read_staged(spark, staging), recorded, ["part", "symbol"])

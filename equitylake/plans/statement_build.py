@@ -125,18 +125,11 @@ def _part_of(path: str) -> tuple[str, str] | None:
 def cached_parts(spark, cache: str, statement: StatementSpec) -> set[tuple[str, str]]:
     """Parts already in the cache. A part directory appears only when its
     write commits (dynamic partition overwrite), so presence means complete."""
-    from equitylake.sources import landed
-    jvm, fs, root = landed._jvm_fs(spark, f"{cache}/statement={statement.name}")
-    if not fs.exists(root):
-        return set()
-    done = set()
-    for y in fs.listStatus(root):
-        if y.isDirectory() and y.getPath().getName().startswith("year="):
-            for p in fs.listStatus(y.getPath()):
-                name = p.getPath().getName()
-                if p.isDirectory() and name.startswith("period_part="):
-                    done.add((y.getPath().getName()[5:], name[12:]))
-    return done
+    from equitylake.sources import files
+    root = f"{cache}/statement={statement.name}"
+    return {(year[5:], period[12:])
+            for year in files.list_dirs(spark, root, "year=")
+            for period in files.list_dirs(spark, f"{root}/{year}", "period_part=")}
 
 
 def cache_statement_parts(spark, landing: str, cache: str, statement: StatementSpec,
@@ -148,8 +141,8 @@ def cache_statement_parts(spark, landing: str, cache: str, statement: StatementS
     """
     from equitylake.sources import landed
     done = cached_parts(spark, cache, statement)
-    files = [f for f in landed.list_files(spark, landing, (".csv",)) if f"/statement={statement.name}/" in f]
-    todo = [f for f in files if _part_of(f) is not None and _part_of(f) not in done]
+    found = [f for f in landed.list_files(spark, landing, (".csv",)) if f"/statement={statement.name}/" in f]
+    todo = [f for f in found if _part_of(f) is not None and _part_of(f) not in done]
     if not todo:
         return 0
     raw = landed.read_csv_by_header(spark, landing, todo)

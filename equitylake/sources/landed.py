@@ -24,51 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_HEADER_CHARS = 1 << 20
-
+from equitylake.sources import files
 
 class PayloadError(RuntimeError):
     """A landed file holds a vendor error message instead of data."""
 
 
 # ------------------------------------------------------------ file probing
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
-def list_files(spark: SparkSession, root: str, suffixes: Sequence[str]) -> list[str]:
-    """Data files under ``root`` (recursive), hidden ``_``/``.`` entries skipped."""
-    jvm, fs, hpath = _jvm_fs(spark, root)
-    if not fs.exists(hpath):
-        return []
-    out = []
-    it = fs.listFiles(hpath, True)
-    while it.hasNext():
-        p = it.next().getPath()
-        rel = p.toString()[len(fs.makeQualified(hpath).toString()):]
-        if any(seg.startswith(("_", ".")) for seg in rel.split("/") if seg):
-            continue
-        if p.getName().endswith(tuple(suffixes)):
-            out.append(p.toString())
-    return sorted(out)
-
-
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first non-blank line of a file, read through the Hadoop client."""
-    jvm, fs, hpath = _jvm_fs(spark, path)
-    stream = fs.open(hpath)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        while True:
-            line = reader.readLine()
-            if line is None:
-                return ""
-            if line.strip():
-                return line[:MAX_HEADER_CHARS].lstrip("\ufeff")  # byte-order mark
-    finally:
-        stream.close()
+list_files = files.list_files
+first_line = files.first_line
 
 
 def _header_names(line: str) -> list[str]:
@@ -77,27 +41,26 @@ def _header_names(line: str) -> list[str]:
 
 
 # ------------------------------------------------------------------- CSV
-def read_csv_by_header(spark: SparkSession, root: str, files: Sequence[str] | None = None) -> DataFrame | None:
+def read_csv_by_header(spark: SparkSession, root: str, paths: Sequence[str] | None = None) -> DataFrame | None:
     """All-text CSV scan binding columns by each file's own header (SRC2).
 
     Returns ``None`` when every file is empty. Raises ``PayloadError`` for a
     file that starts like JSON. Columns missing from a file come back null.
     Metadata columns ``_file``, ``_block`` and ``_row`` give the scan order.
     """
-    files = list(files) if files is not None else list_files(spark, root, (".csv",))
+    paths = list(paths) if paths is not None else list_files(spark, root, (".csv",))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for f in files:
-        line = first_line(spark, f)
+    for f, line in files.first_lines(spark, paths).items():
         if not line:
             continue
         if line.lstrip()[:1] in ("[", "{"):
             raise PayloadError(f"unexpected payload in {f}: {line[:200]}")
         groups[tuple(_header_names(line))].append(f)
     frames = []
-    for header, paths in groups.items():
+    for header, group in groups.items():
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
         df = (spark.read.schema(schema).option("header", True).option("basePath", root)
-              .option("mode", "PERMISSIVE").csv(paths))
+              .option("mode", "PERMISSIVE").csv(group))
         frames.append(df.select("*", *_scan_order()))
     return _union(frames)
 
@@ -127,7 +90,7 @@ def _json_kind(spark: SparkSession, path: str, keys: Sequence[str]) -> str | Non
     object is a vendor error message.
     """
     import json
-    line = first_line(spark, path).lstrip()
+    line = files.first_line(spark, path).lstrip()
     if not line:
         return None
     if line[:1] == "[":

@@ -30,6 +30,7 @@ from equitylake.functions.text import normalize_symbols
 from equitylake.operators.conform import conform, resolve_columns
 from equitylake.operators.latest import latest_wins
 from equitylake.operators.predicates import all_of, date_between, symbol_in
+from equitylake.sources import files
 from equitylake.specs import TableSpec
 
 _PRIO = "__prio"
@@ -50,23 +51,11 @@ class Store:
     def table_dir(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.name}"
 
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
     def _version_dirs(self, spec: TableSpec) -> dict[int, bool]:
         """Every ``v=N`` directory -> whether its write committed."""
-        fs, hpath = self._fs(self.table_dir(spec))
-        if not fs.exists(hpath):
-            return {}
-        jvm = self.spark.sparkContext._jvm
-        out = {}
-        for status in fs.listStatus(hpath):
-            name = status.getPath().getName()
-            if name.startswith("v=") and name[2:].isdigit():
-                out[int(name[2:])] = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-        return out
+        table = self.table_dir(spec)
+        return {int(name[2:]): files.exists(self.spark, f"{table}/{name}/_SUCCESS")
+                for name in files.list_dirs(self.spark, table, "v=") if name[2:].isdigit()}
 
     def _versions(self, spec: TableSpec) -> list[int]:
         """Committed versions, oldest first."""
@@ -92,8 +81,7 @@ class Store:
         keep = set(committed[-KEEP_VERSIONS:])
         for v, done in dirs.items():
             if v not in keep and (done or v < committed[-1]):
-                fs, hpath = self._fs(self._version_path(spec, v))
-                fs.delete(hpath, True)
+                files.delete(self.spark, self._version_path(spec, v))
 
     # ------------------------------------------------------------------- read
     def empty(self, spec: TableSpec, columns: Sequence[str] | None = None) -> DataFrame:
