@@ -271,3 +271,25 @@ def test_load_ignores_rows_of_an_unrecorded_shard(spark, scratch):
     store = Store(spark, f"{scratch}/store")
     assert price_load.load(store, staging) == 1
     assert [r.symbol for r in store.read(DAILY_PRICES).collect()] == ["AAPL"]
+
+
+def test_listing_filter_rules(spark):
+    from equitylake.plans.universe_build import map_profiles
+    rows = [
+        profile("AAA"),                                        # kept
+        profile("BBB", isActivelyTrading="false"),             # inactive
+        profile("  ", companyName="Blank"),                    # blank symbol
+        profile("CCC", exchange="nyse"),                       # case-blind exchange: kept
+        profile("DDD", exchange="LSE"),                        # non-US
+        profile("EEE", industry="Shell Companies"),            # blank-check vehicle
+        profile("FFF", industry=None),                         # null industry stays
+        profile("GGGGW"),                                      # warrant
+        profile("HHH", isFund="true"),                         # fund
+        profile("III-A"),                                      # share class: common, kept
+        profile("JJJ", isActivelyTrading=None),                # unknown activity
+    ]
+    cols = sorted({k for r in rows for k in r})
+    df = spark.createDataFrame([tuple(None if r.get(c) is None else str(r.get(c)) for c in cols) for r in rows],
+                               ", ".join(f"`{c}` string" for c in cols))
+    kept = {r.symbol: r.security_type for r in map_profiles(df, RUN).filter("kept").collect()}
+    assert kept == {"AAA": "common", "CCC": "common", "FFF": "common", "III-A": "common"}
