@@ -293,3 +293,13 @@ def test_listing_filter_rules(spark):
                                ", ".join(f"`{c}` string" for c in cols))
     kept = {r.symbol: r.security_type for r in map_profiles(df, RUN).filter("kept").collect()}
     assert kept == {"AAA": "common", "CCC": "common", "FFF": "common", "III-A": "common"}
+
+
+def test_stream_in_several_micro_batches(spark, scratch):
+    landing, ckpt = f"{scratch}/landing", f"{scratch}/ckpt"
+    for i, sym in enumerate(["AAA", "BBB", "CCC"]):
+        write(f"{landing}/symbol={sym}/a.json", history([("2024-01-02", float(i)), ("2024-03-04", float(i))]))
+    store = Store(spark, f"{scratch}/store")
+    ingest_available(spark, store, landing, ckpt, max_files_per_trigger=1)
+    assert store.read(DAILY_PRICES).count() == 6
+    assert sorted(n for n in os.listdir(f"{ckpt}/commits") if not n.startswith(".")) == ["0", "1", "2"]

@@ -230,3 +230,13 @@ def test_crashed_write_is_invisible_and_never_reused(spark, store, tmp_path):
     assert store._versions(DAILY_PRICES) == [1, 3]
     assert not partial.exists()  # leftover older than the newest commit is pruned
     assert store.read(DAILY_PRICES).first().close == 2.0
+
+
+def test_long_symbol_list_uses_a_broadcast_semi_join(spark, store, monkeypatch):
+    from equitylake.sources import store as store_module
+    day = date(2024, 1, 2)
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", day, 1.0), ("MSFT", day, 2.0), ("NVDA", day, 3.0)]))
+    monkeypatch.setattr(store_module, "MAX_IN_LIST", 2)
+    df = store.read(DAILY_PRICES, symbols=["aapl", "NVDA", "XOM"])
+    assert [r.symbol for r in df.collect()] == ["AAPL", "NVDA"]
+    assert "LeftSemi" in df._jdf.queryExecution().executedPlan().toString()
