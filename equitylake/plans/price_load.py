@@ -76,7 +76,7 @@ def read_staged(spark: SparkSession, staging: str) -> DataFrame:
 
 def read_ledger(spark: SparkSession, staging: str) -> DataFrame:
     path = _ledger_path(staging)
-    if not files.list_files(spark, path, (".parquet",)):
+    if not files.exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
@@ -155,7 +155,7 @@ def load(store: Store, staging: str, year: int | None = None) -> int:
     for callers that want to spread a very large backfill over commits.
     """
     spark = store.spark
-    if not files.list_files(spark, _data_path(staging), (".parquet",)):
+    if not files.list_dirs(spark, _data_path(staging), "part="):
         raise RuntimeError(f"No staged shards in {staging}")
     recorded = read_ledger(spark, staging).select("part", F.explode("symbols").alias("symbol"))
     staged = semi_join(read_staged(spark, staging), recorded, ["part", "symbol"])
