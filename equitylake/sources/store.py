@@ -28,13 +28,11 @@ from pyspark.sql import functions as F
 
 from equitylake.functions.text import normalize_symbols
 from equitylake.operators.conform import conform, resolve_columns
-from equitylake.operators.latest import latest_wins
+from equitylake.operators.latest import merge_latest
 from equitylake.operators.predicates import all_of, date_between, symbol_in
 from equitylake.sources import files
 from equitylake.specs import TableSpec
 
-_PRIO = "__prio"
-_ORDER = "__order"
 KEEP_VERSIONS = 2
 # Symbol lists longer than this filter through a broadcast semi join instead
 # of an IN list; the list already sits on the driver, so its size is known.
@@ -193,34 +191,22 @@ class Store:
         (before de-duplication).
         """
         order = list(order or [])
-        if order:
-            fresh = conform(fresh, spec.schema, keep=order)
-            fresh = fresh.withColumn(_ORDER, F.struct(*[F.col(f"`{c}`") for c in order])).drop(*order)
-        else:
-            fresh = conform(fresh, spec.schema).withColumn(
-                _ORDER, F.struct(F.monotonically_increasing_id().alias("scan")))
-        fresh = fresh.withColumn(_PRIO, F.lit(1))
+        fresh = conform(fresh, spec.schema, keep=order)
         if spec.time_index is None:
-            return self._upsert_keyed(spec, fresh)
-        return self._upsert_range(spec, fresh)
+            return self._upsert_keyed(spec, fresh, order)
+        return self._upsert_range(spec, fresh, order)
 
-    def _stored_side(self, df: DataFrame, order_type) -> DataFrame:
-        return df.withColumn(_ORDER, F.lit(None).cast(order_type)).withColumn(_PRIO, F.lit(0))
-
-    def _upsert_keyed(self, spec: TableSpec, fresh: DataFrame) -> int:
+    def _upsert_keyed(self, spec: TableSpec, fresh: DataFrame, order: list[str]) -> int:
         """SNK3: merge with the whole table and commit it as a new version."""
         rows = fresh.count()
         if rows == 0:
             return 0
         stored = self.scan(spec)
-        both = fresh
-        if stored is not None:
-            both = self._stored_side(stored.select(*spec.columns), fresh.schema[_ORDER].dataType).unionByName(fresh)
-        merged = latest_wins(both, spec.key, [_PRIO, _ORDER]).drop(_PRIO, _ORDER)
-        self._write_version(spec, merged)
+        stored = stored.select(*spec.columns) if stored is not None else None
+        self._write_version(spec, merge_latest(stored, fresh, spec.key, order))
         return rows
 
-    def _upsert_range(self, spec: TableSpec, fresh: DataFrame) -> int:
+    def _upsert_range(self, spec: TableSpec, fresh: DataFrame, order: list[str]) -> int:
         """SNK2: rewrite only the partitions ``fresh`` touches.
 
         One small aggregate finds the touched grains and the fresh date span
@@ -244,15 +230,13 @@ class Store:
 
         current = self.current_path(spec)
         if current is None:
-            merged = latest_wins(fresh, spec.key, [_ORDER]).drop(_PRIO, _ORDER)
-            self._write_version(spec, merged)
+            self._write_version(spec, merge_latest(None, fresh, spec.key, order))
             return rows
 
         stored = self.spark.read.schema(spec.stored_schema).parquet(current) \
                      .filter(F.col(pcol).isin(grains)).drop(pcol)
         in_span = F.col(ti).between(F.lit(lo), F.lit(hi))
-        both = self._stored_side(stored.filter(in_span), fresh.schema[_ORDER].dataType).unionByName(fresh)
-        merged = latest_wins(both, spec.key, [_PRIO, _ORDER]).drop(_PRIO, _ORDER)
+        merged = merge_latest(stored.filter(in_span), fresh, spec.key, order)
         merged = merged.unionByName(stored.filter(~in_span))
         (self._layout(spec, merged).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")

@@ -41,3 +41,14 @@ def test_scan_order_survives_file_splits(spark, tmp_path):
             assert {r.symbol: r.revenue for r in got} == want, split
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_merge_latest_fresh_wins_whole_rows(spark):
+    from equitylake.operators.latest import merge_latest
+    stored = spark.createDataFrame([(1, "a", 10.0), (2, "b", 20.0)], "k int, name string, v double")
+    fresh = spark.createDataFrame([(2, None, 21.0, 1), (2, "b3", 22.0, 2), (3, "c", 30.0, 1)],
+                                  "k int, name string, v double, seq int")
+    got = {r.k: (r.name, r.v) for r in merge_latest(stored, fresh.select("k", "name", "v", "seq"), ["k"], ["seq"]).collect()}
+    assert got == {1: ("a", 10.0), 2: ("b3", 22.0), 3: ("c", 30.0)}
+    only_fresh = merge_latest(None, fresh.filter("seq = 1"), ["k"], ["seq"])
+    assert only_fresh.columns == ["k", "name", "v"] and only_fresh.count() == 2
