@@ -77,3 +77,15 @@ def test_price_panel_semi_joins_screen(spark, universe_store):
 def test_daily_prices_requires_symbols(store):
     with pytest.raises(ValueError):
         q.daily_prices(store, None)
+
+
+def test_daily_prices_full_rows_in_key_order(spark, store):
+    from datetime import timedelta
+    days = [date(2024, 1, 1) + timedelta(days=i) for i in range(5)]
+    rows = [(s, d, float(i)) for d in reversed(days) for i, s in enumerate(["NVDA", "AAPL", "MSFT"])]
+    store.upsert(DAILY_PRICES, price_rows(spark, rows))
+    got = q.daily_prices(store, ["msft", "NVDA"], date(2024, 1, 2), date(2024, 1, 4)).collect()
+    assert [(r.date, r.symbol) for r in got] == [(d, s) for d in days[1:4] for s in ("MSFT", "NVDA")]
+    assert got[0].asDict() == {"symbol": "MSFT", "date": date(2024, 1, 2), "open": 2.0, "high": 2.0, "low": 2.0,
+                               "close": 2.0, "adj_close": 2.0 * 0.97, "volume": 100}
+    assert q.daily_prices(store, ["ZZZZ"]).count() == 0  # unknown symbol: empty, not an error
