@@ -89,3 +89,20 @@ def test_daily_prices_full_rows_in_key_order(spark, store):
     assert got[0].asDict() == {"symbol": "MSFT", "date": date(2024, 1, 2), "open": 2.0, "high": 2.0, "low": 2.0,
                                "close": 2.0, "adj_close": 2.0 * 0.97, "volume": 100}
     assert q.daily_prices(store, ["ZZZZ"]).count() == 0  # unknown symbol: empty, not an error
+
+
+def test_each_statement_query_reads_its_own_table(spark, store):
+    from equitylake.specs import statement_table
+    amount = {"income_statement": "revenue", "balance_sheet": "total_assets",
+              "cash_flow": "net_income", "ratios": "current_ratio"}
+    for i, (family, field) in enumerate(amount.items()):
+        for cadence, period in (("annual", "FY"), ("quarterly", "Q4")):
+            frame = spark.createDataFrame([(date(2023, 12, 31), "AAPL", 2023, period, float(i))],
+                                          f"date date, symbol string, fiscal_year int, period string, {field} double")
+            store.upsert(statement_table(family, cadence), frame)
+    reads = {"income_statement": q.income_statements, "balance_sheet": q.balance_sheets,
+             "cash_flow": q.cash_flows, "ratios": q.ratios}
+    for i, (family, fn) in enumerate(reads.items()):
+        for cadence, period in (("annual", "FY"), ("quarterly", "Q4")):
+            row = fn(store, ["AAPL"], cadence, columns=[amount[family], "period"]).first()
+            assert (row[amount[family]], row.period) == (float(i), period)
