@@ -63,29 +63,37 @@ def main() -> None:
         spark.range(1000).selectExpr("sum(id)").collect()
 
     times: dict[str, float] = {}
-    for name, build in BUILDS.items():
-        t0 = time.perf_counter()
-        build(spark, sf_dir)
-        times[name] = round(time.perf_counter() - t0, 3)
+    errors: dict[str, str] = {}
+
+    def timed(name: str, run, runs: int) -> None:
+        best = None
+        try:
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                run()
+                took = time.perf_counter() - t0
+                best = took if best is None else min(best, took)
+            times[name] = round(best, 3)
+        except Exception as exc:  # report it in the JSON line and go on
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
 
+    for name, build in BUILDS.items():
+        timed(name, lambda b=build: b(spark, sf_dir), 1)
     for name in HEADLINE:
         fn = catalog.QUERIES[name]
-        best = None
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            took = time.perf_counter() - t0
-            best = took if best is None else min(best, took)
-        times[name] = round(best, 3)
+        timed(name, lambda f=fn: f(spark, sf_dir).write.format("noop").mode("overwrite").save(), repeat)
 
     match = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    result = {
         "metric": "total_seconds_headline_queries",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(match.group(1)) if match else sf_dir,
-    }))
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
