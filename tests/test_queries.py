@@ -74,9 +74,12 @@ def test_price_panel_semi_joins_screen(spark, universe_store):
     assert "LeftSemi" in plan
 
 
-def test_daily_prices_requires_symbols(store):
-    with pytest.raises(ValueError):
-        q.daily_prices(store, None)
+def test_symbols_are_required(store):
+    for call in (lambda: q.daily_prices(store, None), lambda: q.daily_prices(store, []),
+                 lambda: q.income_statements(store, None, "annual"), lambda: q.ratios(store, [], "quarterly")):
+        with pytest.raises(ValueError, match="symbols are required"):
+            call()
+    assert q.daily_prices(store, [" "]).count() == 0  # present but blank: matches nothing
 
 
 def test_daily_prices_full_rows_in_key_order(spark, store):
