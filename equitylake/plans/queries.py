@@ -23,16 +23,25 @@ IPO_BOUNDS_MESSAGE = "ipo_start must be on or before ipo_end"
 CAP_BOUNDS_MESSAGE = "market_cap_min must be on or before market_cap_max"
 
 
-def require_symbols(symbols: str | Iterable[str] | None) -> None:
-    """Q1-Q5 need at least one symbol argument (a blank one then matches nothing)."""
-    if symbols is None or (not isinstance(symbols, str) and len(list(symbols)) == 0):
+def require_symbols(symbols: str | Iterable[str] | None) -> str | list[str]:
+    """Q1-Q5 need at least one symbol argument (a blank one then matches nothing).
+
+    Returns the argument materialised, so a generator is not consumed twice.
+    """
+    if symbols is None:
+        raise ValueError("symbols are required")
+    if isinstance(symbols, str):
+        return symbols
+    listed = list(symbols)
+    if not listed:
         raise ValueError("symbols are required")
+    return listed
 
 
 def daily_prices(store: Store, symbols: str | Iterable[str], start: date | None = None,
                  end: date | None = None, ordered: bool = True) -> DataFrame:
     """Q1: stored prices for the given symbols, inclusive date bounds, key order."""
-    require_symbols(symbols)
+    symbols = require_symbols(symbols)
     check_bounds(start, end, DATE_BOUNDS_MESSAGE)
     return store.read(DAILY_PRICES, symbols=symbols, start=start, end=end, ordered=ordered)
 
@@ -41,7 +50,7 @@ def statements(store: Store, statement: str, symbols: str | Iterable[str], caden
                start: date | None = None, end: date | None = None,
                columns: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
     """Q2-Q5: one statement family; the cadence picks the table."""
-    require_symbols(symbols)
+    symbols = require_symbols(symbols)
     spec = statement_table(statement, cadence)
     check_bounds(start, end, DATE_BOUNDS_MESSAGE)
     return store.read(spec, symbols=symbols, start=start, end=end, columns=columns, ordered=ordered)

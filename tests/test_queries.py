@@ -80,6 +80,7 @@ def test_symbols_are_required(store):
         with pytest.raises(ValueError, match="symbols are required"):
             call()
     assert q.daily_prices(store, [" "]).count() == 0  # present but blank: matches nothing
+    assert q.daily_prices(store, (s for s in ["AAPL"])).count() == 0  # a generator is fine
 
 
 def test_daily_prices_full_rows_in_key_order(spark, store):
