@@ -250,7 +250,8 @@ def backfill_load(spark, sf_dir):
 
 
 def staging_todo(spark, sf_dir):
-    """JN3 + AGG5: after staging the ETFs, the symbols still to stage."""
+    """JN3 + AGG5: after staging the ETFs, the symbols still to stage (every
+    non-ETF, and every ETF with no landed history yet)."""
     landing = _landed_histories(spark, sf_dir)
     staging = scratch_dir(spark, "staging-todo")
     listings = stamped_universe(spark, sf_dir)

@@ -240,7 +240,8 @@ SQL.update({
     "price_history_json": P + "SELECT * FROM lp",
     "landing_ingest": P + "SELECT * FROM lp",
     "backfill_load": P + "SELECT * FROM lp",
-    "staging_todo": U + "SELECT symbol FROM f2 WHERE security_type <> 'etf'",
+    "staging_todo": U + """SELECT symbol FROM f2 WHERE NOT (security_type = 'etf'
+        AND symbol IN (SELECT DISTINCT 'U' || CAST(user_id AS VARCHAR) FROM events))""",
     "statements_quarterly": with_(F3, F3Q) + stored_statement(
         "income_statement", "f3q", ["date", "symbol", "period", "accepted_date", "revenue"])
         + f""" WHERE symbol IN {S_IN} AND "date" BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'""",

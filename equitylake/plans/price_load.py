@@ -10,9 +10,10 @@ job instead of a per-symbol loop:
   over their landed lines writes their rows to a staging table partitioned
   by shard (dynamic overwrite: a retried shard replaces only itself). Rows
   of a malformed history are flagged, not raised; only then are ledger rows
-  appended, for every symbol that staged cleanly (a symbol with no history
-  included, so it is not asked for again). A failed symbol is reported and
-  tried again next run; the others go on.
+  appended, for every symbol whose landed history staged cleanly (one that
+  landed as ``{}`` included, so it is not asked for again). A failed symbol
+  is reported and tried again next run; a symbol with nothing landed yet
+  stays pending; the others go on.
 * **load** upserts the staged rows the ledger records into ``daily_prices``:
   the ledger, written last, is the source of truth, so rows of a failed
   symbol or of a run that crashed before recording are never loaded. The
@@ -125,16 +126,21 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("part").parquet(_data_path(staging)))
 
+    # Per symbol of this run: was anything landed, and did any row fail?
+    # (bounded by the universe; a symbol with nothing landed stays pending).
     staged = read_staged(spark, staging).filter(F.col("part") >= first)
-    failed_df = staged.filter("_bad").select("symbol").distinct()
-    failed = sorted(r.symbol for r in failed_df.collect())  # at most the universe, usually none
-    done = anti_join(todo, failed_df, "symbol") if failed else todo
-    counts = staged.filter(~F.col("_bad")).groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    seen = staged.groupBy("symbol").agg(F.max(F.col("_bad").cast("int")).alias("bad"))
+    failed = sorted(r.symbol for r in seen.filter("bad = 1").collect())  # a report, usually empty
+    done = attach(todo, seen.filter("bad = 0").select("symbol"), "symbol")
+    counts = (staged.filter(~F.col("_bad") & F.col("pos").isNotNull())
+                    .groupBy("part").agg(F.count(F.lit(1)).alias("rows")))
     entries = (done.groupBy("part").agg(F.array_sort(F.collect_list("symbol")).alias("symbols"))
                    .join(counts, "part", "left")
                    .select("part", "symbols", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")))
     entries.write.mode("append").parquet(_ledger_path(staging))
-    return n - len(failed), failed
+    recorded = read_ledger(spark, staging).filter(F.col("part") >= first) \
+        .agg(F.sum(F.size("symbols")).alias("n")).first()["n"]
+    return int(recorded or 0), failed
 
 
 def _drop_unrecorded_shards(spark: SparkSession, staging: str, first: int) -> None:
@@ -158,7 +164,7 @@ def load(store: Store, staging: str, year: int | None = None) -> int:
     if not files.list_dirs(spark, _data_path(staging), "part="):
         raise RuntimeError(f"No staged shards in {staging}")
     recorded = read_ledger(spark, staging).select("part", F.explode("symbols").alias("symbol"))
-    staged = semi_join(read_staged(spark, staging), recorded, ["part", "symbol"])
+    staged = semi_join(read_staged(spark, staging), recorded, ["part", "symbol"]).filter(F.col("pos").isNotNull())
     if year is not None:
         staged = staged.filter(calendar_year("date", year))
     return store.upsert(DAILY_PRICES, staged, order=["part", *landed.PRICE_ORDER])

@@ -254,8 +254,18 @@ def parse_history_docs(lines: DataFrame, strict: bool = True) -> DataFrame:
     return docs if not strict else docs.drop("_bad_doc")
 
 
+HISTORY_LINES_SCHEMA = "value string, symbol string"
+
+
 def read_history_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Raw history lines with their symbol (from the path) and scan order."""
+    """Raw history lines with their symbol (from the path) and scan order.
+
+    A landing zone that does not exist yet, or holds no file, reads as empty.
+    """
+    if not files.exists(spark, root) or not files.list_dirs(spark, root, "symbol="):
+        lines = spark.createDataFrame([], HISTORY_LINES_SCHEMA)
+        return lines.select("value", "symbol", F.lit(None).cast("string").alias("_file"),
+                            F.lit(None).cast("long").alias("_block"), F.lit(None).cast("long").alias("_row"))
     lines = spark.read.option("basePath", root).text(root)
     if "symbol" not in lines.columns:
         raise ValueError(f"{root}: histories must sit in symbol=<S> directories")
@@ -273,8 +283,10 @@ def shape_prices(docs: DataFrame, strict: bool = True, carry: Sequence[str] = ()
     The symbol comes from the path, not the payload. Volume arrives as a
     JSON number and is narrowed to a long leniently. Strict: a malformed date
     fails the job whatever the ANSI setting. Not strict: rows get a ``_bad``
-    flag instead (a malformed date, or a marker row for a bad document).
-    ``carry`` names extra document columns passed through (e.g. a shard).
+    flag instead, and every document without entries (``{}``, an empty
+    history, or a bad document) leaves one marker row with a null ``pos``,
+    so the caller knows the symbol was landed. ``carry`` names extra document
+    columns passed through (e.g. a shard).
     """
     # posexplode_outer + a filter on its output: a plain posexplode makes
     # Spark infer ``size(historical) > 0`` and push it below any semi join,
@@ -291,7 +303,6 @@ def shape_prices(docs: DataFrame, strict: bool = True, carry: Sequence[str] = ()
         flags = []
     else:
         bad = F.col("_bad_doc") | F.coalesce(bad_date, F.lit(False))
-        rows = rows.filter(F.col("pos").isNotNull() | F.col("_bad_doc"))
         day, flags = parsed, [bad.alias("_bad")]
     return rows.select(
         "symbol", day.cast("date").alias("date"),

@@ -303,3 +303,21 @@ def test_stream_in_several_micro_batches(spark, scratch):
     ingest_available(spark, store, landing, ckpt, max_files_per_trigger=1)
     assert store.read(DAILY_PRICES).count() == 6
     assert sorted(n for n in os.listdir(f"{ckpt}/commits") if not n.startswith(".")) == ["0", "1", "2"]
+
+
+def test_symbol_without_a_landed_file_stays_pending(spark, scratch):
+    landing, staging = f"{scratch}/landing", f"{scratch}/staging"
+    write(f"{landing}/symbol=AAPL/a.json", history([("2024-01-02", 1.0)]))
+    universe = spark.createDataFrame([("AAPL",), ("LATE",)], "symbol string")
+    assert price_load.stage(spark, universe, landing, staging) == (1, [])
+    todo = price_load.staging_todo(universe, price_load.read_ledger(spark, staging))
+    assert [r.symbol for r in todo.collect()] == ["LATE"]
+    write(f"{landing}/symbol=LATE/a.json", "{}")  # lands later, as delisted
+    assert price_load.stage(spark, universe, landing, staging) == (1, [])
+    assert price_load.stage(spark, universe, landing, staging) == (0, [])
+
+
+def test_refresh_from_an_empty_landing_is_a_noop(spark, scratch):
+    store = Store(spark, f"{scratch}/store")
+    assert price_load.refresh_prices(store, f"{scratch}/nothing-landed") == 0
+    assert not store.exists(DAILY_PRICES)
