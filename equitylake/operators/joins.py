@@ -23,9 +23,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _keyed(small: DataFrame, on: Sequence[str], max_rows: int, keep_all: bool = False) -> DataFrame:
+def _keyed(small: DataFrame, on: Sequence[str], max_rows: int, keep_all: bool = False,
+           known_rows: int | None = None) -> DataFrame:
+    """The small side, broadcast-hinted when it provably holds <= max_rows rows.
+
+    ``known_rows`` is a row count the caller has already computed; it
+    replaces the bounded count.
+    """
     keys = small if keep_all else small.select(*on)
-    return F.broadcast(keys) if fits_broadcast(keys, max_rows) else keys
+    small_enough = known_rows <= max_rows if known_rows is not None else fits_broadcast(keys, max_rows)
+    return F.broadcast(keys) if small_enough else keys
 
 
 def semi_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbol",
@@ -43,10 +50,11 @@ def anti_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbo
 
 
 def attach(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbol",
-           max_broadcast_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+           max_broadcast_rows: int = MAX_BROADCAST_KEYS, known_rows: int | None = None) -> DataFrame:
     """Inner join that adds ``small``'s columns to matching ``big`` rows.
 
     ``small`` must be unique on ``on`` (a lookup), so no row is multiplied.
     """
     on = [on] if isinstance(on, str) else list(on)
-    return big.join(_keyed(small, on, max_broadcast_rows, keep_all=True), on=on, how="inner")
+    return big.join(_keyed(small, on, max_broadcast_rows, keep_all=True, known_rows=known_rows),
+                    on=on, how="inner")

@@ -118,11 +118,12 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
     _drop_unrecorded_shards(spark, staging, first)
     # One pass: the pending symbols' lines (restricted before parsing), each
     # tagged with its shard, parsed leniently so bad rows are flagged.
-    lines = attach(landed.read_history_lines(spark, landing), todo, "symbol")
+    lines = attach(landed.read_history_lines(spark, landing), todo, "symbol", known_rows=n)
     rows = landed.shape_prices(landed.parse_history_docs(lines, strict=False), strict=False, carry=["part"])
-    # Range on (part, symbol): about one file per shard, while a shard that
-    # holds a third of the rows still spreads over several tasks.
-    (rows.repartitionByRange("part", "symbol").write.mode("overwrite")
+    # Rebalance on the shard: about one file per shard, and AQE splits a shard
+    # holding a third of the rows over several tasks; no sampling pass over
+    # the landing is needed (staging is transient and carries its own order).
+    (rows.hint("rebalance", "part").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("part").parquet(_data_path(staging)))
 
@@ -130,17 +131,18 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
     # (bounded by the universe; a symbol with nothing landed stays pending).
     staged = read_staged(spark, staging).filter(F.col("part") >= first)
     seen = staged.groupBy("symbol").agg(F.max(F.col("_bad").cast("int")).alias("bad"))
-    failed = sorted(r.symbol for r in seen.filter("bad = 1").collect())  # a report, usually empty
-    done = attach(todo, seen.filter("bad = 0").select("symbol"), "symbol")
+    summary = seen.agg(F.count_if(F.col("bad") == 0).alias("ok"),
+                       F.sort_array(F.collect_list(F.when(F.col("bad") == 1, F.col("symbol")))).alias("failed")
+                       ).first()  # one row: a count and the (usually empty) failure report
+    ok, failed = int(summary["ok"] or 0), list(summary["failed"] or [])
+    done = attach(todo, seen.filter("bad = 0").select("symbol"), "symbol", known_rows=ok)
     counts = (staged.filter(~F.col("_bad") & F.col("pos").isNotNull())
                     .groupBy("part").agg(F.count(F.lit(1)).alias("rows")))
     entries = (done.groupBy("part").agg(F.array_sort(F.collect_list("symbol")).alias("symbols"))
                    .join(counts, "part", "left")
                    .select("part", "symbols", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")))
     entries.write.mode("append").parquet(_ledger_path(staging))
-    recorded = read_ledger(spark, staging).filter(F.col("part") >= first) \
-        .agg(F.sum(F.size("symbols")).alias("n")).first()["n"]
-    return int(recorded or 0), failed
+    return ok, failed
 
 
 def _drop_unrecorded_shards(spark: SparkSession, staging: str, first: int) -> None:
