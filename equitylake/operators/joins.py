@@ -36,10 +36,10 @@ def _keyed(small: DataFrame, on: Sequence[str], max_rows: int, keep_all: bool =
 
 
 def semi_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbol",
-              max_broadcast_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+              max_broadcast_rows: int = MAX_BROADCAST_KEYS, known_rows: int | None = None) -> DataFrame:
     """Rows of ``big`` whose key appears in ``small`` (JN1, JN2, FLT10)."""
     on = [on] if isinstance(on, str) else list(on)
-    return big.join(_keyed(small, on, max_broadcast_rows), on=on, how="left_semi")
+    return big.join(_keyed(small, on, max_broadcast_rows, known_rows=known_rows), on=on, how="left_semi")
 
 
 def anti_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbol",

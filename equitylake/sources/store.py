@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from equitylake.functions.text import normalize_symbols
 from equitylake.operators.conform import conform, resolve_columns
+from equitylake.operators.joins import semi_join
 from equitylake.operators.latest import merge_latest
 from equitylake.operators.predicates import all_of, date_between, symbol_in
 from equitylake.sources import files
@@ -142,7 +143,7 @@ class Store:
             df = df.filter(pred)
         if tickers is not None and len(tickers) > MAX_IN_LIST:
             keys = self.spark.createDataFrame([(t,) for t in tickers], "symbol string")
-            df = df.join(F.broadcast(keys), "symbol", "left_semi")
+            df = semi_join(df, keys, "symbol", known_rows=len(tickers))
         df = df.select(*selection)
         return df.orderBy(*spec.key) if ordered else df
 

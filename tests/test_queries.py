@@ -110,3 +110,17 @@ def test_each_statement_query_reads_its_own_table(spark, store):
         for cadence, period in (("annual", "FY"), ("quarterly", "Q4")):
             row = fn(store, ["AAPL"], cadence, columns=[amount[family], "period"]).first()
             assert (row[amount[family]], row.period) == (float(i), period)
+
+
+def test_broadcast_only_within_the_checked_bound(spark):
+    from equitylake.operators.joins import semi_join
+    big = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "symbol string, v int")
+    small = spark.createDataFrame([("A",), ("C",)], "symbol string")
+
+    def hinted(df):
+        return "strategy=broadcast" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(semi_join(big, small))
+    assert not hinted(semi_join(big, small, max_broadcast_rows=1))
+    assert not hinted(semi_join(big, small, known_rows=5, max_broadcast_rows=4))
+    assert sorted(r.symbol for r in semi_join(big, small, max_broadcast_rows=1).collect()) == ["A", "C"]
