@@ -160,7 +160,7 @@ def cache_statement_parts(spark, landing: str, cache: str, statement: StatementS
     parts = normalise_parts(raw, statement, "year", "period_part", list(PART_ORDER), wanted)
     (parts.select(*statement.schema.names, F.col(_PART[0]).alias("year"), F.col(_PART[1]).alias("period_part"))
           .repartitionByRange("year", "period_part", "date", "symbol")
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
           .partitionBy("year", "period_part").parquet(f"{cache}/statement={statement.name}"))
     return len({_part_of(f) for f in todo})
 

@@ -39,6 +39,9 @@ KEEP_VERSIONS = 2
 # of an IN list; the list already sits on the driver, so its size is known.
 MAX_IN_LIST = 10_000
 MAX_RECORDS_PER_FILE = 5_000_000
+# zstd: about a fifth smaller than snappy on the price history, written as
+# fast and scanned faster (measured on an 80-month history).
+COMPRESSION = "zstd"
 
 
 class Store:
@@ -169,7 +172,8 @@ class Store:
         overwriting.
         """
         path = self._version_path(spec, max(self._version_dirs(spec), default=0) + 1)
-        writer = self._layout(spec, frame).write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        writer = (self._layout(spec, frame).write.mode("errorifexists")
+                  .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", COMPRESSION))
         if spec.partition_column:
             writer = writer.partitionBy(spec.partition_column)
         writer.parquet(path)
@@ -241,6 +245,6 @@ class Store:
         merged = merged.unionByName(stored.filter(~in_span))
         (self._layout(spec, merged).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
-             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", COMPRESSION)
              .partitionBy(pcol).parquet(current))
         return rows
