@@ -32,6 +32,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hpath, True)
 
 
+def rename(spark: SparkSession, src: str, dst: str) -> bool:
+    jvm, fs, hsrc = _fs(spark, src)
+    return bool(fs.rename(hsrc, jvm.org.apache.hadoop.fs.Path(dst)))
+
+
 def list_dirs(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     """Names of the sub-directories of ``path`` starting with ``prefix``."""
     _, fs, hpath = _fs(spark, path)

@@ -85,6 +85,34 @@ class Store:
             if v not in keep and (done or v < committed[-1]):
                 files.delete(self.spark, self._version_path(spec, v))
 
+    def recover(self, spec: TableSpec) -> list[str]:
+        """Finish or discard an in-place upsert that a driver crash interrupted.
+
+        Dynamic partition overwrite commits in two steps: the job's output is
+        completed in ``.spark-staging-<job>`` (its committer writes
+        ``_SUCCESS`` there; observed on Spark 4.1), then each touched
+        partition is swapped in (delete, rename). A staging
+        folder with ``_SUCCESS`` therefore holds complete partitions: they are
+        rolled forward. One without it never reached commit: it is dropped,
+        and the table is as before. Returns the partitions rolled forward.
+        Single-writer: call it only when no write to the table is running.
+        """
+        current = self.current_path(spec)
+        if current is None:
+            return []
+        rolled = []
+        for staging in files.list_dirs(self.spark, current, ".spark-staging-"):
+            stage_dir = f"{current}/{staging}"
+            if files.exists(self.spark, f"{stage_dir}/_SUCCESS") and spec.partition_column:
+                for part in files.list_dirs(self.spark, stage_dir, f"{spec.partition_column}="):
+                    final = f"{current}/{part}"
+                    if files.exists(self.spark, final):
+                        files.delete(self.spark, final)
+                    files.rename(self.spark, f"{stage_dir}/{part}", final)
+                    rolled.append(part)
+            files.delete(self.spark, stage_dir)
+        return rolled
+
     # ------------------------------------------------------------------- read
     def empty(self, spec: TableSpec, columns: Sequence[str] | None = None) -> DataFrame:
         schema = spec.schema
@@ -182,6 +210,7 @@ class Store:
 
     def write(self, spec: TableSpec, frame: DataFrame) -> None:
         """SNK1: replace the whole table (keys are not de-duplicated)."""
+        self.recover(spec)
         self._write_version(spec, conform(frame, spec.schema))
 
     def upsert(self, spec: TableSpec, fresh: DataFrame, order: Sequence[str] | None = None) -> int:
@@ -196,6 +225,7 @@ class Store:
         (before de-duplication).
         """
         order = list(order or [])
+        self.recover(spec)
         fresh = conform(fresh, spec.schema, keep=order)
         if spec.time_index is None:
             return self._upsert_keyed(spec, fresh, order)

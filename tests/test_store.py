@@ -240,3 +240,25 @@ def test_long_symbol_list_uses_a_broadcast_semi_join(spark, store, monkeypatch):
     df = store.read(DAILY_PRICES, symbols=["aapl", "NVDA", "XOM"])
     assert [r.symbol for r in df.collect()] == ["AAPL", "NVDA"]
     assert "LeftSemi" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_recover_rolls_an_interrupted_commit_forward(spark, store, tmp_path):
+    import shutil
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0), ("AAPL", date(2024, 2, 5), 2.0)]))
+    current = store.current_path(DAILY_PRICES).replace("file:", "")
+    # Simulate a crash inside the commit loop: the job's staging folder is
+    # complete (_SUCCESS), February was already deleted but not renamed.
+    staging = f"{current}/.spark-staging-crashed"
+    done = price_rows(spark, [("AAPL", date(2024, 2, 5), 9.0)]).withColumn("pmonth", F.lit(202402))
+    done.write.partitionBy("pmonth").parquet(staging)
+    shutil.rmtree(f"{current}/pmonth=202402")
+    assert store.recover(DAILY_PRICES) == ["pmonth=202402"]
+    assert [r.close for r in store.read(DAILY_PRICES).collect()] == [1.0, 9.0]
+    # A staging folder that never reached commit is simply dropped.
+    price_rows(spark, [("AAPL", date(2024, 1, 5), 7.0)]).withColumn("pmonth", F.lit(202401)) \
+        .write.partitionBy("pmonth").parquet(f"{current}/.spark-staging-partial")
+    import os
+    os.remove(f"{current}/.spark-staging-partial/_SUCCESS")
+    assert store.recover(DAILY_PRICES) == []
+    assert [r.close for r in store.read(DAILY_PRICES).collect()] == [1.0, 9.0]
+    assert not os.path.exists(f"{current}/.spark-staging-partial")
