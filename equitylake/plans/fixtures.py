@@ -5,7 +5,9 @@ grows with them. The same views are written as SQL for the DuckDB oracle in
 ``equitylake.plans.oracle``; the two must stay in step.
 
 F1 price feed (repeated keys on purpose), F2 universe, F3 typed statements,
-F4 raw statement text, F5 raw listing profiles.
+F4 raw statement text, F5 raw listing profiles, F7 a long price history
+(one row per order, about 80 monthly partitions). F6, the landed price
+histories, is written from F1 by ``sources.landed.write_price_histories``.
 """
 
 from __future__ import annotations

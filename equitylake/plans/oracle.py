@@ -1,7 +1,7 @@
 """DuckDB oracle SQL for every catalog query that SQL can state.
 
-The driver's tables are pre-registered as views. The fixture views F1-F5
-are repeated here as CTEs, in DuckDB's dialect, mirroring
+The driver's tables are pre-registered as views. The fixture views (F1-F5,
+F7) are repeated here as CTEs, in DuckDB's dialect, mirroring
 ``equitylake.plans.fixtures`` expression for expression. Latest-wins is
 ``row_number() ... = 1`` (DuckDB's ``arg_max`` skips NULLs, which would change
 whole-row semantics). Run parameters (as-of dates, run timestamp) are literals.

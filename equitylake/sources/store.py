@@ -11,7 +11,9 @@ version is written beside the old one and readers switch when it commits.
 A time-indexed table is upserted *in place* with dynamic partition overwrite:
 only the month (prices) or year (statements) partitions the fresh batch
 touches are read, merged and rewritten; every other partition is untouched,
-so a daily refresh costs one month, not the history.
+so a daily refresh costs one month, not the history. A commit interrupted
+by a driver crash is rolled forward (or dropped) by ``recover`` before the
+next write.
 
 Inside a partition, files are range-partitioned and sorted by symbol then
 date, so a symbol lookup skips whole files and row groups on parquet min/max
