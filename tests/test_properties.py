@@ -52,3 +52,30 @@ def test_merge_latest_fresh_wins_whole_rows(spark):
     assert got == {1: ("a", 10.0), 2: ("b3", 22.0), 3: ("c", 30.0)}
     only_fresh = merge_latest(None, fresh.filter("seq = 1"), ["k"], ["seq"])
     assert only_fresh.columns == ["k", "name", "v"] and only_fresh.count() == 2
+
+
+def _py_float(text):
+    try:
+        return float(text)
+    except (TypeError, ValueError):
+        return None
+
+
+number_text = st.text(alphabet="0123456789.+-eE_ \t", max_size=12) | st.sampled_from(
+    ["inf", "-Infinity", "nan", " NaN ", "1_000", "1__0", "_1", "1_", "1e1_0", ".5", "5.", ".", "e5", "1.5d", "0x10"])
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(number_text, min_size=50, max_size=80))
+def test_as_float_agrees_with_python_float(spark, texts):
+    import math
+
+    from equitylake.functions.text import as_float
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.v for r in df.select("i", as_float("t").alias("v")).collect()}
+    for i, t in enumerate(texts):
+        want, have = _py_float(t), got[i]
+        if want is not None and math.isnan(want):
+            assert have is not None and math.isnan(have), t
+        else:
+            assert have == want, (t, have, want)
