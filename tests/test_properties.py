@@ -79,3 +79,15 @@ def test_as_float_agrees_with_python_float(spark, texts):
             assert have is not None and math.isnan(have), t
         else:
             assert have == want, (t, have, want)
+
+
+ws_text = st.text(alphabet=" \t\n\r\x0b\x0c\x85\xa0 　abcXYZ-.", max_size=10)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(ws_text, min_size=40, max_size=60))
+def test_as_str_agrees_with_python_strip(spark, texts):
+    from equitylake.functions.text import as_str
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.v for r in df.select("i", as_str("t").alias("v")).collect()}
+    assert got == {i: (t.strip() or None) for i, t in enumerate(texts)}
