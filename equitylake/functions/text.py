@@ -30,7 +30,9 @@ _FLOAT_SHAPE = (
     r"^[+-]?(((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?"
     r"|(?i:inf|infinity|nan))$"
 )
-_ISO_DATE_SHAPE = r"^\d{4}-\d{2}-\d{2}$"
+# Year 0000 is not a date for Python (Spark would accept it).
+_ISO_DATE_SHAPE = r"^(?!0000)\d{4}-\d{2}-\d{2}$"
+_ISO_BASIC_DATE_SHAPE = r"^(?!0000)\d{8}$"
 
 
 def _col(c: Column | str) -> Column:
@@ -61,9 +63,20 @@ def as_float(c: Column | str) -> Column:
 
 
 def as_date(c: Column | str) -> Column:
-    """First ten characters of the stripped text as an ISO date, else null."""
+    """First ten characters of the stripped text as an ISO date, else null.
+
+    Calendar dates in the extended (``2011-09-24``) or basic (``20110924``)
+    form, as Python's ``date.fromisoformat`` reads them -- including its
+    leniency that a ten-character text without a dash after the year is
+    read by its first eight characters (``2011092412`` is 2011-09-24).
+    ISO week dates are not read.
+    """
     head = F.substring(strip(c), 1, 10)
-    return F.when(head.rlike(_ISO_DATE_SHAPE), F.try_to_date(head, "yyyy-MM-dd"))
+    basic = F.substring(head, 1, 8)
+    basic_ok = basic.rlike(_ISO_BASIC_DATE_SHAPE) & (
+        (F.length(head) == 8) | ((F.length(head) == 10) & (F.substring(head, 5, 1) != "-")))
+    return (F.when(head.rlike(_ISO_DATE_SHAPE), F.try_to_date(head, "yyyy-MM-dd"))
+             .when(basic_ok, F.try_to_date(basic, "yyyyMMdd")))
 
 
 def as_timestamp_ntz(c: Column | str) -> Column:

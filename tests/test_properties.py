@@ -91,3 +91,25 @@ def test_as_str_agrees_with_python_strip(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r.i: r.v for r in df.select("i", as_str("t").alias("v")).collect()}
     assert got == {i: (t.strip() or None) for i, t in enumerate(texts)}
+
+
+def _py_date(text):
+    from datetime import date
+    try:
+        return date.fromisoformat(str(text).strip()[:10])
+    except (TypeError, ValueError):
+        return None
+
+
+date_text = st.text(alphabet="0123456789- :abT", min_size=6, max_size=14) | st.sampled_from(
+    ["2011-09-24", "20110924", "2011-02-30", "2024-02-29", " 1990-01-02 00:00:00", "2011-9-24", "20110230",
+     "0000-01-01", "00000101", "0001-01-01", "2011092412", "20110924ab", "201109240", "2011-0924"])
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(date_text, min_size=40, max_size=60))
+def test_as_date_agrees_with_python_fromisoformat(spark, texts):
+    from equitylake.functions.text import as_date
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.v for r in df.select("i", as_date("t").alias("v")).collect()}
+    assert got == {i: _py_date(t) for i, t in enumerate(texts)}
