@@ -130,6 +130,22 @@ class Store:
             return None
         return self.spark.read.schema(spec.stored_schema).parquet(path)
 
+    def register_views(self, specs: Iterable[TableSpec] | None = None) -> list[str]:
+        """Expose each written table to Spark SQL as a temp view of its name.
+
+        The view is the current version, partition column (``pmonth`` /
+        ``pyear``) included: a SQL filter on it prunes directories, which a
+        filter on ``date`` alone does not. Returns the names registered.
+        """
+        from equitylake.specs import TABLES
+        names = []
+        for spec in (specs if specs is not None else TABLES.values()):
+            df = self.scan(spec)
+            if df is not None:
+                df.createOrReplaceTempView(spec.name)
+                names.append(spec.name)
+        return names
+
     def read(
         self,
         spec: TableSpec,

@@ -262,3 +262,11 @@ def test_recover_rolls_an_interrupted_commit_forward(spark, store, tmp_path):
     assert store.recover(DAILY_PRICES) == []
     assert [r.close for r in store.read(DAILY_PRICES).collect()] == [1.0, 9.0]
     assert not os.path.exists(f"{current}/.spark-staging-partial")
+
+
+def test_tables_are_queryable_from_spark_sql(spark, store):
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0), ("MSFT", date(2024, 2, 5), 2.0)]))
+    assert store.register_views() == ["daily_prices"]
+    df = spark.sql("SELECT symbol, close FROM daily_prices WHERE pmonth = 202402")
+    assert [(r.symbol, r.close) for r in df.collect()] == [("MSFT", 2.0)]
+    assert "PartitionFilters: [isnotnull(pmonth" in df._jdf.queryExecution().executedPlan().toString()
