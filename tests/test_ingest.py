@@ -321,3 +321,23 @@ def test_refresh_from_an_empty_landing_is_a_noop(spark, scratch):
     store = Store(spark, f"{scratch}/store")
     assert price_load.refresh_prices(store, f"{scratch}/nothing-landed") == 0
     assert not store.exists(DAILY_PRICES)
+
+
+def test_full_profile_maps_every_universe_column(spark, scratch):
+    from equitylake.plans.universe_build import SHARD_ORDER, alias_fields
+    from equitylake.specs import TICKER_UNIVERSE
+    full = {"symbol": "aapl", "companyName": "Apple Inc.", "exchange": "NASDAQ",
+            "exchangeFullName": "NASDAQ Global Select", "sector": "Technology",
+            "industry": "Consumer Electronics", "country": "US", "currency": "USD", "marketCap": 3e12,
+            "beta": 1.1, "price": 200.0, "ipoDate": "1980-12-12", "cik": "0000320193", "isin": "US0378331005",
+            "cusip": "037833100", "isEtf": False, "isFund": False, "isAdr": False, "isActivelyTrading": True}
+    write(f"{scratch}/part=0/a.json", json.dumps([full]))
+    raw = landed.read_profile_shards(spark, scratch, alias_fields())
+    row = build_universe(raw, RUN, list(SHARD_ORDER)).first().asDict()
+    assert list(row) == TICKER_UNIVERSE.columns
+    assert row == {"symbol": "AAPL", "company_name": "Apple Inc.", "security_type": "common", "exchange": "NASDAQ",
+                   "exchange_full_name": "NASDAQ Global Select", "sector": "Technology",
+                   "industry": "Consumer Electronics", "country": "US", "currency": "USD", "market_cap": 3e12,
+                   "beta": 1.1, "price": 200.0, "ipo_date": date(1980, 12, 12), "cik": "0000320193",
+                   "isin": "US0378331005", "cusip": "037833100", "is_etf": False, "is_fund": False,
+                   "is_adr": False, "last_updated": RUN.replace(tzinfo=None)}
