@@ -341,3 +341,17 @@ def test_full_profile_maps_every_universe_column(spark, scratch):
                    "beta": 1.1, "price": 200.0, "ipo_date": date(1980, 12, 12), "cik": "0000320193",
                    "isin": "US0378331005", "cusip": "037833100", "is_etf": False, "is_fund": False,
                    "is_adr": False, "last_updated": RUN.replace(tzinfo=None)}
+
+
+def test_command_line_runs_the_jobs(spark, scratch, capsys):
+    from equitylake.__main__ import main
+    root = f"{scratch}/store"
+    write(f"{scratch}/profiles/part=0/a.json", json.dumps([profile("AAPL"), profile("MSFT")]))
+    write(f"{scratch}/prices/symbol=AAPL/a.json", history([("2024-01-02", 1.0), ("2025-03-04", 2.0)]))
+    assert main(["seed-universe", "--root", root, "--landing", f"{scratch}/profiles"])["shards"][0]["rows_kept"] == 2
+    assert main(["stage", "--root", root, "--landing", f"{scratch}/prices", "--staging", f"{scratch}/stg"]) == \
+        {"staged": 1, "failed": []}
+    assert main(["load", "--root", root, "--staging", f"{scratch}/stg"]) == {"rows": 2}
+    assert main(["load", "--root", root, "--staging", f"{scratch}/stg", "--year", "2025"]) == {"rows": 1}
+    assert '"command": "load"' in capsys.readouterr().out
+    assert Store(spark, root).read(DAILY_PRICES).count() == 2
