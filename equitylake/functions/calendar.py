@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from equitylake.specs import ANNUAL_PERIODS, QUARTERLY_PERIODS
 
+# Fixed value: years of history kept (prices and statements alike).
 HISTORY_YEARS = 15
 
 

@@ -35,6 +35,7 @@ from equitylake.sources import files, landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
 
+# Fixed value: symbols per staged shard.
 SHARD_SIZE = 100
 LEDGER_SCHEMA = "part int, symbols array<string>, rows bigint"
 # Staged rows: shaped prices, their feed order, the bad-row flag, the shard.

@@ -18,6 +18,7 @@ from equitylake.operators.predicates import (
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES, TICKER_UNIVERSE, statement_table
 
+# The messages that reject inverted bounds.
 DATE_BOUNDS_MESSAGE = "start must be on or before end"
 IPO_BOUNDS_MESSAGE = "ipo_start must be on or before ipo_end"
 CAP_BOUNDS_MESSAGE = "market_cap_min must be on or before market_cap_max"
