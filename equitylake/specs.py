@@ -97,6 +97,7 @@ def _struct(*pairs: tuple[str, T.DataType]) -> T.StructType:
 
 S, D, DT, L, I, B = T.StringType(), T.DoubleType(), T.DateType(), T.LongType(), T.IntegerType(), T.BooleanType()
 
+# The stored schemas -- column names, types and order -- and keys.
 DAILY_PRICES = TableSpec(
     "daily_prices",
     _struct(("symbol", S), ("date", DT), ("open", D), ("high", D), ("low", D),
