@@ -33,6 +33,7 @@ _FLOAT_SHAPE = (
 # Year 0000 is not a date for Python (Spark would accept it).
 _ISO_DATE_SHAPE = r"^(?!0000)\d{4}-\d{2}-\d{2}$"
 _ISO_BASIC_DATE_SHAPE = r"^(?!0000)\d{8}$"
+_ISO_WEEK_SHAPE = r"^(?!0000)\d{4}(-W\d{2}(-\d)?|W\d{2}\d?)$"
 
 
 def _col(c: Column | str) -> Column:
@@ -65,18 +66,35 @@ def as_float(c: Column | str) -> Column:
 def as_date(c: Column | str) -> Column:
     """First ten characters of the stripped text as an ISO date, else null.
 
-    Calendar dates in the extended (``2011-09-24``) or basic (``20110924``)
-    form, as Python's ``date.fromisoformat`` reads them -- including its
-    leniency that a ten-character text without a dash after the year is
-    read by its first eight characters (``2011092412`` is 2011-09-24).
-    ISO week dates are not read.
+    Reads what Python's ``date.fromisoformat`` reads: calendar dates in the
+    extended (``2011-09-24``) or basic (``20110924``) form and ISO week dates
+    (``2011-W39``, ``2011W39``, ``2011-W39-6``, ``2011W396``), including its
+    leniency that a ten-character text without a dash after the year is read
+    by its first eight characters (``2011092412`` is 2011-09-24).
     """
     head = F.substring(strip(c), 1, 10)
-    basic = F.substring(head, 1, 8)
-    basic_ok = basic.rlike(_ISO_BASIC_DATE_SHAPE) & (
-        (F.length(head) == 8) | ((F.length(head) == 10) & (F.substring(head, 5, 1) != "-")))
-    return (F.when(head.rlike(_ISO_DATE_SHAPE), F.try_to_date(head, "yyyy-MM-dd"))
-             .when(basic_ok, F.try_to_date(basic, "yyyyMMdd")))
+    lenient = (F.length(head) == 10) & (F.substring(head, 5, 1) != "-")
+    text = F.when(lenient, F.substring(head, 1, 8)).otherwise(head)
+    return (F.when(text.rlike(_ISO_DATE_SHAPE), F.try_to_date(text, "yyyy-MM-dd"))
+             .when(text.rlike(_ISO_BASIC_DATE_SHAPE), F.try_to_date(text, "yyyyMMdd"))
+             .when(text.rlike(_ISO_WEEK_SHAPE), _iso_week_date(text)))
+
+
+def _iso_week_date(text: Column) -> Column:
+    """Date of an ISO week date text already matching ``_ISO_WEEK_SHAPE``.
+
+    Week 1 is the week holding 4 January; a year has week 53 exactly when
+    28 December falls in it. Out-of-range weeks or days give null.
+    """
+    year = F.substring(text, 1, 4).cast("int")
+    week = F.regexp_extract(text, r"W(\d{2})", 1).cast("int")
+    day_text = F.regexp_extract(text, r"W\d{2}-?(\d)$", 1)
+    day = F.when(day_text == "", F.lit(1)).otherwise(day_text.cast("int"))
+    jan4 = F.make_date(year, F.lit(1), F.lit(4))
+    first_monday = F.date_sub(jan4, F.weekday(jan4))
+    weeks_in_year = F.weekofyear(F.make_date(year, F.lit(12), F.lit(28)))
+    ok = (week >= 1) & (week <= weeks_in_year) & (day >= 1) & (day <= 7)
+    return F.when(ok, F.date_add(first_monday, (week - 1) * 7 + (day - 1)))
 
 
 def as_timestamp_ntz(c: Column | str) -> Column:

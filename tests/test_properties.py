@@ -101,9 +101,14 @@ def _py_date(text):
         return None
 
 
-date_text = st.text(alphabet="0123456789- :abT", min_size=6, max_size=14) | st.sampled_from(
+week_text = st.builds(lambda y, sep, w, tail: f"{y:04d}{sep}W{w:02d}{tail}", st.integers(1, 9999),
+                      st.sampled_from(["", "-"]), st.integers(0, 54),
+                      st.sampled_from(["", "-1", "-7", "-0", "-8", "3", "9", "6xy", "-5 "]))
+date_text = week_text | st.text(alphabet="0123456789- :abTW", min_size=6, max_size=14) | st.sampled_from(
     ["2011-09-24", "20110924", "2011-02-30", "2024-02-29", " 1990-01-02 00:00:00", "2011-9-24", "20110230",
-     "0000-01-01", "00000101", "0001-01-01", "2011092412", "20110924ab", "201109240", "2011-0924"])
+     "0000-01-01", "00000101", "0001-01-01", "2011092412", "20110924ab", "201109240", "2011-0924",
+     "2011-W39", "2011W39", "2011-W39-6", "2011W396", "2011-W396", "2011W39-6", "2020-W53", "2021-W53",
+     "2015-W53-7", "2011W396xy", "2011-w39"])
 
 
 @settings(max_examples=20, deadline=None)
