@@ -5,7 +5,6 @@ import os
 from datetime import date, datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from equitylake.plans import price_load
 from equitylake.plans.statement_build import build_statement_table, normalise_parts

@@ -2,7 +2,6 @@
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from equitylake.operators.latest import latest_wins
 

@@ -4,7 +4,6 @@ from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from equitylake.specs import DAILY_PRICES, TICKER_UNIVERSE, statement_table
 
