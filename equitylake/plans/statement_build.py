@@ -13,6 +13,7 @@ into one latest-wins over the composite order (year, period, position).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -182,20 +183,25 @@ def restate_cached(parts: DataFrame, statement: StatementSpec) -> DataFrame:
 
 
 def seed_statements(store, landing: str, cache: str, years: int = HISTORY_YEARS,
-                    as_of: date | None = None) -> dict[str, int]:
+                    as_of: date | None = None, parallel: int = 4) -> dict[str, int]:
     """J5 as a job: every statement family x cadence, narrowed to the equity
     screen, replaces its table. Landed parts go through the part cache (only
     new parts are normalised); only parts of the fiscal-year window and the
     cadence's periods are read back (partition pruning). Returns rows written
     per table. An empty equity universe is an error.
+
+    The families are independent (own cache folder, own tables), so up to
+    ``parallel`` of them run as concurrent Spark jobs: each is small next to
+    a cluster, and one family's stragglers no longer idle the rest.
     """
     spark = store.spark
     wanted = equity_symbols(store, ordered=False)
     if wanted.isEmpty():
         raise RuntimeError("ticker_universe has no equities; build the universe first")
     span = fiscal_years(years, as_of=as_of or date.today())
-    written = {}
-    for statement in STATEMENTS.values():
+
+    def seed_family(statement: StatementSpec) -> dict[str, int]:
+        written = {}
         cache_statement_parts(spark, landing, cache, statement, wanted)
         parts = read_cached_parts(spark, cache, statement)
         for cadence in CADENCES:
@@ -208,4 +214,8 @@ def seed_statements(store, landing: str, cache: str, years: int = HISTORY_YEARS,
                                   & F.col("period_part").isin(*periods_for(cadence)))
             store.write(spec, restate_cached(window, statement))
             written[spec.name] = store.read(spec, columns=[], ordered=False).count()
-    return written
+        return written
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        results = list(pool.map(seed_family, STATEMENTS.values()))
+    return {name: rows for family in results for name, rows in family.items()}
