@@ -1,4 +1,4 @@
-"""Run the warehouse jobs from the command line (``spark-submit -m`` style).
+"""Run the warehouse jobs from the command line (directly, or as the module spark-submit runs).
 
     python -m equitylake seed-universe   --root R --landing L
     python -m equitylake seed-statements --root R --landing L --cache C [--years 15] [--as-of 2026-08-10]
