@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,11 +72,18 @@ def universe_store(spark: SparkSession, sf_dir: str) -> Store:
                  lambda s: s.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir)))
 
 
+def _side_by_side(*jobs: Callable[[], object]) -> None:
+    """Run independent writes (different tables) as concurrent Spark jobs."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for future in [pool.submit(job) for job in jobs]:
+            future.result()
+
+
 def market_store(spark: SparkSession, sf_dir: str) -> Store:
     """Prices and universe in one store (the price panel joins them)."""
     def build(s: Store) -> None:
-        s.upsert(DAILY_PRICES, fx.price_feed(spark, sf_dir), order=["seq"])
-        s.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir))
+        _side_by_side(lambda: s.upsert(DAILY_PRICES, fx.price_feed(spark, sf_dir), order=["seq"]),
+                      lambda: s.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir)))
     return _memo(spark, sf_dir, "market", build)
 
 
@@ -275,10 +283,11 @@ def _statement_variant(frame: DataFrame, family: str) -> DataFrame:
 def statement_store(spark, sf_dir, family: str) -> Store:
     """Both cadences of one statement family, loaded from F3 by upsert."""
     def build(s: Store) -> None:
-        s.upsert(statement_table(family, "quarterly"),
-                 _statement_variant(fx.statements_quarterly(spark, sf_dir), family), order=["seq"])
-        s.upsert(statement_table(family, "annual"),
-                 _statement_variant(fx.statements_annual(spark, sf_dir), family), order=["seq"])
+        _side_by_side(
+            lambda: s.upsert(statement_table(family, "quarterly"),
+                             _statement_variant(fx.statements_quarterly(spark, sf_dir), family), order=["seq"]),
+            lambda: s.upsert(statement_table(family, "annual"),
+                             _statement_variant(fx.statements_annual(spark, sf_dir), family), order=["seq"]))
     return _memo(spark, sf_dir, f"statements-{family}", build)
 
 
