@@ -354,3 +354,19 @@ def test_command_line_runs_the_jobs(spark, scratch, capsys):
     assert main(["load", "--root", root, "--staging", f"{scratch}/stg", "--year", "2025"]) == {"rows": 1}
     assert '"command": "load"' in capsys.readouterr().out
     assert Store(spark, root).read(DAILY_PRICES).count() == 2
+
+
+def test_continuous_ingest_picks_up_new_landings(spark, scratch):
+    from equitylake.streaming.landing import start_landing_ingest
+    landing, ckpt = f"{scratch}/landing", f"{scratch}/ckpt"
+    store = Store(spark, f"{scratch}/store")
+    write(f"{landing}/symbol=AAPL/a.json", history([("2024-01-02", 1.0)]))
+    query = start_landing_ingest(spark, store, landing, ckpt, processing_time="1 second")
+    try:
+        query.processAllAvailable()
+        assert store.read(DAILY_PRICES).count() == 1
+        write(f"{landing}/symbol=MSFT/a.json", history([("2024-01-02", 2.0)]))
+        query.processAllAvailable()
+        assert {r.symbol for r in store.read(DAILY_PRICES).collect()} == {"AAPL", "MSFT"}
+    finally:
+        query.stop()
