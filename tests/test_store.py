@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from equitylake.specs import DAILY_PRICES, TICKER_UNIVERSE, statement_table
 
@@ -269,3 +270,15 @@ def test_tables_are_queryable_from_spark_sql(spark, store):
     df = spark.sql("SELECT symbol, close FROM daily_prices WHERE pmonth = 202402")
     assert [(r.symbol, r.close) for r in df.collect()] == [("MSFT", 2.0)]
     assert "PartitionFilters: [isnotnull(pmonth" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_adding_a_declared_column_needs_no_migration(spark, store):
+    from equitylake.specs import TableSpec
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0)]))
+    wider = TableSpec(DAILY_PRICES.name, T.StructType(DAILY_PRICES.schema.fields + [T.StructField("vwap", T.DoubleType())]),
+                      DAILY_PRICES.key, DAILY_PRICES.grain)
+    row = store.read(wider).first()
+    assert row.close == 1.0 and row.vwap is None
+    fresh = price_rows(spark, [("AAPL", date(2024, 1, 6), 2.0)]).withColumn("vwap", F.lit(2.5))
+    store.upsert(wider, fresh)
+    assert [(r.close, r.vwap) for r in store.read(wider).collect()] == [(1.0, None), (2.0, 2.5)]
