@@ -242,7 +242,11 @@ class Store:
         so a column it lacks becomes null. Returns the number of fresh rows
         (before de-duplication).
         """
-        order = list(order or [])
+        # Copy the order columns under private names: an order column may
+        # also be a column of the table (e.g. ``last_updated``).
+        order_cols = [f"__order_{i}" for i in range(len(order or []))]
+        fresh = fresh.select("*", *[F.col(f"`{c}`").alias(o) for c, o in zip(order or [], order_cols)])
+        order = order_cols
         self.recover(spec)
         fresh = conform(fresh, spec.schema, keep=order)
         if spec.time_index is None:

@@ -282,3 +282,13 @@ def test_adding_a_declared_column_needs_no_migration(spark, store):
     fresh = price_rows(spark, [("AAPL", date(2024, 1, 6), 2.0)]).withColumn("vwap", F.lit(2.5))
     store.upsert(wider, fresh)
     assert [(r.close, r.vwap) for r in store.read(wider).collect()] == [(1.0, None), (2.0, 2.5)]
+
+
+def test_order_may_be_a_column_of_the_table(spark, store):
+    early, late = datetime(2026, 1, 1, tzinfo=timezone.utc), datetime(2026, 2, 1, tzinfo=timezone.utc)
+    fresh = universe_frame(spark, [universe_row("AAPL", price=2.0, last_updated=late),
+                                   universe_row("AAPL", price=1.0, last_updated=early)])
+    store.upsert(TICKER_UNIVERSE, fresh, order=["last_updated"])
+    rows = store.read(TICKER_UNIVERSE).collect()
+    assert store.read(TICKER_UNIVERSE).columns == TICKER_UNIVERSE.columns
+    assert [(r.price, r.last_updated) for r in rows] == [(2.0, late.replace(tzinfo=None))]
