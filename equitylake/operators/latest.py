@@ -41,24 +41,26 @@ def merge_latest(stored: DataFrame | None, fresh: DataFrame, key: Sequence[str],
                  order: Sequence[str] | None = None) -> DataFrame:
     """Overlay ``fresh`` on ``stored`` by ``key``: fresh rows win whole.
 
-    Both frames carry the same columns. Among fresh duplicates the row that
-    sorts last by ``order`` (columns of ``fresh``, kept in the output only if
-    ``stored`` has them too) wins; without ``order``, the last in scan order.
-    ``stored`` may be ``None`` (nothing stored yet). Stored duplicates of a
-    key fresh does not touch are de-duplicated too, in no particular order,
-    so callers pass only the stored rows they mean to merge.
+    The output has ``stored``'s columns (``fresh`` must carry them all), or,
+    with nothing stored yet (``stored`` is ``None``), ``fresh``'s columns
+    except the order columns. Among fresh duplicates the row that sorts last
+    by ``order`` (columns of ``fresh``; they may also be data columns) wins;
+    without ``order``, the last in scan order. Stored duplicates of a key
+    fresh does not touch are de-duplicated too, in no particular order, so
+    callers pass only the stored rows they mean to merge.
     """
     order = list(order or [])
-    columns = [c for c in fresh.columns if c not in order]
+    columns = stored.columns if stored is not None else [c for c in fresh.columns if c not in order]
     if order:
         ordered = fresh.withColumn(_ORDER, F.struct(*[F.col(f"`{c}`") for c in order]))
     else:
         ordered = fresh.withColumn(_ORDER, F.struct(F.monotonically_increasing_id().alias("scan")))
-    ordered = ordered.select(*columns, _ORDER).withColumn(_PRIO, F.lit(1))
+    ordered = ordered.select(*[F.col(f"`{c}`") for c in columns], _ORDER).withColumn(_PRIO, F.lit(1))
     if stored is None:
         both = ordered
     else:
         order_type = ordered.schema[_ORDER].dataType
-        both = (stored.select(*columns).withColumn(_ORDER, F.lit(None).cast(order_type))
+        both = (stored.select(*[F.col(f"`{c}`") for c in columns])
+                      .withColumn(_ORDER, F.lit(None).cast(order_type))
                       .withColumn(_PRIO, F.lit(0))).unionByName(ordered)
     return latest_wins(both, key, [_PRIO, _ORDER]).drop(_PRIO, _ORDER)

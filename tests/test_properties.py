@@ -117,3 +117,12 @@ def test_as_date_agrees_with_python_fromisoformat(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r.i: r.v for r in df.select("i", as_date("t").alias("v")).collect()}
     assert got == {i: _py_date(t) for i, t in enumerate(texts)}
+
+
+def test_merge_latest_order_may_be_a_data_column(spark):
+    from equitylake.operators.latest import merge_latest
+    stored = spark.createDataFrame([(1, 5)], "k int, version int")
+    fresh = spark.createDataFrame([(1, 7), (1, 6), (2, 1)], "k int, version int")
+    got = merge_latest(stored, fresh, ["k"], ["version"])
+    assert got.columns == ["k", "version"]
+    assert sorted((r.k, r.version) for r in got.collect()) == [(1, 7), (2, 1)]
