@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from equitylake.functions.text import normalize_symbol
 from equitylake.sources import files
 
 class PayloadError(RuntimeError):
@@ -269,7 +270,8 @@ def read_history_lines(spark: SparkSession, root: str) -> DataFrame:
     lines = spark.read.option("basePath", root).text(root)
     if "symbol" not in lines.columns:
         raise ValueError(f"{root}: histories must sit in symbol=<S> directories")
-    return lines.select("value", "symbol", *_scan_order())
+    # Tickers are upper-cased and stripped wherever they enter.
+    return lines.select("value", normalize_symbol("symbol").alias("symbol"), *_scan_order())
 
 
 def read_price_histories(spark: SparkSession, root: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from equitylake.functions.text import normalize_symbol
 from equitylake.sources import landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
@@ -32,7 +33,8 @@ def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkp
     reader = spark.readStream.schema("value string, symbol string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.text(landing).select("value", "symbol", F.col("_metadata.file_path").alias("_file"))
+    lines = reader.text(landing).select("value", normalize_symbol("symbol").alias("symbol"),
+                                        F.col("_metadata.file_path").alias("_file"))
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         docs = landed.parse_history_docs(batch.withColumn("_row", F.monotonically_increasing_id()))

@@ -370,3 +370,13 @@ def test_continuous_ingest_picks_up_new_landings(spark, scratch):
         assert {r.symbol for r in store.read(DAILY_PRICES).collect()} == {"AAPL", "MSFT"}
     finally:
         query.stop()
+
+
+def test_landed_symbol_directories_are_normalised(spark, scratch):
+    landing = f"{scratch}/landing"
+    write(f"{landing}/symbol=aapl/a.json", history([("2024-01-02", 1.0)]))
+    store = Store(spark, f"{scratch}/store")
+    price_load.refresh_prices(store, landing)
+    assert [r.symbol for r in store.read(DAILY_PRICES).collect()] == ["AAPL"]
+    universe = spark.createDataFrame([("AAPL",)], "symbol string")
+    assert price_load.stage(spark, universe, landing, f"{scratch}/staging") == (1, [])
