@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equitylake.llm import linededup, packing, pii, quality, simhash
@@ -43,8 +43,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and list of the spans of personal data in every document."""
     found = pii.span_report(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
-    n = {f"n_{k}": F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.BASE_KINDS}
-    return found.select("doc_id", *n.values(), F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
