@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from equitylake.session import checkpoint_root
@@ -87,3 +89,40 @@ def hot_blocks(members: DataFrame, key: Sequence[str], salt: str, size: int) ->
     return (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
                  .withColumn("lo", F.least("blk", "other")).withColumn("hi", F.greatest("blk", "other"))
                  .drop("other", "nb"))
+
+
+def whole_groups(batches, n_keys: int):
+    """Tables of whole groups from record batches sorted by their first ``n_keys`` columns: (table, starts of its groups)."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        held = part if held is None else pa.concat_tables([held, part])
+        starts = _starts(held, n_keys)
+        if len(starts) > 1:
+            yield held.slice(0, starts[-1]), starts[:-1]
+            held = held.slice(starts[-1])
+    if held is not None:
+        yield held, _starts(held, n_keys)
+
+
+def _starts(part: pa.Table, n_keys: int) -> np.ndarray:
+    new = np.zeros(part.num_rows, bool)
+    new[0] = True
+    for i in range(n_keys):
+        values = part.column(i).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
+
+
+def matrix(column, dtype=np.float64) -> np.ndarray:
+    """A list column of equal lengths as a matrix."""
+    rows = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return rows.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(rows), -1)
+
+
+def usable(vector: Column) -> Column:
+    """True for a vector that has a direction: not null, no null or non-finite component, not all zero."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return F.coalesce(~bad & F.exists(vector, lambda x: x != 0), F.lit(False))

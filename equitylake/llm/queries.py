@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitylake.llm import linededup, packing, pii, quality, simhash
+from equitylake.llm import chat, hnsw, lattice, linededup, packing, passages, pieces, pii, quality, simhash
 from equitylake.llm.common import table
 
 #: Rows in an Arrow batch: whole texts travel in it.
@@ -27,6 +27,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op2_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector of ``embeddings`` among all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of ``documents`` that another document holds, but in the document that keeps them."""
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sequence of ``documents`` with its bucket, batch and slot."""
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -50,6 +61,21 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
+def op7_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of ``embeddings`` at cosine 0.95."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of ``conversations``, repaired and rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text of ``documents``, decoded again."""
+    return pieces.encoded(table(spark, sf_dir, "documents"), pieces.PieceModel.load(pieces.MODEL))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that ``documents`` share, dropped but in the largest document, with a digest of what stays."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,7 +91,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_ALL = [op1_simhash, op4_packing, op5_quality, op6_pii, op10_line_dedup, pipeline]
+_ALL = [op1_simhash, op2_hnsw, op3_passages, op4_packing, op5_quality, op6_pii, op7_lattice, op8_chat, op9_pieces,
+        op10_line_dedup, pipeline]
 QUERIES = {q.__name__: _with_small_batches(q) for q in _ALL}
 
 _KEY = r"""translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
