@@ -238,11 +238,12 @@ def jaccard(one: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 def repeated(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
              bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, first_word, end_word, component, keeper): the spans of words to remove, disjoint in each document.
+    """(id, first_word, end_word, component, keeper): the spans of words to remove.
 
     ``keeper`` is the document that keeps the passage, the smallest id of the
-    component; the component is named by a paragraph's hash (of merged spans:
-    the smallest). Paragraphs repeated within one document only are left
+    component; the component is named by a paragraph's hash. Paragraphs of a
+    document that overlap and have one keeper are merged, under the smallest
+    component; spans of different keepers may overlap. Paragraphs repeated within one document only are left
     alone. Null, empty and short texts (under 24 words) and rows with a null
     id hold no paragraph. Rows that repeat an id are one document. An empty
     table gives no rows.
@@ -273,12 +274,12 @@ def repeated(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     spread = (placed.groupBy("component").agg(F.min("doc").alias("keeper"), F.max("doc").alias("hi"))
                     .where("keeper <> hi").select("component", "keeper"))
     gone = placed.join(spread, "component").where("doc <> keeper").distinct()
-    order = W.partitionBy("doc").orderBy("first", "component")
+    order = W.partitionBy("doc", "keeper").orderBy("first", "component")
     runs = (gone.withColumn("new", F.coalesce(F.col("first") > F.max(F.col("first") + WORDS).over(
                 order.rowsBetween(W.unboundedPreceding, -1)), F.lit(True)).cast("int"))
                 .withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))))
-    return (runs.groupBy("doc", "run").agg(F.min("first").alias("first_word"), (F.max("first") + WORDS).alias("end_word"),
-                                           F.min("component").alias("component"), F.min("keeper").alias("keeper"))
+    return (runs.groupBy("doc", "keeper", "run").agg(F.min("first").alias("first_word"), (F.max("first") + WORDS).alias("end_word"),
+                                                     F.min("component").alias("component"))
                 .select(F.col("doc").alias(id_col), "first_word", "end_word", "component", "keeper"))
 
 

@@ -39,11 +39,11 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?:A[KS]IA[0-9A-Z]{16}(?![A-Za-z0-9+/_-])|(?=[A-Za-z+/_-]*+[0-9])(?=[0-9+/_-]*+[A-Za-z])[A-Za-z0-9+/_-]{16,}+)",
     "number": r"(?<![A-Za-z0-9+.-])\(?[0-9]{3}\)?[\x20.-](?:[0-9]{3}[\x20.-][0-9]{4}|[0-9]{2}-[0-9]{4})(?![0-9A-Za-z-])",
 }
 # A text without this cannot hold a match.
-_NEEDS = {"email": "@", "phone": "+"}
+_NEEDS = {"email": "@", "phone": r"\+", "secret": "[0-9]|A[KS]IA"}
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 VALID = {
     "email": "true",
@@ -63,8 +63,8 @@ LABELERS = {
         when kind = 'number' and hit rlike r'^\(?8(?:00|33|44|55|66|77|88)' then 0 end""",
     "context": r"""case when left rlike r'(?:pass(?:word|wd|phrase)?|pwd|token|secret|api[_-]?key|auth|credential|key|ssn|social security|tel|phone|mobile|call|fax)["\x27]?\s*(?:number|no\.?|is)?\s*[:=]?\s*["\x27]?$' then 1 end""",
     "harmless": r"""case when left rlike r'(?:version|commit|revision|isbn|issn|doi|https?:|www\.|build|order|invoice|ref|sha(?:1|256)?)[^a-z]*$' then 0 end""",
-    "make_up": r"""case when kind = 'secret' then int(n_digits >= 4 and n_kinds >= 8)
-        when kind = 'number' then int(n_kinds >= 5) else int(length(digits) between 7 and 19) end""",
+    "make_up": r"""case when kind = 'secret' then case when n_digits >= 4 and n_kinds >= 8 then 1 when n_kinds < 7 then 0 end
+        when kind = 'number' then int(n_kinds >= 5) when length(digits) < 7 then 0 end""",
 }
 # What the span classifier sees of a candidate: its family, shape and setting.
 FEATURES = {
@@ -75,6 +75,7 @@ FEATURES = {
     "assigned": r"""int(left rlike r'[:=]\s*["\x27]?$')""",
     "before": r"""case when left = '' then 'start' when left rlike r'\s$' then 'space' else 'other' end""",
     "variety": "least(4, floor(n_kinds / 4))",
+    "opening": "case when hit rlike '^[A-Z]{4}' then 'upper' when hit rlike '^[a-z]{2,4}[_-]' then 'prefix' when hit rlike '^[0-9a-f]+$' then 'hex' end",
 }
 CONTEXT_CHARS = 40
 
@@ -89,13 +90,14 @@ def _hits(kind: str, text: Column) -> Column:
     rows = F.transform(both, lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("i"), x["hit"].alias("hit"),
                                                    x["gap"].alias("gap"), x["left"].alias("left")))
     rows = F.filter(rows, lambda x: x["hit"].isNotNull())
-    return F.when(F.contains(text, F.lit(_NEEDS[kind])) if kind in _NEEDS else text.rlike("[0-9]"), rows)
+    return F.when(text.rlike(_NEEDS.get(kind, "[0-9]")), rows)
 
 
 def candidates(rows: DataFrame) -> DataFrame:
     """(key, kind, start, end, hit, left, ...) of every match in ``rows`` (key, text); places in code points, end exclusive."""
     empty = F.array().cast("array<struct<kind:string,i:int,hit:string,gap:int,left:string>>")
     found = rows.select("key", F.explode(F.concat(*[F.coalesce(_hits(k, F.col("text")), empty) for k in KINDS])).alias("c")).select("key", "c.*")
+    found = found.dropDuplicates(["key", "kind", "i"])  # rows that repeat have one set of spans
     placed = found.withColumn("end", F.sum(F.col("gap") + F.length("hit")).over(
         W.partitionBy("key", "kind").orderBy("i")))
     shaped = (placed.withColumn("start", F.col("end") - F.length("hit"))
@@ -189,7 +191,7 @@ def spans(rows: DataFrame) -> DataFrame:
 
     Of added spans that overlap, the one that starts first stays (the longer, if both start together).
     """
-    scored = added(cut(candidates(rows).distinct()))
+    scored = added(cut(candidates(rows)))
     chosen = scored.where("probability >= 0.5").withColumn(
         "kind", F.when(F.col("base") | (F.col("kind") == "secret"), F.col("kind")).otherwise("number"))
     order = W.partitionBy("key").orderBy("start", F.desc("base"), F.desc("end"), "kind")

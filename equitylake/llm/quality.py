@@ -5,9 +5,11 @@ thresholds cut its score: P(grade <= k) = sigmoid(threshold_k - w.x). A
 document gets its expected grade and its tail probability P(grade >= g), by
 which documents are selected.
 
-A feature's value is the square root of its share of the words, so a text's
-vector does not grow with its length and a few telling words weigh as much in
-a long text as in a short one of the same make-up.
+Features are the words a text holds and their beginnings (which inflected
+forms of a word share), by presence, so a telling word weighs the same in a
+long text as in a short one; and the shares of word shapes, repeats and sizes.
+Only features whose training documents differ in grade by more than chance
+enter the model: most words tell nothing, and would be learnt by heart.
 """
 
 from __future__ import annotations
@@ -17,7 +19,6 @@ import re
 import zlib
 from collections import Counter
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -25,15 +26,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from equitylake.llm.common import cut, fresh, only
+from equitylake.llm.common import fresh, only
 
 HASH_BITS = 18
 #: Bound of the labelled rows a model is fitted on: those of smallest id hash.
-MAX_TRAIN = 8_000
+MAX_TRAIN = 12_000
+#: A feature enters the model if its correlation with some grade split is so many standard errors from none.
+LEAST_SIGNAL = 4.0
 SCORE_TYPE = "expected double, tail double"
 _WORD_EDGE = re.compile(r"^\W+|\W+$")
 
 
+def _number(feature: str) -> int:
+    return zlib.crc32(feature.encode("utf-8", "surrogatepass")) % (1 << HASH_BITS)
+
+
+_EMPTY, _AGAIN, _DISTINCT = map(_number, ("empty", "word repeated at once", "distinct words"))
+
+
 def _shape(word: str) -> str:
     """Case and trailing marks of a word: what tells markup, shouting and symbol noise from prose."""
     core = _WORD_EDGE.sub("", word)
@@ -41,51 +51,54 @@ def _shape(word: str) -> str:
     return f"{case} {word[len(word.rstrip('!?.,;:%$#&*|')):][:3]}"
 
 
-def _describe(word: str) -> tuple[int, int]:
-    size = 1 << HASH_BITS
-    low = _WORD_EDGE.sub("", word).lower()
-    return zlib.crc32(f"w {low}".encode("utf-8", "surrogatepass")) % size, zlib.crc32(f"s {_shape(word)}".encode("utf-8", "surrogatepass")) % size
-
-
 class _Words:
-    """Feature numbers of words, remembered up to a bound (then forgotten and begun anew)."""
+    """Feature numbers of words, remembered up to a bound (then forgotten and begun anew).
+
+    ``active`` (a flag per feature) leaves out the numbers a model does not use.
+    """
 
-    def __init__(self, bound: int = 200_000):
-        self.bound, self.known = bound, {}
+    def __init__(self, active: np.ndarray | None = None, bound: int = 200_000):
+        self.active, self.bound, self.known = active, bound, {}
 
-    def __getitem__(self, word: str) -> tuple[int, int]:
+    def __getitem__(self, word: str) -> tuple[tuple[int, ...], int]:
         got = self.known.get(word)
         if got is None:
             if len(self.known) >= self.bound:
                 self.known.clear()
-            got = self.known[word] = _describe(word)
+            low = _WORD_EDGE.sub("", word).lower()
+            held = {_number(f"w {low}"), _number(f"4 {low[:4]}"), _number(f"5 {low[:5]}")}
+            if self.active is not None:
+                held = {i for i in held if self.active[i]}
+            got = self.known[word] = tuple(held), _number(f"s {_shape(word)}")
         return got
 
 
-def features(text: str, words: _Words) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted feature numbers and their values. A text of no words has one feature, its emptiness."""
+def features(text: str, words: _Words) -> tuple[set[int], dict[int, float]]:
+    """Features a text holds, and those with a value. A text of no words has one feature, its emptiness."""
     tokens = text.split()
     n = len(tokens)
     if not n:
-        return np.array([zlib.crc32(b"empty") % (1 << HASH_BITS)]), np.ones(1)
+        return {_EMPTY}, {}
+    held: set[int] = set()
     counts: Counter = Counter()
-    for word, c in Counter(tokens).items():
-        a, b = words[word]
-        counts[a] += c
-        counts[b] += c
-    again = sum(x == y for x, y in zip(tokens, tokens[1:]))
-    counts[zlib.crc32(b"word repeated at once") % (1 << HASH_BITS)] += again
-    counts[zlib.crc32(b"size %d" % min(12, n.bit_length())) % (1 << HASH_BITS)] += n
-    index = np.fromiter(counts, np.int64, len(counts))
-    return index, np.sqrt(np.fromiter(counts.values(), np.float64, len(counts)) / n)
-
-
-def _vectors(batches, n_cols: int = 2):
+    distinct = Counter(tokens)
+    for word, c in distinct.items():
+        own, shape = words[word]
+        held.update(own)
+        counts[shape] += c
+    counts[_AGAIN] += sum(x == y for x, y in zip(tokens, tokens[1:]))
+    counts[_DISTINCT] += len(distinct)
+    counts[_number(f"size {min(12, n.bit_length())}")] += n
+    return held, {i: math.sqrt(c / n) for i, c in counts.items()}
+
+
+def _vectors(batches):
     words = _Words()
     for batch in batches:
         found = [features(t or "", words) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([i for i, _ in found], pa.list_(pa.int64())),
-                                          pa.array([v for _, v in found], pa.list_(pa.float64()))], names=["grade", "index", "value"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([sorted(h) for h, _ in found], pa.list_(pa.int32())), pa.array([list(v) for _, v in found], pa.list_(pa.int32())),
+             pa.array([list(v.values()) for _, v in found], pa.list_(pa.float64()))], names=["grade", "held", "valued", "value"])
 
 
 @dataclass(frozen=True)
@@ -109,52 +122,98 @@ class OrdinalModel:
         return self.probabilities(scores)[:, grade:].sum(axis=1)
 
 
+def _descend(slope_of, x: np.ndarray, rounds: int, memory: int = 10) -> np.ndarray:
+    """Minimise a smooth function, given as x -> (value, slope), by limited-memory BFGS with step halving."""
+    f, g = slope_of(x)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        d, parts = -g, []
+        for s, y in reversed(steps):
+            parts.append((s @ d) / (s @ y))
+            d = d - parts[-1] * y
+        d = d * ((steps[-1][0] @ steps[-1][1]) / (steps[-1][1] @ steps[-1][1])) if steps else d / max(1.0, np.linalg.norm(g))
+        for (s, y), part in zip(steps, reversed(parts)):
+            d = d + s * (part - (y @ d) / (s @ y))
+        size = 1.0
+        while True:
+            new_f, new_g = slope_of(x + size * d)
+            if new_f <= f + 1e-4 * size * (g @ d) or size < 1e-8:
+                break
+            size /= 2
+        s, y = size * d, new_g - g
+        if s @ y > 1e-12:
+            steps = [*steps, (s, y)][-memory:]
+        settled = f - new_f < 1e-7 * max(1.0, abs(f))
+        x, f, g = x + s, new_f, new_g
+        if settled:
+            break
+    return x
+
+
+def signal(grades: np.ndarray, index: np.ndarray, value: np.ndarray, row: np.ndarray, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each feature: standard errors of its strongest correlation with a grade split, and its standard deviation."""
+    n, size = len(grades), 1 << HASH_BITS
+    mean = np.bincount(index, value, size) / n
+    spread = np.sqrt(np.maximum(np.bincount(index, value * value, size) / n - mean**2, 1e-12))
+    best = np.zeros(size)
+    for k in range(1, n_grades):
+        above = (grades >= k) - (grades >= k).mean()
+        if above.any():
+            shared = np.bincount(index, value * above[row], size) / n
+            best = np.maximum(best, np.abs(shared) / spread / above.std() * math.sqrt(n))
+    return best, spread
+
+
 def fit_ordinal(grades: np.ndarray, index: np.ndarray, value: np.ndarray, row: np.ndarray, n_grades: int,
-                rounds: int = 200, ridge: float = 1e-5, rate: float = 0.5) -> OrdinalModel:
-    """Maximum likelihood with a ridge penalty, by full-batch adaptive gradient steps.
+                rounds: int = 150, ridge: float = 1e-3, least_signal: float = LEAST_SIGNAL) -> OrdinalModel:
+    """Maximum likelihood with a ridge penalty.
 
     ``row``, ``index``, ``value`` are the non-zero entries of the feature
-    matrix. Thresholds start at the grades' smoothed shares and stay ordered
-    by their gaps' logarithms being what is fitted.
+    matrix; features are scaled to unit spread, weak ones shrunk. Thresholds
+    start at the grades' smoothed shares and stay ordered, as what is fitted
+    is the logarithm of their gaps.
     """
-    n, used = len(grades), np.unique(index)
-    slot = np.searchsorted(used, index)
+    strength, spread = signal(grades, index, value, row, n_grades)
+    scale = np.where(strength >= least_signal, np.minimum(1.0, strength / 20) / spread, 0.0)
+    used = scale[index] > 0
+    index, row, value = index[used], row[used], (value * scale[index])[used]
+    columns, slot = np.unique(index, return_inverse=True)
+    n, m, at = len(grades), len(columns), np.arange(len(grades))
     shares = np.cumsum(np.bincount(grades, minlength=n_grades) + 1.0)[:-1] / (n + n_grades)
     start = np.log(shares / (1 - shares))
-    free = np.concatenate((start[:1], np.log(np.maximum(np.diff(start), 1e-3))))
-    w = np.zeros(len(used))
-    sum_w, sum_free = np.full(len(used), 1e-8), np.full(len(free), 1e-8)
-    for _ in range(rounds):
-        cuts = np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
+
+    def thresholds(free: np.ndarray) -> np.ndarray:
+        return np.cumsum(np.concatenate((free[:1], np.exp(free[1:]))))
+
+    def slope_of(x: np.ndarray) -> tuple[float, np.ndarray]:
+        w, free = x[:m], x[m:]
         scores = np.bincount(row, value * w[slot], minlength=n)
-        upto = 1 / (1 + np.exp(-np.clip(cuts[None, :] - scores[:, None], -30, 30)))
-        padded = np.hstack((np.zeros((n, 1)), upto, np.ones((n, 1))))
-        dens = np.hstack((np.zeros((n, 1)), upto * (1 - upto), np.zeros((n, 1))))
-        at = np.arange(n)
-        p = np.maximum(padded[at, grades + 1] - padded[at, grades], 1e-9)
-        # slopes of the mean negative log-likelihood
-        by_score = (dens[at, grades + 1] - dens[at, grades]) / p / n
-        by_cut = np.zeros(len(cuts) + 2)
-        np.add.at(by_cut, grades + 1, -dens[at, grades + 1] / p / n)
-        np.add.at(by_cut, grades, dens[at, grades] / p / n)
-        by_cut = by_cut[1:-1]
-        tails = np.cumsum(by_cut[::-1])[::-1]
-        g_free = np.concatenate((tails[:1], tails[1:] * np.exp(free[1:])))
-        g_w = np.bincount(slot, value * by_score[row], minlength=len(used)) + ridge * w
-        sum_w += g_w * g_w
-        sum_free += g_free * g_free
-        w -= rate * g_w / np.sqrt(sum_w)
-        free -= rate * 0.1 * g_free / np.sqrt(sum_free)
-    weights = np.zeros(1 << HASH_BITS, np.float32)
-    weights[used] = w
-    return OrdinalModel(weights, np.cumsum(np.concatenate((free[:1], np.exp(free[1:])))))
+        upto = 1 / (1 + np.exp(-np.clip(thresholds(free)[None, :] - scores[:, None], -35, 35)))
+        upto = np.hstack((np.zeros((n, 1)), upto, np.ones((n, 1))))
+        dense = upto * (1 - upto)
+        p = np.maximum(upto[at, grades + 1] - upto[at, grades], 1e-12)
+        by_score = (dense[at, grades + 1] - dense[at, grades]) / p / n
+        by_cut = (np.bincount(grades, dense[at, grades] / p / n, n_grades + 1)
+                  - np.bincount(grades + 1, dense[at, grades + 1] / p / n, n_grades + 1))[1:-1]
+        onward = np.cumsum(by_cut[::-1])[::-1]  # a gap moves all thresholds after it
+        by_free = np.concatenate((onward[:1], onward[1:] * np.exp(free[1:])))
+        return (-np.log(p).mean() + ridge / 2 * (w @ w),
+                np.concatenate((np.bincount(slot, value * by_score[row], m) + ridge * w, by_free)))
+
+    first = np.concatenate((np.zeros(m), start[:1], np.log(np.maximum(np.diff(start), 1e-3))))
+    x = _descend(slope_of, first, rounds)
+    weights = np.zeros(1 << HASH_BITS)
+    weights[columns] = x[:m] * scale[columns]
+    return OrdinalModel(weights, thresholds(x[m:]))
 
 
 def _fit_task(rows: pd.DataFrame, n_grades: int) -> pd.DataFrame:
-    rows = rows.sort_values("grade", kind="stable")
-    lengths = rows["index"].map(len).to_numpy()
-    model = fit_ordinal(rows["grade"].to_numpy(np.int64), np.concatenate(list(rows["index"])), np.concatenate(list(rows["value"])),
-                        np.repeat(np.arange(len(rows)), lengths), n_grades)
+    def entries(index: str) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(list(rows[index])).astype(np.int64), np.repeat(np.arange(len(rows)), rows[index].map(len).to_numpy())
+
+    (held, held_row), (valued, valued_row) = entries("held"), entries("valued")
+    model = fit_ordinal(rows["grade"].to_numpy(np.int64), np.concatenate((held, valued)),
+                        np.concatenate((np.ones(len(held)), np.concatenate(list(rows["value"])))), np.concatenate((held_row, valued_row)), n_grades)
     return pd.DataFrame({"weights": [model.weights.tobytes()], "thresholds": [model.thresholds.tolist()]})
 
 
@@ -171,12 +230,12 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, id_col: str = "doc_i
     sample = rated.groupBy("id").agg(F.min("grade").cast("int").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_train)
     # Of max_train rows at most: a size that does not grow with the data.
     rows = only(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(sample), "id").select("grade", "text")
-    vectors = rows.mapInArrow(_vectors, "grade int, index array<bigint>, value array<double>")
+    vectors = rows.mapInArrow(_vectors, "grade int, held array<int>, valued array<int>, value array<double>")
     model = (vectors.withColumn("all", F.lit(1)).groupBy("all")
                     .applyInPandas(lambda pdf: _fit_task(pdf, n_grades), "weights binary, thresholds array<double>").collect())
     if not model:
         return None
-    return OrdinalModel(np.frombuffer(model[0]["weights"], np.float32).astype(np.float64), np.array(model[0]["thresholds"]))
+    return OrdinalModel(np.frombuffer(model[0]["weights"], np.float64), np.array(model[0]["thresholds"]))
 
 
 def scorer(docs: DataFrame, model: OrdinalModel, grade: int, text_col: str = "text") -> Column:
@@ -186,12 +245,13 @@ def scorer(docs: DataFrame, model: OrdinalModel, grade: int, text_col: str = "te
 
     def score(texts: pa.Array) -> pa.Array:
         nonlocal words
-        words = words or _Words()
         found = held.value
+        words = words or _Words(found.weights != 0)
         raw = np.empty(len(texts))
         for i, text in enumerate(texts.to_pylist()):
-            index, value = features(text or "", words)
-            raw[i] = math.fsum(found.weights[index] * value)  # exact: the order of the words has no say
+            own, valued = features(text or "", words)
+            # Summed exactly: the order of the words has no say.
+            raw[i] = math.fsum([*(found.weights[j] for j in own), *(found.weights[j] * v for j, v in valued.items())])
         return pa.StructArray.from_arrays([pa.array(found.expected(raw)), pa.array(found.tail(raw, grade))], ["expected", "tail"])
 
     score.__annotations__ = {"texts": pa.Array, "return": pa.Array}

@@ -1,0 +1,96 @@
+"""Line dedup: the cuckoo filter, the reversible index, and the result against brute force."""
+
+import random
+
+import numpy as np
+from corpora import AWKWARD, SCHEMA, documents, words
+
+from equitylake.llm import linededup
+
+
+def brute(docs, min_docs=5, min_chars=40):
+    """(doc, text) rows -> (n_lines, n_dropped, kept text) of each."""
+    def key(line):
+        return line.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
+
+    holders = {}
+    for i, t in docs:
+        for line in (t or "").split("\n"):
+            if i is not None and len(key(line)) >= min_chars:
+                holders.setdefault(key(line), set()).add(i)
+    out = []
+    for i, t in docs:
+        lines = (t or "").split("\n")
+        stay = [x for x in lines if i is None or len(holders.get(key(x), ())) < min_docs or max(holders[key(x)]) == i]
+        out.append((i, len(lines), len(lines) - len(stay), "\n".join(stay)))
+    return sorted(out, key=repr)
+
+
+def result(spark, index, docs):
+    rows = linededup.dedup_lines(docs, index.decide())
+    return sorted(((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in rows.collect()), key=repr)
+
+
+def corpus():
+    common = [words(s, 12) for s in range(6)]
+    pick = random.Random(2)
+    texts = list(AWKWARD)
+    for i in range(40):
+        lines = [pick.choice(common) for _ in range(3)] + [words(100 + i, 12)]
+        lines = [x.upper() if i % 3 else f"  {x}\t\r" for x in lines] + ["short", lines[0]]
+        texts.append("\n".join(lines))
+    return list(enumerate(texts))
+
+
+def test_filter_holds_what_is_inserted_and_forgets_what_is_deleted():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(0, 2**64, 5000, dtype=np.uint64)
+    held = linededup.CuckooFilter.sized(5000)
+    assert held.insert(keys)
+    assert held.contains(keys).all()
+    held.delete(keys[:2500])
+    assert held.contains(keys[2500:]).all()
+    assert held.contains(keys[:2500]).mean() < 0.01
+    again = linededup.CuckooFilter.load(held.dump())
+    assert (again.contains(keys) == held.contains(keys)).all()
+    full = linededup.CuckooFilter.sized(1)
+    assert not full.insert(keys)
+
+
+def test_documents_match_brute_force(spark):
+    rows = [*corpus(), (None, "\n".join([words(0, 12)] * 2)), (45, corpus()[45][1])]
+    docs = documents(spark, rows).withColumnRenamed("lang", "n_lines").withColumnRenamed("source", "gone")
+    index = linededup.line_index(spark, docs)
+    got = linededup.dedup_lines(docs, index.decide())
+    assert got.columns == [*docs.columns, "n_lines_", "n_dropped"]
+    found = sorted(((r["doc_id"], r["n_lines_"], r["n_dropped"], r["text"]) for r in got.collect()), key=repr)
+    assert found == brute(rows)
+    assert sum(n for _, _, n, _ in found) > 50
+
+
+def test_insertions_and_deletions_are_reversible(spark):
+    rows = corpus()
+    index = linededup.line_index(spark, documents(spark, rows[:25]))
+    before = result(spark, index, documents(spark, rows[:25]))
+    index.insert(documents(spark, rows[25:]))
+    assert result(spark, index, documents(spark, rows)) == brute(rows)
+    index.delete(documents(spark, rows[25:]))
+    assert result(spark, index, documents(spark, rows[:25])) == before == brute(rows[:25])
+    index.delete(documents(spark, rows[:5]))
+    index.delete(documents(spark, [rows[24], (999, "never inserted"), (None, None)]))
+    left = rows[5:24]
+    assert result(spark, index, documents(spark, left)) == brute(left)
+    again = linededup.LineIndex(spark, index.path, index.shards)  # opened anew
+    assert again.batches == index.batches
+    live = {bytes(r["key"]) for r in index.counts().collect()}
+    held = {r["shard"]: linededup.CuckooFilter.load(r["buckets"]) for r in index.filters().collect()}
+    assert sum(r["n_keys"] for r in index.filters().collect()) == len(live)
+    assert all(any(f.contains(np.frombuffer(k[:8], np.uint64))[0] for f in held.values()) for k in live)
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    index = linededup.line_index(spark, docs)
+    assert linededup.dedup_lines(docs, index.decide()).count() == 0
+    index.insert(documents(spark, ["a line of more than forty code points, for certain"]))
+    assert index.counts().count() == 1

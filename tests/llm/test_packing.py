@@ -1,0 +1,63 @@
+"""Packing: boundaries against exhaustive search, batches against the budget."""
+
+import itertools
+import random
+
+from corpora import AWKWARD, SCHEMA, documents, words
+
+from equitylake.llm import packing
+
+
+def padding(lengths, counts, bounds):
+    return sum(n * (min(b for b in bounds if b >= x) - x) for x, n in zip(lengths, counts))
+
+
+def test_boundaries_are_optimal():
+    pick = random.Random(5)
+    for _ in range(60):
+        lengths = sorted(pick.sample(range(1, 60), pick.randint(1, 9)))
+        counts = [pick.randint(1, 50) for _ in lengths]
+        k = pick.randint(1, 5)
+        bounds = packing.boundaries(lengths, counts, k)
+        assert len(bounds) <= k and bounds == sorted(bounds) and bounds[-1] == lengths[-1]
+        best = min(padding(lengths, counts, (*c, lengths[-1])) for m in range(min(k, len(lengths)))
+                   for c in itertools.combinations(lengths[:-1], m))
+        assert padding(lengths, counts, bounds) == best
+    assert packing.boundaries([], [], 4) == []
+
+
+def test_every_word_is_packed_once_within_the_budget(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_ROWS", 7)  # several slices to a bucket
+    pick = random.Random(6)
+    texts = [*AWKWARD, *(words(i, pick.randint(1, 90)) for i in range(120))]
+    docs = documents(spark, [*enumerate(texts), (20, texts[20]), (None, "null id")]).withColumnRenamed("lang", "bucket")
+    rows = packing.pack(docs, max_len=50, buckets=4, token_budget=200).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append(r)
+    for i, t in enumerate(texts):
+        n, copies = len((t or "").split()), 2 if i == 20 else 1
+        spans = sorted((r.start, r.n_tokens) for r in got[i])
+        want = [(s, min(50, n - s)) for s in range(0, n, 50)] or [(0, 0)]
+        assert spans == sorted(want * copies)
+    batches = {}
+    for r in rows:
+        if r.n_tokens:
+            assert r.n_tokens <= r.bucket
+            batches.setdefault((r.bucket, r.batch), []).append(r.slot)
+        else:
+            assert r.bucket is None and r.batch is None
+    assert len({b for b, _ in batches}) <= 4
+    for b in {b for b, _ in batches}:
+        capacity, last = max(1, 200 // b), max(x for y, x in batches if y == b)
+        for batch in range(last + 1):
+            slots = sorted(batches[b, batch])
+            assert slots == list(range(len(slots)))
+            assert len(slots) == capacity or batch == last and len(slots) <= capacity
+    held = sorted({(r.n_tokens) for r in rows if r.n_tokens})
+    counts = [sum(r.n_tokens == x for r in rows) for x in held]
+    assert sorted({b for b, _ in batches}) == packing.boundaries(held, counts, 4)
+
+
+def test_empty_table(spark):
+    assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0

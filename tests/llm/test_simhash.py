@@ -1,0 +1,101 @@
+"""SimHash near-dedup against brute force."""
+
+import random
+
+import xxhash
+from corpora import AWKWARD, SCHEMA, documents, words
+
+from equitylake.llm import simhash
+
+
+def brute_print(text, shingle=3):
+    w = (text or "").encode().lower().split()
+    if not w:
+        return 0
+    grams = [b" ".join(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints, radius):
+    """id -> smallest id reachable, of (id, print) pairs."""
+    low = {i: i for i, _ in prints}
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for i, p in prints:
+        for j, q in prints:
+            if i < j and (p ^ q).bit_count() <= radius:
+                a, b = sorted((find(i), find(j)))
+                low[b] = a
+    return {i: find(i) for i, _ in prints}
+
+
+def test_covering_masks_miss_no_pair():
+    pick = random.Random(1)
+    for radius in (1, 2):
+        masks = simhash.covering_masks(radius)
+        assert len(masks) == 2 ** (radius + 1) - 1
+        for _ in range(2000):
+            x = pick.getrandbits(64)
+            y = x
+            for b in pick.sample(range(64), pick.randint(0, radius)):
+                y ^= 1 << b
+            assert any(x & m == y & m for m in masks)
+
+
+def test_documents_match_brute_force(spark):
+    base = words(5, 400).split()
+    texts = [*AWKWARD, "", None, *(words(s, 60) for s in range(20))]
+    for k in range(30):  # near copies
+        w = list(base)
+        w[k * 7 % 400] = f"new{k % 9}"
+        texts.append(" ".join(w))
+    docs = documents(spark, texts).withColumnRenamed("lang", "fp")  # a column named like one of the operator's own
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs).collect()}
+    prints = [(i, brute_print(t)) for i, t in enumerate(texts)]
+    want = brute_components(prints, 2)
+    assert {i: (f"{p:016x}", want[i]) for i, p in prints} == {i: (r.fingerprint, r.component_id) for i, r in got.items()}
+    kept = simhash.keep_one(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i in want if want[i] == i)
+    assert kept.columns == docs.columns
+
+
+def test_hot_bucket_is_linked_exactly(spark):
+    pick = random.Random(3)
+    for radius in (1, 2):
+        centre = pick.getrandbits(64)
+        prints = {centre}
+        while len(prints) < 200:  # far more than a small bucket holds, some linked in chains only
+            x = centre
+            for b in pick.sample(range(64), pick.randint(0, 4)):
+                x ^= 1 << b
+            prints.add(x)
+        prints = sorted(simhash._signed(x) for x in prints)
+        links = simhash.fingerprint_links(spark.createDataFrame([(x,) for x in prints], "fp bigint"), radius).collect()
+        full = [(x, x % 2**64) for x in prints]
+        want = brute_components(full, radius)
+        low = {x: x for x in prints}
+        for _ in range(200):
+            new = dict(low)
+            for a, b in links:
+                assert ((a ^ b) % 2**64).bit_count() <= 2
+                new[a] = new[b] = min(new[a], new[b])
+            if new == low:
+                break
+            low = new
+        assert low == want
+
+
+def test_repeated_rows_null_ids_and_an_empty_table(spark):
+    docs = documents(spark, [(3, "a b c d"), (3, "a b c d"), (1, "a b c d"), (None, "a b c d"), (None, "q r s t u")])
+    got = sorted((r.doc_id is None, r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect() if r.doc_id)
+    assert got == [(False, 1, 1), (False, 3, 1), (False, 3, 1)]
+    assert sorted(str(r.doc_id) for r in simhash.keep_one(docs).collect()) == ["1", "None", "None"]
+    twice = documents(spark, [(7, "a b c"), (7, "a b c")])
+    assert simhash.keep_one(twice).count() == 1
+    empty = spark.createDataFrame([], SCHEMA)
+    assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
