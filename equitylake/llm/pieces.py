@@ -5,12 +5,12 @@ One pass over a text reports, at each position, every piece that ends there
 (the automaton's output links); each relaxes the best score of its end from
 the best score of its start, so the last position holds the best total score
 and the way back gives the pieces. Of equal scores the longer last piece wins.
-Characters that no piece spells are written as byte pieces.
+A character that is no piece itself may be spelt by byte pieces.
 
-No piece of such a model has a space mark after another character, so a text
-falls into independent stretches before each space mark that follows one;
-stretches met before are remembered, up to a bound. Decoding gives back
-exactly the text that was encoded.
+No piece of such a model has a space mark after another character, or a line
+end, so a text falls into independent stretches at line ends and before each
+space mark that follows another character; stretches met of late are
+remembered, up to a bound. Decoding gives back exactly the text encoded.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from equitylake.llm.common import fresh, only
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 REMEMBERED = 400_000
-#: A byte piece costs this much more than the worst piece: spelling by bytes is the last resort.
+#: A byte piece costs this much more than the worst piece.
 BYTE_COST = 10.0
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>$")
 
@@ -75,10 +75,14 @@ class PieceModel:
         return made
 
     @cached_property
-    def stretches(self) -> re.Pattern:
-        """Cuts a marked text before each mark that follows another character; all of it if a piece could span a cut."""
-        apart = not any(MARK in p.lstrip(MARK) for p, k in zip(self.pieces, self.kinds) if k == "n")
-        return re.compile(f"{MARK}*[^{MARK}]+|{MARK}+", re.S) if apart else re.compile(".+", re.S)
+    def characters(self) -> frozenset[str]:
+        """The characters that are pieces themselves."""
+        return frozenset(p for p, k in zip(self.pieces, self.kinds) if k == "n" and len(p) == 1)
+
+    @cached_property
+    def falls_apart(self) -> bool:
+        """Whether no piece spans the cuts between stretches."""
+        return not any(MARK in p.lstrip(MARK) or "\n" in p for p, k in zip(self.pieces, self.kinds) if k == "n")
 
     @cached_property
     def octets(self) -> list[bytes]:
@@ -90,62 +94,89 @@ class PieceModel:
 def best_pieces(model: PieceModel, text: str) -> list[int]:
     """The ids of the best segmentation of a marked text (no mark of its own left in it)."""
     n = len(text)
-    best, back = [0.0] + [float("-inf")] * n, [None] * (n + 1)
-    done = 0  # positions up to here are final
-
-    def close(upto: int) -> None:
-        nonlocal done
-        while done < upto:  # a position that no piece reaches is spelt by bytes, and may be where one does
-            done += 1
-            spelt = len(text[done - 1].encode("utf-8", "surrogatepass"))
-            score = best[done - 1] + model.byte_score * spelt
-            if score > best[done]:
-                best[done], back[done] = score, (done - 1, -1)
-
-    for end, (length, score, i) in model.automaton.iter(text):
-        end += 1
-        close(end - 1)
-        total = best[end - length] + score
-        if total > best[end] or total == best[end] and back[end][0] > end - length:
-            best[end], back[end] = total, (end - length, i)
-    close(n)
+    best, back, piece = [0.0] + [float("-inf")] * n, [0] * (n + 1), [-1] * (n + 1)
+    spelt = [] if model.characters.issuperset(text) else [k for k, c in enumerate(text) if c not in model.characters]
+    at = 0  # of the characters to spell, those before the position reached are done
+
+    def spell(upto: int) -> None:
+        nonlocal at
+        while at < len(spelt) and spelt[at] < upto:
+            k = spelt[at]
+            at += 1
+            score = best[k] + model.byte_score * len(text[k].encode("utf-8", "surrogatepass"))
+            if score > best[k + 1]:
+                best[k + 1], back[k + 1], piece[k + 1] = score, k, -1
+
+    for end, (length, score, i) in model.automaton.iter(text):  # by end; of one end the longest first
+        start = end + 1 - length
+        if spelt:
+            spell(end)
+        total = best[start] + score
+        if total > best[end + 1]:
+            best[end + 1], back[end + 1], piece[end + 1] = total, start, i
+    spell(n)
     ids: list[int] = []
     while n:
-        start, i = back[n]
+        start, i = back[n], piece[n]
         ids += [i] if i >= 0 else [model.byte_ids[b] for b in reversed(text[start:n].encode("utf-8", "surrogatepass"))]
         n = start
     return ids[::-1]
 
 
-class Encoder:
-    """Encodes texts with a model, remembering the ids of stretches met before."""
+_STRETCH = re.compile(" *[^ ]+| +", re.S)
 
-    def __init__(self, model: PieceModel, remembered: int = REMEMBERED):
-        self.model, self.remembered, self.known = model, remembered, {}
-        self.mark = [model.byte_ids[b] for b in MARK.encode()]
 
-    def _ids(self, stretch: str) -> array:
-        ids = self.known.get(stretch)
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+class _Known(dict):
+    """Stretch -> packed ids, found out when first asked for.
+
+    Two generations of at most ``bound`` stretches are kept: a full young one
+    becomes the old one, from which a stretch that is met again is taken back.
+    """
+
+    def __init__(self, model: PieceModel, bound: int):
+        super().__init__()
+        self.model, self.bound, self.old = model, bound, {}
+
+    def __missing__(self, stretch: str) -> bytes:
+        ids = self.old.get(stretch)
         if ids is None:
-            ids = array("i", best_pieces(self.model, stretch))
-            if len(stretch) <= 64:
-                if len(self.known) >= self.remembered:
-                    self.known.clear()
-                self.known[stretch] = ids
+            ids = _packed(best_pieces(self.model, stretch.replace(" ", MARK)))
+        if len(stretch) <= 64:
+            if len(self) >= self.bound:
+                self.old = dict(self)
+                self.clear()
+            self[stretch] = ids
         return ids
 
-    def encode(self, text: str) -> array:
-        """Ids of a whole text; an empty text has none. A space mark in the text itself is spelt by bytes."""
-        out = array("i")
+
+class Encoder:
+    """Encodes texts with a model, remembering stretches met of late."""
+
+    def __init__(self, model: PieceModel, remembered: int = REMEMBERED):
+        self.model, self.known = model, _Known(model, remembered)
+        self.mark, self.line_end = _packed([model.byte_ids[b] for b in MARK.encode()]), _packed([model.byte_ids[10]])
+
+    def _line(self, line: str) -> bytes:
+        """The packed ids of a text in which spaces are the only marks to be."""
+        if not self.model.falls_apart:
+            return _packed(best_pieces(self.model, line.replace(" ", MARK)))
+        stretches = _STRETCH.findall(line) if "  " in line else line.replace(" ", "\n ").split("\n")
+        return b"".join(map(self.known.__getitem__, stretches))
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a whole text as 32-bit integers; an empty text has none. A space mark in the text itself is spelt by bytes."""
         if not text:
-            return out
-        ids, find = self._ids, self.model.stretches.findall
-        for k, part in enumerate((" " + text).split(MARK)):
-            if k:
-                out.extend(self.mark)
-            for stretch in find(part.replace(" ", MARK)):
-                out.extend(ids(stretch))
-        return out
+            return b""
+        lines = (self.line_end.join(map(self._line, part.split("\n"))) if self.model.falls_apart else self._line(part)
+                 for part in (" " + text).split(MARK))
+        return self.mark.join(lines)
+
+    def encode(self, text: str) -> list[int]:
+        return array("i", self.packed(text)).tolist()
 
     def decode(self, ids) -> str:
         """The text of ``ids``; the space that encoding puts first is taken off, bytes that are no UTF-8 are replaced."""
@@ -171,13 +202,11 @@ def encode(docs: DataFrame, model: PieceModel, text_col: str = "text", ids_col:
 
     def run(texts: pa.Array) -> pa.Array:
         encoder = _encoder(held)
-        offsets, flat, missing = [0], array("i"), []
-        for text in texts.to_pylist():
-            missing.append(text is None)
-            flat.extend(encoder.encode(text or ""))
-            offsets.append(len(flat))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()),
-                                        mask=pa.array(missing))
+        every = texts.to_pylist()
+        rows = [encoder.packed(text or "") for text in every]
+        offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows], dtype=np.int64))).astype(np.int32)
+        flat = np.frombuffer(b"".join(rows), np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array([text is None for text in every]))
 
     run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return docs.withColumn(fresh(docs, ids_col)[0], F.arrow_udf(run, "array<int>")(F.col(f"`{text_col}`")))

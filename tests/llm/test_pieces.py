@@ -21,7 +21,8 @@ def brute(model, text):
     normal = {p: s for p, s, k in zip(model.pieces, model.scores, model.kinds) if k == "n"}
     best = [0.0]
     for end in range(1, len(text) + 1):
-        found = best[end - 1] + model.byte_score * len(text[end - 1].encode())
+        own = text[end - 1] in normal
+        found = float("-inf") if own else best[end - 1] + model.byte_score * len(text[end - 1].encode())
         for start in range(max(0, end - 16), end):
             if text[start:end] in normal:
                 found = max(found, best[start] + normal[text[start:end]])
