@@ -26,7 +26,6 @@ DASH_SUFFIX_TYPES = {"UN": "unit", "U": "unit", "WT": "warrant", "WS": "warrant"
 FIFTH_LETTER_TYPES = {"W": "warrant", "R": "right", "U": "unit"}
 PREFERRED_NAME_PATTERN = r"(?i)%|\bseries\b|\bcumulative\b|\bpreferred\b|\bdepositary\b"
 
-TRADED_SECURITY_TYPES = ("common", "etf")
 
 
 def _lookup(value: Column, table: dict[str, str], default: Column | str | None) -> Column:

@@ -1,10 +1,8 @@
 """Semi and anti joins against a symbol list that grows with the universe.
 
-A broadcast is only hinted once the small side is *proven* small: a bounded
-``limit(n + 1).count()`` stops reading after ``n + 1`` rows, so the check
-itself never scans a large side. Beyond the bound the join is left to the
-planner (shuffle join, which AQE may still turn into a broadcast once the
-real size is known).
+A broadcast is hinted only once the small side's row count is within bounds:
+the caller's own count where it has one, else an aggregate over the keys (each
+task sends one number). Beyond the bound the join is left to the planner.
 """
 
 from __future__ import annotations
@@ -19,20 +17,12 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_KEYS = 1_000_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _keyed(small: DataFrame, on: Sequence[str], max_rows: int, keep_all: bool = False,
            known_rows: int | None = None) -> DataFrame:
-    """The small side, broadcast-hinted when it provably holds <= max_rows rows.
-
-    ``known_rows`` is a row count the caller has already computed; it
-    replaces the bounded count.
-    """
+    """The small side, broadcast-hinted when it is counted to hold <= max_rows rows (``known_rows``: the caller's count)."""
     keys = small if keep_all else small.select(*on)
-    small_enough = known_rows <= max_rows if known_rows is not None else fits_broadcast(keys, max_rows)
-    return F.broadcast(keys) if small_enough else keys
+    rows = keys.count() if known_rows is None else known_rows
+    return F.broadcast(keys) if rows <= max_rows else keys
 
 
 def semi_join(big: DataFrame, small: DataFrame, on: Sequence[str] | str = "symbol",

@@ -94,5 +94,5 @@ def equity_screen() -> Column:
 
 
 def calendar_year(column: str, year: int) -> Column:
-    """FLT12."""
-    return F.year(F.col(column)) == F.lit(year)
+    """FLT12, as a range of the bare column, which reaches the scan's statistics."""
+    return F.col(column).between(F.lit(date(year, 1, 1)), F.lit(date(year, 12, 31)))

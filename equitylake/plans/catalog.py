@@ -21,7 +21,6 @@ from equitylake.functions.classify import with_security_type
 from equitylake.functions.text import as_bool, as_str
 from equitylake.operators.audit import date_span, rows_by_year
 from equitylake.operators.latest import latest_wins
-from equitylake.operators.predicates import calendar_year
 from equitylake.plans import fixtures as fx
 from equitylake.plans import price_load
 from equitylake.plans import queries as q
@@ -334,14 +333,15 @@ def statement_rows_by_year(spark, sf_dir):
 def statements_in_year(spark, sf_dir):
     """FLT12: stored quarterly income rows of one calendar year."""
     return statement_store(spark, sf_dir, "income_statement").read(
-        statement_table("income_statement", "quarterly"), where=calendar_year("date", 1997),
+        statement_table("income_statement", "quarterly"), start=date(1997, 1, 1), end=date(1997, 12, 31),
         columns=["period", "revenue"])
 
 
 def prices_by_year(spark, sf_dir):
     """AGG3 + FLT12: stored price rows of one calendar year, counted per year."""
-    stored = price_store(spark, sf_dir).read(DAILY_PRICES, columns=["date"], ordered=False)
-    return rows_by_year(stored.filter(calendar_year("date", 2024)), "date")
+    stored = price_store(spark, sf_dir).read(DAILY_PRICES, start=date(2024, 1, 1), end=date(2024, 12, 31),
+                                             columns=["date"], ordered=False)
+    return rows_by_year(stored, "date")
 
 
 def statement_normalise(spark, sf_dir):

@@ -23,6 +23,8 @@ job instead of a per-symbol loop:
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
+from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 
 from equitylake.operators.audit import ledger_symbols
 from equitylake.operators.joins import anti_join, attach, semi_join
-from equitylake.operators.predicates import calendar_year
+from equitylake.functions.text import normalize_symbols
+from equitylake.operators.predicates import calendar_year, date_between
 from equitylake.sources import files, landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
@@ -40,25 +43,31 @@ SHARD_SIZE = 100
 LEDGER_SCHEMA = "part int, symbols array<string>, rows bigint"
 # Staged rows: shaped prices, their feed order, the bad-row flag, the shard.
 STAGED_SCHEMA = ("symbol string, date date, open double, high double, low double, close double, "
-                 "adj_close double, volume bigint, chunk bigint, _file string, _row bigint, pos int, "
-                 "_bad boolean, part int")
+                 "adj_close double, volume bigint, _landed timestamp, _file string, _block bigint, _row bigint, "
+                 "pos int, _bad boolean, part int")
+REJECTS_SCHEMA = "symbol string, part int"
+# Up to so many symbols are read by their own directories; the list is as long as what it was asked for.
+MAX_DIRECTORIES = 10_000
 
 
-def landed_prices(spark: SparkSession, landing: str, symbols: DataFrame | None = None) -> DataFrame:
+def landed_prices(spark: SparkSession, landing: str, symbols: Iterable[str] | None = None,
+                  start: date | None = None, end: date | None = None) -> DataFrame:
     """SRC4 + PRJ6 + SET1: landed histories as price rows with feed order.
 
-    ``symbols`` restricts the raw lines *before* parsing, so a malformed
-    document of a symbol that is not asked for cannot fail the job.
+    ``symbols`` reads only their directories, so a malformed document of a
+    symbol that is not asked for cannot fail the job; ``start`` and ``end``
+    bound the dates.
     """
-    lines = landed.read_history_lines(spark, landing)
-    if symbols is not None:
-        lines = semi_join(lines, symbols, "symbol")
-    return landed.shape_prices(landed.parse_history_docs(lines))
+    wanted = normalize_symbols(symbols)
+    rows = landed.shape_prices(landed.parse_history_docs(landed.read_history_lines(spark, landing, wanted)))
+    bounds = date_between("date", start, end)
+    return rows if bounds is None else rows.filter(bounds)
 
 
-def refresh_prices(store: Store, landing: str) -> int:
-    """J2: upsert every landed history; returns the rows seen before de-duplication."""
-    fresh = landed_prices(store.spark, landing)
+def refresh_prices(store: Store, landing: str, symbols: Iterable[str] | None = None,
+                   start: date | None = None, end: date | None = None) -> int:
+    """J2: upsert landed histories (all, or of some symbols and days); returns the rows seen before de-duplication."""
+    fresh = landed_prices(store.spark, landing, symbols, start, end)
     return store.upsert(DAILY_PRICES, fresh, order=list(landed.PRICE_ORDER))
 
 
@@ -83,18 +92,31 @@ def read_ledger(spark: SparkSession, staging: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
+def _rejects_path(staging: str) -> str:
+    return f"{staging}/rejects"
+
+
+def read_rejects(spark: SparkSession, staging: str) -> DataFrame:
+    """(symbol, part) of every symbol set aside, by the shard of the run that met it."""
+    path = _rejects_path(staging)
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], REJECTS_SCHEMA)
+    return spark.read.schema(REJECTS_SCHEMA).parquet(path)
+
+
 def staging_todo(universe_symbols: DataFrame, ledger: DataFrame) -> DataFrame:
     """JN3 + AGG5: symbols still to stage."""
     return anti_join(universe_symbols.select("symbol").distinct(), ledger_symbols(ledger), "symbol")
 
 
 def stage(spark: SparkSession, universe_symbols: DataFrame, landing: str, staging: str,
-          shard_size: int = SHARD_SIZE) -> tuple[int, list[str]]:
+          shard_size: int = SHARD_SIZE) -> tuple[int, int]:
     """Stage every symbol not yet in the ledger.
 
-    Returns (symbols recorded, symbols that failed). A symbol whose landed
-    history is malformed is staged with a ``_bad`` flag but not recorded, so
-    ``load`` ignores it and the next run tries it again; the others go on.
+    Returns (symbols recorded, symbols set aside). A symbol with a bad landed
+    document is listed in the rejects table (``read_rejects``) and not
+    recorded, so ``load`` ignores it and the next run tries it again; the
+    others go on.
     """
     ledger = read_ledger(spark, staging)
     # The symbol list is used three times (count, shard rows, ledger rows);
@@ -107,10 +129,10 @@ def stage(spark: SparkSession, universe_symbols: DataFrame, landing: str, stagin
 
 
 def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing: str, staging: str,
-                shard_size: int) -> tuple[int, list[str]]:
+                shard_size: int) -> tuple[int, int]:
     n = todo.count()
     if n == 0:
-        return 0, []
+        return 0, 0
     last = ledger.agg(F.max("part")).first()[0]
     first = 0 if last is None else last + 1
     shards = max(1, math.ceil(n / shard_size))
@@ -119,7 +141,8 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
     _drop_unrecorded_shards(spark, staging, first)
     # One pass: the pending symbols' lines (restricted before parsing), each
     # tagged with its shard, parsed leniently so bad rows are flagged.
-    lines = attach(landed.read_history_lines(spark, landing), todo, "symbol", known_rows=n)
+    wanted = [r["symbol"] for r in todo.select("symbol").collect()] if n <= MAX_DIRECTORIES else None
+    lines = attach(landed.read_history_lines(spark, landing, wanted), todo, "symbol", known_rows=n)
     rows = landed.shape_prices(landed.parse_history_docs(lines, strict=False), strict=False, carry=["part"])
     # Rebalance on the shard: about one file per shard, and AQE splits a shard
     # holding a third of the rows over several tasks; no sampling pass over
@@ -132,10 +155,12 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
     # (bounded by the universe; a symbol with nothing landed stays pending).
     staged = read_staged(spark, staging).filter(F.col("part") >= first)
     seen = staged.groupBy("symbol").agg(F.max(F.col("_bad").cast("int")).alias("bad"))
-    summary = seen.agg(F.count_if(F.col("bad") == 0).alias("ok"),
-                       F.sort_array(F.collect_list(F.when(F.col("bad") == 1, F.col("symbol")))).alias("failed")
-                       ).first()  # one row: a count and the (usually empty) failure report
-    ok, failed = int(summary["ok"] or 0), list(summary["failed"] or [])
+    seen = seen.persist(StorageLevel.MEMORY_AND_DISK)
+    summary = seen.agg(F.count_if(F.col("bad") == 0).alias("ok"), F.count_if(F.col("bad") == 1).alias("failed")).first()
+    ok, failed = int(summary["ok"] or 0), int(summary["failed"] or 0)
+    if failed:
+        (attach(todo, seen.filter("bad = 1").select("symbol"), "symbol", known_rows=failed).select("symbol", "part")
+            .write.mode("append").parquet(_rejects_path(staging)))
     done = attach(todo, seen.filter("bad = 0").select("symbol"), "symbol", known_rows=ok)
     counts = (staged.filter(~F.col("_bad") & F.col("pos").isNotNull())
                     .groupBy("part").agg(F.count(F.lit(1)).alias("rows")))
@@ -143,6 +168,7 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
                    .join(counts, "part", "left")
                    .select("part", "symbols", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")))
     entries.write.mode("append").parquet(_ledger_path(staging))
+    seen.unpersist()
     return ok, failed
 
 

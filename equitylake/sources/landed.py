@@ -8,17 +8,21 @@ Layouts (one directory per vendor request):
 
 CSV columns bind **by header name per file**: Spark binds a CSV schema by
 position and reads one header for a whole directory, so files whose headers
-differ would silently swap values. The first line of every file is probed
-(bounded: one line per file), files are grouped by header, each group is one
-scan, and the groups are unioned by name. The same probe rejects error
-payloads (a JSON object where CSV or an array was expected) and skips empty
-files.
+differ would silently swap values. The header line of every CSV file is
+probed, files are grouped by header, each group is one scan, and the groups
+are unioned by name. The first character alone rejects an error payload (JSON
+where CSV was expected) and skips empty files; a JSON file's records are
+judged by Spark. CSV is RFC 4180: quotes are doubled, a quoted field may hold
+a newline, a backslash is itself; a row with another number of fields than its
+header fails the read. A file with quoted newlines cannot be split, so a CSV
+or JSON-array file is one task's work: land large feeds as many files.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +37,11 @@ class PayloadError(RuntimeError):
 
 # ------------------------------------------------------------ file probing
 list_files = files.list_files
-first_line = files.first_line
 
 
 def _header_names(line: str) -> list[str]:
     import csv
+    csv.field_size_limit(max(csv.field_size_limit(), len(line) + 1))
     return [h.strip() for h in next(csv.reader([line]))]
 
 
@@ -51,17 +55,19 @@ def read_csv_by_header(spark: SparkSession, root: str, paths: Sequence[str] | No
     """
     paths = list(paths) if paths is not None else list_files(spark, root, (".csv",))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for f, line in files.first_lines(spark, paths).items():
-        if not line:
-            continue
-        if line.lstrip()[:1] in ("[", "{"):
-            raise PayloadError(f"unexpected payload in {f}: {line[:200]}")
+    starts = files.probe(spark, paths, files.first_char)
+    for f, start in starts.items():
+        if start in ("[", "{"):
+            raise PayloadError(f"unexpected payload in {f}: it starts with {start!r}")
+    for f, line in files.probe(spark, [f for f, start in starts.items() if start], files.first_line).items():
         groups[tuple(_header_names(line))].append(f)
     frames = []
     for header, group in groups.items():
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
         df = (spark.read.schema(schema).option("header", True).option("basePath", root)
-              .option("mode", "PERMISSIVE").csv(group))
+              .option("mode", "FAILFAST").option("columnPruning", False)
+              .option("multiLine", True).option("escape", '"').option("maxCharsPerColumn", -1)
+              .option("maxColumns", max(20480, len(header) + 1)).csv(group))
         frames.append(df.select("*", *_scan_order()))
     return _union(frames)
 
@@ -82,27 +88,21 @@ def _union(frames: list[DataFrame]) -> DataFrame | None:
 
 
 # --------------------------------------------------------- profile shards
-def _json_kind(spark: SparkSession, path: str, keys: Sequence[str]) -> str | None:
-    """``array`` / ``lines`` / None (empty); raise on an error payload.
+def _records_of(line_rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """JSON-lines rows (``value``) as records of ``schema``.
 
-    A document starting with ``[`` is a JSON array. A first line that is an
-    object carrying any of ``keys`` starts a JSON-lines shard (null fields are
-    left out of JSON lines, so no single key can be required). Any other
-    object is a vendor error message.
+    A line that is no JSON object, or an object with keys of which none is a
+    field of ``schema``, is a vendor error message and fails the read (null
+    fields are left out of JSON lines, so no single key can be required).
     """
-    import json
-    line = files.first_line(spark, path).lstrip()
-    if not line:
-        return None
-    if line[:1] == "[":
-        return "array"
-    try:
-        record = json.loads(line)
-    except ValueError:
-        record = None
-    if isinstance(record, dict) and any(k in record for k in keys):
-        return "lines"
-    raise PayloadError(f"unexpected payload in {path}: {line[:200]}")
+    fields = schema.fieldNames()
+    text = F.trim(F.col("value"))
+    keys = F.json_object_keys(text)
+    known = F.coalesce((F.size(keys) == 0) | F.arrays_overlap(keys, F.lit(fields)), F.lit(False))
+    record = F.when(known, F.from_json(text, schema, {"primitivesAsString": "true"})).otherwise(
+        F.raise_error(F.concat(F.lit("unexpected payload in "), F.col("_file"), F.lit(": "), F.substring(text, 1, 200))))
+    carried = [c for c in line_rows.columns if c != "value"]
+    return line_rows.filter(text != "").select(*carried, record.alias("_record")).select("_record.*", *carried)
 
 
 def read_profile_shards(spark: SparkSession, root: str, fields: Sequence[str]) -> DataFrame | None:
@@ -119,15 +119,17 @@ def read_profile_shards(spark: SparkSession, root: str, fields: Sequence[str]) -
         frames.append(csv_part)
     text = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     kinds: dict[str, list[str]] = defaultdict(list)
-    for d in list_files(spark, root, (".json",)):
-        kind = _json_kind(spark, d, fields)
-        if kind:
-            kinds[kind].append(d)
-    for kind, docs in kinds.items():
-        reader = spark.read.schema(text).option("primitivesAsString", True).option("basePath", root)
-        if kind == "array":
-            reader = reader.option("multiLine", True)
-        frames.append(reader.json(docs).select("*", *_scan_order()))
+    for path, start in files.probe(spark, list_files(spark, root, (".json",)), files.first_char).items():
+        if start not in ("", "[", "{"):
+            raise PayloadError(f"unexpected payload in {path}: it starts with {start!r}")
+        kinds[start].append(path)
+    if kinds["["]:
+        arrays = (spark.read.schema(text).option("primitivesAsString", True).option("basePath", root)
+                  .option("multiLine", True).option("mode", "FAILFAST").json(kinds["["]))
+        frames.append(arrays.select("*", *_scan_order()))
+    if kinds["{"]:
+        lines = spark.read.option("basePath", root).text(kinds["{"]).select("*", *_scan_order())
+        frames.append(_records_of(lines, text))
     out = _union(frames)
     if out is None:
         return None
@@ -148,7 +150,7 @@ def write_profile_shards(df: DataFrame, root: str, part: str = "part", order: st
     laid = df.repartitionByRange(part, order).sortWithinPartitions(part, order).select(*text_cols, part)
     (laid.filter(F.col(part) % 2 == 0).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(part)
-         .option("header", True).option("ignoreLeadingWhiteSpace", False)
+         .option("header", True).option("ignoreLeadingWhiteSpace", False).option("escape", '"')
          .option("ignoreTrailingWhiteSpace", False).csv(root))
     (laid.filter(F.col(part) % 2 == 1).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(part).json(root))
@@ -172,7 +174,7 @@ def write_statement_parts(df: DataFrame, root: str, statement: str, year: str, p
                      F.col("period_dir").alias("period_part"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("statement", "year", "period_part")
-             .option("header", True).option("ignoreLeadingWhiteSpace", False)
+             .option("header", True).option("ignoreLeadingWhiteSpace", False).option("escape", '"')
              .option("ignoreTrailingWhiteSpace", False).csv(root))
 
 
@@ -183,19 +185,14 @@ def read_statement_parts(spark: SparkSession, root: str, statement: str) -> Data
 
 
 # --------------------------------------------------------- price history
+# The vendor's field names. Numbers are read as their text, so a
+# quoted price is a price and anything else is told apart from a missing one.
+PRICE_FIELDS = ("open", "high", "low", "close", "adjClose", "volume")
+ENTRY_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in ("date", *PRICE_FIELDS)])
+CORRUPT = "_corrupt"
 HISTORY_SCHEMA = T.StructType([
-    T.StructField("historical", T.ArrayType(T.StructType([
-        T.StructField("date", T.StringType()),
-        T.StructField("open", T.DoubleType()),
-        T.StructField("high", T.DoubleType()),
-        T.StructField("low", T.DoubleType()),
-        T.StructField("close", T.DoubleType()),
-        T.StructField("adjClose", T.DoubleType()),
-        T.StructField("volume", T.DoubleType()),
-    ]))),
-    # Position of the document in its symbol's history (absent in a vendor
-    # response, which is then one document per symbol).
-    T.StructField("chunk", T.LongType()),
+    T.StructField("historical", T.ArrayType(ENTRY_SCHEMA)),
+    T.StructField(CORRUPT, T.StringType()),
 ])
 
 HISTORY_CHUNK_ROWS = 1000
@@ -221,10 +218,10 @@ def write_price_histories(feed: DataFrame, root: str, order: str = "seq") -> Non
                   .agg(F.array_sort(F.collect_list(entry)).alias("h"))
                   .select("symbol", "chunk",
                           F.transform("h", lambda x: x.dropFields("k")).alias("historical")))
-    # The aggregate already hash-partitions documents by (symbol, chunk): a
-    # hot symbol's chunks are spread over tasks, and a typical symbol's single
-    # document lands in one file of its directory.
-    docs.write.mode("overwrite").partitionBy("symbol").json(root)
+    # A symbol's documents land in one file, in feed order: what a landing says
+    # of one symbol was landed at one time.
+    (docs.repartition("symbol").sortWithinPartitions("symbol", "chunk").select("symbol", "historical")
+         .write.mode("overwrite").partitionBy("symbol").json(root))
 
 
 def write_empty_history(spark: SparkSession, root: str, symbol: str) -> None:
@@ -233,45 +230,66 @@ def write_empty_history(spark: SparkSession, root: str, symbol: str) -> None:
          .write.mode("overwrite").text(f"{root}/symbol={symbol}")
 
 
+def _number(text):
+    return text.try_cast("double")
+
+
+def _bad_entry(entry):
+    """An entry without a readable date, or with a price that is text but no number."""
+    bad = F.try_to_date(entry["date"], "yyyy-MM-dd").isNull()
+    for field in PRICE_FIELDS:
+        bad = bad | (entry[field].isNotNull() & _number(entry[field]).isNull())
+    return bad
+
+
 def parse_history_docs(lines: DataFrame, strict: bool = True) -> DataFrame:
     """One JSON history document per text line (``value``), symbol from the path.
 
-    Blank lines are skipped. Strict: a line that is not a JSON object (an
-    array, an error string) fails the job, as a malformed vendor response
-    must. Not strict: such a line becomes a document with no history and
-    ``_bad_doc`` set, so the caller can set its symbol aside. Every other
-    column of ``lines`` is carried through.
+    Blank lines are skipped. A document is bad if it is no JSON object, is
+    torn or of a wrong type, or has an entry with a missing or malformed date
+    or price. Strict: a bad document fails the job, naming its symbol. Not
+    strict: it becomes a document with no history and ``_bad_doc`` set, so the
+    caller can set its symbol aside. A ``{}`` is a good document without
+    entries. Every other column of ``lines`` is carried through.
     """
     text = F.trim(F.col("value"))
-    is_object = text.startswith("{")
-    parsed = F.when(is_object, F.from_json(text, HISTORY_SCHEMA))
-    if strict:
-        parsed = parsed.otherwise(
-            F.raise_error(F.concat(F.lit("unexpected price payload for symbol "),
-                                   F.coalesce(F.col("symbol"), F.lit("?")), F.lit(": "), F.substring(text, 1, 200))))
     carried = [c for c in lines.columns if c != "value"]
-    docs = lines.filter(text != "").select(*carried, parsed.alias("doc"), (~is_object).alias("_bad_doc"))
-    docs = docs.select(*carried, "_bad_doc", "doc.historical", "doc.chunk")
-    return docs if not strict else docs.drop("_bad_doc")
+    parsed = F.when(text.startswith("{"), F.from_json(text, HISTORY_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}))
+    docs = lines.filter(text != "").select(*carried, text.alias("_text"), parsed.alias("_doc"))
+    entry_bad = F.exists(F.col("_doc.historical"), lambda e: e.isNull() | _bad_entry(e))
+    bad = F.col("_doc").isNull() | F.col(f"_doc.{CORRUPT}").isNotNull() | F.coalesce(entry_bad, F.lit(False))
+    history = F.col("_doc.historical")
+    if strict:
+        message = F.concat(F.lit("unexpected price payload for symbol "), F.coalesce(F.col("symbol"), F.lit("?")),
+                           F.lit(": "), F.substring("_text", 1, 200))
+        return docs.select(*carried, F.when(bad, F.raise_error(message)).otherwise(history).alias("historical"))
+    return docs.select(*carried, bad.alias("_bad_doc"), F.when(~bad, history).alias("historical"))
 
 
-HISTORY_LINES_SCHEMA = "value string, symbol string"
+HISTORY_LINES_SCHEMA = "value string, symbol string, _landed timestamp, _file string, _block bigint, _row bigint"
 
 
-def read_history_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Raw history lines with their symbol (from the path) and scan order.
+def read_history_lines(spark: SparkSession, root: str, symbols: Iterable[str] | None = None) -> DataFrame:
+    """Raw history lines with their symbol (from the path) and landing order.
 
-    A landing zone that does not exist yet, or holds no file, reads as empty.
+    ``symbols`` (normalised) reads only their directories. A landing zone
+    that does not exist yet, or holds no file, reads as empty.
     """
-    if not files.exists(spark, root) or not files.list_dirs(spark, root, "symbol="):
-        lines = spark.createDataFrame([], HISTORY_LINES_SCHEMA)
-        return lines.select("value", "symbol", F.lit(None).cast("string").alias("_file"),
-                            F.lit(None).cast("long").alias("_block"), F.lit(None).cast("long").alias("_row"))
+    landed = files.list_dirs(spark, root, "symbol=")
+    if symbols is not None:
+        wanted = set(symbols)
+        names = [unquote(d.removeprefix("symbol=")) for d in landed]
+        landed = [n for n in names if n.strip().upper() in wanted]
+    if not landed:
+        return spark.createDataFrame([], HISTORY_LINES_SCHEMA)
     lines = spark.read.option("basePath", root).text(root)
     if "symbol" not in lines.columns:
         raise ValueError(f"{root}: histories must sit in symbol=<S> directories")
+    if symbols is not None:
+        lines = lines.filter(F.col("symbol").isin(landed))  # on the path's own value: other directories are not read
     # Tickers are upper-cased and stripped wherever they enter.
-    return lines.select("value", normalize_symbol("symbol").alias("symbol"), *_scan_order())
+    return lines.select("value", normalize_symbol("symbol").alias("symbol"),
+                        F.col("_metadata.file_modification_time").alias("_landed"), *_scan_order())
 
 
 def read_price_histories(spark: SparkSession, root: str) -> DataFrame:
@@ -282,37 +300,29 @@ def read_price_histories(spark: SparkSession, root: str) -> DataFrame:
 def shape_prices(docs: DataFrame, strict: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """PRJ6: one price row per history entry, with its feed order.
 
-    The symbol comes from the path, not the payload. Volume arrives as a
-    JSON number and is narrowed to a long leniently. Strict: a malformed date
-    fails the job whatever the ANSI setting. Not strict: rows get a ``_bad``
-    flag instead, and every document without entries (``{}``, an empty
-    history, or a bad document) leaves one marker row with a null ``pos``,
-    so the caller knows the symbol was landed. ``carry`` names extra document
-    columns passed through (e.g. a shard).
+    The symbol comes from the path, not the payload. Volume is narrowed to a
+    long leniently. Not strict: rows get a ``_bad`` flag, and every document
+    without entries (``{}``, an empty history, or a bad document) leaves one
+    marker row with a null ``pos``, so the caller knows the symbol was landed.
+    ``carry`` names extra document columns passed through (e.g. a shard).
     """
     # posexplode_outer + a filter on its output: a plain posexplode makes
     # Spark infer ``size(historical) > 0`` and push it below any semi join,
     # inlining the parse (and its raise_error) onto lines that were meant
     # to be filtered out first.
-    keep = ["symbol", "chunk", "_file", "_row", *carry] + ([] if strict else ["_bad_doc"])
+    order = [c for c in PRICE_ORDER if c != "pos"]
+    keep = ["symbol", *order, *carry] + ([] if strict else ["_bad_doc"])
     rows = docs.select(*keep, F.posexplode_outer("historical").alias("pos", "h"))
-    raw_date = F.col("h.date")
-    parsed = F.try_to_date(raw_date, "yyyy-MM-dd")
-    bad_date = raw_date.isNotNull() & parsed.isNull()
     if strict:
         rows = rows.filter(F.col("pos").isNotNull())
-        day = F.when(bad_date, F.raise_error(F.concat(F.lit("malformed price date: "), raw_date))).otherwise(parsed)
-        flags = []
-    else:
-        bad = F.col("_bad_doc") | F.coalesce(bad_date, F.lit(False))
-        day, flags = parsed, [bad.alias("_bad")]
+    price = {f: _number(F.col(f"h.{f}")) for f in PRICE_FIELDS}
     return rows.select(
-        "symbol", day.cast("date").alias("date"),
-        F.col("h.open").alias("open"), F.col("h.high").alias("high"), F.col("h.low").alias("low"),
-        F.col("h.close").alias("close"), F.col("h.adjClose").alias("adj_close"),
-        F.col("h.volume").try_cast("long").alias("volume"),
-        "chunk", "_file", "_row", "pos", *carry, *flags,
+        "symbol", F.try_to_date(F.col("h.date"), "yyyy-MM-dd").cast("date").alias("date"),
+        price["open"].alias("open"), price["high"].alias("high"), price["low"].alias("low"), price["close"].alias("close"),
+        price["adjClose"].alias("adj_close"), price["volume"].try_cast("long").alias("volume"),
+        *order, "pos", *carry, *([] if strict else [F.col("_bad_doc").alias("_bad")]),
     )
 
 
-PRICE_ORDER = ("chunk", "_file", "_row", "pos")
+# The later landing wins; within one, the later file, line and entry.
+PRICE_ORDER = ("_landed", "_file", "_block", "_row", "pos")

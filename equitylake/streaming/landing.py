@@ -8,8 +8,12 @@ after a crash rewrites the same partitions with the same rows, because the
 upsert is idempotent, so the sink is effectively exactly-once.
 
 Late data needs no watermark: an old date simply lands in an old partition.
-Order: a later batch wins over an earlier one; inside a batch the document
-chunk, file and position decide (cap batch size with ``maxFilesPerTrigger``).
+Order: a later batch wins over an earlier one; inside a batch the landing
+time, file and position decide (cap batch size with ``maxFilesPerTrigger``).
+
+A bad document (torn, of a wrong type, with an entry that has no date) does
+not stop the others: it goes to the rejects table, one folder per batch, so a
+replayed batch replaces its own rejects.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from equitylake.functions.text import normalize_symbol
-from equitylake.sources import landed
+from equitylake.sources import files, landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
 
@@ -30,21 +34,41 @@ def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkp
     """Start the ingest. By default it drains what has landed and stops
     (``availableNow``); with ``processing_time`` (e.g. ``"1 hour"``) it keeps
     running and picks up new landings on that cadence."""
+    rejects = rejects_path(store)
     reader = spark.readStream.schema("value string, symbol string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.text(landing).select("value", normalize_symbol("symbol").alias("symbol"),
-                                        F.col("_metadata.file_path").alias("_file"))
+                                        F.col("_metadata.file_modification_time").alias("_landed"),
+                                        F.col("_metadata.file_path").alias("_file"),
+                                        F.col("_metadata.file_block_start").alias("_block"))
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
-        docs = landed.parse_history_docs(batch.withColumn("_row", F.monotonically_increasing_id()))
-        store.upsert(DAILY_PRICES, landed.shape_prices(docs), order=list(landed.PRICE_ORDER))
+        docs = landed.parse_history_docs(batch.withColumn("_row", F.monotonically_increasing_id()), strict=False)
+        (docs.filter("_bad_doc").select("symbol", "_file", "_block", "_row", "_landed")
+             .write.mode("overwrite").parquet(f"{rejects}/batch={epoch_id}"))
+        store.upsert(DAILY_PRICES, landed.shape_prices(docs.filter(~F.col("_bad_doc"))), order=list(landed.PRICE_ORDER))
 
     writer = lines.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
     return writer.start()
 
 
+REJECTS_SCHEMA = "symbol string, _file string, _block bigint, _row bigint, _landed timestamp, batch int"
+
+
+def rejects_path(store: Store) -> str:
+    return f"{store.root}/_rejected_histories"
+
+
+def read_rejects(store: Store) -> DataFrame:
+    """The bad documents the stream has met: where each one is, and its batch."""
+    path = rejects_path(store)
+    if not files.list_dirs(store.spark, path, "batch="):
+        return store.spark.createDataFrame([], REJECTS_SCHEMA)
+    return store.spark.read.schema(REJECTS_SCHEMA).parquet(path)
+
+
 def ingest_available(spark: SparkSession, store: Store, landing: str, checkpoint: str,
                      max_files_per_trigger: int | None = None) -> None:
     """Run the stream until everything landed so far is ingested."""
