@@ -138,30 +138,26 @@ def bands_of(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
-def _units(batches, bands: int, rows: int):
+def _units(batches):
     for batch in batches:
         row, place, shingles = paragraphs(batch.column(1))
         if len(row):
-            keys = bands_of(shingles, bands, rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), pa.array(place, pa.int64()), pa.array(content_of(shingles)),
-                 pa.ListArray.from_arrays(np.arange(0, keys.size + 1, bands, dtype=np.int32), keys.ravel())],
-                names=["doc", "first", "content", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(place, pa.int64()), pa.array(content_of(shingles))],
+                                             names=["doc", "first", "content"])
 
 
-def _band_rows(batches, gather: int = 100_000):
+def _band_rows(batches, bands: int, rows: int, gather: int = 100_000):
     """(key, content), the repeats of a task's stretch left out: a passage found everywhere is sent on once a stretch."""
     def out(held):
-        bands = matrix(pa.concat_arrays([b.column(1) for b in held]), np.int64)
-        content = np.concatenate([b.column(0).to_numpy() for b in held])
-        content, at = np.unique(content, return_index=True)
-        bands = bands[at]
-        return pa.RecordBatch.from_arrays([pa.array(bands.ravel()), pa.array(np.repeat(content, bands.shape[1]))], names=["key", "content"])
+        content, at = np.unique(np.concatenate([c for c, _ in held]), return_index=True)
+        keys = np.concatenate([k for _, k in held])[at]
+        return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(content, bands))], names=["key", "content"])
 
     held, n = [], 0
     for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
+        _, _, shingles = paragraphs(batch.column(0))
+        held.append((content_of(shingles), bands_of(shingles, bands, rows)))
+        n += len(shingles)
         if n >= gather:
             yield out(held)
             held, n = [], 0
@@ -252,10 +248,11 @@ def repeated(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     texts = only(docs, id_col, text_col).toDF("doc", "text").where("doc is not null and text is not null")
     texts = texts.select(F.col("doc").cast("bigint").alias("doc"), F.col("text").cast("binary").alias("text"))
     path = scratch_dir(spark, "paragraphs")
-    texts.mapInArrow(partial(_units, bands=bands, rows=rows), "doc bigint, first bigint, content bigint, bands array<bigint>").write.parquet(path)
+    texts.mapInArrow(_units, "doc bigint, first bigint, content bigint").write.parquet(path)
     units = spark.read.parquet(path)
 
-    keyed = units.select("content", "bands").mapInArrow(_band_rows, "key bigint, content bigint")
+    # The bands are made from the texts again: that costs less than keeping them.
+    keyed = texts.select("text").mapInArrow(partial(_band_rows, bands=bands, rows=rows), "key bigint, content bigint")
     met = cut(keyed.repartition("key").sortWithinPartitions("key", "content").mapInArrow(_met, "key bigint, content bigint"))
     # One paragraph of each content that met another; its shingles come from its text.
     asked = met.select("content").distinct()
