@@ -7,6 +7,7 @@ always read by Spark tasks.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -36,6 +37,42 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(hsrc, jvm.org.apache.hadoop.fs.Path(dst)))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of everything in a directory; none if there is no such directory."""
+    _, fs, hpath = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was written, in seconds."""
+    _, fs, hpath = _fs(spark, path)
+    return fs.getFileStatus(hpath).getModificationTime() / 1000
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    jvm, fs, hpath = _fs(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file whole or not at all; an error if the file is there already."""
+    _, fs, _ = _fs(spark, path)
+    draft = f"{path}.{uuid.uuid4().hex}.tmp"
+    stream = fs.create(_fs(spark, draft)[2], False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if exists(spark, path) or not rename(spark, draft, path):
+        delete(spark, draft)
+        raise FileExistsError(f"{path} is there already: another job wrote this version")
+
+
 def list_dirs(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
     """Names of the sub-directories of ``path`` starting with ``prefix``."""
     _, fs, hpath = _fs(spark, path)

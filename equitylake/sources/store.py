@@ -2,18 +2,20 @@
 
 Layout under one root (any Hadoop file system: HDFS, object store, local)::
 
-    <root>/<table>/v=000007/                      one committed version
+    <root>/<table>/v=000007/                          what one commit wrote
     <root>/<table>/v=000007/pmonth=202401/*.parquet   time-indexed tables
-
-A version counts only once Spark's committer has written its ``_SUCCESS``
-marker, so a crashed write is invisible and replacing a table is atomic: a new
-version is written beside the old one and readers switch when it commits.
-A time-indexed table is upserted *in place* with dynamic partition overwrite:
-only the month (prices) or year (statements) partitions the fresh batch
-touches are read, merged and rewritten; every other partition is untouched,
-so a daily refresh costs one month, not the history. A commit interrupted
-by a driver crash is rolled forward (or dropped) by ``recover`` before the
-next write.
+    <root>/<table>/_manifests/000007.json             the directories that make up version 7
+
+A version counts only once its manifest exists; the manifest is renamed into
+place when all its data is written, so a crashed write is invisible and every
+commit is atomic. Files are never changed: a replace writes the whole table
+into a new directory, and an upsert of a time-indexed table writes only the
+month (prices) or year (statements) partitions the fresh batch touches, whose
+directories its manifest names in place of the old ones. A frame read before
+an upsert goes on reading the version it was planned on. Superseded versions
+are deleted once they are neither among the newest nor younger than the
+retention time. Two writers of one table conflict loudly: the later one finds
+the version's directory or manifest taken.
 
 Inside a partition, files are range-partitioned and sorted by symbol then
 date, so a symbol lookup skips whole files and row groups on parquet min/max
@@ -22,6 +24,8 @@ statistics, while the date range prunes partitions by directory.
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Iterable, Sequence
 from datetime import date
 
@@ -33,10 +37,13 @@ from equitylake.operators.conform import conform, resolve_columns
 from equitylake.operators.joins import semi_join
 from equitylake.operators.latest import merge_latest
 from equitylake.operators.predicates import all_of, date_between, symbol_in
+from equitylake.session import checkpoint_root
 from equitylake.sources import files
 from equitylake.specs import TableSpec
 
 KEEP_VERSIONS = 2
+# A superseded version is kept this long for readers that still hold it.
+RETAIN_SECONDS = 24 * 3600
 # Symbol lists longer than this filter through a broadcast semi join instead
 # of an IN list; the list already sits on the driver, so its size is known.
 MAX_IN_LIST = 10_000
@@ -47,73 +54,67 @@ COMPRESSION = "zstd"
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, retain_seconds: float = RETAIN_SECONDS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.retain_seconds = retain_seconds
 
     # ------------------------------------------------------------------ paths
     def table_dir(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.name}"
 
-    def _version_dirs(self, spec: TableSpec) -> dict[int, bool]:
-        """Every ``v=N`` directory -> whether its write committed."""
-        table = self.table_dir(spec)
-        return {int(name[2:]): files.exists(self.spark, f"{table}/{name}/_SUCCESS")
-                for name in files.list_dirs(self.spark, table, "v=") if name[2:].isdigit()}
+    def _manifest_dir(self, spec: TableSpec) -> str:
+        return f"{self.table_dir(spec)}/_manifests"
+
+    def _manifest_path(self, spec: TableSpec, version: int) -> str:
+        return f"{self._manifest_dir(spec)}/{version:06d}.json"
 
     def _versions(self, spec: TableSpec) -> list[int]:
         """Committed versions, oldest first."""
-        return sorted(v for v, done in self._version_dirs(spec).items() if done)
+        names = files.list_names(self.spark, self._manifest_dir(spec))
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def _dirs_of(self, spec: TableSpec, version: int) -> list[str]:
+        """The data directories of a version, relative to the table's."""
+        return json.loads(files.read_text(self.spark, self._manifest_path(spec, version)))
 
-    def _version_path(self, spec: TableSpec, version: int) -> str:
-        return f"{self.table_dir(spec)}/v={version:06d}"
+    def _commit(self, spec: TableSpec, version: int, dirs: Iterable[str]) -> None:
+        """Make ``dirs`` the table: the only step a reader can see."""
+        files.write_new(self.spark, self._manifest_path(spec, version), json.dumps(sorted(dirs)))
+        self._prune(spec)
 
-    def current_path(self, spec: TableSpec) -> str | None:
+    def data_paths(self, spec: TableSpec) -> list[str] | None:
+        """The directories of the current version; None if the table was never written."""
         versions = self._versions(spec)
-        return self._version_path(spec, versions[-1]) if versions else None
+        if not versions:
+            return None
+        return [f"{self.table_dir(spec)}/{d}" for d in self._dirs_of(spec, versions[-1])]
 
     def exists(self, spec: TableSpec) -> bool:
-        return self.current_path(spec) is not None
-
-    def _prune_old_versions(self, spec: TableSpec) -> None:
-        """Keep the newest committed versions; drop older ones and the
-        leftovers of crashed writes older than the newest commit."""
-        dirs = self._version_dirs(spec)
-        committed = sorted(v for v, done in dirs.items() if done)
-        if not committed:
-            return
-        keep = set(committed[-KEEP_VERSIONS:])
-        for v, done in dirs.items():
-            if v not in keep and (done or v < committed[-1]):
-                files.delete(self.spark, self._version_path(spec, v))
-
-    def recover(self, spec: TableSpec) -> list[str]:
-        """Finish or discard an in-place upsert that a driver crash interrupted.
-
-        Dynamic partition overwrite commits in two steps: the job's output is
-        completed in ``.spark-staging-<job>`` (its committer writes
-        ``_SUCCESS`` there; observed on Spark 4.1), then each touched
-        partition is swapped in (delete, rename). A staging
-        folder with ``_SUCCESS`` therefore holds complete partitions: they are
-        rolled forward. One without it never reached commit: it is dropped,
-        and the table is as before. Returns the partitions rolled forward.
-        Single-writer: call it only when no write to the table is running.
+        return bool(self._versions(spec))
+
+    def _prune(self, spec: TableSpec) -> None:
+        """Forget versions past their time, and delete the directories no remembered one names.
+
+        A directory above the newest version is another writer's and stays.
         """
-        current = self.current_path(spec)
-        if current is None:
-            return []
-        rolled = []
-        for staging in files.list_dirs(self.spark, current, ".spark-staging-"):
-            stage_dir = f"{current}/{staging}"
-            if files.exists(self.spark, f"{stage_dir}/_SUCCESS") and spec.partition_column:
-                for part in files.list_dirs(self.spark, stage_dir, f"{spec.partition_column}="):
-                    final = f"{current}/{part}"
-                    if files.exists(self.spark, final):
-                        files.delete(self.spark, final)
-                    files.rename(self.spark, f"{stage_dir}/{part}", final)
-                    rolled.append(part)
-            files.delete(self.spark, stage_dir)
-        return rolled
+        versions = self._versions(spec)
+        superseded = {v: files.modified(self.spark, self._manifest_path(spec, after)) for v, after in zip(versions, versions[1:])}
+        old = [v for v in versions[:-KEEP_VERSIONS] if time.time() - superseded[v] >= self.retain_seconds]
+        for v in old:
+            files.delete(self.spark, self._manifest_path(spec, v))
+        named = {d for v in versions if v not in old for d in self._dirs_of(spec, v)}
+        table = self.table_dir(spec)
+        for name in files.list_dirs(self.spark, table, "v="):
+            if int(name[2:]) > versions[-1] or name in named:
+                continue
+            inner = [f"{name}/{d}" for d in files.list_dirs(self.spark, f"{table}/{name}", f"{spec.partition_column}=")] if spec.partition_column else []
+            if not named.intersection(inner):
+                files.delete(self.spark, f"{table}/{name}")
+                continue
+            for d in inner:
+                if d not in named:
+                    files.delete(self.spark, f"{table}/{d}")
 
     # ------------------------------------------------------------------- read
     def empty(self, spec: TableSpec, columns: Sequence[str] | None = None) -> DataFrame:
@@ -125,10 +126,14 @@ class Store:
 
     def scan(self, spec: TableSpec) -> DataFrame | None:
         """Every stored row of the current version, partition column included."""
-        path = self.current_path(spec)
-        if path is None:
-            return None
-        return self.spark.read.schema(spec.stored_schema).parquet(path)
+        paths = self.data_paths(spec)
+        return None if paths is None else self._scan_dirs(spec, paths)
+
+    def _scan_dirs(self, spec: TableSpec, paths: Sequence[str]) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], spec.stored_schema)
+        reader = self.spark.read.schema(spec.stored_schema).option("basePath", self.table_dir(spec))
+        return reader.parquet(*paths).select(*spec.stored_schema.fieldNames())  # without the version in the path
 
     def register_views(self, specs: Iterable[TableSpec] | None = None) -> list[str]:
         """Expose each written table to Spark SQL as a temp view of its name.
@@ -209,27 +214,29 @@ class Store:
             cluster = [spec.partition_column] + cluster
         return frame.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
 
-    def _write_version(self, spec: TableSpec, frame: DataFrame) -> str:
-        """Write ``frame`` as the next version; readers switch when it commits.
+    def _write_dirs(self, spec: TableSpec, frame: DataFrame) -> tuple[int, list[str]]:
+        """Write ``frame`` into the next version's directory; returns the version and its directories.
 
         The number goes past every existing directory, committed or not, so
         a crashed write's leftovers are never reused, and ``errorifexists``
         makes a concurrent writer that picked the same number fail instead of
         overwriting.
         """
-        path = self._version_path(spec, max(self._version_dirs(spec), default=0) + 1)
+        table = self.table_dir(spec)
+        taken = [int(n[2:]) for n in files.list_dirs(self.spark, table, "v=") if n[2:].isdigit()]
+        version = max([0, *taken, *self._versions(spec)]) + 1
+        name = f"v={version:06d}"
         writer = (self._layout(spec, frame).write.mode("errorifexists")
                   .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", COMPRESSION))
-        if spec.partition_column:
-            writer = writer.partitionBy(spec.partition_column)
-        writer.parquet(path)
-        self._prune_old_versions(spec)
-        return path
+        if not spec.partition_column:
+            writer.parquet(f"{table}/{name}")
+            return version, [name]
+        writer.partitionBy(spec.partition_column).parquet(f"{table}/{name}")
+        return version, [f"{name}/{d}" for d in files.list_dirs(self.spark, f"{table}/{name}", f"{spec.partition_column}=")]
 
     def write(self, spec: TableSpec, frame: DataFrame) -> None:
         """SNK1: replace the whole table (keys are not de-duplicated)."""
-        self.recover(spec)
-        self._write_version(spec, conform(frame, spec.schema))
+        self._commit(spec, *self._write_dirs(spec, conform(frame, spec.schema)))
 
     def upsert(self, spec: TableSpec, fresh: DataFrame, order: Sequence[str] | None = None) -> int:
         """Merge ``fresh`` into the table on its key; fresh rows win whole.
@@ -247,8 +254,10 @@ class Store:
         order_cols = [f"__order_{i}" for i in range(len(order or []))]
         fresh = fresh.select("*", *[F.col(f"`{c}`").alias(o) for c, o in zip(order or [], order_cols)])
         order = order_cols
-        self.recover(spec)
-        fresh = conform(fresh, spec.schema, keep=order)
+        # Evaluated once: a landed feed is costly to parse, and is needed for
+        # its span and again for the merge.
+        checkpoint_root(self.spark)
+        fresh = conform(fresh, spec.schema, keep=order).checkpoint()
         if spec.time_index is None:
             return self._upsert_keyed(spec, fresh, order)
         return self._upsert_range(spec, fresh, order)
@@ -260,7 +269,7 @@ class Store:
             return 0
         stored = self.scan(spec)
         stored = stored.select(*spec.columns) if stored is not None else None
-        self._write_version(spec, merge_latest(stored, fresh, spec.key, order))
+        self._commit(spec, *self._write_dirs(spec, merge_latest(stored, fresh, spec.key, order)))
         return rows
 
     def _upsert_range(self, spec: TableSpec, fresh: DataFrame, order: list[str]) -> int:
@@ -285,18 +294,19 @@ class Store:
         lo, hi = min(r["lo"] for r in span), max(r["hi"] for r in span)
         rows = sum(r["rows"] for r in span)
 
-        current = self.current_path(spec)
-        if current is None:
-            self._write_version(spec, merge_latest(None, fresh, spec.key, order))
-            return rows
-
-        stored = self.spark.read.schema(spec.stored_schema).parquet(current) \
-                     .filter(F.col(pcol).isin(grains)).drop(pcol)
-        in_span = F.col(ti).between(F.lit(lo), F.lit(hi))
-        merged = merge_latest(stored.filter(in_span), fresh, spec.key, order)
-        merged = merged.unionByName(stored.filter(~in_span))
-        (self._layout(spec, merged).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", COMPRESSION)
-             .partitionBy(pcol).parquet(current))
+        versions = self._versions(spec)
+        dirs = self._dirs_of(spec, versions[-1]) if versions else []
+        touched = {f"{pcol}={g}" for g in grains}
+        old = [d for d in dirs if d.rpartition("/")[2] in touched]
+        if not old:
+            merged = merge_latest(None, fresh, spec.key, order)
+        else:
+            stored = self._scan_dirs(spec, [f"{self.table_dir(spec)}/{d}" for d in old]).drop(pcol)
+            in_span = F.col(ti).between(F.lit(lo), F.lit(hi))
+            merged = merge_latest(stored.filter(in_span), fresh, spec.key, order)
+            merged = merged.unionByName(stored.filter(~in_span))
+        version, new = self._write_dirs(spec, merged)
+        if self._versions(spec) != versions:
+            raise RuntimeError(f"{spec.name} was written by another job during this upsert; run it again")
+        self._commit(spec, version, [d for d in dirs if d not in set(old)] + new)
         return rows

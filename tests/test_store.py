@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES, TICKER_UNIVERSE, statement_table
 
 PRICE_DDL = "symbol string, date date, open double, high double, low double, close double, adj_close double, volume bigint"
@@ -94,11 +95,11 @@ def test_neighbour_symbol_on_same_date_survives(spark, store):
 
 def test_upsert_touches_only_its_months(spark, store):
     store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0), ("AAPL", date(2024, 6, 5), 2.0)]))
-    jan = f"{store.current_path(DAILY_PRICES)}/pmonth=202401"
-    before = sorted(p.name for p in __import__("pathlib").Path(jan).iterdir())
+    before = store.data_paths(DAILY_PRICES)
     store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 6, 5), 3.0)]))
-    after = sorted(p.name for p in __import__("pathlib").Path(jan).iterdir())
-    assert before == after  # January files were not rewritten
+    after = store.data_paths(DAILY_PRICES)
+    assert before[0] == after[0] and before[0].endswith("/pmonth=202401")  # January was not rewritten
+    assert before[1] != after[1]
     assert [r.close for r in store.read(DAILY_PRICES).collect()] == [1.0, 3.0]
 
 
@@ -214,6 +215,7 @@ def test_table_written_empty_then_upserted(spark, store):
 
 
 def test_replace_keeps_two_versions(spark, store):
+    store.retain_seconds = 0
     for close in (1.0, 2.0, 3.0):
         store.write(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), close)]))
     assert store._versions(DAILY_PRICES) == [2, 3]
@@ -221,6 +223,7 @@ def test_replace_keeps_two_versions(spark, store):
 
 
 def test_crashed_write_is_invisible_and_never_reused(spark, store, tmp_path):
+    store.retain_seconds = 0
     store.write(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0)]))
     partial = tmp_path / "store" / "daily_prices" / "v=000002"
     partial.mkdir()
@@ -242,26 +245,56 @@ def test_long_symbol_list_uses_a_broadcast_semi_join(spark, store, monkeypatch):
     assert "LeftSemi" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_recover_rolls_an_interrupted_commit_forward(spark, store, tmp_path):
-    import shutil
+def test_a_frame_read_before_an_upsert_keeps_its_rows(spark, store):
     store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0), ("AAPL", date(2024, 2, 5), 2.0)]))
-    current = store.current_path(DAILY_PRICES).replace("file:", "")
-    # Simulate a crash inside the commit loop: the job's staging folder is
-    # complete (_SUCCESS), February was already deleted but not renamed.
-    staging = f"{current}/.spark-staging-crashed"
-    done = price_rows(spark, [("AAPL", date(2024, 2, 5), 9.0)]).withColumn("pmonth", F.lit(202402))
-    done.write.partitionBy("pmonth").parquet(staging)
-    shutil.rmtree(f"{current}/pmonth=202402")
-    assert store.recover(DAILY_PRICES) == ["pmonth=202402"]
+    held = store.read(DAILY_PRICES)
+    for close in (7.0, 8.0, 9.0):
+        store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 2, 5), close)]))
+    assert [r.close for r in held.collect()] == [1.0, 2.0]
     assert [r.close for r in store.read(DAILY_PRICES).collect()] == [1.0, 9.0]
-    # A staging folder that never reached commit is simply dropped.
-    price_rows(spark, [("AAPL", date(2024, 1, 5), 7.0)]).withColumn("pmonth", F.lit(202401)) \
-        .write.partitionBy("pmonth").parquet(f"{current}/.spark-staging-partial")
-    import os
-    os.remove(f"{current}/.spark-staging-partial/_SUCCESS")
-    assert store.recover(DAILY_PRICES) == []
+
+
+def test_superseded_partitions_are_deleted_after_their_time(spark, store, tmp_path):
+    store.retain_seconds = 0
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0), ("AAPL", date(2024, 2, 5), 2.0)]))
+    for close in (7.0, 8.0, 9.0):
+        store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 2, 5), close)]))
+    table = tmp_path / "store" / "daily_prices"
+    assert sorted(str(p.relative_to(table)) for p in table.glob("v=*/pmonth=*")) == [
+        "v=000001/pmonth=202401", "v=000003/pmonth=202402", "v=000004/pmonth=202402"]
     assert [r.close for r in store.read(DAILY_PRICES).collect()] == [1.0, 9.0]
-    assert not os.path.exists(f"{current}/.spark-staging-partial")
+
+
+def test_a_crashed_upsert_is_invisible(spark, store, monkeypatch):
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0)]))
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_commit", crash)
+        with pytest.raises(OSError):
+            store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 5.0)]))
+    assert [r.close for r in store.read(DAILY_PRICES).collect()] == [1.0]
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 6.0)]))
+    assert [r.close for r in store.read(DAILY_PRICES).collect()] == [6.0]
+
+
+def test_two_writers_conflict_loudly(spark, store, monkeypatch):
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0)]))
+    other = Store(spark, store.root)
+    plain = store._write_dirs
+
+    def slow(spec, frame):
+        monkeypatch.setattr(store, "_write_dirs", plain)
+        other.upsert(DAILY_PRICES, price_rows(spark, [("MSFT", date(2024, 1, 5), 2.0)]))
+        return plain(spec, frame)
+
+    monkeypatch.setattr(store, "_write_dirs", slow)
+    with pytest.raises(RuntimeError, match="another job"):
+        store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 9.0)]))
+    assert {(r.symbol, r.close) for r in store.read(DAILY_PRICES).collect()} == {("AAPL", 1.0), ("MSFT", 2.0)}
+
 
 
 def test_tables_are_queryable_from_spark_sql(spark, store):
