@@ -256,6 +256,38 @@ def backfill_load(spark, sf_dir):
     return store.read(DAILY_PRICES)
 
 
+def _landed_with_torn(spark, sf_dir) -> str:
+    """The landing again, with the documents of symbols that end in 7 cut off in the middle."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "torn")
+    whole = _landed_histories(spark, sf_dir)
+    with _lock:
+        root = _landings.get(key)
+        if root is None:
+            root = scratch_dir(spark, "landing-torn")
+            lines = landed.read_history_lines(spark, whole)
+            torn = F.when(F.col("symbol").endswith("7"), F.expr("left(value, int(length(value) / 2))")).otherwise(F.col("value"))
+            (lines.repartition("symbol").sortWithinPartitions("symbol", "_file", "_block", "_row")
+                  .select(torn.alias("value"), "symbol").write.partitionBy("symbol").text(root))
+            _landings[key] = root
+        return root
+
+
+def backfill_with_rejects(spark, sf_dir):
+    """J3 over a landing with torn histories: they are set aside, all others are loaded."""
+    store = Store(spark, scratch_dir(spark, "rejects-store"))
+    staging = scratch_dir(spark, "rejects-staging")
+    price_load.stage(spark, stamped_universe(spark, sf_dir), _landed_with_torn(spark, sf_dir), staging)
+    price_load.load(store, staging)
+    return store.read(DAILY_PRICES)
+
+
+def stream_with_rejects(spark, sf_dir):
+    """STR1 over the same landing."""
+    store = Store(spark, scratch_dir(spark, "rejects-stream"))
+    ingest_available(spark, store, _landed_with_torn(spark, sf_dir), scratch_dir(spark, "rejects-ckpt"))
+    return store.read(DAILY_PRICES)
+
+
 def staging_todo(spark, sf_dir):
     """JN3 + AGG5: after staging the ETFs, the symbols still to stage (every
     non-ETF, and every ETF with no landed history yet)."""
@@ -454,6 +486,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_history_json": price_history_json,
     "landing_ingest": landing_ingest,
     "backfill_load": backfill_load,
+    "backfill_with_rejects": backfill_with_rejects,
+    "stream_with_rejects": stream_with_rejects,
     "staging_todo": staging_todo,
     "statements_quarterly": statements_quarterly,
     "statements_annual": statements_annual,

@@ -240,6 +240,8 @@ SQL.update({
     "price_history_json": P + "SELECT * FROM lp",
     "landing_ingest": P + "SELECT * FROM lp",
     "backfill_load": P + "SELECT * FROM lp",
+    "backfill_with_rejects": P + "SELECT * FROM lp WHERE symbol NOT LIKE '%7'",
+    "stream_with_rejects": P + "SELECT * FROM lp WHERE symbol NOT LIKE '%7'",
     "staging_todo": U + """SELECT symbol FROM f2 WHERE NOT (security_type = 'etf'
         AND symbol IN (SELECT DISTINCT 'U' || CAST(user_id AS VARCHAR) FROM events))""",
     "statements_quarterly": with_(F3, F3Q) + stored_statement(
