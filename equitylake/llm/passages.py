@@ -30,8 +30,8 @@ from equitylake.llm.common import components, cut, hot_blocks, matrix, only, who
 from equitylake.session import scratch_dir
 
 SHINGLE = 5
-WORDS = 24  # of a paragraph
-REACH = 6  # an anchor's hash is the smallest within so many words on either side
+WORDS = 22  # of a paragraph
+REACH = 8  # an anchor's hash is the smallest within so many words on either side
 #: 1 - (1 - 0.8^2)^3 = 0.95 of the pairs of similarity 0.8 meet; a passage has several paragraphs.
 BANDS, ROWS = 3, 2
 SIMILARITY = 0.8
@@ -240,7 +240,7 @@ def repeated(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     component; the component is named by a paragraph's hash. Paragraphs of a
     document that overlap and have one keeper are merged, under the smallest
     component; spans of different keepers may overlap. Paragraphs repeated within one document only are left
-    alone. Null, empty and short texts (under 24 words) and rows with a null
+    alone. Null, empty and short texts (under 22 words) and rows with a null
     id hold no paragraph. Rows that repeat an id are one document. An empty
     table gives no rows.
     """
@@ -254,18 +254,20 @@ def repeated(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     # The bands are made from the texts again: that costs less than keeping them.
     keyed = texts.select("text").mapInArrow(partial(_band_rows, bands=bands, rows=rows), "key bigint, content bigint")
     met = cut(keyed.repartition("key").sortWithinPartitions("key", "content").mapInArrow(_met, "key bigint, content bigint"))
-    # One paragraph of each content that met another; its shingles come from its text.
-    asked = met.select("content").distinct()
-    shown = units.select("content", "doc", "first").join(asked, "content").groupBy("content").agg(F.min(F.struct("doc", "first")).alias("at"))
-    per_doc = shown.groupBy("at.doc").agg(F.collect_list("at.first").alias("firsts"))
+    # One pass over the contents finds those that documents share, and a place
+    # of each content that met another, where its shingles can be read.
+    asked = met.select("content").distinct().withColumn("asked", F.lit(True))
+    classes = units.groupBy("content").agg(F.min(F.struct("doc", "first")).alias("at"), F.max("doc").alias("hi"))
+    classes = cut(classes.join(asked.hint("shuffle_hash"), "content", "left").where("asked or at.doc <> hi"))
+    per_doc = classes.where("asked").groupBy("at.doc").agg(F.collect_list("at.first").alias("firsts"))
     sets = cut(texts.join(per_doc.hint("shuffle_hash"), "doc").select("text", "firsts")
                     .mapInArrow(_shingles_at, "content bigint, shingles array<bigint>").dropDuplicates(["content"]))
     dealt = hot_blocks(met, ["key"], "content", BLOCK_ROWS).join(sets, "content")
     ordered = dealt.select("key", "lo", "hi", "blk", "content", "shingles").repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
     linked = cut(components(ordered.mapInArrow(partial(_similar, least=least), "a bigint, b bigint")))
 
-    exact = units.groupBy("content").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
-    groups = (exact.select("content").join(linked.withColumnRenamed("node", "content"), "content", "full")
+    exact = classes.where("at.doc <> hi").select("content")
+    groups = (exact.join(linked.withColumnRenamed("node", "content"), "content", "full")
                    .select("content", F.coalesce("component", "content").alias("component")))
     placed = cut(units.select("content", "doc", "first").join(groups, "content").select("component", "doc", "first"))
     spread = (placed.groupBy("component").agg(F.min("doc").alias("keeper"), F.max("doc").alias("hi"))
