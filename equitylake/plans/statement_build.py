@@ -12,6 +12,8 @@ into one latest-wins over the composite order (year, period, position).
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
@@ -134,36 +136,60 @@ def _part_of(path: str) -> tuple[str, str] | None:
     return (year, period) if year is not None and period is not None else None
 
 
-def cached_parts(spark, cache: str, statement: StatementSpec) -> set[tuple[str, str]]:
-    """Parts already in the cache. A part directory appears only when its
-    write commits (dynamic partition overwrite), so presence means complete."""
-    root = f"{cache}/statement={statement.name}"
-    return {(year[5:], period[12:])
-            for year in files.list_dirs(spark, root, "year=")
-            for period in files.list_dirs(spark, f"{root}/{year}", "period_part=")}
+def _ledger_path(cache: str, statement: StatementSpec) -> str:
+    return f"{cache}/statement={statement.name}/_parts.json"
+
+
+def cached_parts(spark, cache: str, statement: StatementSpec) -> dict[tuple[str, str], str]:
+    """Parts in the cache, those that keep no row included -> what each was made from."""
+    path = _ledger_path(cache, statement)
+    if not files.exists(spark, path):
+        return {}
+    return {(year, period): made for year, period, made in json.loads(files.read_text(spark, path))}
+
+
+def _fingerprint(wanted: DataFrame | None) -> str:
+    """Tells one wanted set from another: its size and a sum of its members' hashes."""
+    if wanted is None:
+        return "all"
+    n, total = wanted.select("symbol").distinct().agg(
+        F.count("symbol"), F.sum(F.xxhash64("symbol").cast("decimal(38,0)"))).first()
+    return f"{n}:{total or 0}"
 
 
 def cache_statement_parts(spark, landing: str, cache: str, statement: StatementSpec,
                           wanted: DataFrame | None = None) -> int:
-    """SNK6: normalise (J4) every landed part not yet cached; returns how many.
+    """SNK6: normalise (J4) every landed part that the cache does not hold as it is now; returns how many.
 
-    A rerun reads the cache instead of re-normalising; after a crash, the
-    parts that committed stay and only the rest are redone.
+    The ledger says which files (by name, size and time) and which wanted set
+    a part was made from: a late or changed file, or another wanted set, makes
+    it anew, and a part that keeps no row is not asked for again. The ledger
+    is written after the data, so parts of a crashed run are redone.
     """
     done = cached_parts(spark, cache, statement)
-    found = [f for f in landed.list_files(spark, landing, (".csv",)) if f"/statement={statement.name}/" in f]
-    todo = [f for f in found if _part_of(f) is not None and _part_of(f) not in done]
+    of: dict[tuple[str, str], list[str]] = {}
+    for path, stamp in files.stamps(spark, landing, (".csv",)).items():
+        if f"/statement={statement.name}/" in path and (part := _part_of(path)) is not None:
+            of.setdefault(part, []).append(f"{path} {stamp}")
+    kept = _fingerprint(wanted)
+    made = {part: hashlib.sha256("\n".join([kept, *sorted(found)]).encode()).hexdigest() for part, found in of.items()}
+    todo = {part for part in made if done.get(part) != made[part]}
     if not todo:
         return 0
-    raw = landed.read_csv_by_header(spark, landing, todo)
-    if raw is None:
-        return 0
-    parts = normalise_parts(raw, statement, "year", "period_part", list(PART_ORDER), wanted)
-    (parts.select(*statement.schema.names, F.col(_PART[0]).alias("year"), F.col(_PART[1]).alias("period_part"))
-          .repartitionByRange("year", "period_part", "date", "symbol")
-          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-          .partitionBy("year", "period_part").parquet(f"{cache}/statement={statement.name}"))
-    return len({_part_of(f) for f in todo})
+    folder = f"{cache}/statement={statement.name}"
+    raw = landed.read_csv_by_header(spark, landing, [f.rpartition(" ")[0] for part in sorted(todo) for f in of[part]])
+    # A part made anew may keep no row, or fewer: its old directory goes first.
+    for year, period in todo & set(done):
+        files.delete(spark, f"{folder}/year={year}/period_part={period}")
+    if raw is not None:
+        parts = normalise_parts(raw, statement, "year", "period_part", list(PART_ORDER), wanted)
+        (parts.select(*statement.schema.names, F.col(_PART[0]).alias("year"), F.col(_PART[1]).alias("period_part"))
+              .repartitionByRange("year", "period_part", "date", "symbol")
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+              .partitionBy("year", "period_part").parquet(folder))
+    ledger = done | {part: made[part] for part in todo}
+    files.replace_text(spark, _ledger_path(cache, statement), json.dumps([[*part, m] for part, m in sorted(ledger.items())]))
+    return len(todo)
 
 
 def read_cached_parts(spark, cache: str, statement: StatementSpec) -> DataFrame | None:
@@ -172,7 +198,10 @@ def read_cached_parts(spark, cache: str, statement: StatementSpec) -> DataFrame
         return None
     schema = T.StructType(statement.schema.fields + [T.StructField("year", T.IntegerType()),
                                                      T.StructField("period_part", T.StringType())])
-    return spark.read.schema(schema).parquet(f"{cache}/statement={statement.name}")
+    folder = f"{cache}/statement={statement.name}"
+    if not files.list_dirs(spark, folder, "year="):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(folder)
 
 
 def restate_cached(parts: DataFrame, statement: StatementSpec) -> DataFrame:

@@ -59,6 +59,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file in place of another (one writer)."""
+    delete(spark, path)
+    write_new(spark, path, text)
+
+
 def write_new(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file whole or not at all; an error if the file is there already."""
     _, fs, _ = _fs(spark, path)
@@ -84,20 +90,26 @@ def list_dirs(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
 
 def list_files(spark: SparkSession, root: str, suffixes: Sequence[str]) -> list[str]:
     """Data files under ``root`` (recursive); hidden ``_``/``.`` entries skipped."""
+    return sorted(stamps(spark, root, suffixes))
+
+
+def stamps(spark: SparkSession, root: str, suffixes: Sequence[str]) -> dict[str, str]:
+    """Data files under ``root``, each with its size and modification time."""
     _, fs, hpath = _fs(spark, root)
     if not fs.exists(hpath):
-        return []
+        return {}
     base = fs.makeQualified(hpath).toString()
-    out = []
+    out = {}
     it = fs.listFiles(hpath, True)
     while it.hasNext():
-        p = it.next().getPath()
+        status = it.next()
+        p = status.getPath()
         rel = p.toString()[len(base):]
         if any(seg.startswith(("_", ".")) for seg in rel.split("/") if seg):
             continue
         if p.getName().endswith(tuple(suffixes)):
-            out.append(p.toString())
-    return sorted(out)
+            out[p.toString()] = f"{status.getLen()}:{status.getModificationTime()}"
+    return out
 
 
 def _characters(spark: SparkSession, path: str):

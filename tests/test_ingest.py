@@ -237,6 +237,26 @@ def test_part_cache_replays_and_resumes(spark, scratch):
     assert sorted((r.year, r.revenue) for r in rows) == [(2011, 2011.0), (2012, 2012.0), (2013, 2013.0)]
 
 
+def test_part_cache_follows_late_files_empty_parts_and_the_wanted_set(spark, scratch):
+    from equitylake.plans.statement_build import cache_statement_parts, read_cached_parts
+    landing, cache = f"{scratch}/landing", f"{scratch}/cache"
+    part = f"{landing}/statement=income_statement/year=2011/period_part=FY"
+    write(f"{part}/a.csv", "date,symbol,period,revenue\n2011-09-24,AAPL,FY,1\n2011-09-24,XOM,FY,2\n")
+
+    def run(*symbols):
+        wanted = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+        n = cache_statement_parts(spark, landing, cache, INCOME_STATEMENT, wanted)
+        return n, sorted((r.symbol, r.revenue) for r in read_cached_parts(spark, cache, INCOME_STATEMENT).collect())
+
+    assert run("NONE") == (1, [])
+    assert run("NONE") == (0, [])  # a part that keeps no row is cached, too
+    assert run("AAPL") == (1, [("AAPL", 1.0)])
+    assert run("AAPL", "XOM") == (1, [("AAPL", 1.0), ("XOM", 2.0)])
+    write(f"{part}/b.csv", "date,symbol,period,revenue\n2011-09-24,XOM,FY,3\n")
+    assert run("XOM", "AAPL") == (1, [("AAPL", 1.0), ("XOM", 3.0)])
+    assert run("NONE") == (1, [])
+
+
 def test_csv_part_with_byte_order_mark(spark, scratch):
     write(f"{scratch}/statement=income_statement/year=2011/period_part=FY/a.csv",
           "\ufeffdate,symbol,period,revenue\n2011-09-24,AAPL,FY,5\n")
