@@ -104,3 +104,28 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert passages.repeated(empty).count() == 0
     assert passages.remove(empty, passages.repeated(empty)).count() == 0
+
+
+def removed(spark, texts):
+    """The words each document loses."""
+    gone = {i: set() for i in range(len(texts))}
+    for r in passages.repeated(documents(spark, texts)).collect():
+        gone[r.doc_id] |= set(range(r.first_word, r.end_word))
+    return gone
+
+
+def test_near_paragraphs_of_any_length_link(spark):
+    """A word changed anywhere, at a similarity of the whole paragraphs of 0.8 or more."""
+    texts, want = [], {}
+    for k, (length, edits) in enumerate([(60, [30]), (100, [33, 66]), (200, [40, 80, 120]), (52, [25]), (16, [15])]):
+        for tail in ("\n", "\n\n"):
+            paragraph = words(900 + k + len(tail) * 50, length).split()
+            other = [f"odd{j}" if j in edits else w for j, w in enumerate(paragraph)]
+            assert len(grams(paragraph) & grams(other)) >= 0.8 * len(grams(paragraph) | grams(other))
+            for held in (paragraph, other):
+                if tail == "\n\n" and length > 30:  # wrapped at other words
+                    held = [*held[:9 + len(texts) % 2], "\n", *held[9 + len(texts) % 2:]]
+                texts.append(words(2000 + len(texts), 40) + tail + " ".join(held) + tail + words(3000 + len(texts), 40))
+            want[len(texts) - 1] = set(range(40, 40 + length))
+    gone = removed(spark, texts)
+    assert gone == {i: want.get(i, set()) for i in range(len(texts))}
