@@ -129,3 +129,14 @@ def test_near_paragraphs_of_any_length_link(spark):
             want[len(texts) - 1] = set(range(40, 40 + length))
     gone = removed(spark, texts)
     assert gone == {i: want.get(i, set()) for i in range(len(texts))}
+
+
+def test_the_whole_of_a_shared_passage_goes(spark):
+    texts, want = [], []
+    for k in range(40):
+        shared = words(5000 + k, 50 + k % 31)
+        for side in range(2):
+            head = words(6000 + 2 * k + side, 30 + k)
+            texts.append(f"{head} {shared} {words(7000 + 2 * k + side, 35)}")
+            want.append(set(range(30 + k, 80 + k + k % 31)) if side else set())
+    assert removed(spark, texts) == dict(enumerate(want))
