@@ -140,3 +140,15 @@ def test_the_whole_of_a_shared_passage_goes(spark):
             texts.append(f"{head} {shared} {words(7000 + 2 * k + side, 35)}")
             want.append(set(range(30 + k, 80 + k + k % 31)) if side else set())
     assert removed(spark, texts) == dict(enumerate(want))
+
+
+def test_phrases_said_again_and_again_go_whole(spark):
+    texts, want = [], []
+    for period in range(1, 9):
+        for times in (-(-50 // period), -(-120 // period)):
+            shared = " ".join([words(8000 + period * 10 + times, period)] * times)
+            for side in range(2):
+                n = len(texts)
+                texts.append(f"{words(9000 + n, 33 + n)} {shared} {words(9500 + n, 41)}")
+                want.append(set(range(33 + n, 33 + n + period * times)) if side else set())
+    assert removed(spark, texts) == dict(enumerate(want))
