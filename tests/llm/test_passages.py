@@ -152,3 +152,11 @@ def test_phrases_said_again_and_again_go_whole(spark):
                 texts.append(f"{words(9000 + n, 33 + n)} {shared} {words(9500 + n, 41)}")
                 want.append(set(range(33 + n, 33 + n + period * times)) if side else set())
     assert removed(spark, texts) == dict(enumerate(want))
+
+
+def test_short_paragraphs_and_texts_are_units(spark):
+    line, verse = words(41, 20), words(42, 6).split()
+    texts = [line, line, words(43, 30) + "\n" + line + "\n" + words(44, 30), words(45, 5), words(45, 5), words(46, 4), words(46, 4),
+             " ".join(verse[:3]) + "\n" + " ".join(verse[3:]), " ".join(verse[:2]) + "\n" + " ".join(verse[2:])]
+    whole = {1: set(range(20)), 2: set(range(30, 50)), 4: set(range(5)), 8: set(range(6))}
+    assert removed(spark, texts) == {i: whole.get(i, set()) for i in range(len(texts))}
