@@ -186,10 +186,11 @@ def added(found: DataFrame) -> DataFrame:
     return rows.withColumn("probability", F.when(F.col("base"), 1.0).otherwise(_score(weights))).drop(*votes, *features)
 
 
-def spans(rows: DataFrame) -> DataFrame:
+def spans(rows: DataFrame, overlapping: bool = False) -> DataFrame:
     """(key, kind, start, end, base) of the spans in ``rows`` (key, text): base ones, and added ones of probability 0.5 or more.
 
-    Of added spans that overlap, the one that starts first stays (the longer, if both start together).
+    An added span that overlaps one that stays before it goes, unless ``overlapping`` asks for all;
+    of those that start together the longest is first.
     """
     scored = added(cut(candidates(rows)))
     chosen = scored.where("probability >= 0.5").withColumn(
@@ -199,10 +200,21 @@ def spans(rows: DataFrame) -> DataFrame:
     base_start = F.min(F.when(F.col("base"), F.col("start"))).over(order.rowsBetween(W.currentRow, W.unboundedFollowing))
     free = chosen.withColumn("free", F.col("base") | ((F.coalesce(base_end, F.lit(-1)) <= F.col("start"))
                                                       & (F.coalesce(base_start, F.col("end")) >= F.col("end"))))
-    free = free.where("free")
+    free = free.where("free").select("key", "kind", "start", "end", "base")
+    return free if overlapping else settled(free)
+
+
+def settled(free: DataFrame) -> DataFrame:
+    """``free`` (key, kind, start, end, base) without the added spans that overlap one that stays before them; none overlaps a base span."""
+    order = W.partitionBy("key").orderBy("start", F.desc("base"), F.desc("end"), "kind")
     added_end = F.max(F.when(~F.col("base"), F.col("end"))).over(order.rowsBetween(W.unboundedPreceding, -1))
-    return (free.withColumn("first", F.col("base") | (F.coalesce(added_end, F.lit(-1)) <= F.col("start")))
-                .where("first").select("key", "kind", "start", "end", "base"))
+    runs = free.withColumn("new", (F.col("base") | (F.coalesce(added_end, F.lit(-1)) <= F.col("start"))).cast("int")).withColumn(
+        "run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    gathered = runs.groupBy("key", "run").agg(F.array_sort(F.collect_list(F.struct(
+        "start", (-F.col("end")).alias("back"), "kind", "end", "base"))).alias("all"))
+    stay = F.aggregate(F.slice("all", F.lit(2), F.size("all")), F.slice("all", 1, 1),
+                       lambda kept, s: F.when(s["start"] >= F.element_at(kept, -1)["end"], F.concat(kept, F.array(s))).otherwise(kept))
+    return gathered.select("key", F.explode(stay).alias("s")).select("key", "s.kind", "s.start", "s.end", "s.base")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
@@ -238,13 +250,13 @@ def joined(spans_col: Column) -> Column:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = None) -> DataFrame:
-    """``docs`` with each span of its text replaced by its kind in brackets ([EMAIL]); spans that overlap are one, named by the first.
+    """``docs`` with each span of its text replaced by its kind in brackets ([EMAIL]); spans that overlap, added ones too, are one, named by the first.
 
     A null text stays null, and all other columns stay as they are, except
     ``chars_col``, set to the new length where the text has changed.
     """
     rows, key, text = keyed(docs, id_col, text_col)
-    found = spans(rows.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    found = spans(rows.select(F.col(key).alias("key"), F.col(text).alias("text")), overlapping=True)
     order = W.partitionBy("key").orderBy("start", _rank(F.col("kind")), "end")
     reach = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
     runs = found.withColumn("new", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int")).withColumn(

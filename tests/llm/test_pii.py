@@ -4,6 +4,7 @@ import random
 import re
 
 from corpora import AWKWARD, SCHEMA, documents
+from pyspark.sql import functions as F
 
 from equitylake.llm import pii
 
@@ -92,3 +93,18 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     assert pii.redact(docs).count() == 5
     empty = spark.createDataFrame([], SCHEMA)
     assert pii.span_report(empty).count() == 0 and pii.redact(empty).count() == 0
+
+
+def test_a_span_that_overlaps_none_that_stays_stays(spark, monkeypatch):
+    """Three in a chain: the second goes because of the first, the third stays; redaction hides all three."""
+    chain = [("secret", 0, 10, False), ("number", 8, 20, False), ("secret", 18, 30, False), ("number", 29, 31, False),
+             ("email", 32, 40, True), ("number", 42, 50, False), ("number", 42, 46, False), ("secret", 46, 55, False), ("secret", 50, 58, False)]
+    free = spark.createDataFrame([(k, *s) for k in ("a", "b") for s in chain], "key string, kind string, start bigint, end bigint, base boolean")
+    got = sorted((r.key, r.start, r.end) for r in pii.settled(free).collect())
+    assert got == [(k, *s) for k in ("a", "b") for s in [(0, 10), (18, 30), (32, 40), (42, 50), (50, 58)]]
+    spots = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(a).cast("bigint").alias("start"), F.lit(b).cast("bigint").alias("end"), F.lit(base).alias("base"))
+                      for k, a, b, base in chain])
+    monkeypatch.setattr(pii, "candidates", lambda rows: rows.select("key", F.explode(spots).alias("s")).select("key", "s.*"))
+    monkeypatch.setattr(pii, "added", lambda found: found.withColumn("probability", F.lit(1.0)))
+    (row,) = pii.redact(documents(spark, ["0123456789" * 6])).collect()
+    assert row.text == "[SECRET]1[EMAIL]01[NUMBER]89"
