@@ -21,10 +21,12 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from equitylake.llm.common import components, cut, fresh, only
 
@@ -108,6 +110,19 @@ def fingerprint_links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return small.unionByName(large).distinct()
 
 
+def _grouped(docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, fp, component, component_id) per row; the component is named by a fingerprint, component_id is its smallest id."""
+    rows = cut(simhash(docs, shingle, id_col, text_col))
+    prints = cut(rows.groupBy("fp").agg(F.min("id").alias("first")))
+    linked = components(fingerprint_links(prints.select("fp"), radius))
+    placed = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component"))
+    placed = cut(placed)
+    lowest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+    by_print = placed.join(lowest, "component").select("fp", "component", "component_id")
+    return rows.join(by_print, "fp").select("id", "fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id, fingerprint, component_id) per row of ``docs``; component_id is the smallest id reachable by links.
@@ -117,15 +132,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col:
     row with a null id is compared too, but null is never a component's
     smallest id unless it has no other. An empty table gives no rows.
     """
-    rows = cut(simhash(docs, shingle, id_col, text_col))
-    prints = cut(rows.groupBy("fp").agg(F.min("id").alias("first")))
-    linked = components(fingerprint_links(prints.select("fp"), radius))
-    placed = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component"))
-    placed = cut(placed)
-    lowest = placed.groupBy("component").agg(F.min("first").alias("component_id"))
-    by_print = placed.join(lowest, "component").select("fp", "component_id")
-    out = rows.join(by_print, "fp").select("id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = _grouped(docs, shingle, radius, id_col, text_col).select(
+        "id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -133,16 +141,32 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "
              text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id.
 
-    Of rows that repeat that id, one stays. Rows without an id are not
-    compared and stay.
+    Rows that repeat an id are told apart by their fingerprints, and by all
+    their columns where those agree too; the smallest stays. Rows without an
+    id are not compared and stay.
     """
     known = docs.where(F.col(f"`{id_col}`").isNotNull())
-    found = cut(near_duplicates(known, shingle, radius, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), "component_id"))
-    kept = found.where("id = component_id").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-    (key,) = fresh(docs, "kept_id")
-    out = docs.join(kept.withColumnRenamed("id", key).hint("shuffle_hash"),
-                    F.col(f"`{id_col}`") == F.col(key), "inner")
-    if found.groupBy("id").count().where("count > 1").limit(1).count():
-        out = out.dropDuplicates([id_col])
+    found = cut(_grouped(known, shingle, radius, id_col, text_col).select("id", "fp", "component", "component_id"))
+    key, prints, fp, turn = fresh(docs, "kept_id", "kept_prints", "kept_fp", "kept_turn")
+    least = (found.where("id = component_id").groupBy("component").agg(F.min(F.struct("id", "fp")).alias("k"))
+                  .groupBy(F.col("k.id").alias(key)).agg(F.collect_set("k.fp").alias(prints)))
     unknown = docs.where(F.col(f"`{id_col}`").isNull())
+    again = found.groupBy("id").count().where("count > 1").select(F.col("id").alias(key))
+    repeats = again.limit(1).count() > 0
+    if repeats:  # null where one row has the id: that row stays
+        least = least.join(again.withColumn(turn, F.lit(True)), key, "left").withColumn(prints, F.when(F.col(turn), F.col(prints))).drop(turn)
+    out = docs.join(least.hint("shuffle_hash"), F.col(f"`{id_col}`") == F.col(key), "inner")
+    if repeats:
+        several = F.col(prints).isNotNull()
+        text = F.when(several, F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")))
+        out = out.withColumn(fp, _print_of(shingle)(text)).where(~several | F.array_contains(prints, F.col(fp)))
+        whole = F.when(several, F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+        out = out.withColumn(turn, F.row_number().over(W.partitionBy(key, fp).orderBy(whole))).where(F.col(turn) == 1)
     return only(out, *docs.columns).unionByName(unknown)
+
+
+def _print_of(shingle: int):
+    def prints(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else _signed(fingerprint(t, shingle)) for t in texts], dtype="Int64")
+
+    return F.pandas_udf(prints, "bigint")

@@ -99,3 +99,11 @@ def test_repeated_rows_null_ids_and_an_empty_table(spark):
     assert simhash.keep_one(twice).count() == 1
     empty = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
+
+
+def test_repeated_ids_with_other_texts_each_keep_their_group(spark):
+    a, b, c = words(71, 60), words(72, 60), words(73, 60)
+    rows = [(1, a), (1, b), (2, a), (3, b), (0, c), (4, c), (4, words(74, 60)), (1, a), (5, words(75, 60)), (5, None)]
+    for order in (rows, rows[::-1]):
+        kept = simhash.keep_one(documents(spark, order).repartition(3)).collect()
+        assert sorted((r.doc_id, r.text or "") for r in kept) == sorted([(1, a), (1, b), (0, c), (4, rows[6][1]), (5, rows[8][1]), (5, "")])
