@@ -20,7 +20,10 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder.
 
     The files are readable from every executor, so a lost executor costs no
-    earlier stage; Spark's cleaner removes them when the frame is gone.
+    earlier stage. Spark's cleaner removes them once the frame is gone if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, which is set
+    when the context starts: ``get_session`` does; a cluster's own session
+    must, or the folder keeps them.
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
@@ -76,6 +79,38 @@ def _signature(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
+#: Facts of at most so many rows go to every executor whole.
+BROADCAST_ROWS = 100_000
+#: At most so many keys can each hold more than 1 / HOT_KEYS of all rows.
+HOT_KEYS = 10_000
+SALTS = 1024
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, weight: str, total: int, spread: Sequence[str]) -> DataFrame:
+    """``rows`` left-joined to ``facts``, which has one row for a ``key`` and is computed already (``cut``).
+
+    ``weight`` counts the rows that hold a key and sums to ``total`` at most.
+    Facts that are counted to be few are broadcast. Of more, those of the keys
+    that hold over 1 / HOT_KEYS of the rows are HOT_KEYS at most and are
+    broadcast; the others meet their rows in a shuffle, in which the rows of
+    the hot keys, already served, are spread by the columns ``spread``.
+    """
+    values = [c for c in facts.columns if c not in (key, weight)]
+    found = F.struct(*values)
+    if facts.count() <= BROADCAST_ROWS:
+        near = facts.select(F.col(key).alias("__key"), found.alias("__hot"))
+        out = rows.join(F.broadcast(near), F.col(key) == F.col("__key"), "left")
+        return out.select(*rows.columns, *[F.col("__hot")[c].alias(c) for c in values])
+    hot = F.col(weight) > max(1, total // HOT_KEYS)
+    near = facts.where(hot).select(F.col(key).alias("__key"), found.alias("__hot"))
+    far = facts.where(~hot).select(F.col(key).alias("__far"), found.alias("__cold"), hot.cast("int").alias("__none"))
+    served = F.col("__hot").isNotNull() | F.col(key).isNull()
+    out = (rows.join(F.broadcast(near), F.col(key) == F.col("__key"), "left")
+               .withColumn("__salt", F.when(served, 1 + F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)))
+    out = out.join(far, (F.col(key) == F.col("__far")) & (F.col("__salt") == F.col("__none")), "left")
+    return out.select(*rows.columns, *[F.coalesce("__hot", "__cold")[c].alias(c) for c in values])
+
+
 def hot_blocks(members: DataFrame, key: Sequence[str], salt: str, size: int) -> DataFrame:
     """``members`` of groups of two or more, dealt so that no task meets a whole hot group.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitylake.llm import chat, hnsw, lattice, linededup, packing, passages, pieces, pii, quality, simhash
+from equitylake.llm import chat, hnsw, lattice, linededup, packing, passages, pieces, pii, quality, simhash, trie
 from equitylake.llm.common import table
 
 #: Rows in an Arrow batch: whole texts travel in it.
@@ -84,6 +84,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of ``conversations``, each begun with turns of another."""
+    rows, convs = trie.spliced(trie.spoken(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(rows, convs).drop("path")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline, all stages."""
     import corpus_pipeline
@@ -92,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = [op1_simhash, op2_hnsw, op3_passages, op4_packing, op5_quality, op6_pii, op7_lattice, op8_chat, op9_pieces,
-        op10_line_dedup, pipeline]
+        op10_line_dedup, op11_trie, pipeline]
 QUERIES = {q.__name__: _with_small_batches(q) for q in _ALL}
 
 _KEY = r"""translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
