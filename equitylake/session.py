@@ -53,6 +53,8 @@ def get_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # Checkpoint files go when their frame is gone (read once, when the context starts).
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     builder = builder.config("spark.driver.memory", os.environ.get("EQUITYLAKE_DRIVER_MEMORY", "8g"))
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)
