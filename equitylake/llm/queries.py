@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from equitylake.llm import chat, hnsw, lattice, linededup, packing, passages, pieces, pii, quality, simhash, trie
+from equitylake.llm import chat, hnsw, lattice, linededup, packing, passages, pieces, pii, quality, simhash, structure, trie, warc
 from equitylake.llm.common import table
+from equitylake.session import scratch_dir
 
 #: Rows in an Arrow batch: whole texts travel in it.
 ARROW_ROWS = 1000
@@ -90,6 +91,18 @@ def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(rows, convs).drop("path")
 
 
+def op12_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation of ``conversations``, damaged first."""
+    turns = table(spark, sf_dir, "conversations")
+    return structure.structure_report(turns, structure.damaged(turns))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` written as WARC archives and read back, a row for each record."""
+    archives = warc.write_archives(table(spark, sf_dir, "pages"), scratch_dir(spark, "archives"))
+    return warc.page_rows(warc.read_archives(archives))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline, all stages."""
     import corpus_pipeline
@@ -98,7 +111,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = [op1_simhash, op2_hnsw, op3_passages, op4_packing, op5_quality, op6_pii, op7_lattice, op8_chat, op9_pieces,
-        op10_line_dedup, op11_trie, pipeline]
+        op10_line_dedup, op11_trie, op12_structure, op13_warc, pipeline]
 QUERIES = {q.__name__: _with_small_batches(q) for q in _ALL}
 
 _KEY = r"""translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
