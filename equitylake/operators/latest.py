@@ -9,11 +9,14 @@ rows costs one row per task in the shuffle, not a third of the data.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from equitylake.operators.joins import MAX_BROADCAST_KEYS
+
 _RN = "__rn"
 
 
@@ -64,3 +67,17 @@ def merge_latest(stored: DataFrame | None, fresh: DataFrame, key: Sequence[str],
                       .withColumn(_ORDER, F.lit(None).cast(order_type))
                       .withColumn(_PRIO, F.lit(0))).unionByName(ordered)
     return latest_wins(both, key, [_PRIO, _ORDER]).drop(_PRIO, _ORDER)
+
+
+def overlay(stored: DataFrame, fresh: DataFrame, key: Sequence[str], fresh_rows: int,
+            max_broadcast_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """``stored`` with ``fresh`` over it, both with one row for a key (nulls are equal): no window, no shuffle of ``stored``.
+
+    Stored rows are kept by an anti join with the fresh keys, broadcast while
+    ``fresh_rows`` is within bounds. Column order is ``stored``'s.
+    """
+    theirs = [f"__fresh_{i}" for i in range(len(key))]
+    keys = fresh.select(*[F.col(f"`{k}`").alias(t) for k, t in zip(key, theirs)])
+    same = functools.reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(t)) for k, t in zip(key, theirs)])
+    kept = stored.join(F.broadcast(keys) if fresh_rows <= max_broadcast_rows else keys, same, "left_anti")
+    return kept.unionByName(fresh.select(*[F.col(f"`{c}`") for c in stored.columns]))

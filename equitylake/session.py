@@ -20,6 +20,9 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Lists of symbols are looked up in dictionaries and Bloom filters of row
+    # groups up to this length (beyond it only by smallest and largest).
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
     # Path-borne values (symbol=..., part=...) stay text; callers cast them.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
@@ -55,6 +58,8 @@ def get_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     # Checkpoint files go when their frame is gone (read once, when the context starts).
     builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    # Concurrent jobs share the executors instead of queueing (pools are named where jobs start).
+    builder = builder.config("spark.scheduler.mode", "FAIR")
     builder = builder.config("spark.driver.memory", os.environ.get("EQUITYLAKE_DRIVER_MEMORY", "8g"))
     for key, value in SESSION_CONF.items():
         builder = builder.config(key, value)

@@ -49,6 +49,16 @@ def modified(spark: SparkSession, path: str) -> float:
     return fs.getFileStatus(hpath).getModificationTime() / 1000
 
 
+def sizes(spark: SparkSession, paths: Iterable[str]) -> list[int]:
+    """The bytes in each directory (few: a table's partitions)."""
+    def size(path: str) -> int:
+        _, fs, hpath = _fs(spark, path)
+        return fs.getContentSummary(hpath).getLength()
+
+    with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
+        return list(pool.map(size, paths))
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file."""
     jvm, fs, hpath = _fs(spark, path)
@@ -60,20 +70,30 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file in place of another (one writer)."""
-    delete(spark, path)
-    write_new(spark, path, text)
+    """Write a small text file in place of another (one writer); a reader sees the old text or the new."""
+    draft = _drafted(spark, path, text)
+    jvm = spark.sparkContext._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        jvm.org.apache.hadoop.fs.Path(path).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(jvm.org.apache.hadoop.fs.Path(draft), jvm.org.apache.hadoop.fs.Path(path), over)
 
 
-def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file whole or not at all; an error if the file is there already."""
-    _, fs, _ = _fs(spark, path)
+def _drafted(spark: SparkSession, path: str, text: str) -> str:
     draft = f"{path}.{uuid.uuid4().hex}.tmp"
-    stream = fs.create(_fs(spark, draft)[2], False)
+    _, fs, hpath = _fs(spark, draft)
+    stream = fs.create(hpath, False)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+    return draft
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file whole or not at all; an error if the file is there already."""
+    draft = _drafted(spark, path, text)
     if exists(spark, path) or not rename(spark, draft, path):
         delete(spark, draft)
         raise FileExistsError(f"{path} is there already: another job wrote this version")

@@ -4,7 +4,8 @@ Layout under one root (any Hadoop file system: HDFS, object store, local)::
 
     <root>/<table>/v=000007/                          what one commit wrote
     <root>/<table>/v=000007/pmonth=202401/*.parquet   time-indexed tables
-    <root>/<table>/_manifests/000007.json             the directories that make up version 7
+    <root>/<table>/_manifests/000007.json             the directories that make up version 7, and
+                                                      which of them hold each key once
 
 A version counts only once its manifest exists; the manifest is renamed into
 place when all its data is written, so a crashed write is invisible and every
@@ -19,25 +20,28 @@ the version's directory or manifest taken.
 
 Inside a partition, files are range-partitioned and sorted by symbol then
 date, so a symbol lookup skips whole files and row groups on parquet min/max
-statistics, while the date range prunes partitions by directory.
+statistics, while the date range prunes partitions by directory. An upsert into directories that
+hold each key once keeps the stored rows by an anti join with the fresh keys:
+they are neither windowed nor shuffled before the layout.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import time
 from collections.abc import Iterable, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from equitylake.functions.text import normalize_symbols
 from equitylake.operators.conform import conform, resolve_columns
-from equitylake.operators.joins import semi_join
-from equitylake.operators.latest import merge_latest
+from equitylake.operators.joins import once, semi_join
+from equitylake.operators.latest import merge_latest, overlay
 from equitylake.operators.predicates import all_of, date_between, symbol_in
-from equitylake.session import checkpoint_root
 from equitylake.sources import files
 from equitylake.specs import TableSpec
 
@@ -51,6 +55,11 @@ MAX_RECORDS_PER_FILE = 5_000_000
 # zstd: about a fifth smaller than snappy on the price history, written as
 # fast and scanned faster (measured on an 80-month history).
 COMPRESSION = "zstd"
+# An ordered read sorts so many stored bytes in one task, without an exchange.
+ORDERED_BYTES = 64 << 20
+# Symbol lookups skip row groups by dictionary, or by Bloom filter where a row
+# group has more symbols than a dictionary holds (sized by what it meets).
+SYMBOL_FILTER = {"parquet.bloom.filter.enabled#symbol": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
 
 class Store:
@@ -74,13 +83,17 @@ class Store:
         names = files.list_names(self.spark, self._manifest_dir(spec))
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
+    def _manifest(self, spec: TableSpec, version: int) -> tuple[list[str], set[str]]:
+        """The data directories of a version, relative to the table's, and those that are known to hold each key once."""
+        found = json.loads(files.read_text(self.spark, self._manifest_path(spec, version)))
+        return found["dirs"], set(found["keyed"])
+
     def _dirs_of(self, spec: TableSpec, version: int) -> list[str]:
-        """The data directories of a version, relative to the table's."""
-        return json.loads(files.read_text(self.spark, self._manifest_path(spec, version)))
+        return self._manifest(spec, version)[0]
 
-    def _commit(self, spec: TableSpec, version: int, dirs: Iterable[str]) -> None:
+    def _commit(self, spec: TableSpec, version: int, dirs: Iterable[str], keyed: Iterable[str] = ()) -> None:
         """Make ``dirs`` the table: the only step a reader can see."""
-        files.write_new(self.spark, self._manifest_path(spec, version), json.dumps(sorted(dirs)))
+        files.write_new(self.spark, self._manifest_path(spec, version), json.dumps({"dirs": sorted(dirs), "keyed": sorted(keyed)}))
         self._prune(spec)
 
     def data_paths(self, spec: TableSpec) -> list[str] | None:
@@ -120,7 +133,6 @@ class Store:
     def empty(self, spec: TableSpec, columns: Sequence[str] | None = None) -> DataFrame:
         schema = spec.schema
         if columns is not None:
-            from pyspark.sql import types as T
             schema = T.StructType([schema[c] for c in columns])
         return self.spark.createDataFrame([], schema)
 
@@ -172,8 +184,8 @@ class Store:
         tickers = normalize_symbols(symbols)
         if tickers is not None and not tickers:
             return self.empty(spec, selection)
-        df = self.scan(spec)
-        if df is None:
+        paths = self.data_paths(spec)
+        if paths is None:
             return self.empty(spec, selection)
         if (start is not None or end is not None) and spec.time_index is None:
             raise ValueError(
@@ -193,13 +205,73 @@ class Store:
             if end is not None:
                 preds.append(F.col(pcol) <= F.lit(spec.grain_value(end)))
         pred = all_of(*preds)
-        if pred is not None:
-            df = df.filter(pred)
+        keys = None
         if tickers is not None and len(tickers) > MAX_IN_LIST:
             keys = self.spark.createDataFrame([(t,) for t in tickers], "symbol string")
-            df = semi_join(df, keys, "symbol", known_rows=len(tickers))
-        df = df.select(*selection)
-        return df.orderBy(*spec.key) if ordered else df
+
+        def narrowed(df: DataFrame) -> DataFrame:
+            if pred is not None:
+                df = df.filter(pred)
+            if where is not None and spec.partition_column and spec.time_index in str(where):
+                df = self._pruned_by_day(spec, df, paths)
+            if keys is not None:
+                df = semi_join(df, keys, "symbol", known_rows=len(tickers))
+            return df.select(*selection)
+
+        if not ordered:
+            return narrowed(self._scan_dirs(spec, paths))
+        within = [p for p in paths if self._in_grains(spec, p, start, end)]
+        runs = [self._sorted(spec, narrowed(self._scan_dirs(spec, run)), size) for run, size in self._runs(spec, within)]
+        if not runs:
+            return self.empty(spec, selection)
+        return functools.reduce(DataFrame.unionByName, runs)
+
+    @staticmethod
+    def _grain_in(spec: TableSpec, path: str) -> int | None:
+        """The grain a partition directory holds; None for rows without a date."""
+        value = path.rpartition("=")[2]
+        return int(value) if value.isdigit() else None
+
+    def _in_grains(self, spec: TableSpec, path: str, start: date | None, end: date | None) -> bool:
+        if start is None and end is None or not spec.partition_column:
+            return True
+        grain = self._grain_in(spec, path)
+        return (grain is not None and (start is None or grain >= spec.grain_value(start))
+                and (end is None or grain <= spec.grain_value(end)))
+
+    def _runs(self, spec: TableSpec, paths: Sequence[str]) -> list[tuple[list[str], int]]:
+        """Neighbouring directories in the order of their grains (rows without a date first), joined up to ORDERED_BYTES, and their bytes."""
+        runs: list[tuple[list[str], int]] = []
+        ordered = sorted(paths, key=lambda p: self._grain_in(spec, p) or 0) if spec.partition_column else list(paths)
+        for path, size in zip(ordered, files.sizes(self.spark, ordered)):
+            if runs and runs[-1][1] + size <= ORDERED_BYTES:
+                runs[-1] = (runs[-1][0] + [path], runs[-1][1] + size)
+            else:
+                runs.append(([path], size))
+        return runs
+
+    def _sorted(self, spec: TableSpec, df: DataFrame, size: int) -> DataFrame:
+        """A run's rows in key order. Runs hold disjoint, ascending dates, so their union is the table's order without a global exchange;
+        one that is too large for a task is range-partitioned by itself."""
+        laid = df.coalesce(1) if size <= ORDERED_BYTES else df.repartitionByRange(*spec.key)
+        return laid.sortWithinPartitions(*spec.key)
+
+    def _pruned_by_day(self, spec: TableSpec, df: DataFrame, paths: Sequence[str]) -> DataFrame:
+        """FLT3: ``df``, whose filter has a condition on the date, with the directories that condition excludes left unread.
+
+        The days of the stored grains are joined on grain and day. Spark
+        infers the condition on the day from the one on the date, and from the
+        days that are left which partitions to read.
+        """
+        grains = [self._grain_in(spec, p) for p in paths]
+        if None in grains or not grains:
+            return df  # rows without a date lie on no day
+        first = F.expr("make_date(g div 100, g % 100, 1)" if spec.grain == "month" else "make_date(g, 1, 1)")
+        last = F.date_sub(F.add_months(first, 1 if spec.grain == "month" else 12), 1)
+        days = self.spark.createDataFrame([(g,) for g in sorted(set(grains))], "g int").select(
+            F.col("g").alias("__grain"), F.explode(F.sequence(first, last)).alias("__day"))
+        return df.join(F.broadcast(days), (F.col(spec.partition_column) == F.col("__grain")) & (F.col(spec.time_index) == F.col("__day")),
+                       "left_semi")
 
     # ------------------------------------------------------------------ write
     def _layout(self, spec: TableSpec, frame: DataFrame) -> DataFrame:
@@ -214,8 +286,10 @@ class Store:
             cluster = [spec.partition_column] + cluster
         return frame.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
 
-    def _write_dirs(self, spec: TableSpec, frame: DataFrame) -> tuple[int, list[str]]:
-        """Write ``frame`` into the next version's directory; returns the version and its directories.
+    def _write_dirs(self, spec: TableSpec, frame: DataFrame) -> tuple[int, list[str], int]:
+        """Write ``frame`` into the next version's directory; returns the version, its directories and its rows.
+
+        The rows are counted by the write itself, behind the last exchange.
 
         The number goes past every existing directory, committed or not, so
         a crashed write's leftovers are never reused, and ``errorifexists``
@@ -226,19 +300,29 @@ class Store:
         taken = [int(n[2:]) for n in files.list_dirs(self.spark, table, "v=") if n[2:].isdigit()]
         version = max([0, *taken, *self._versions(spec)]) + 1
         name = f"v={version:06d}"
-        writer = (self._layout(spec, frame).write.mode("errorifexists")
+        written = Observation()
+        writer = (self._layout(spec, frame).observe(written, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
                   .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).option("compression", COMPRESSION))
+        if "symbol" in spec.key:
+            writer = writer.options(**SYMBOL_FILTER)
         if not spec.partition_column:
             writer.parquet(f"{table}/{name}")
-            return version, [name]
+            return version, [name], written.get["rows"]
         writer.partitionBy(spec.partition_column).parquet(f"{table}/{name}")
-        return version, [f"{name}/{d}" for d in files.list_dirs(self.spark, f"{table}/{name}", f"{spec.partition_column}=")]
+        dirs = [f"{name}/{d}" for d in files.list_dirs(self.spark, f"{table}/{name}", f"{spec.partition_column}=")]
+        return version, dirs, written.get["rows"]
+
+    def write(self, spec: TableSpec, frame: DataFrame, keyed: bool = False) -> int:
+        """SNK1: replace the whole table (keys are not de-duplicated); returns the rows written.
 
-    def write(self, spec: TableSpec, frame: DataFrame) -> None:
-        """SNK1: replace the whole table (keys are not de-duplicated)."""
-        self._commit(spec, *self._write_dirs(spec, conform(frame, spec.schema)))
+        ``keyed``: the caller knows that ``frame`` has one row for a key, so
+        later upserts need not look for duplicates among the stored rows.
+        """
+        version, dirs, rows = self._write_dirs(spec, conform(frame, spec.schema))
+        self._commit(spec, version, dirs, dirs if keyed else ())
+        return rows
 
-    def upsert(self, spec: TableSpec, fresh: DataFrame, order: Sequence[str] | None = None) -> int:
+    def upsert(self, spec: TableSpec, fresh: DataFrame, order: Sequence[str] | None = None, computed: bool = False) -> int:
         """Merge ``fresh`` into the table on its key; fresh rows win whole.
 
         ``order`` names columns of ``fresh`` that say which of its own
@@ -246,8 +330,9 @@ class Store:
         ``fresh``, which is deterministic for a file scan (a fresh frame that
         comes out of a shuffle should name its order explicitly). An empty
         ``fresh`` is a no-op. A fresh row replaces the stored row entirely,
-        so a column it lacks becomes null. Returns the number of fresh rows
-        (before de-duplication).
+        so a column it lacks becomes null. ``computed``: ``fresh`` is cheap to
+        read again (checkpointed). Returns the number of fresh rows (before
+        de-duplication).
         """
         # Copy the order columns under private names: an order column may
         # also be a column of the table (e.g. ``last_updated``).
@@ -256,8 +341,8 @@ class Store:
         order = order_cols
         # Evaluated once: a landed feed is costly to parse, and is needed for
         # its span and again for the merge.
-        checkpoint_root(self.spark)
-        fresh = conform(fresh, spec.schema, keep=order).checkpoint()
+        fresh = conform(fresh, spec.schema, keep=order)
+        fresh = fresh if computed else once(fresh)
         if spec.time_index is None:
             return self._upsert_keyed(spec, fresh, order)
         return self._upsert_range(spec, fresh, order)
@@ -267,9 +352,18 @@ class Store:
         rows = fresh.count()
         if rows == 0:
             return 0
-        stored = self.scan(spec)
-        stored = stored.select(*spec.columns) if stored is not None else None
-        self._commit(spec, *self._write_dirs(spec, merge_latest(stored, fresh, spec.key, order)))
+        versions = self._versions(spec)
+        dirs, keyed = self._manifest(spec, versions[-1]) if versions else ([], set())
+        if not dirs:
+            merged = merge_latest(None, fresh, spec.key, order)
+        else:
+            stored = self._scan_dirs(spec, [f"{self.table_dir(spec)}/{d}" for d in dirs]).select(*spec.columns)
+            if keyed.issuperset(dirs):
+                merged = overlay(stored, merge_latest(None, fresh, spec.key, order), spec.key, rows)
+            else:
+                merged = merge_latest(stored, fresh, spec.key, order)
+        version, new, _ = self._write_dirs(spec, merged)
+        self._commit(spec, version, new, new)
         return rows
 
     def _upsert_range(self, spec: TableSpec, fresh: DataFrame, order: list[str]) -> int:
@@ -277,11 +371,14 @@ class Store:
 
         One small aggregate finds the touched grains and the fresh date span
         (bounded by the number of months or years, never by rows). Stored rows
-        of those partitions inside the span are merged with fresh latest-wins;
-        stored rows outside the span pass through untouched.
+        of directories that hold each key once are kept unless a fresh row has
+        their key. Of other directories (written by ``write``, which keeps
+        duplicates), the rows inside the span are merged with fresh
+        latest-wins, and those outside pass through untouched.
         """
         ti, pcol = spec.time_index, spec.partition_column
-        span = (fresh.groupBy(spec.grain_of(F.col(ti)).alias("g"))
+        grain = spec.grain_of(F.col(ti))
+        span = (fresh.groupBy(grain.alias("g"))
                      .agg(F.min(ti).alias("lo"), F.max(ti).alias("hi"),
                           F.count_if(F.col(ti).isNull()).alias("nulls"),
                           F.count(F.lit(1)).alias("rows"))
@@ -295,18 +392,32 @@ class Store:
         rows = sum(r["rows"] for r in span)
 
         versions = self._versions(spec)
-        dirs = self._dirs_of(spec, versions[-1]) if versions else []
+        dirs, keyed = self._manifest(spec, versions[-1]) if versions else ([], set())
         touched = {f"{pcol}={g}" for g in grains}
         old = [d for d in dirs if d.rpartition("/")[2] in touched]
-        if not old:
-            merged = merge_latest(None, fresh, spec.key, order)
-        else:
-            stored = self._scan_dirs(spec, [f"{self.table_dir(spec)}/{d}" for d in old]).drop(pcol)
+        loose = [d for d in old if d not in keyed]
+        loose_grains = [self._grain_in(spec, d) for d in loose]
+
+        def stored_in(chosen: Sequence[str]) -> DataFrame:
+            return self._scan_dirs(spec, [f"{self.table_dir(spec)}/{d}" for d in chosen]).drop(pcol)
+
+        parts = []
+        if len(loose) < len(grains):
+            own = fresh.filter(~grain.isin(loose_grains)) if loose else fresh
+            latest = merge_latest(None, own, spec.key, order)
+            firm = [d for d in old if d in keyed]
+            parts.append(overlay(stored_in(firm), latest, spec.key, rows) if firm else latest)
+        if loose:
+            stored = stored_in(loose)
             in_span = F.col(ti).between(F.lit(lo), F.lit(hi))
-            merged = merge_latest(stored.filter(in_span), fresh, spec.key, order)
-            merged = merged.unionByName(stored.filter(~in_span))
-        version, new = self._write_dirs(spec, merged)
+            own = fresh.filter(grain.isin(loose_grains))
+            parts.append(merge_latest(stored.filter(in_span), own, spec.key, order))
+            parts.append(stored.filter(~in_span))
+        version, new, _ = self._write_dirs(spec, functools.reduce(DataFrame.unionByName, parts))
         if self._versions(spec) != versions:
             raise RuntimeError(f"{spec.name} was written by another job during this upsert; run it again")
-        self._commit(spec, version, [d for d in dirs if d not in set(old)] + new)
+        replaced = set(old)
+        kept = [d for d in dirs if d not in replaced]
+        still = [d for d in new if self._grain_in(spec, d) not in loose_grains]
+        self._commit(spec, version, kept + new, [d for d in kept if d in keyed] + still)
         return rows

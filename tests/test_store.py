@@ -325,3 +325,80 @@ def test_order_may_be_a_column_of_the_table(spark, store):
     rows = store.read(TICKER_UNIVERSE).collect()
     assert store.read(TICKER_UNIVERSE).columns == TICKER_UNIVERSE.columns
     assert [(r.price, r.last_updated) for r in rows] == [(2.0, late.replace(tzinfo=None))]
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_into_keyed_directories_leaves_stored_rows_unshuffled(spark, store, monkeypatch):
+    days = [date(2024, 1, d) for d in range(1, 29)]
+    store.upsert(DAILY_PRICES, price_rows(spark, [(s, d, 1.0) for s in ("AAPL", "MSFT") for d in days]))
+    plans = []
+    plain = store._write_dirs
+    monkeypatch.setattr(store, "_write_dirs", lambda spec, frame: plans.append(physical(frame)) or plain(spec, frame))
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 9.0), ("XOM", date(2024, 1, 5), 2.0)]))
+    assert "LeftAnti" in plans[0]
+    stored_side = plans[0][plans[0].find("LeftAnti"):plans[0].find("FileScan parquet")]
+    assert "Exchange" not in stored_side and "Window" not in stored_side
+    got = {(r.symbol, r.date): r.close for r in store.read(DAILY_PRICES).collect()}
+    assert len(got) == 57 and got["AAPL", date(2024, 1, 5)] == 9.0 and got["MSFT", date(2024, 1, 5)] == 1.0
+
+
+def test_duplicates_that_write_keeps_go_only_inside_the_span(spark, store):
+    early, late = date(2024, 1, 5), date(2024, 1, 20)
+    twice = [("AAPL", d, c) for d in (early, late) for c in (1.0, 2.0)] + [("MSFT", early, 3.0), ("MSFT", early, 4.0)]
+    store.write(DAILY_PRICES, price_rows(spark, twice))
+    store.upsert(DAILY_PRICES, price_rows(spark, [("AAPL", early, 9.0)]))
+    rows = [(r.symbol, r.date) for r in store.read(DAILY_PRICES).collect()]
+    assert sorted(rows) == [("AAPL", early), ("AAPL", late), ("AAPL", late), ("MSFT", early)]
+    # The directory may still hold duplicates, so a later upsert looks for them again.
+    store.upsert(DAILY_PRICES, price_rows(spark, [("XOM", late, 9.0), ("XOM", date(2024, 2, 1), 1.0)]))
+    rows = [(r.symbol, r.date) for r in store.read(DAILY_PRICES).collect()]
+    assert sorted(rows) == [("AAPL", early), ("AAPL", late), ("MSFT", early), ("XOM", late), ("XOM", date(2024, 2, 1))]
+    assert store._manifest(DAILY_PRICES, 3)[1] == {"v=000003/pmonth=202402"}
+
+
+def test_write_counts_its_rows(spark, store):
+    assert store.write(DAILY_PRICES, price_rows(spark, [("AAPL", date(2024, 1, 5), 1.0), ("AAPL", date(2024, 2, 5), 2.0)])) == 2
+    assert store.write(DAILY_PRICES, store.empty(DAILY_PRICES)) == 0
+
+
+def test_date_condition_in_where_prunes_directories(spark, store):
+    rows = [(s, date(2024, m, d), float(m)) for m in range(1, 13) for d in (1, 15, 28) for s in ("AAPL", "MSFT")]
+    store.upsert(DAILY_PRICES, price_rows(spark, rows))
+    for where, n, prunes in ((F.col("date") >= date(2024, 11, 15), 10, True), ((F.col("date") == date(2024, 3, 1)) & (F.col("close") > 1), 2, True),
+                             (F.col("date").between(date(2024, 2, 28), date(2024, 3, 1)), 4, True), (F.col("date").isNull(), 0, False),
+                             ((F.col("date") > date(2024, 12, 1)) | (F.col("close") == 1.0), 4 + 6, False)):
+        df = store.read(DAILY_PRICES, where=where, ordered=False)
+        assert df.count() == n
+        assert not prunes or "PartitionFilters: [isnotnull(pmonth" in physical(df) and "dynamicpruning" in physical(df)
+    narrow = store.read(DAILY_PRICES, where=F.col("date") >= date(2024, 11, 15), ordered=False)
+    narrow.collect()
+    scan = narrow._jdf.queryExecution().executedPlan().collectLeaves()
+    files_read = [scan.apply(i).metrics().get("numFiles").get().value() for i in range(scan.size()) if scan.apply(i).metrics().contains("numFiles")]
+    assert sum(files_read) <= 8  # of twelve months' files, two months'
+
+
+def test_ordered_reads_need_no_global_exchange(spark, store, monkeypatch):
+    from equitylake.sources import store as store_module
+    rows = [(s, date(2024, m, d), float(m)) for m in range(1, 7) for d in (28, 1, 15) for s in ("MSFT", "AAPL", "XOM")]
+    store.write(DAILY_PRICES, price_rows(spark, rows).repartition(5))
+    want = sorted((d, s) for s, d, _ in rows)
+    for bound, exchanges in ((store_module.ORDERED_BYTES, 0), (1 << 13, 0), (10, 6)):
+        monkeypatch.setattr(store_module, "ORDERED_BYTES", bound)
+        df = store.read(DAILY_PRICES)
+        assert physical(df).count("Exchange rangepartitioning") == exchanges
+        assert [(r.date, r.symbol) for r in df.collect()] == want
+    assert [r.date for r in store.read(DAILY_PRICES, start=date(2024, 3, 2), end=date(2024, 4, 1), symbols="xom").collect()] == [
+        date(2024, 3, 15), date(2024, 3, 28), date(2024, 4, 1)]
+    assert store.read(DAILY_PRICES, start=date(2030, 1, 1)).collect() == []
+
+
+def test_a_replaced_text_is_never_missing(spark, tmp_path):
+    from equitylake.sources import files
+    path = f"{tmp_path}/ledger.json"
+    for text in ("one", "two"):
+        files.replace_text(spark, path, text)
+        assert files.read_text(spark, path) == text
+    assert [n for n in files.list_names(spark, str(tmp_path)) if not n.startswith(".")] == ["ledger.json"]
