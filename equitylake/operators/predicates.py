@@ -75,6 +75,11 @@ def check_bounds(low, high, message: str) -> None:
         raise ValueError(message)
 
 
+def bounds_message(low: Column, high: Column, message: str) -> Column:
+    """FLT8 over a table of requests: the rejection text of each, null where the bounds are in order or open."""
+    return F.when(low > high, F.lit(message))
+
+
 def tradable_listing(active: Column, symbol: Column, exchange: Column, industry: Column,
                      security_type: Column) -> Column:
     """FLT9: actively trading, non-empty symbol, US exchange (case-blind),

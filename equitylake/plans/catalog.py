@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +20,8 @@ from equitylake.functions.classify import with_security_type
 from equitylake.functions.text import as_bool, as_str
 from equitylake.operators.audit import date_span, rows_by_year
 from equitylake.operators.latest import latest_wins
+from equitylake.operators.order import with_row_number
+from equitylake.operators.predicates import bounds_message
 from equitylake.plans import fixtures as fx
 from equitylake.plans import price_load
 from equitylake.plans import queries as q
@@ -28,7 +29,7 @@ from equitylake.plans.statement_build import (
     build_statement_table, cache_statement_parts, normalise_parts, read_cached_parts, seed_statements,
 )
 from equitylake.plans.universe_build import build_universe, ingest_audit as shard_audit_of, seed_universe
-from equitylake.session import scratch_dir
+from equitylake.session import scratch_dir, side_by_side
 from equitylake.sources import landed
 from equitylake.sources.store import Store
 from equitylake.specs import (
@@ -39,6 +40,8 @@ from equitylake.streaming.landing import ingest_available
 # Fixed run parameters, so the oracle can state them as literals.
 RUN_TS = datetime(2026, 8, 10, tzinfo=timezone.utc)
 Q1_SYMBOLS = ["U7", " u8 ", "U42", "U100", "U149", "U1000", "NOPE"]
+RECENT_CUTOFF, HISTORY_END = date(2001, 6, 1), date(2001, 5, 31)
+WHERE_AFTER, WHERE_UPTO = date(1997, 3, 10), date(1997, 8, 20)
 Q1_START, Q1_END = date(2024, 1, 5), date(2024, 1, 25)
 
 _lock = threading.Lock()
@@ -71,18 +74,12 @@ def universe_store(spark: SparkSession, sf_dir: str) -> Store:
                  lambda s: s.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir)))
 
 
-def _side_by_side(*jobs: Callable[[], object]) -> None:
-    """Run independent writes (different tables) as concurrent Spark jobs."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        for future in [pool.submit(job) for job in jobs]:
-            future.result()
-
-
 def market_store(spark: SparkSession, sf_dir: str) -> Store:
     """Prices and universe in one store (the price panel joins them)."""
     def build(s: Store) -> None:
-        _side_by_side(lambda: s.upsert(DAILY_PRICES, fx.price_feed(spark, sf_dir), order=["seq"]),
-                      lambda: s.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir)))
+        side_by_side(spark, {
+            "prices": lambda: s.upsert(DAILY_PRICES, fx.price_feed(spark, sf_dir), order=["seq"]),
+            "universe": lambda: s.write(TICKER_UNIVERSE, stamped_universe(spark, sf_dir))})
     return _memo(spark, sf_dir, "market", build)
 
 
@@ -107,6 +104,26 @@ def prices_full_read(spark, sf_dir):
     return price_store(spark, sf_dir).read(DAILY_PRICES)
 
 
+def prices_in_order(spark, sf_dir):
+    """SRT1: where each row of the price history comes out of an ordered read."""
+    ordered = order_price_store(spark, sf_dir).read(DAILY_PRICES, columns=["close"], end=HISTORY_END)
+    return with_row_number(ordered)
+
+
+def prices_since_in_where(spark, sf_dir):
+    """FLT3: a raw predicate that bounds the date, over a history of many months."""
+    where = (F.col("date") > F.lit(WHERE_AFTER)) & (F.col("date") <= F.lit(WHERE_UPTO)) & (F.col("close") > 100)
+    return order_price_store(spark, sf_dir).read(DAILY_PRICES, where=where, columns=["close", "volume"])
+
+
+def rejected_requests(spark, sf_dir):
+    """FLT8: of every symbol's two requests, one from its first day to its last and one the other way, the rejection texts."""
+    days = (fx.order_prices(spark, sf_dir).groupBy("symbol").agg(F.min("date").alias("first"), F.max("date").alias("last")))
+    asked = (days.select("symbol", F.col("first").alias("start"), F.col("last").alias("end"))
+                 .unionByName(days.select("symbol", F.col("last").alias("start"), F.col("first").alias("end"))))
+    return asked.withColumn("message", bounds_message(F.col("start"), F.col("end"), q.DATE_BOUNDS_MESSAGE))
+
+
 def latest_wins_prices(spark, sf_dir):
     feed = fx.price_feed(spark, sf_dir)
     return latest_wins(feed, DAILY_PRICES.key, ["seq"]).select(*DAILY_PRICES.columns)
@@ -188,7 +205,6 @@ def history_window(spark, sf_dir):
     return price_store(spark, sf_dir).read(DAILY_PRICES, start=history_start(15, as_of=as_of), end=as_of)
 
 
-RECENT_CUTOFF = date(2001, 6, 1)
 
 
 def order_price_store(spark: SparkSession, sf_dir: str) -> Store:
@@ -314,11 +330,11 @@ def _statement_variant(frame: DataFrame, family: str) -> DataFrame:
 def statement_store(spark, sf_dir, family: str) -> Store:
     """Both cadences of one statement family, loaded from F3 by upsert."""
     def build(s: Store) -> None:
-        _side_by_side(
-            lambda: s.upsert(statement_table(family, "quarterly"),
-                             _statement_variant(fx.statements_quarterly(spark, sf_dir), family), order=["seq"]),
-            lambda: s.upsert(statement_table(family, "annual"),
-                             _statement_variant(fx.statements_annual(spark, sf_dir), family), order=["seq"]))
+        side_by_side(spark, {
+            "quarterly": lambda: s.upsert(statement_table(family, "quarterly"),
+                                          _statement_variant(fx.statements_quarterly(spark, sf_dir), family), order=["seq"]),
+            "annual": lambda: s.upsert(statement_table(family, "annual"),
+                                       _statement_variant(fx.statements_annual(spark, sf_dir), family), order=["seq"])})
     return _memo(spark, sf_dir, f"statements-{family}", build)
 
 
@@ -469,6 +485,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prices_where_and_symbols": prices_where_and_symbols,
     "prices_column_subset": prices_column_subset,
     "prices_full_read": prices_full_read,
+    "prices_in_order": prices_in_order,
+    "prices_since_in_where": prices_since_in_where,
+    "rejected_requests": rejected_requests,
     "latest_wins_prices": latest_wins_prices,
     "price_date_span": price_date_span,
     "upsert_prices": upsert_prices,

@@ -292,3 +292,13 @@ F7 = """f7 AS (
 SQL["upsert_recent_months"] = with_(F7) + f"""SELECT symbol, "date", open, high, low,
     CASE WHEN "date" >= DATE '2001-06-01' THEN close + 1 ELSE close END AS close, adj_close, volume FROM (
     SELECT *, row_number() OVER (PARTITION BY "date", symbol ORDER BY seq DESC) AS rn FROM f7) t WHERE rn = 1"""
+
+_F7_LATEST = f"""lf7 AS (SELECT {PRICE_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY "date", symbol ORDER BY seq DESC) AS rn FROM f7) t WHERE rn = 1)"""
+SQL["prices_in_order"] = with_(F7, _F7_LATEST) + """SELECT symbol, "date", close,
+    row_number() OVER (ORDER BY "date", symbol) AS row_number FROM lf7 WHERE "date" <= DATE '2001-05-31'"""
+SQL["prices_since_in_where"] = with_(F7, _F7_LATEST) + """SELECT symbol, "date", close, volume FROM lf7
+    WHERE "date" > DATE '1997-03-10' AND "date" <= DATE '1997-08-20' AND close > 100"""
+SQL["rejected_requests"] = with_(F7) + """, days AS (SELECT symbol, min("date") AS a, max("date") AS b FROM f7 GROUP BY symbol),
+    asked AS (SELECT symbol, a AS "start", b AS "end" FROM days UNION ALL SELECT symbol, b, a FROM days)
+    SELECT symbol, "start", "end", CASE WHEN "start" > "end" THEN 'start must be on or before end' END AS message FROM asked"""

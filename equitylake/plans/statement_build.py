@@ -12,10 +12,10 @@ into one latest-wins over the composite order (year, period, position).
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +28,7 @@ from equitylake.functions.text import as_float, as_int, as_timestamp_ntz, normal
 from equitylake.operators.joins import semi_join
 from equitylake.operators.latest import latest_wins
 from equitylake.plans.queries import equity_symbols
+from equitylake.session import side_by_side
 from equitylake.sources import files, landed
 from equitylake.specs import CADENCES, STATEMENTS, StatementSpec, statement_table
 
@@ -178,15 +179,18 @@ def cache_statement_parts(spark, landing: str, cache: str, statement: StatementS
         return 0
     folder = f"{cache}/statement={statement.name}"
     raw = landed.read_csv_by_header(spark, landing, [f.rpartition(" ")[0] for part in sorted(todo) for f in of[part]])
-    # A part made anew may keep no row, or fewer: its old directory goes first.
-    for year, period in todo & set(done):
-        files.delete(spark, f"{folder}/year={year}/period_part={period}")
+    before = files.stamps(spark, folder, (".parquet",))
     if raw is not None:
         parts = normalise_parts(raw, statement, "year", "period_part", list(PART_ORDER), wanted)
         (parts.select(*statement.schema.names, F.col(_PART[0]).alias("year"), F.col(_PART[1]).alias("period_part"))
               .repartitionByRange("year", "period_part", "date", "symbol")
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
               .partitionBy("year", "period_part").parquet(folder))
+    # The write has replaced the directories of all parts that keep a row; what an
+    # older run left of a part that keeps none any more goes now.
+    stale = {_part_of(path) for path in before.keys() & files.stamps(spark, folder, (".parquet",)).keys()} & todo
+    for year, period in stale:
+        files.delete(spark, f"{folder}/year={year}/period_part={period}")
     ledger = done | {part: made[part] for part in todo}
     files.replace_text(spark, _ledger_path(cache, statement), json.dumps([[*part, m] for part, m in sorted(ledger.items())]))
     return len(todo)
@@ -220,8 +224,9 @@ def seed_statements(store, landing: str, cache: str, years: int = HISTORY_YEARS,
     per table. An empty equity universe is an error.
 
     The families are independent (own cache folder, own tables), so up to
-    ``parallel`` of them run as concurrent Spark jobs: each is small next to
-    a cluster, and one family's stragglers no longer idle the rest.
+    ``parallel`` of them run as concurrent Spark jobs, each family in a
+    scheduler pool of its own: each is small next to a cluster, and one
+    family's stragglers no longer idle the rest.
     """
     spark = store.spark
     wanted = equity_symbols(store, ordered=False)
@@ -236,15 +241,12 @@ def seed_statements(store, landing: str, cache: str, years: int = HISTORY_YEARS,
         for cadence in CADENCES:
             spec = statement_table(statement.name, cadence)
             if parts is None:
-                store.write(spec, store.empty(spec))
-                written[spec.name] = 0
+                written[spec.name] = store.write(spec, store.empty(spec), keyed=True)
                 continue
             window = parts.filter(F.col("year").between(span.start, span.stop - 1)
                                   & F.col("period_part").isin(*periods_for(cadence)))
-            store.write(spec, restate_cached(window, statement))
-            written[spec.name] = store.read(spec, columns=[], ordered=False).count()
+            written[spec.name] = store.write(spec, restate_cached(window, statement), keyed=True)
         return written
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        results = list(pool.map(seed_family, STATEMENTS.values()))
-    return {name: rows for family in results for name, rows in family.items()}
+    results = side_by_side(spark, {name: functools.partial(seed_family, s) for name, s in STATEMENTS.items()}, parallel)
+    return {name: rows for family in results.values() for name, rows in family.items()}

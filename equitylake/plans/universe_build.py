@@ -120,5 +120,5 @@ def seed_universe(store: Store, landing: str, last_updated: datetime | None = No
     if raw is None:
         store.write(TICKER_UNIVERSE, store.empty(TICKER_UNIVERSE))
         return None
-    store.write(TICKER_UNIVERSE, build_universe(raw, stamp, list(SHARD_ORDER)))
+    store.write(TICKER_UNIVERSE, build_universe(raw, stamp, list(SHARD_ORDER)), keyed=True)
     return ingest_audit(raw, "part")

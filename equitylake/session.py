@@ -8,8 +8,15 @@ import shutil
 import tempfile
 import uuid
 
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Result = TypeVar("Result")
+
 # Settings every job here assumes. Applied to an existing session too, since
 # they are all runtime-settable SQL confs.
 SESSION_CONF = {
@@ -92,3 +99,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/equitylake/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def side_by_side(spark: SparkSession, jobs: Mapping[str, Callable[[], Result]], parallel: int | None = None) -> dict[str, Result]:
+    """Run independent jobs as concurrent Spark jobs, each in a scheduler pool of its name.
+
+    Threads take over the caller's job properties (group, description). Under
+    the FAIR scheduler the pools share the executors, so no job's stages wait
+    for all of another's.
+    """
+    def run(name: str, job: Callable[[], Result]) -> Result:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return job()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel or len(jobs))) as threads:
+        # A target per job: each takes a copy of the properties as they are here.
+        futures = {name: threads.submit(inheritable_thread_target(spark)(run), name, job) for name, job in jobs.items()}
+        return {name: future.result() for name, future in futures.items()}

@@ -1,14 +1,14 @@
 """File-system helpers over the Hadoop client Spark already carries.
 
 Paths may be on any file system Spark can read (HDFS, object stores,
-local). Only metadata and header lines travel through the driver; data is
+local). Only metadata and small texts travel through the driver; data is
 always read by Spark tasks.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -130,39 +130,3 @@ def stamps(spark: SparkSession, root: str, suffixes: Sequence[str]) -> dict[str,
         if p.getName().endswith(tuple(suffixes)):
             out[p.toString()] = f"{status.getLen()}:{status.getModificationTime()}"
     return out
-
-
-def _characters(spark: SparkSession, path: str):
-    jvm, fs, hpath = _fs(spark, path)
-    return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(hpath), "UTF-8"))
-
-
-def first_char(spark: SparkSession, path: str) -> str:
-    """The first character of a file that is no white space or byte-order mark ('' if there is none)."""
-    reader = _characters(spark, path)
-    try:
-        while (code := reader.read()) >= 0:
-            if not (c := chr(code)).isspace() and c != "\ufeff":
-                return c
-        return ""
-    finally:
-        reader.close()
-
-
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first non-blank line of a file (byte-order mark removed): the header of a CSV file."""
-    reader = _characters(spark, path)
-    try:
-        while (line := reader.readLine()) is not None:
-            if line.strip():
-                return line.lstrip("\ufeff")
-        return ""
-    finally:
-        reader.close()
-
-
-def probe(spark: SparkSession, paths: Iterable[str], look: Callable[[SparkSession, str], str]) -> dict[str, str]:
-    """``look`` at many files, concurrently."""
-    paths = list(paths)
-    with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
-        return dict(zip(paths, pool.map(lambda p: look(spark, p), paths)))

@@ -8,8 +8,8 @@ Layouts (one directory per vendor request):
 
 CSV columns bind **by header name per file**: Spark binds a CSV schema by
 position and reads one header for a whole directory, so files whose headers
-differ would silently swap values. The header line of every CSV file is
-probed, files are grouped by header, each group is one scan, and the groups
+differ would silently swap values. One Spark job finds the first line of
+every file; files are grouped by it, each group is one scan, and the groups
 are unioned by name. The first character alone rejects an error payload (JSON
 where CSV was expected) and skips empty files; a JSON file's records are
 judged by Spark. CSV is RFC 4180: quotes are doubled, a quoted field may hold
@@ -38,6 +38,26 @@ class PayloadError(RuntimeError):
 # ------------------------------------------------------------ file probing
 list_files = files.list_files
 
+#: White space and byte-order marks before the first character of a file.
+_LEADING = r"(?U)^[\s\ufeff]+"
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """First non-blank line -> the files that begin with it, found by one job; of a JSON file its first character.
+
+    Empty files are left out. Only the distinct first lines and the names of
+    the files come to the driver.
+    """
+    if not paths:
+        return {}
+    lines = spark.read.text(list(paths)).select(
+        F.regexp_replace("value", _LEADING, "").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    text = F.when(F.substring("line", 1, 1).isin("[", "{"), F.substring("line", 1, 1)).otherwise(F.col("line"))
+    first = lines.filter("line <> ''").groupBy("file").agg(F.min_by(text, "at").alias("first"))
+    found = first.groupBy("first").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
+    return {r["first"]: [unquote(f) for f in r["files"]] for r in sorted(found, key=lambda r: r["files"])}
+
 
 def _header_names(line: str) -> list[str]:
     import csv
@@ -55,12 +75,10 @@ def read_csv_by_header(spark: SparkSession, root: str, paths: Sequence[str] | No
     """
     paths = list(paths) if paths is not None else list_files(spark, root, (".csv",))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    starts = files.probe(spark, paths, files.first_char)
-    for f, start in starts.items():
-        if start in ("[", "{"):
-            raise PayloadError(f"unexpected payload in {f}: it starts with {start!r}")
-    for f, line in files.probe(spark, [f for f, start in starts.items() if start], files.first_line).items():
-        groups[tuple(_header_names(line))].append(f)
+    for line, found in first_lines(spark, paths).items():
+        if line in ("[", "{"):
+            raise PayloadError(f"unexpected payload in {found[0]}: it starts with {line!r}")
+        groups[tuple(_header_names(line))] += found
     frames = []
     for header, group in groups.items():
         schema = T.StructType([T.StructField(h, T.StringType()) for h in header])
@@ -118,11 +136,11 @@ def read_profile_shards(spark: SparkSession, root: str, fields: Sequence[str]) -
     if csv_part is not None:
         frames.append(csv_part)
     text = T.StructType([T.StructField(f, T.StringType()) for f in fields])
-    kinds: dict[str, list[str]] = defaultdict(list)
-    for path, start in files.probe(spark, list_files(spark, root, (".json",)), files.first_char).items():
-        if start not in ("", "[", "{"):
-            raise PayloadError(f"unexpected payload in {path}: it starts with {start!r}")
-        kinds[start].append(path)
+    kinds: dict[str, list[str]] = {"[": [], "{": []}
+    for line, found in first_lines(spark, list_files(spark, root, (".json",))).items():
+        if line not in kinds:
+            raise PayloadError(f"unexpected payload in {found[0]}: it starts with {line[:1]!r}")
+        kinds[line] = found
     if kinds["["]:
         arrays = (spark.read.schema(text).option("primitivesAsString", True).option("basePath", root)
                   .option("multiLine", True).option("mode", "FAILFAST").json(kinds["["]))
@@ -205,8 +223,9 @@ def write_price_histories(feed: DataFrame, root: str, order: str = "seq") -> Non
     monotonically increasing id then follows that order, so consecutive runs
     of ``HISTORY_CHUNK_ROWS`` ids form documents of bounded size, in feed
     order, without any per-symbol window. A symbol holding a third of all rows
-    becomes many documents written by many tasks. ``historical`` is in feed
-    order inside each document.
+    becomes many documents; one task writes a symbol's file, as this fixture
+    lands all of a symbol at one time. ``historical`` is in feed order inside
+    each document.
     """
     entry = F.struct(
         F.col(order).alias("k"),

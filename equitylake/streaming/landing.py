@@ -11,6 +11,11 @@ Late data needs no watermark: an old date simply lands in an old partition.
 Order: a later batch wins over an earlier one; inside a batch the landing
 time, file and position decide (cap batch size with ``maxFilesPerTrigger``).
 
+A micro-batch is evaluated once: its parsed rows, those of bad documents
+marked, are written to the checkpoint folder, and rejects and upsert read them
+there. ``archive`` moves files whose batch is done out of the landing, so that
+the listing of each batch does not grow with all that has ever landed.
+
 A bad document (torn, of a wrong type, with an entry that has no date) does
 not stop the others: it goes to the rejects table, one folder per batch, so a
 replayed batch replaces its own rejects.
@@ -23,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from equitylake.functions.text import normalize_symbol
+from equitylake.operators.joins import once
 from equitylake.sources import files, landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
@@ -30,14 +36,18 @@ from equitylake.specs import DAILY_PRICES
 
 def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkpoint: str,
                          max_files_per_trigger: int | None = None,
-                         processing_time: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None, archive: str | None = None) -> StreamingQuery:
     """Start the ingest. By default it drains what has landed and stops
     (``availableNow``); with ``processing_time`` (e.g. ``"1 hour"``) it keeps
-    running and picks up new landings on that cadence."""
+    running and picks up new landings on that cadence. ``archive`` names a
+    folder outside the landing, on its file system; done files go there when a
+    later batch starts, under their old path."""
     rejects = rejects_path(store)
     reader = spark.readStream.schema("value string, symbol string")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     lines = reader.text(landing).select("value", normalize_symbol("symbol").alias("symbol"),
                                         F.col("_metadata.file_modification_time").alias("_landed"),
                                         F.col("_metadata.file_path").alias("_file"),
@@ -45,9 +55,11 @@ def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkp
 
     def upsert_batch(batch: DataFrame, epoch_id: int) -> None:
         docs = landed.parse_history_docs(batch.withColumn("_row", F.monotonically_increasing_id()), strict=False)
-        (docs.filter("_bad_doc").select("symbol", "_file", "_block", "_row", "_landed")
+        rows = once(landed.shape_prices(docs, strict=False))  # a bad document is one row, marked
+        (rows.filter("_bad").select("symbol", "_file", "_block", "_row", "_landed")
              .write.mode("overwrite").parquet(f"{rejects}/batch={epoch_id}"))
-        store.upsert(DAILY_PRICES, landed.shape_prices(docs.filter(~F.col("_bad_doc"))), order=list(landed.PRICE_ORDER))
+        fresh = rows.filter(~F.col("_bad") & F.col("pos").isNotNull())
+        store.upsert(DAILY_PRICES, fresh, order=list(landed.PRICE_ORDER), computed=True)
 
     writer = lines.writeStream.foreachBatch(upsert_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
@@ -70,9 +82,9 @@ def read_rejects(store: Store) -> DataFrame:
 
 
 def ingest_available(spark: SparkSession, store: Store, landing: str, checkpoint: str,
-                     max_files_per_trigger: int | None = None) -> None:
+                     max_files_per_trigger: int | None = None, archive: str | None = None) -> None:
     """Run the stream until everything landed so far is ingested."""
-    query = start_landing_ingest(spark, store, landing, checkpoint, max_files_per_trigger)
+    query = start_landing_ingest(spark, store, landing, checkpoint, max_files_per_trigger, archive=archive)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))

@@ -401,3 +401,85 @@ def test_landed_symbol_directories_are_normalised(spark, scratch):
     assert [r.symbol for r in store.read(DAILY_PRICES).collect()] == ["AAPL"]
     universe = spark.createDataFrame([("AAPL",)], "symbol string")
     assert price_load.stage(spark, universe, landing, f"{scratch}/staging") == (1, 0)
+
+
+# ---------------------------------------------------------------- one probe job
+def test_first_lines_groups_files_by_header_in_one_job(spark, tmp_path):
+    from equitylake.sources import landed
+    texts = {"a b/part=1/x 1.csv": "symbol,price\nA,1\n", "a b/part=2/y.csv": "﻿symbol,price\nB,2\n",
+             "a b/part=3/%z.csv": "price,symbol\n3,C\n", "a b/part=4/empty.csv": "", "a b/part=5/blank.csv": " \n\n",
+             "a b/part=6/big.csv": "symbol,price\n" + "D,4\n" * 50_000, "a b/part=7/e.json": '  \n [{"symbol": "E"}]'}
+    for name, text in texts.items():
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text, encoding="utf-8")
+    paths = landed.list_files(spark, str(tmp_path), (".csv", ".json"))
+    found = {line: sorted(p.rpartition("/")[2] for p in ps) for line, ps in landed.first_lines(spark, paths).items()}
+    assert found == {"symbol,price": ["big.csv", "x 1.csv", "y.csv"], "price,symbol": ["%z.csv"], "[": ["e.json"]}
+    csvs = [p for p in paths if p.endswith(".csv")]
+    rows = landed.read_csv_by_header(spark, str(tmp_path / "a b"), csvs).groupBy("symbol", "price").count().collect()
+    assert {(r.symbol, r.price, r["count"]) for r in rows} == {("A", "1", 1), ("B", "2", 1), ("C", "3", 1), ("D", "4", 50_000)}
+    with pytest.raises(landed.PayloadError, match="e.json"):
+        landed.read_csv_by_header(spark, str(tmp_path), paths)
+
+
+def test_stream_evaluates_a_batch_once_and_archives_its_files(spark, tmp_path):
+    from equitylake.sources.store import Store
+    from equitylake.specs import DAILY_PRICES
+    from equitylake.streaming import landing as streaming
+
+    def land(name, day):
+        folder = tmp_path / "landing" / "symbol=AAPL"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text('{"historical": [{"date": "%s", "close": 1.0}]}\n{"historical": [{"close": 1}]}\n' % day)
+
+    store = Store(spark, str(tmp_path / "store"))
+    run = lambda: streaming.ingest_available(
+        spark, store, str(tmp_path / "landing"), str(tmp_path / "ckpt"), archive=str(tmp_path / "done"))
+    for i, day in enumerate(("2024-01-02", "2024-01-03", "2024-01-04")):
+        land(f"{i}.json", day)
+        run()
+    assert [str(r.date) for r in store.read(DAILY_PRICES).collect()] == ["2024-01-02", "2024-01-03", "2024-01-04"]
+    assert streaming.read_rejects(store).count() == 3
+    left = sorted(p.name for p in (tmp_path / "landing").rglob("*.json"))
+    moved = sorted(p.name for p in (tmp_path / "done").rglob("*.json"))
+    assert sorted(left + moved) == ["0.json", "1.json", "2.json"] and len(moved) >= 2
+
+
+def test_a_part_is_readable_while_it_is_made_anew(spark, tmp_path, monkeypatch):
+    """A changed part's rows are replaced by the write itself; only parts that keep no row any more are deleted."""
+    from equitylake.plans import statement_build as sb
+    from equitylake.specs import INCOME_STATEMENT
+
+    def land(year, text):
+        folder = tmp_path / "landing" / "statement=income_statement" / f"year={year}" / "period_part=FY"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / "p.csv").write_text(text)
+
+    land(2020, "date,symbol,revenue\n2020-12-31,A,1\n")
+    land(2021, "date,symbol,revenue\n2021-12-31,A,2\n")
+    cache = str(tmp_path / "cache")
+    assert sb.cache_statement_parts(spark, str(tmp_path / "landing"), cache, INCOME_STATEMENT) == 2
+    land(2020, "date,symbol,revenue\n2020-12-31,A,10\n2020-12-31,B,11\n")
+    land(2021, "date,symbol,revenue\n")
+    deleted = []
+    plain = sb.files.delete
+    monkeypatch.setattr(sb.files, "delete", lambda s, p: deleted.append(p) or plain(s, p))
+    assert sb.cache_statement_parts(spark, str(tmp_path / "landing"), cache, INCOME_STATEMENT) == 2
+    assert [p.rpartition("/statement=income_statement/")[2] for p in deleted] == ["year=2021/period_part=FY"]
+    rows = sb.read_cached_parts(spark, cache, INCOME_STATEMENT).collect()
+    assert {(r.symbol, r.revenue, r.year) for r in rows} == {("A", 10.0, 2020), ("B", 11.0, 2020)}
+
+
+def test_jobs_side_by_side_run_in_pools_of_their_own(spark):
+    from equitylake.session import side_by_side
+    pool = lambda: spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+    spark.sparkContext.setLocalProperty("callSite.short", "mine")
+    try:
+        seen = side_by_side(spark, {n: lambda: (pool(), spark.sparkContext.getLocalProperty("callSite.short"), spark.range(10).count())
+                                    for n in ("one", "two", "three")}, parallel=2)
+        assert seen == {n: (n, "mine", 10) for n in ("one", "two", "three")}
+        assert pool() is None
+    finally:
+        spark.sparkContext.setLocalProperty("callSite.short", None)
+    assert spark.conf.get("spark.scheduler.mode") == "FAIR"
