@@ -44,6 +44,8 @@ HEAD_BYTES = 512
 MAX_HEAD = 1 << 20
 ARCHIVE_BYTES = 1 << 30
 SPLIT_BYTES = 16 << 20
+#: Most tasks that ranges are dealt to; beyond it a task reads several.
+MAX_TASKS = 100_000
 READ_BYTES = 1 << 20
 LEAST_REVISIT = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -370,9 +372,11 @@ def read_archives(archives: DataFrame, split: int = SPLIT_BYTES) -> DataFrame:
     those its headers state, of the full payload. Members that are cut off or
     fail their checksum give no row. No archives give no rows.
     """
+    # By number: a range is a small row but much work, and tasks merged by their rows' size would read many.
+    found = archives.agg(F.sum(F.ceil(F.col("size") / split))).first()[0] or 1
     ranges = (archives.select("archive", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split).cast("bigint"))).alias("start"))
                       .withColumn("end", F.least(F.col("start") + split, F.col("size"))))
-    return ranges.repartition("archive", "start").mapInArrow(
+    return ranges.repartition(min(MAX_TASKS, int(found)), "archive", "start").mapInArrow(
         _read, "archive string, offset bigint, record_id string, record_type string, target_uri string, payload_bytes bigint, "
                "payload_digest string, digest_ok boolean, refers_to string, payload binary")
 
