@@ -3,6 +3,8 @@
 import os
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from corpora import AWKWARD, SCHEMA, documents
 
@@ -53,6 +55,28 @@ def test_stretches_are_independent(model):
         assert list(encoder.encode(text)) == whole
 
 
+def test_many_at_once_give_the_same_pieces(model):
+    pick = random.Random(11)
+    words = ["".join(pick.choice("theandofnig▁▁xrsé日") for _ in range(pick.randint(0, 40))) for _ in range(2000)]
+    words = [w for w in words if model.characters.issuperset(w)] + ["", "a", "▁", "▁▁▁"]
+    assert len(words) > 300
+    found = pieces.best_many(model, words)
+    assert [list(memoryview(f).cast("i")) for f in found] == [pieces.best_pieces(model, w) for w in words]
+    assert pieces.best_many(model, []) == [] and pieces.best_many(model, [""]) == [b""]
+
+
+def test_batches_agree_with_single_texts(model, monkeypatch):
+    every = [*texts(300), *AWKWARD, "a  b", "▁x", "\x00", "x" * 5000, " lead", "trail ", "\n\n", None, ""]
+    want = [pieces.Encoder(model).encode(t or "") for t in every]
+    for lot, remembered in ((pieces.LOT_BYTES, 10**6), (200, 10**6), (50, 5)):
+        monkeypatch.setattr(pieces, "LOT_BYTES", lot)
+        encoder = pieces.Encoder(model, remembered)
+        for texts_of in (pa.array(every), pa.array([None, *every, "x"]).slice(1, len(every))):
+            counts, flat = encoder.batch(texts_of)
+            assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == want
+    assert pieces.Encoder(model).batch(pa.array([], pa.string()))[0].tolist() == []
+
+
 def test_round_trip(spark, model):
     every = [*AWKWARD, *texts(200), "▁", " ▁▁ ", "<0x0A>", "\u0000", "<unk></s>"]
     docs = documents(spark, [*enumerate(every), (3, every[3]), (None, "null id")]).withColumnRenamed("lang", "piece_ids").withColumnRenamed("source", "decoded")
