@@ -117,6 +117,10 @@ QUERIES = {q.__name__: _with_small_batches(q) for q in _ALL}
 _KEY = r"""translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 
+#: CRC-32 of an ASCII text, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)),
+            lambda x, b: list_reduce(list_prepend(xor(x, b), range(8)), lambda y, i: xor(y >> 1, CASE WHEN y & 1 = 1 THEN 3988292384 ELSE 0 END))))"""
+
 SQL = {
     "op10_line_dedup": rf"""
         WITH lines AS (
@@ -133,4 +137,37 @@ SQL = {
                    FILTER (WHERE keeper IS NULL OR doc_id = keeper), '')) AS kept_sha256
         FROM keyed LEFT JOIN frequent USING (key)
         GROUP BY doc_id""",
+    "op11_trie": f"""
+        WITH own AS (
+            SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+                                 ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS said
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        begun AS (SELECT own.*, {_CRC32.format(text="conv_id::VARCHAR")} % 9 AS h FROM own),
+        spliced AS (
+            SELECT a.conv_id, list_concat(coalesce(list_slice(b.said, 1, a.h), []), list_slice(a.said, a.h + 1, len(a.said))) AS said
+            FROM begun a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+        members AS (SELECT conv_id, unnest(range(len(said) + 1)) AS depth, said FROM spliced),
+        nodes AS (
+            SELECT list_slice(said, 1, depth) AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(said) = depth), '')) AS ends_sha256
+            FROM members GROUP BY 1, 2),
+        kids AS (SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+        sized AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)),
+        below AS (SELECT list_slice(path, 1, up) AS path, n_children, depth, n_convs, path[depth].text AS last
+                  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM sized)),
+        sums AS (SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+                        coalesce(sum((n_convs - 1) * strlen(last)) FILTER (WHERE depth > 0), 0)::BIGINT AS saved_tokens
+                 FROM below GROUP BY 1)
+        SELECT s.conv_id, s.depth, up.conv_id AS parent_conv_id, s.n_convs, s.n_children, sums.n_leaves, sums.saved_tokens, s.ends_sha256
+        FROM sized s JOIN sums USING (path)
+        LEFT JOIN sized up ON s.depth > 0 AND up.path = list_slice(s.path, 1, s.depth - 1)""",
+    "op13_warc": """
+        WITH sized AS (
+            SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n,
+                   max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+            FROM pages)
+        SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+        FROM sized""",
 }
