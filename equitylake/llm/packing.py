@@ -71,10 +71,12 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, token_
 
     A batch is numbered within its bucket and holds token_budget // bucket
     sequences (one at least); all batches of a bucket but the last are full.
-    Sequences are dealt in the order of a hash, so batches mix sources.
+    Sequences are dealt in the order of a hash, so batches mix sources. The
+    hash takes in the row's place in the table: rows that share an id, or have
+    none, are spread like any others.
     A sequence of no token is in no batch (nulls). An empty table gives no rows.
     """
-    rows = cut(sequences(docs, max_len, id_col, text_col))
+    rows = cut(sequences(docs, max_len, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
     histogram = {r["n_tokens"]: r["n"] for r in
                  rows.where("n_tokens > 0").groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()}
     lengths = sorted(histogram)
@@ -85,7 +87,7 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, token_
         bucket = F.when(F.col("n_tokens") <= b, F.lit(b).cast("bigint")).otherwise(bucket)
         slices = F.when(F.col("bucket") == b, F.lit(-(-held[b] // SLICE_ROWS))).otherwise(slices)
     bucket = F.when(F.col("n_tokens") > 0, bucket)
-    dealt = (rows.withColumn("bucket", bucket).withColumn("h", F.xxhash64("id", "piece"))
+    dealt = (rows.withColumn("bucket", bucket).withColumn("h", F.xxhash64("id", "piece", "row"))
                  .withColumn("slice", F.pmod(F.shiftright("h", 32), slices.cast("bigint")).cast("int")))
     full = dealt.where("bucket is not null")
     # A bucket's sequences are numbered slice by slice: a slice is a task's
@@ -93,7 +95,7 @@ def pack(docs: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS, token_
     per_slice = full.groupBy("bucket", "slice").agg(F.count(F.lit(1)).alias("rows"))
     offsets = per_slice.select("bucket", "slice", (F.sum("rows").over(W.partitionBy("bucket").orderBy("slice")) - F.col("rows")).alias("before"))
     ranked = full.withColumn("rank", F.row_number().over(
-        W.partitionBy("bucket", "slice").orderBy("h", "id", "piece", "n_tokens")))
+        W.partitionBy("bucket", "slice").orderBy("h", "row")))
     capacity = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.col("bucket"))).cast("bigint")
     at = F.col("before") + F.col("rank") - 1
     placed = ranked.join(offsets, ["bucket", "slice"]).select(

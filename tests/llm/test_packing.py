@@ -4,6 +4,7 @@ import itertools
 import random
 
 from corpora import AWKWARD, SCHEMA, documents, words
+from pyspark.sql import functions as F
 
 from equitylake.llm import packing
 
@@ -61,3 +62,15 @@ def test_every_word_is_packed_once_within_the_budget(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rows_of_one_id_are_spread_over_slices(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_ROWS", 100)
+    docs = documents(spark, [(None, "three words here")] * 2000)
+    rows = packing.pack(docs, buckets=2, token_budget=30).collect()
+    assert len(rows) == 2000
+    places = {(r.batch, r.slot) for r in rows}
+    assert len(places) == 2000 and max(b for b, _ in places) == 199
+    dealt = packing.sequences(docs).withColumn("row", F.monotonically_increasing_id())
+    per_slice = dealt.groupBy(F.pmod(F.shiftright(F.xxhash64("id", "piece", "row"), 32), F.lit(20))).count().collect()
+    assert len(per_slice) == 20 and max(r["count"] for r in per_slice) < 200
