@@ -224,12 +224,14 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, id_col: str = "doc_i
     Fitted on at most ``max_train`` rated ids, those of smallest hash, in one
     task of that bounded size. Ratings with a null or out-of-range grade or a
     null id are left out; an id rated more than once counts with its lowest
-    grade; a null text counts as empty.
+    grade; a null text counts as empty. Of documents that share an id one is
+    fitted, that of smallest text hash.
     """
     rated = only(ratings, id_col, grade_col).toDF("id", "grade").where(f"grade between 0 and {n_grades - 1} and id is not null")
     sample = rated.groupBy("id").agg(F.min("grade").cast("int").alias("grade")).orderBy(F.xxhash64("id"), "id").limit(max_train)
     # Of max_train rows at most: a size that does not grow with the data.
-    rows = only(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(sample), "id").select("grade", "text")
+    rows = only(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(sample), "id")
+    rows = rows.groupBy("id", "grade").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("grade", "text")
     vectors = rows.mapInArrow(_vectors, "grade int, held array<int>, valued array<int>, value array<double>")
     model = (vectors.withColumn("all", F.lit(1)).groupBy("all")
                     .applyInPandas(lambda pdf: _fit_task(pdf, n_grades), "weights binary, thresholds array<double>").collect())

@@ -78,3 +78,36 @@ def test_without_ratings_nothing_is_rejected(spark):
 def test_marks_become_grades(spark):
     labels = spark.createDataFrame([(1, 0, 0), (2, 0, 1), (3, 1, 1), (4, 1, 0), (5, None, 0), (6, 1, None)], "doc_id bigint, quality int, toxic int")
     assert {r.doc_id: r.grade for r in quality.graded(labels).collect()} == {1: 0, 2: 0, 3: 1, 4: 2, 5: None, 6: None}
+
+
+def test_fit_agrees_with_a_plain_optimiser():
+    """The minimum of the same penalised likelihood, by plain gradient descent with numerical slopes on a small problem."""
+    rng = np.random.default_rng(4)
+    n, d, ridge = 120, 3, 1e-2
+    x = rng.normal(size=(n, d))
+    grades = np.digitize(x @ [1.0, -0.5, 0.2] + rng.logistic(size=n), [-1, 1])
+    row, index = np.divmod(np.arange(n * d), d)
+    model = quality.fit_ordinal(grades, index, x.ravel(), row, 3, rounds=500, ridge=ridge, least_signal=0)
+    strength, spread = quality.signal(grades, index, x.ravel(), row, 3)
+    scale = (np.minimum(1.0, strength / 20) / spread)[:d]
+
+    def loss(free):
+        cuts = np.array([free[d], free[d] + np.exp(free[d + 1])])
+        upto = 1 / (1 + np.exp(-(cuts[None, :] - (x * scale @ free[:d])[:, None])))
+        p = np.diff(upto, axis=1, prepend=0.0, append=1.0)[np.arange(n), grades]
+        return -np.log(p).mean() + ridge / 2 * free[:d] @ free[:d]
+
+    free = np.zeros(d + 2)
+    for _ in range(6000):
+        slope = np.array([(loss(free + e) - loss(free - e)) / 2e-5 for e in np.eye(d + 2) * 1e-5])
+        free -= 0.3 * slope
+    assert np.allclose(model.thresholds, [free[d], free[d] + np.exp(free[d + 1])], atol=5e-3)
+    assert np.allclose(model.weights[:d], free[:d] * scale, atol=5e-3)
+
+
+def test_an_id_that_repeats_is_fitted_once(spark):
+    texts, grades = corpus(90, 5)
+    ratings = spark.createDataFrame(list(enumerate(grades)), "doc_id bigint, grade int")
+    once = quality.fit(documents(spark, texts), ratings, 3)
+    many = quality.fit(documents(spark, [*enumerate(texts), *[(0, texts[0])] * 500]), ratings, 3)
+    assert np.allclose(once.weights, many.weights) and np.allclose(once.thresholds, many.thresholds)
