@@ -127,19 +127,33 @@ def hot_blocks(members: DataFrame, key: Sequence[str], salt: str, size: int) ->
 
 
 def whole_groups(batches, n_keys: int):
-    """Tables of whole groups from record batches sorted by their first ``n_keys`` columns: (table, starts of its groups)."""
-    held = None
+    """Tables of whole groups from record batches sorted by their first ``n_keys`` columns: (table, starts of its groups).
+
+    The batches of an open group are kept as they are and put together once,
+    when it ends: a group of many batches costs no more than its rows.
+    """
+    held, rows = [], 0  # the open group
     for batch in batches:
         if not batch.num_rows:
             continue
         part = pa.Table.from_batches([batch])
-        held = part if held is None else pa.concat_tables([held, part])
-        starts = _starts(held, n_keys)
+        starts = _starts(part, n_keys)
+        if held and not _same_key(held[-1], part, n_keys):
+            yield pa.concat_tables(held), np.zeros(1, np.int64)
+            held, rows = [], 0
         if len(starts) > 1:
-            yield held.slice(0, starts[-1]), starts[:-1]
-            held = held.slice(starts[-1])
-    if held is not None:
-        yield held, _starts(held, n_keys)
+            first = starts[:-1] + rows
+            first[0] = 0
+            yield pa.concat_tables([*held, part.slice(0, starts[-1])]), first
+            held, rows, part = [], 0, part.slice(starts[-1])
+        held.append(part)
+        rows += part.num_rows
+    if held:
+        yield pa.concat_tables(held), np.zeros(1, np.int64)
+
+
+def _same_key(before: pa.Table, after: pa.Table, n_keys: int) -> bool:
+    return all(before.column(i)[-1].as_py() == after.column(i)[0].as_py() for i in range(n_keys))
 
 
 def _starts(part: pa.Table, n_keys: int) -> np.ndarray:
