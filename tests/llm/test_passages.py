@@ -160,3 +160,33 @@ def test_short_paragraphs_and_texts_are_units(spark):
              " ".join(verse[:3]) + "\n" + " ".join(verse[3:]), " ".join(verse[:2]) + "\n" + " ".join(verse[2:])]
     whole = {1: set(range(20)), 2: set(range(30, 50)), 4: set(range(5)), 8: set(range(6))}
     assert removed(spark, texts) == {i: whole.get(i, set()) for i in range(len(texts))}
+
+
+def test_near_paragraphs_match_all_pairs(spark):
+    """Every pair of a few hundred paragraphs by exact Jaccard, and the components of those at 0.8 or more."""
+    pick = random.Random(21)
+    texts = []
+    for c in range(60):
+        base = words(7000 + c, 44).split()
+        for _ in range(pick.randint(1, 7)):
+            w = list(base)
+            for _ in range(pick.randint(0, 3)):
+                at = pick.choice([0, 1, 2, 41, 42, 43, pick.randint(0, 43)])
+                if pick.random() < 0.7:
+                    w[at] = f"other{pick.randint(0, 99)}"
+                else:
+                    w = w[:-2] if at > 20 else w[1:]
+                    w += ["more"] * (44 - len(w))
+            texts.append(" ".join(w))
+    pick.shuffle(texts)
+    sets = [grams(t.split()) for t in texts]
+    low = list(range(len(texts)))
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    for _ in texts:
+        for i, j in pairs:
+            low[i] = low[j] = min(low[i], low[j])
+    found = {(r.doc_id, r.first_word, r.end_word, r.keeper) for r in passages.repeated(documents(spark, texts)).collect()}
+    near = {(i, 0, len(t.split()), low[i]) for i, t in enumerate(texts) if low[i] != i}
+    assert len(pairs) > 150 and near <= found
+    for doc, first, end, keeper in found - near:  # the others are passages that the keeper holds word for word
+        assert " ".join(texts[doc].split()[first:end]) in texts[keeper]
