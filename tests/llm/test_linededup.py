@@ -94,3 +94,58 @@ def test_empty_table(spark):
     assert linededup.dedup_lines(docs, index.decide()).count() == 0
     index.insert(documents(spark, ["a line of more than forty code points, for certain"]))
     assert index.counts().count() == 1
+
+
+def test_filters_route_only_keys_that_may_be_repeated(spark):
+    rows = [(i, "\n".join([words(1000 + i * 10 + k, 12) for k in range(9)] + [words(i % 4, 12)])) for i in range(120)]
+    index = linededup.line_index(spark, documents(spark, rows))
+    routed, every = index.maybe_repeated().count(), index.counts().count()
+    assert every == 120 * 9 + 4
+    assert 4 <= routed <= 4 + 5  # the four repeated keys, and at most a few that share a fingerprint
+    assert result(spark, index, documents(spark, rows)) == brute(rows)
+    again = [(200, rows[0][1])]  # keys of one document that come again in a later batch
+    index.insert(documents(spark, again))
+    assert index.maybe_repeated().count() >= 10
+
+
+def test_shards_follow_the_counted_keys_and_double(spark):
+    rows = [(i, "\n".join(words(5000 + i * 40 + k, 12) for k in range(40))) for i in range(30)]
+    index = linededup.LineIndex(spark, linededup.scratch_dir(spark, "t"), keys_per_shard=40)
+    index.insert(documents(spark, rows[:10]))
+    assert index.shards == 10  # 400 keys
+    for part in (rows[10:25], rows[25:], [(99, rows[3][1])]):
+        index.insert(documents(spark, part))
+    assert index.shards == 40 and index.filters().agg({"shards": "min"}).first()[0] == 40
+    assert index.filters().agg({"n_keys": "sum"}).first()[0] == 1200
+    rows = [*rows, (99, rows[3][1])]
+    assert result(spark, index, documents(spark, rows)) == brute(rows)
+    assert sum(r["n_docs"] == 2 for r in index.counts().collect()) == 40
+
+
+def test_fingerprints_that_clash_are_not_lost(spark, monkeypatch):
+    """With one-byte fingerprints most keys seem known: all are counted, and deletions still leave the others in."""
+    def places(self, hashes):
+        mask = np.uint64(len(self.buckets) - 1)
+        first = (hashes & mask).astype(np.int64)
+        prints = ((hashes >> np.uint64(48)) % np.uint64(7) + np.uint64(1)).astype(np.uint16)
+        return prints, first, self._other(first, prints)
+
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(linededup.CuckooFilter, "_places", places)
+    seen = linededup._TaskFilter()
+    keys = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    sent = [seen.new(k) for k in np.split(np.concatenate((keys, keys[:1000])), 10)]
+    out = np.concatenate([s for s, _ in sent])
+    again = np.concatenate([a for _, a in sent])
+    assert set(out.tolist()) == set(keys.tolist())  # every key goes on
+    assert set(keys[:1000].tolist()) <= set(out[again].tolist())  # repeated ones are told
+
+
+def test_a_document_inserted_again_counts_once(spark):
+    rows = corpus()
+    index = linededup.line_index(spark, documents(spark, rows))
+    index.insert(documents(spark, rows[10:20]))
+    assert result(spark, index, documents(spark, rows)) == brute(rows)
+    index.delete(documents(spark, rows[10:20]))
+    left = rows[:10] + rows[20:]
+    assert result(spark, index, documents(spark, left)) == brute(left)
