@@ -1,11 +1,13 @@
 """Operator 2, approximate nearest neighbours: a hierarchical navigable small-world graph per shard.
 
-Distinct vectors are dealt by hash to shards of bounded size. Each shard's
-task builds its graph and returns it as a table, one row per vector with its
-neighbours at all levels in one flat array, padded with -1. A search takes
-blocks of queries to every shard, searches the graph for the block at once,
-scores the finds on the original vectors in double precision, and the shards'
-best are merged per query.
+Distinct vectors are dealt by hash to shards. Each shard's task builds its
+graph and returns it as a table, one row per vector with its neighbours at all
+levels in one flat array, padded with -1. For a search, a shard's task reads
+its graph and then the queries as they come, block by block, scores the finds
+on the original vectors in double precision, and the shards' best are merged
+per query. Every query visits every shard, so shards grow with the table, as
+far as a task's memory allows: the work then grows by the few shards it takes
+to keep the cluster busy, not by one for every few thousand vectors.
 
 Copies of a vector are one node, which lists its smallest ids: as many as an
 answer can hold, and one for the query's own.
@@ -13,15 +15,19 @@ answer can hold, and one for the query's own.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from equitylake.llm.common import cut, only, usable
+from equitylake.llm.common import cut, matrix, only, usable
 
-SHARD_ROWS = 8192
+#: Vectors in a shard: at least, and at most (at 64 dimensions some 300 MB of vectors and links in a task).
+SHARD_ROWS, MOST_SHARD_ROWS = 8192, 262_144
 QUERY_BLOCK = 4096
 DEGREE = 16  # neighbours at the upper levels; twice as many at the lowest
 BUILD_WIDTH = 64
@@ -193,31 +199,72 @@ def _build_task(key, rows: pd.DataFrame, degree: int, width: int) -> pd.DataFram
                          "vector": list(x), "neighbours": flat})
 
 
-def _search_task(index: pd.DataFrame, queries: pd.DataFrame, k: int, degree: int, width: int) -> pd.DataFrame:
-    none = pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64", "score": "float64"})
-    if not len(index) or not len(queries):
-        return none
-    index = index.sort_values("node")
-    x, ids = np.stack(index["vector"].to_list()), index["ids"].to_list()
-    flat = index["neighbours"].to_list()
-    reach = levels_of(len(x), degree)
-    links, at = [], 0
-    for level, m in enumerate(reach):
-        cap = degree * (2 if level == 0 else 1)
-        links.append(np.stack([f[at:at + cap] for f in flat[:m]]).astype(np.int64))
-        at += cap
-    q = np.stack(queries["vector"].to_list()).astype(np.float64)
-    found = search(_unit(x).astype(np.float32), links, _unit(q), width)
-    lengths = np.sqrt(np.einsum("nd,nd->n", x, x))
-    out = []
-    for own, v, nodes in zip(queries["query_id"].to_list(), q, found):
-        nodes = nodes[nodes >= 0]
-        score = np.einsum("nd,d->n", x[nodes], v) / (lengths[nodes] * np.sqrt(np.einsum("d,d->", v, v)))
-        best = np.argsort(-score, kind="stable")
-        floor = score[best[min(k, len(best) - 1)]]  # k besides the own node; ties at the end included
-        hits = [(-s, i, own) for s, n in zip(score, nodes) if s >= floor for i in ids[n] if i != own]
-        out += sorted(hits)[:k]
-    return pd.DataFrame({"query_id": [o for _, _, o in out], "id": [i for _, i, _ in out], "score": [-s for s, _, _ in out]}) if out else none
+class _Graph:
+    """A shard's graph, from its rows in the order of their nodes."""
+
+    def __init__(self, rows: pa.Table, degree: int):
+        self.x = matrix(rows.column("vector"))
+        self.ids = rows.column("ids").to_pylist()
+        flat = rows.column("neighbours").combine_chunks()
+        values, offsets = flat.flatten().to_numpy(), flat.offsets.to_numpy()
+        starts = offsets[:-1] - offsets[0]
+        self.links, at = [], 0
+        for level, m in enumerate(levels_of(len(self.x), degree)):
+            cap = degree * (2 if level == 0 else 1)
+            self.links.append(values[starts[:m, None] + at + np.arange(cap)].astype(np.int64))
+            at += cap
+        self.near = _unit(self.x).astype(np.float32)
+        self.lengths = np.sqrt(np.einsum("nd,nd->n", self.x, self.x))
+
+    def answer(self, queries: pa.Table, k: int, width: int) -> list[tuple[int, int, int, float]]:
+        """(row, query_id, id, score) of the k best of each query."""
+        q, out = matrix(queries.column("vector")), []
+        found = search(self.near, self.links, _unit(q), width)
+        for row, own, v, nodes in zip(queries.column("row").to_pylist(), queries.column("query_id").to_pylist(), q, found):
+            nodes = nodes[nodes >= 0]
+            score = np.einsum("nd,d->n", self.x[nodes], v) / (self.lengths[nodes] * np.sqrt(np.einsum("d,d->", v, v)))
+            best = np.argsort(-score, kind="stable")
+            floor = score[best[min(k, len(best) - 1)]]  # k besides the own node; ties at the end included
+            # The query's own row is its id at its vector; its id at another vector is a row like any other.
+            hits = sorted((-s, i) for s, n in zip(score, nodes) if s >= floor for i in self.ids[n] if i != own or (self.x[n] != v).any())
+            out += [(row, own, i, -s) for s, i in hits[:k]]
+        return out
+
+
+_FOUND = "row bigint, query_id bigint, id bigint, score double"
+
+
+def _search(batches, k: int, degree: int, width: int, block: int):
+    """Answers of each shard to its queries; rows come sorted by shard, dimension and block, the graph before the queries."""
+    key, parts, graph, asked = None, [], None, []
+
+    def answers():
+        nonlocal graph, parts, asked
+        if asked and (parts or graph):
+            if graph is None:
+                graph, parts = _Graph(pa.concat_tables(parts), degree), []
+            rows = graph.answer(pa.concat_tables(asked), k, width)
+            if rows:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=["row", "query_id", "id", "score"])
+        asked = []
+
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        keys = np.column_stack([part.column(c).to_numpy() for c in ("shard", "dim", "block", "kind")])
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)] if len(keys) else [0]
+        for a, b in zip(cuts, cuts[1:]):
+            if key != tuple(keys[a, :3]):
+                yield from answers()
+                key, parts, graph = tuple(keys[a, :3]), [], None
+            if keys[a, 3] == 0:
+                parts.append(part.slice(a, b - a))
+                continue
+            for at in range(a, b, block):
+                asked.append(part.slice(at, min(block, b - at)))
+                if sum(t.num_rows for t in asked) >= block:
+                    yield from answers()
+    yield from answers()
 
 
 # ------------------------------------------------------------------ operator
@@ -232,31 +279,43 @@ def index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS, degree: int
         lambda key, rows: _build_task(key, rows, degree, width), INDEX_SCHEMA))
 
 
+def shard_rows_for(n: int, slots: int) -> int:
+    """Vectors in a shard of a table of ``n``: two shards for each of the cluster's ``slots``, within the bounds."""
+    return max(SHARD_ROWS, min(MOST_SHARD_ROWS, n // (2 * slots)))
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding",
-            shard_rows: int = SHARD_ROWS, query_block: int = QUERY_BLOCK, degree: int = DEGREE,
+            shard_rows: int | None = None, query_block: int = QUERY_BLOCK, degree: int = DEGREE,
             build_width: int = BUILD_WIDTH, search_width: int = SEARCH_WIDTH) -> DataFrame:
-    """(query_id, rank, id, score): each query's ``k`` nearest found among the other ids, by cosine; ties to the smaller id.
+    """(query_id, rank, id, score): each query's ``k`` nearest found among the other rows, by cosine; ties to the smaller id.
 
     ``queries`` has the columns of ``vectors``. Rows with a null id, and
     vectors that are null, zero or hold null or non-finite components, take
     no part on either side; vectors of another length than the query's are no
-    candidates. Rows that repeat an id count once, with the smallest vector.
-    A query with fewer candidates than ``k`` gets them all; with none, no row.
+    candidates. Rows that repeat an id and its vector are one; rows that
+    repeat an id with another vector are rows of their own, each a candidate,
+    and each a query with ranks of its own. A query with fewer candidates than
+    ``k`` gets them all; with none, no row. ``shard_rows``: by default as
+    ``shard_rows_for``.
     """
     def clean(df: DataFrame) -> DataFrame:
         rows = only(df, id_col, vector_col).toDF("id", "vector").where("id is not null")
-        rows = rows.where(usable(F.col("vector"))).withColumn("id", F.col("id").cast("bigint"))
-        return rows.groupBy("id").agg(F.min("vector").alias("vector"))
-
-    graphs = index(clean(vectors), k, shard_rows, degree, build_width)
-    asked = cut(clean(queries).select(F.col("id").alias("query_id"), F.col("vector").cast("array<double>").alias("vector")))
-    blocks = max(1, -(-asked.count() // query_block))
-    asked = asked.withColumn("dim", F.size("vector")).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    shards = graphs.select("shard", "dim").distinct()  # a few rows: one for each shard_rows vectors
-    asked = asked.join(shards.select(F.col("shard").alias("to"), F.col("dim").alias("of")), F.col("dim") == F.col("of")).select(
-        F.col("to").alias("shard"), "dim", "block", "query_id", "vector")
-    each = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = each.groupBy("shard", "dim", "block").cogroup(asked.groupBy("shard", "dim", "block")).applyInPandas(
-        lambda left, right: _search_task(left, right, k, degree, search_width), "query_id bigint, id bigint, score double")
-    best = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
+        return rows.where(usable(F.col("vector"))).withColumn("id", F.col("id").cast("bigint")).distinct()
+
+    slots = vectors.sparkSession.sparkContext.defaultParallelism
+    graphs = index(clean(vectors), k, shard_rows or shard_rows_for(vectors.count(), slots), degree, build_width)
+    asked = cut(clean(queries).select(F.col("id").alias("query_id"), F.col("vector").cast("array<double>").alias("vector"))
+                              .withColumn("dim", F.size("vector")).withColumn("row", F.monotonically_increasing_id()))
+    shards = graphs.select("shard", "dim").distinct()  # a few rows: one for each shard
+    # A graph is sent to a few tasks, as many as keep the cluster busy, however many queries there are.
+    blocks = max(1, -(-2 * slots // max(1, shards.count())))
+    empty = F.lit(None)
+    questions = asked.join(F.broadcast(shards.withColumnRenamed("dim", "of")), F.col("dim") == F.col("of")).select(
+        "shard", "dim", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), F.lit(1).alias("kind"), "vector", "query_id", "row",
+        F.lit(0).alias("node"), empty.cast("array<bigint>").alias("ids"), empty.cast("array<int>").alias("neighbours"))
+    nodes = graphs.select("shard", "dim", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(0).alias("kind"), "vector",
+                          empty.cast("bigint").alias("query_id"), empty.cast("bigint").alias("row"), "node", "ids", "neighbours")
+    each = nodes.unionByName(questions).repartition("shard", "dim", "block").sortWithinPartitions("shard", "dim", "block", "kind", "node")
+    found = each.mapInArrow(partial(_search, k=k, degree=degree, width=search_width, block=query_block), _FOUND)
+    best = found.withColumn("rank", F.row_number().over(W.partitionBy("row").orderBy(F.desc("score"), "id"))).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score")

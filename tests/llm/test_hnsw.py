@@ -65,3 +65,26 @@ def test_empty_tables(spark):
     assert hnsw.nearest(none, some, 5).count() == 0
     assert hnsw.nearest(some, some, 5).count() == 0
     assert hnsw.nearest(some, some.where(F.lit(False)), 5).count() == 0
+
+
+def test_rows_that_repeat_an_id_are_rows_of_their_own(spark):
+    v = vectors(12)
+    rows = [(i, x) for i, x in enumerate(v[:8])] + [(3, v[8]), (3, v[9]), (5, v[10]), (5, v[10])]
+    df = spark.createDataFrame([(i, x, 0) for i, x in rows], SCHEMA)
+    got = hnsw.nearest(df, df.where("vec_id in (3, 6)"), 4).collect()
+    distinct = rows[:-1]
+
+    def want(own):
+        q = np.array(distinct[own][1], np.float64)
+        return sorted((-float(np.array(x) @ q / (np.linalg.norm(x) * np.linalg.norm(q))), i) for n, (i, x) in enumerate(distinct) if n != own)[:4]
+
+    sets = {3: [want(3), want(8), want(9)], 6: [want(6)]}
+    for q, lists in sets.items():
+        found = sorted((r.rank, r.vec_id, round(r.score, 9)) for r in got if r.query_id == q)
+        assert found == sorted((n + 1, i, round(-s, 9)) for one in lists for n, (s, i) in enumerate(one))
+
+
+def test_shards_grow_with_the_table():
+    assert hnsw.shard_rows_for(50_000, 6) == hnsw.SHARD_ROWS
+    assert hnsw.shard_rows_for(10**7, 200) == 25_000
+    assert hnsw.shard_rows_for(10**10, 8000) == hnsw.MOST_SHARD_ROWS
