@@ -46,8 +46,9 @@ STAGED_SCHEMA = ("symbol string, date date, open double, high double, low double
                  "adj_close double, volume bigint, _landed timestamp, _file string, _block bigint, _row bigint, "
                  "pos int, _bad boolean, part int")
 REJECTS_SCHEMA = "symbol string, part int"
-# Up to so many symbols are read by their own directories; the list is as long as what it was asked for.
-MAX_DIRECTORIES = 10_000
+# Up to so many pending symbols (a list of short strings on the driver, as long as the landing's own
+# listing there) are read by their own directories; beyond it the whole landing is scanned and joined.
+MAX_DIRECTORIES = 500_000
 
 
 def landed_prices(spark: SparkSession, landing: str, symbols: Iterable[str] | None = None,

@@ -297,15 +297,16 @@ def read_history_lines(spark: SparkSession, root: str, symbols: Iterable[str] |
     landed = files.list_dirs(spark, root, "symbol=")
     if symbols is not None:
         wanted = set(symbols)
-        names = [unquote(d.removeprefix("symbol=")) for d in landed]
-        landed = [n for n in names if n.strip().upper() in wanted]
+        landed = [d for d in landed if unquote(d.removeprefix("symbol=")).strip().upper() in wanted]
     if not landed:
         return spark.createDataFrame([], HISTORY_LINES_SCHEMA)
-    lines = spark.read.option("basePath", root).text(root)
+    # By their directories: others are neither listed nor read, however many are wanted.
+    paths = root if symbols is None else [f"{root}/{d}" for d in landed]
+    lines = spark.read.option("basePath", root).text(paths)
     if "symbol" not in lines.columns:
+        if symbols is not None:  # the directories are there, but hold no file
+            return spark.createDataFrame([], HISTORY_LINES_SCHEMA)
         raise ValueError(f"{root}: histories must sit in symbol=<S> directories")
-    if symbols is not None:
-        lines = lines.filter(F.col("symbol").isin(landed))  # on the path's own value: other directories are not read
     # Tickers are upper-cased and stripped wherever they enter.
     return lines.select("value", normalize_symbol("symbol").alias("symbol"),
                         F.col("_metadata.file_modification_time").alias("_landed"), *_scan_order())

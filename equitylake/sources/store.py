@@ -266,8 +266,7 @@ class Store:
         grains = [self._grain_in(spec, p) for p in paths]
         if None in grains or not grains:
             return df  # rows without a date lie on no day
-        first = F.expr("make_date(g div 100, g % 100, 1)" if spec.grain == "month" else "make_date(g, 1, 1)")
-        last = F.date_sub(F.add_months(first, 1 if spec.grain == "month" else 12), 1)
+        first, last = spec.grain_span(F.col("g"))
         days = self.spark.createDataFrame([(g,) for g in sorted(set(grains))], "g int").select(
             F.col("g").alias("__grain"), F.explode(F.sequence(first, last)).alias("__day"))
         return df.join(F.broadcast(days), (F.col(spec.partition_column) == F.col("__grain")) & (F.col(spec.time_index) == F.col("__day")),

@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-GRAIN_COLUMN = {"month": "pmonth", "year": "pyear"}
+GRAIN_COLUMN = {"day": "pday", "month": "pmonth", "year": "pyear"}
 
 
 @dataclass(frozen=True)
@@ -23,7 +23,7 @@ class TableSpec:
     name: str
     schema: T.StructType
     key: tuple[str, ...]
-    grain: str | None = None  # "month" | "year" | None
+    grain: str | None = None  # "day" | "month" | "year" | None
 
     @property
     def columns(self) -> list[str]:
@@ -44,7 +44,9 @@ class TableSpec:
         return GRAIN_COLUMN[self.grain] if self.grain else None
 
     def grain_of(self, col: Column) -> Column:
-        """Partition value (int) of a date column: yyyymm or yyyy."""
+        """Partition value (int) of a date column: yyyymmdd, yyyymm or yyyy."""
+        if self.grain == "day":
+            return (F.year(col) * 10_000 + F.month(col) * 100 + F.day(col)).cast("int")
         if self.grain == "month":
             return (F.year(col) * 100 + F.month(col)).cast("int")
         if self.grain == "year":
@@ -53,10 +55,22 @@ class TableSpec:
 
     def grain_value(self, day) -> int:
         """Partition value of a Python date, for building partition filters."""
+        if self.grain == "day":
+            return day.year * 10_000 + day.month * 100 + day.day
         if self.grain == "month":
             return day.year * 100 + day.month
         return day.year
 
+    def grain_span(self, value: Column) -> tuple[Column, Column]:
+        """First and last day of a partition value."""
+        if self.grain == "day":
+            day = F.make_date(F.floor(value / 10_000).cast("int"), F.floor(value / 100).cast("int") % 100, value % 100)
+            return day, day
+        if self.grain == "month":
+            first = F.make_date(F.floor(value / 100).cast("int"), value % 100, F.lit(1))
+            return first, F.last_day(first)
+        return F.make_date(value, F.lit(1), F.lit(1)), F.make_date(value, F.lit(12), F.lit(31))
+
     @property
     def stored_schema(self) -> T.StructType:
         """Schema of the parquet files, partition column included."""

@@ -402,3 +402,20 @@ def test_a_replaced_text_is_never_missing(spark, tmp_path):
         files.replace_text(spark, path, text)
         assert files.read_text(spark, path) == text
     assert [n for n in files.list_names(spark, str(tmp_path)) if not n.startswith(".")] == ["ledger.json"]
+
+
+def test_a_day_grain_rewrites_only_the_fresh_days(spark, store):
+    """The exact date range of a small feed: neighbouring days of its month keep their directories."""
+    from equitylake.specs import TableSpec
+    spec = TableSpec("daily_feed", DAILY_PRICES.schema, DAILY_PRICES.key, "day")
+    days = [date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 2)]
+    store.upsert(spec, price_rows(spark, [(s, d, 1.0) for d in days for s in ("MSFT", "AAPL")]))
+    before = store.data_paths(spec)
+    assert [p.rpartition("/")[2] for p in before] == ["pday=20240130", "pday=20240131", "pday=20240201", "pday=20240202"]
+    store.upsert(spec, price_rows(spark, [("AAPL", days[1], 5.0), ("AAPL", days[2], 6.0)]))
+    after = store.data_paths(spec)
+    assert {p for p in before if p in after} == {before[0], before[3]}
+    assert [(r.date, r.symbol, r.close) for r in store.read(spec, start=days[1], end=days[2]).collect()] == [
+        (days[1], "AAPL", 5.0), (days[1], "MSFT", 1.0), (days[2], "AAPL", 6.0), (days[2], "MSFT", 1.0)]
+    narrow = store.read(spec, where=F.col("date") > days[2], ordered=False)
+    assert "dynamicpruning" in physical(narrow) and narrow.count() == 2
