@@ -419,3 +419,23 @@ def test_a_day_grain_rewrites_only_the_fresh_days(spark, store):
         (days[1], "AAPL", 5.0), (days[1], "MSFT", 1.0), (days[2], "AAPL", 6.0), (days[2], "MSFT", 1.0)]
     narrow = store.read(spec, where=F.col("date") > days[2], ordered=False)
     assert "dynamicpruning" in physical(narrow) and narrow.count() == 2
+
+
+def test_symbol_bloom_filters_skip_row_groups_of_many_symbols(spark, store):
+    """A row group with more symbols than a dictionary holds: smallest and largest cannot tell an absent symbol, its filter can."""
+    day = F.lit(date(2024, 1, 5))
+    symbol = F.upper(F.concat(F.lit("S"), F.substring(F.sha1(F.col("id").cast("string")), 1, 9)))
+    rows = spark.range(300_000).coalesce(1).select(symbol.alias("symbol"), day.alias("date"), F.lit(1.0).alias("close"))
+    store.write(DAILY_PRICES, rows)
+
+    def rows_read(symbols):
+        df = store.read(DAILY_PRICES, symbols=symbols, ordered=False)
+        found = len(df.collect())
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        metrics = [leaves.apply(i).metrics() for i in range(leaves.size())]
+        return found, sum(m.get("numOutputRows").get().value() for m in metrics if m.contains("numOutputRows"))
+
+    present = [r.symbol for r in rows.limit(2).collect()]
+    assert rows_read(["S5AAAAAAAA", "S911111111"]) == (0, 0)
+    found, read = rows_read(present)
+    assert found == 2 <= read
