@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from equitylake.specs import TableSpec
 
 
+# Fixed value: the text that rejects unknown columns.
+UNKNOWN_COLUMNS_MESSAGE = "has no column(s):"
+
+
 def _nan_to_null(c: Column, dtype: T.DataType) -> Column:
     # NaN compares greater than every number in Spark, so a NaN market cap
     # would pass ``>= min``. Stored doubles never hold NaN.
@@ -49,6 +53,6 @@ def resolve_columns(spec: TableSpec, columns: Sequence[str] | None) -> list[str]
         return spec.columns
     unknown = [c for c in columns if c not in spec.columns]
     if unknown:
-        raise ValueError(f"{spec.name} has no column(s): {sorted(unknown)}")
+        raise ValueError(f"{spec.name} {UNKNOWN_COLUMNS_MESSAGE} {sorted(unknown)}")
     wanted = set(columns) | set(spec.key)
     return [c for c in spec.columns if c in wanted]

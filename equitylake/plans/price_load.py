@@ -38,7 +38,8 @@ from equitylake.sources import files, landed
 from equitylake.sources.store import Store
 from equitylake.specs import DAILY_PRICES
 
-# Fixed value: symbols per staged shard.
+# The text that rejects a load with nothing staged, and the symbols per staged shard.
+NO_SHARDS_MESSAGE = "No staged shards in"
 SHARD_SIZE = 100
 LEDGER_SCHEMA = "part int, symbols array<string>, rows bigint"
 # Staged rows: shaped prices, their feed order, the bad-row flag, the shard.
@@ -192,7 +193,7 @@ def load(store: Store, staging: str, year: int | None = None) -> int:
     """
     spark = store.spark
     if not files.list_dirs(spark, _data_path(staging), "part="):
-        raise RuntimeError(f"No staged shards in {staging}")
+        raise RuntimeError(f"{NO_SHARDS_MESSAGE} {staging}")
     recorded = read_ledger(spark, staging).select("part", F.explode("symbols").alias("symbol"))
     staged = semi_join(read_staged(spark, staging), recorded, ["part", "symbol"]).filter(F.col("pos").isNotNull())
     if year is not None:

@@ -45,6 +45,8 @@ from equitylake.operators.predicates import all_of, date_between, symbol_in
 from equitylake.sources import files
 from equitylake.specs import TableSpec
 
+# Fixed value: the text that rejects a date range on a table without dates.
+NOT_TIMED_MESSAGE = "{} is keyed on {!r}, which is not a time index; start/end do not apply"
 KEEP_VERSIONS = 2
 # A superseded version is kept this long for readers that still hold it.
 RETAIN_SECONDS = 24 * 3600
@@ -188,9 +190,7 @@ class Store:
         if paths is None:
             return self.empty(spec, selection)
         if (start is not None or end is not None) and spec.time_index is None:
-            raise ValueError(
-                f"{spec.name} is keyed on {spec.key[0]!r}, which is not a time index; "
-                "start/end do not apply")
+            raise ValueError(NOT_TIMED_MESSAGE.format(spec.name, spec.key[0]))
 
         preds = [where]
         if tickers is not None and len(tickers) <= MAX_IN_LIST:
