@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from equitylake.session import checkpoint_root
@@ -33,6 +33,13 @@ def once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``once`` with the number of rows, which the same job counts."""
+    rows = Observation()
+    held = once(df.observe(rows, F.count(F.lit(1)).alias("rows")))
+    return held, rows.get["rows"]
+
+
 def _block(keys: Sequence[Column], words: int) -> tuple[Column, Column]:
     """(word, bits of it) of a key."""
     h = F.xxhash64(*keys)
@@ -54,8 +61,7 @@ def may_match(big: DataFrame, keys: DataFrame, on: Sequence[str], n_keys: int) -
 
 def _joined(big: DataFrame, small: DataFrame, on: Sequence[str], how: str, max_rows: int, known_rows: int | None) -> DataFrame:
     if known_rows is None:
-        small = once(small)
-        known_rows = small.count()
+        small, known_rows = counted(small)
     if known_rows <= max_rows:
         return big.join(F.broadcast(small), on=on, how=how)
     if how != "left_anti" and known_rows <= MAX_FILTER_WORDS * KEYS_PER_WORD:
