@@ -210,6 +210,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     of a change; a null text is empty; rows of a null conversation are one
     conversation; rows that repeat all stay. ``n_inserted`` counts the empty
     turns put before the turn, and after it if it is the conversation's last.
+    A ``<|`` in a text is rendered ``< |``, so that no text opens or closes a turn.
     The fragments of a conversation, in the order of ``pos``, make up its
     rendering. An empty table gives no rows.
     """
