@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from equitylake.llm.common import cut, looked_up, whole_groups
+from equitylake.llm.common import BROADCAST_ROWS, cut, looked_up, whole_groups
 from equitylake.llm.turns import BLANKS, SEGMENT_TURNS, in_order, long_ones
 
 START, SYSTEM, USER, ASSISTANT = range(4)
@@ -266,7 +266,9 @@ def repair_structure(turns: DataFrame, conv_col: str = "conv_id", turn_col: str
                    .select("key", "segment", "n", "offset", "last", "cost", "rank", "final", "late"))
     states = cut(in_row.mapInArrow(_chained, "segment bigint, n bigint, offset bigint, state int, `to` int, previous string, late array<int>"))
     each = looked_up(numbered.drop("said"), states, "segment", "n", segment, ["key", "place"])
-    each = each.repartition("segment").sortWithinPartitions("segment", "place").select(
+    if states.count() > BROADCAST_ROWS:  # else the rows of a segment still stand together, in order
+        each = each.repartition("segment").sortWithinPartitions("segment", "place")
+    each = each.select(
         "segment", "key", "conv", "turn", "role", "text", "fault", "offset", "state", "to", "previous", "late")
     kind = rows.schema
     conv, turn = (f"{c} {kind[c].dataType.simpleString()}" for c in ("conv", "turn"))
