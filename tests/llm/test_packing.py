@@ -71,6 +71,15 @@ def test_rows_of_one_id_are_spread_over_slices(spark, monkeypatch):
     assert len(rows) == 2000
     places = {(r.batch, r.slot) for r in rows}
     assert len(places) == 2000 and max(b for b, _ in places) == 199
-    dealt = packing.sequences(docs).withColumn("row", F.monotonically_increasing_id())
-    per_slice = dealt.groupBy(F.pmod(F.shiftright(F.xxhash64("id", "piece", "row"), 32), F.lit(20))).count().collect()
+    per_slice = packing.marked(docs).groupBy(F.pmod(F.shiftright(F.xxhash64("mark", "piece"), 32), F.lit(20))).count().collect()
     assert len(per_slice) == 20 and max(r["count"] for r in per_slice) < 200
+
+
+def test_marks_depend_on_content_alone(spark, monkeypatch):
+    rows = [(1, "a b"), (1, "a b"), (1, "c"), (None, "a b"), (None, None), (None, ""), (2, words(3, 40))] + [(7, "x y")] * 50
+    one = packing.marked(documents(spark, rows).coalesce(1), max_len=30)
+    monkeypatch.setattr(packing, "COPIES", 8)
+    other = packing.marked(documents(spark, rows[::-1]).repartition(5), max_len=30)
+    found = sorted(map(tuple, one.collect()), key=repr)
+    assert found == sorted(map(tuple, other.collect()), key=repr)
+    assert len(found) == len(rows) + 1 and len({(f[-1], f[1]) for f in found}) == len(found)
