@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -165,6 +166,17 @@ def _starts(part: pa.Table, n_keys: int) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def lots(texts: pa.Array, most: int):
+    """(start, end) of neighbouring texts of at most ``most`` bytes together; a longer one alone."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    start = 0
+    while start < len(sizes):
+        upto = np.cumsum(sizes[start:start + 100_000], dtype=np.int64)
+        end = start + max(1, int(np.searchsorted(upto, most, side="right")))
+        yield start, end
+        start = end
+
+
 def matrix(column, dtype=np.float64) -> np.ndarray:
     """A list column of equal lengths as a matrix."""
     rows = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -41,7 +41,7 @@ REMEMBERED_CHARS = 64
 #: Between the stretches of a batch's texts; a text that holds it is encoded by itself.
 _CUT = "\x00"
 #: Texts are cut by Arrow in lots of at most so many bytes (a longer one alone, in plain Python).
-LOT_BYTES = 32 << 20
+LOT_BYTES = 4 << 20
 #: A byte piece costs this much more than the worst piece.
 BYTE_COST = 10.0
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>$")

@@ -27,13 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from equitylake.llm.common import fresh, only
+from equitylake.llm.common import fresh, lots, only
 
 HASH_BITS = 18
 #: Bound of the labelled rows a model is fitted on: those of smallest id hash.
 MAX_TRAIN = 12_000
 #: A feature enters the model if its correlation with some grade split is so many standard errors from none.
 LEAST_SIGNAL = 4.0
+#: Texts are scored in lots of so many bytes; a longer text alone.
+LOT_BYTES = 2 << 20
 SCORE_TYPE = "expected double, tail double"
 _WORD_EDGE = re.compile(r"^\W+|\W+$")
 
@@ -242,10 +244,12 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int, id_col: str = "doc_i
 
 
 def batch_scores(texts: pa.Array, words: _Words, weights: np.ndarray) -> np.ndarray:
-    """w.x of each text by the features of ``features``, over a batch: a word is looked up once, and what texts hold is counted in arrays.
+    """w.x of each text by the features of ``features``; texts go in lots of bounded size, however many rows a batch has."""
+    return np.concatenate([_lot_scores(texts.slice(a, b - a), words, weights) for a, b in lots(texts, LOT_BYTES)] or [np.empty(0)])
 
-    Sums go by feature number, so the order of the words has no say.
-    """
+
+def _lot_scores(texts: pa.Array, words: _Words, weights: np.ndarray) -> np.ndarray:
+    """A word is looked up once, and what texts hold is counted in arrays. Sums go by feature number, so the order of the words has no say."""
     rows, size = len(texts), 1 << HASH_BITS
     parts = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
     tokens = parts.flatten()
@@ -266,7 +270,7 @@ def batch_scores(texts: pa.Array, words: _Words, weights: np.ndarray) -> np.ndar
     wide = width[word]
     at = np.repeat(first[word] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
     own, feature = np.divmod(np.unique(np.repeat(of, wide) * size + held[at]), size)
-    total = np.bincount(own, weights[feature], rows)
+    total = np.bincount(own, weights[feature], rows).astype(np.float64)  # of no entry at all bincount makes integers
     # Shares: word shapes, repeats at once, distinct words, the size itself.
     again = np.bincount(doc[1:][(place[1:] == place[:-1]) & (doc[1:] == doc[:-1])], minlength=rows)
     some = np.flatnonzero(n)

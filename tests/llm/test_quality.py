@@ -114,7 +114,7 @@ def test_an_id_that_repeats_is_fitted_once(spark):
     assert np.allclose(once.weights, many.weights) and np.allclose(once.thresholds, many.thresholds)
 
 
-def test_batch_scores_are_those_of_the_features():
+def test_batch_scores_are_those_of_the_features(monkeypatch):
     rng = np.random.default_rng(8)
     weights = np.where(rng.random(1 << quality.HASH_BITS) < 0.5, rng.normal(size=1 << quality.HASH_BITS), 0.0)
     texts = [*AWKWARD, *corpus(30, 6)[0], "a a a b\u2003c\x1cd\x85e\u00a0f", "A\u200bB c", "!!! ??? a", " lead", "trail ", "Same same SAME same."]
@@ -125,5 +125,7 @@ def test_batch_scores_are_those_of_the_features():
         want.append(sum(weights[j] for j in held) + sum(weights[j] * v for j, v in valued.items()))
     assert np.allclose(quality.batch_scores(pa.array(texts, pa.string()), quality._Words(weights != 0), weights), want)
     assert np.allclose(quality.batch_scores(pa.array(["x", *texts]).slice(1), words_of, weights), want)
+    monkeypatch.setattr(quality, "LOT_BYTES", 500)
+    assert np.allclose(quality.batch_scores(pa.array(texts, pa.string()), words_of, weights), want)
     assert len(quality.batch_scores(pa.array([], pa.string()), words_of, weights)) == 0
     assert np.allclose(quality.batch_scores(pa.array([None, ""], pa.string()), words_of, weights), weights[quality._EMPTY])
