@@ -80,6 +80,19 @@ def test_finer_grids_match_brute_force_too(spark):
     assert lattice.grid_for(0) == lattice.grid_for(500_000) != lattice.grid_for(500_001)
 
 
+def test_the_tables_size_does_not_choose_the_grid(spark, monkeypatch):
+    """More rows, far from the others, leave the others' links as they are, on whichever side of a size they are."""
+    none = lattice.Grid(1, 2, 0.01, 0)  # cells so small that only equal vectors meet
+    monkeypatch.setattr(lattice, "GRIDS", ((20, lattice.GRIDS[0][1]), (1 << 62, none)))
+    near = vectors()[:12]
+    rng = np.random.default_rng(7)
+    far = [[float(x) for x in -np.array(near[0]) + rng.normal(size=16) * 3] for _ in range(20)]
+    few = lattice.near_duplicates(spark.createDataFrame([(i, v, 0) for i, v in enumerate(near)], SCHEMA)).collect()
+    more = lattice.near_duplicates(spark.createDataFrame([(i, v, 0) for i, v in enumerate([*near, *far])], SCHEMA)).collect()
+    assert sum(r.n_links for r in few) > 0
+    assert sorted(few) == sorted(r for r in more if r.vec_id < len(near))
+
+
 def test_empty_table(spark):
     assert lattice.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
