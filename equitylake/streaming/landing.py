@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from equitylake.functions.text import normalize_symbol
 from equitylake.operators.joins import once
 from equitylake.sources import files, landed
 from equitylake.sources.store import Store
@@ -48,7 +47,8 @@ def start_landing_ingest(spark: SparkSession, store: Store, landing: str, checkp
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    lines = reader.text(landing).select("value", normalize_symbol("symbol").alias("symbol"),
+    symbol, document = landed.named_line()
+    lines = reader.text(landing).select(document.alias("value"), symbol.alias("symbol"),
                                         F.col("_metadata.file_modification_time").alias("_landed"),
                                         F.col("_metadata.file_path").alias("_file"),
                                         F.col("_metadata.file_block_start").alias("_block"))

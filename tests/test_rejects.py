@@ -106,3 +106,41 @@ def test_wide_records_and_headers(spark, scratch):
     write(f"{scratch}/part=0/a.csv", f"symbol,{name}\nC,1\n")
     rows = {r.symbol: r for r in landed.read_profile_shards(spark, scratch, ["symbol", "companyName"]).collect()}
     assert set(rows) == {"A", "B", "C"} and rows["A"].companyName == long and rows["C"][name] == "1"
+
+
+def bundle(landing, *lines):
+    write(f"{landing}/symbol=~bundle/part-0.txt", "\n".join(lines))
+
+
+def test_a_landing_has_no_file_for_each_symbol(spark, scratch):
+    feed = spark.range(600).selectExpr("concat('S', id % 300) AS symbol", "date'2024-01-02' AS date", "1D AS open", "1D AS high", "1D AS low",
+                                       "CAST(id AS double) AS close", "CAST(null AS double) AS adj_close", "id AS volume", "id AS seq")
+    landed.write_price_histories(feed, scratch)
+    assert sum(n.startswith("part-") for _, _, names in os.walk(scratch) for n in names) <= 8  # shuffle partitions
+    rows = landed.shape_prices(landed.read_price_histories(spark, scratch)).collect()
+    assert sorted((r.symbol, r.volume, r.close, r.adj_close) for r in rows) == sorted((f"S{i % 300}", i, float(i), None) for i in range(600))
+    store = Store(spark, f"{scratch}/store")
+    price_load.refresh_prices(store, scratch)
+    assert sorted(r.volume for r in store.read(DAILY_PRICES).collect()) == list(range(300, 600))  # a symbol's later row wins
+
+
+def test_a_bundle_names_its_symbols_line_by_line(spark, scratch):
+    landing, staging = f"{scratch}/landing", f"{scratch}/staging"
+    bundle(landing, "aapl\t" + history([("2024-01-02", 1.0)]), "A%09B\t" + history([("2024-01-02", 2.0)]), "GONE\t{}", "",
+           "TORN\t" + history([("2024-01-02", 3.0)])[:30], "\t" + history([("2024-01-02", 4.0)]), "CUT OFF", "AAPL\t" + history([("2024-01-02", 5.0)]))
+    write(f"{landing}/symbol=OWN/a.json", history([("2024-01-02", 6.0)]))
+    want = {("AAPL", 5.0), ("A\tB", 2.0), ("OWN", 6.0)}
+    universe = spark.createDataFrame([(s,) for s in ("AAPL", "A\tB", "GONE", "TORN", "OWN", "NEVER")], "symbol string")
+    assert price_load.stage(spark, universe, landing, staging) == (4, 1)
+    store = Store(spark, f"{scratch}/store")
+    price_load.load(store, staging)
+    assert {(r.symbol, r.close) for r in store.read(DAILY_PRICES).collect()} == want
+    other = Store(spark, f"{scratch}/other")
+    ingest_available(spark, other, landing, f"{scratch}/ckpt")
+    assert {(r.symbol, r.close) for r in other.read(DAILY_PRICES).collect()} == want | {(None, 4.0)}
+    assert sorted(str(r.symbol) for r in read_rejects(other).collect()) == ["None", "TORN"]
+    # Only lines of the symbols asked for are parsed.
+    rows = price_load.landed_prices(spark, landing, [" aapl", "own"]).collect()
+    assert sorted((r.symbol, r.close) for r in rows) == [("AAPL", 1.0), ("AAPL", 5.0), ("OWN", 6.0)]
+    with pytest.raises(Exception, match="unexpected price payload"):
+        price_load.landed_prices(spark, landing).collect()
