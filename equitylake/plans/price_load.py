@@ -48,8 +48,13 @@ STAGED_SCHEMA = ("symbol string, date date, open double, high double, low double
                  "pos int, _bad boolean, part int")
 REJECTS_SCHEMA = "symbol string, part int"
 # Up to so many pending symbols (a list of short strings on the driver, as long as the landing's own
-# listing there) are read by their own directories; beyond it the whole landing is scanned and joined.
+# listing there) are read by their own directories; beyond it the whole landing is scanned and joined,
+# as it is where they are more than a part in LEAST_SHARE of the directories: Spark goes through the
+# whole list of paths for each of them.
 MAX_DIRECTORIES = 500_000
+LEAST_SHARE = 4
+# Shard directories of one run: each is a rename on the driver and a file at least, so beyond it shards hold more symbols.
+MAX_SHARDS = 1_000
 
 
 def landed_prices(spark: SparkSession, landing: str, symbols: Iterable[str] | None = None,
@@ -137,13 +142,14 @@ def _stage_todo(spark: SparkSession, todo: DataFrame, ledger: DataFrame, landing
         return 0, 0
     last = ledger.agg(F.max("part")).first()[0]
     first = 0 if last is None else last + 1
-    shards = max(1, math.ceil(n / shard_size))
+    shards = min(max(1, math.ceil(n / shard_size)), MAX_SHARDS)
     todo = todo.withColumn("part", (F.lit(first) + F.pmod(F.xxhash64("symbol"), F.lit(shards))).cast("int"))
 
     _drop_unrecorded_shards(spark, staging, first)
     # One pass: the pending symbols' lines (restricted before parsing), each
     # tagged with its shard, parsed leniently so bad rows are flagged.
-    wanted = [r["symbol"] for r in todo.select("symbol").collect()] if n <= MAX_DIRECTORIES else None
+    chosen = n <= MAX_DIRECTORIES and LEAST_SHARE * n <= landed.named_directories(spark, landing)
+    wanted = [r["symbol"] for r in todo.select("symbol").collect()] if chosen else None
     lines = attach(landed.read_history_lines(spark, landing, wanted), todo, "symbol", known_rows=n)
     rows = landed.shape_prices(landed.parse_history_docs(lines, strict=False), strict=False, carry=["part"])
     # Rebalance on the shard: about one file per shard, and AQE splits a shard

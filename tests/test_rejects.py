@@ -144,3 +144,16 @@ def test_a_bundle_names_its_symbols_line_by_line(spark, scratch):
     assert sorted((r.symbol, r.close) for r in rows) == [("AAPL", 1.0), ("AAPL", 5.0), ("OWN", 6.0)]
     with pytest.raises(Exception, match="unexpected price payload"):
         price_load.landed_prices(spark, landing).collect()
+
+
+def test_shards_do_not_grow_with_the_symbols(spark, scratch, monkeypatch):
+    monkeypatch.setattr(price_load, "MAX_SHARDS", 2)
+    landing, staging = f"{scratch}/landing", f"{scratch}/staging"
+    symbols = [f"S{i}" for i in range(12)]
+    bundle(landing, *(f"{s}\t" + history([("2024-01-02", 1.0)]) for s in symbols))
+    universe = spark.createDataFrame([(s,) for s in symbols], "symbol string")
+    assert price_load.stage(spark, universe, landing, staging, shard_size=1) == (12, 0)
+    assert len([d for d in os.listdir(f"{staging}/data") if d.startswith("part=")]) == 2
+    assert price_load.stage(spark, universe, landing, staging, shard_size=1) == (0, 0)
+    store = Store(spark, f"{scratch}/store")
+    assert price_load.load(store, staging) == 12
