@@ -395,6 +395,31 @@ def test_ordered_reads_need_no_global_exchange(spark, store, monkeypatch):
     assert store.read(DAILY_PRICES, start=date(2030, 1, 1)).collect() == []
 
 
+def test_an_ordered_read_is_bounded_by_its_rows_in_memory(spark, store, monkeypatch):
+    """Rows that take next to nothing stored are still sorted by more than one task."""
+    from equitylake.sources import store as store_module
+    rows = spark.range(6000).selectExpr("concat('S', lpad(id % 2000, 4, '0')) AS symbol", "add_months(date'2024-01-31', -CAST(id % 3 AS int)) AS date",
+                                        "1D AS open", "1D AS high", "1D AS low", "1D AS close", "1D AS adj_close", "1L AS volume")
+    store.write(DAILY_PRICES, rows)
+    want = sorted((r.date, r.symbol) for r in rows.collect())
+    monkeypatch.setattr(store_module, "ORDERED_MEMORY", 100_000)  # of about 900,000
+    df = store.read(DAILY_PRICES)
+    assert [(r.date, r.symbol) for r in df.collect()] == want
+    assert df.rdd.getNumPartitions() >= 9
+    assert max(df.rdd.glom().map(len).collect()) < 1000
+
+
+def test_each_run_of_an_ordered_read_is_a_task_of_its_own(spark, store, monkeypatch):
+    from equitylake.sources import store as store_module
+    rows = [(s, date(2024, m, d), float(m)) for m in range(1, 7) for d in (28, 1, 15) for s in ("MSFT", "AAPL", "XOM")]
+    store.write(DAILY_PRICES, price_rows(spark, rows))
+    want = sorted((d, s) for s, d, _ in rows)
+    monkeypatch.setattr(store_module, "ORDERED_BYTES", 1 << 13)
+    df = store.read(DAILY_PRICES, columns=["close"])
+    assert df.rdd.getNumPartitions() > 1 and "Exchange" not in physical(df)
+    assert [(r.date, r.symbol) for r in df.collect()] == want
+
+
 def test_a_replaced_text_is_never_missing(spark, tmp_path):
     from equitylake.sources import files
     path = f"{tmp_path}/ledger.json"
